@@ -167,17 +167,23 @@ def category_counts(
     prefix: str = "",
     with_rates: bool = False,
     total_name: str = "status_total",
+    absent_as_null: bool = False,
 ) -> DataFrame:
     """Count of rows per (key, category value) as columns.
 
-    NULL categories are dropped (pandas groupby, N7). Values absent for a key
-    count 0 (the reference fills the unstacked frame with 0 before use). With
-    ``with_rates`` a row total and a per-value share of it are added (A28).
+    NULL categories are dropped (pandas groupby, N7). A value absent for a key
+    counts 0, or NULL with ``absent_as_null`` (the unstacked frame before its
+    fill). With ``with_rates`` a row total and a per-value share of it are
+    added (A28; absent values count 0 there, as the reference fills first).
     """
     if values is None:
         values = category_domain(df, cat_col)
     names = [f"{prefix}{sanitize(str(v))}" for v in values]
-    exprs = [F.count_if(F.col(cat_col) == F.lit(v)).alias(n) for v, n in zip(values, names)]
+    def count(v):
+        n = F.count_if(F.col(cat_col) == F.lit(v))
+        return F.when(n > 0, n) if absent_as_null and not with_rates else n
+
+    exprs = [count(v).alias(n) for v, n in zip(values, names)]
     out = df.where(F.col(cat_col).isNotNull()).groupBy(key).agg(*exprs)
     if with_rates:
         out = out.withColumn(total_name, sum((F.col(n) for n in names), F.lit(0)))

@@ -79,3 +79,14 @@ def dedupe_columns(left: DataFrame, right: DataFrame, on: str | Sequence[str], s
     for c in sorted(clash):
         right = right.withColumnRenamed(c, f"{c}{suffix}")
     return right
+
+
+def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row frame (global statistics) to every row.
+
+    An equi-join on a constant with the broadcast one-row side: no pairs are
+    enumerated, every row of ``df`` meets exactly one row.
+    """
+    left = df.withColumn("__one", F.lit(1))
+    right = F.broadcast(one_row.limit(1).withColumn("__one", F.lit(1)))
+    return left.join(right, "__one", "inner").drop("__one")

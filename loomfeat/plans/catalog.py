@@ -66,3 +66,7 @@ def order_activity(spark: SparkSession, sf_dir: str, fused: bool = True) -> Data
 @query("flagship_order_activity")
 def q_flagship(spark, d):
     return order_activity(spark, d)
+
+
+# Register the per-area query modules (they import ``query`` from here).
+from loomfeat.plans import q_agg  # noqa: E402,F401

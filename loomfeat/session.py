@@ -27,6 +27,7 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str
         SparkSession.builder.master(master)
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("LOOMFEAT_DRIVER_MEMORY", "16g"))
     )

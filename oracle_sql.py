@@ -124,8 +124,220 @@ def q_flagship() -> str:
     )
 
 
+
+def filt(w):
+    return f" FILTER (WHERE {w})" if w else ""
+
+
+def moment_sql(fn: str, x: str, mu: str, w: str | None = None) -> str:
+    """Population skewness / excess kurtosis (Spark's definitions), constant group -> NULL."""
+    f = filt(w)
+    m2 = f"sum(pow({x} - {mu}, 2)){f}"
+    guard = f"count({x}){f} = count(*){f} AND min({x}){f} <> max({x}){f}"
+    if fn == "skew":
+        return f"CASE WHEN {guard} THEN sqrt(count({x}){f}) * sum(pow({x} - {mu}, 3)){f} / pow({m2}, 1.5) END"
+    return f"CASE WHEN {guard} THEN count({x}){f} * sum(pow({x} - {mu}, 4)){f} / pow({m2}, 2) - 3 END"
+
+
+def q_functions() -> str:
+    x = "l_quantity"
+    sel = ["l_suppkey"]
+    for fn in ["min", "max", "mean", "sum", "std", "var", "median", "count", "size", "nunique"]:
+        sel.append(f"{typed(fn, agg_sql(fn, x), 'double')} AS li_l_quantity_{fn}")
+    sel.append(f"{f32(moment_sql('skew', x, 'mu'))} AS li_l_quantity_skew")
+    sel.append(f"{f32(moment_sql('kurt', x, 'mu'))} AS li_l_quantity_kurt")
+    sel.append(f"{f32(agg_sql('iqr', x))} AS li_l_quantity_iqr")
+    for fn in ["nonzero", "mean", "max"]:
+        sel.append(f"{typed(fn, agg_sql(fn, 'l_discount'), 'double')} AS li_l_discount_{fn}")
+    return (
+        "WITH t AS (SELECT *, avg(l_quantity) OVER (PARTITION BY l_suppkey) AS mu FROM lineitem) "
+        f"SELECT {', '.join(sel)} FROM t GROUP BY l_suppkey"
+    )
+
+
+def q_first_valid() -> str:
+    return with_("o") + (
+        ", v AS (SELECT o_custkey, o_orderdate, o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price FROM o), "
+        "r AS (SELECT o_custkey, price, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn "
+        "FROM v WHERE price IS NOT NULL) "
+        f"SELECT k.o_custkey, {f32('r.price')} AS last_valid_price FROM (SELECT DISTINCT o_custkey FROM o) k "
+        "LEFT JOIN r ON k.o_custkey = r.o_custkey AND r.rn = 1"
+    )
+
+
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+def san(v: str) -> str:
+    out = "".join(ch.lower() if ch.isalnum() else "_" for ch in v)
+    while "__" in out:
+        out = out.replace("__", "_")
+    return out.strip("_")
+
+
+def q_share() -> str:
+    parts, cols = [], []
+    for i, (tag, w) in enumerate([("", None), ("opn", "o_orderstatus = 'O'")]):
+        body = ", ".join(
+            f"{f32(f'avg(CASE WHEN o_orderpriority = {chr(39)}{v}{chr(39)} THEN 1 ELSE 0 END)')} AS ord_o_orderpriority{'_' + tag if tag else ''}_share_{san(v)}"
+            for v in PRIORITIES
+        )
+        where = f" WHERE {w}" if w else ""
+        parts.append(f"LEFT JOIN (SELECT o_custkey AS k, {body} FROM orders{where} GROUP BY o_custkey) s{i} ON sp.o_custkey = s{i}.k")
+        cols += [f"s{i}.ord_o_orderpriority{'_' + tag if tag else ''}_share_{san(v)}" for v in PRIORITIES]
+    return f"SELECT sp.o_custkey, {', '.join(cols)} FROM (SELECT DISTINCT o_custkey FROM orders) sp " + " ".join(parts)
+
+
+def q_category_slices() -> str:
+    slices = [(san(v), f"o_orderpriority = '{v}'") for v in PRIORITIES]
+    spec = {"o_totalprice": ["mean", "max", "size"], "o_days": ["min"]}
+    return with_("o") + naive_sliced(
+        "o", "o_custkey", spec, FLAGSHIP_TYPES, slices, "pri_", "(SELECT DISTINCT o_custkey FROM orders)", "o_custkey", False
+    )
+
+
+BB = "bb AS (SELECT l_orderkey, l_returnflag, count(*) AS months FROM lineitem GROUP BY l_orderkey, l_returnflag)"
+ROWS = (
+    "rows AS (SELECT o.o_custkey, o.o_orderkey, bb.l_returnflag, "
+    "CASE WHEN bb.l_returnflag IN ('R') THEN 1.0 ELSE 0.0 END AS overdue "
+    "FROM orders o LEFT JOIN bb ON o.o_orderkey = bb.l_orderkey)"
+)
+
+
+def q_two_level() -> str:
+    sel = []
+    for c in ["overdue_mean", "overdue_sum"]:
+        for fn in ["mean", "max", "std", "sum", "median"]:
+            sel.append(f"{typed(fn, agg_sql(fn, c), 'double')} AS bureau_{c}_{fn}")
+    return (
+        f"WITH {BB}, {ROWS}, l1 AS (SELECT o_custkey, o_orderkey, avg(overdue) AS overdue_mean, "
+        "coalesce(sum(overdue), 0) AS overdue_sum FROM rows GROUP BY o_custkey, o_orderkey) "
+        f"SELECT o_custkey, {', '.join(sel)} FROM l1 GROUP BY o_custkey"
+    )
+
+
+def q_missing() -> str:
+    def cnt(pred, name):
+        return f"CAST(CASE WHEN count_if({pred}) > 0 THEN count_if({pred}) END AS BIGINT) AS {name}"
+
+    return (
+        "SELECT o_custkey, "
+        + cnt("o_orderstatus = 'P'", "credit_o_orderstatus_miss_times")
+        + ", "
+        + cnt("o_totalprice > 450000", "credit_o_totalprice_miss_times")
+        + " FROM orders GROUP BY o_custkey"
+    )
+
+
+AMOUNTS = (
+    "b AS (SELECT o_custkey, o_orderkey, o_orderstatus, o_orderpriority, "
+    f"CAST(CAST(o_orderdate AS DATE) - {ORDERS_REF} AS INTEGER) AS o_days, "
+    "o_totalprice AS amt_credit, "
+    "CASE WHEN o_orderstatus = 'O' THEN o_totalprice ELSE 0.0 END AS amt_debt, "
+    "CASE WHEN o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' THEN o_totalprice ELSE 0.0 END AS amt_overdue FROM orders)"
+)
+
+
+def q_totals() -> str:
+    return (
+        f"WITH {AMOUNTS}, t AS (SELECT o_custkey, sum(amt_debt) AS d, sum(amt_credit) AS c, sum(amt_overdue) AS v FROM b GROUP BY o_custkey) "
+        f"SELECT o_custkey, {f32('d')} AS bureau_total_customer_debt, {f32('c')} AS bureau_total_customer_credit, "
+        f"{f32('v')} AS bureau_total_customer_overdue, {f32('d / nullif(1 + c, 0)')} AS bureau_debt_credit_ratio, "
+        f"{f32('v / nullif(1 + d, 0)')} AS bureau_overdue_debt_ratio FROM t"
+    )
+
+
+def q_category_counts() -> str:
+    def cnt(col, v, name):
+        return f"CAST(CASE WHEN count_if({col} = '{v}') > 0 THEN count_if({col} = '{v}') END AS BIGINT) AS {name}"
+
+    cols = [cnt("o_orderpriority", v, f"prev_o_orderpriority_{san(v)}") for v in PRIORITIES]
+    cols += [cnt("o_orderstatus", v, f"prev_o_orderstatus_{v.lower()}") for v in ["F", "O", "P"]]
+    return f"SELECT o_custkey, {', '.join(cols)} FROM orders GROUP BY o_custkey"
+
+
+def q_status_rates() -> str:
+    flags = ["A", "N", "R"]
+    cols = [f"CAST(count_if(l_returnflag = '{v}') AS BIGINT) AS balance_l_returnflag_{v.lower()}" for v in flags]
+    cols.append("CAST(count(*) AS BIGINT) AS status_total")
+    cols += [f"{f32(f'count_if(l_returnflag = {chr(39)}{v}{chr(39)}) / count(*)')} AS balance_l_returnflag_{v.lower()}_rate" for v in flags]
+    return f"WITH {BB}, {ROWS} SELECT o_custkey, {', '.join(cols)} FROM rows WHERE l_returnflag IS NOT NULL GROUP BY o_custkey"
+
+
+def q_latest_period() -> str:
+    return with_("e") + (
+        ", l1 AS (SELECT user_id, e_days, avg(value) AS m, min(value) AS lo, max(value) AS hi, sum(value) AS s FROM e GROUP BY user_id, e_days), "
+        "r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY e_days DESC) AS rn FROM l1) "
+        f"SELECT user_id, e_days AS pos_last_e_days, {f32('m')} AS pos_last_value_mean, {f32('lo')} AS pos_last_value_min, "
+        f"{f32('hi')} AS pos_last_value_max, {f32('s')} AS pos_last_value_sum FROM r WHERE rn = 1"
+    )
+
+
+def q_flag_stats() -> str:
+    flags = (
+        "f AS (SELECT o_custkey, CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END AS active_flag, "
+        "CASE WHEN o_days > -365 THEN 1 ELSE 0 END AS enddate_flag, "
+        "CASE WHEN amt_overdue > 0 THEN 1 ELSE 0 END AS overdue_flag, "
+        "CASE WHEN amt_debt > 0 THEN 1 ELSE 0 END AS using_flag FROM b)"
+    )
+    cols = []
+    for c in ["active_flag", "enddate_flag", "overdue_flag", "using_flag"]:
+        cols += [f"{f32(f'avg({c})')} AS credit_{c}_mean", f"CAST(sum({c}) AS BIGINT) AS credit_{c}_sum", f"count({c}) AS credit_{c}_count"]
+    return f"WITH {AMOUNTS}, {flags} SELECT o_custkey, {', '.join(cols)} FROM f GROUP BY o_custkey"
+
+
+def q_global() -> str:
+    cols = []
+    for c in ["l_quantity", "l_extendedprice"]:
+        cols += [
+            f"{f32(f'min({c})')} AS {c}_min", f"{f32(f'max({c})')} AS {c}_max", f"{f32(f'median({c})')} AS {c}_median",
+            f"{f32(f'avg({c})')} AS {c}_mean", f"CAST(count_if({c} IS NULL) AS BIGINT) AS {c}_nulls",
+            f"count(DISTINCT {c}) AS {c}_nunique",
+        ]
+    return f"SELECT {', '.join(cols)} FROM lineitem"
+
+
+def q_validated() -> str:
+    return with_("o") + (
+        f"SELECT o_custkey, {f32('sum(o_totalprice)')} AS v_o_totalprice_sum, count(*) AS v_o_totalprice_size, "
+        "max(o_days) AS v_o_days_max FROM o GROUP BY o_custkey"
+    )
+
+
+def q_label() -> str:
+    return (
+        "SELECT o.o_orderkey, o.o_custkey AS c_custkey, CAST(c.c_acctbal < 0 AS INTEGER) AS target "
+        "FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey"
+    )
+
+
+def q_collision() -> str:
+    return (
+        f"SELECT a.o_custkey, {f32('a.m')} AS x_o_totalprice_mean, {f32('b.m')} AS x_o_totalprice_mean_y FROM "
+        "(SELECT o_custkey, avg(o_totalprice) AS m FROM orders GROUP BY o_custkey) a LEFT JOIN "
+        "(SELECT o_custkey, avg(o_totalprice) AS m FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey) b "
+        "ON a.o_custkey = b.o_custkey"
+    )
+
+
 ORACLES = {
     "flagship_order_activity": q_flagship,
+    "a22_naive_slices": q_flagship,
+    "a01_a12_functions": q_functions,
+    "a13_first_valid": q_first_valid,
+    "a14_category_share": q_share,
+    "a23_category_slices": q_category_slices,
+    "a24_two_level": q_two_level,
+    "a25_missing_counts": q_missing,
+    "a26_totals_ratio": q_totals,
+    "a27_category_counts": q_category_counts,
+    "a28_status_rates": q_status_rates,
+    "a30_latest_period": q_latest_period,
+    "a32_flag_stats": q_flag_stats,
+    "a15_global_stats": q_global,
+    "j2_validated_join": q_validated,
+    "j5_label_propagation": q_label,
+    "j8_name_collision": q_collision,
 }
 
 
