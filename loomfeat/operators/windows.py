@@ -122,8 +122,15 @@ def last_k(
     return out
 
 
-def fraction_features(df: DataFrame, pairs: Sequence[tuple[int, int]], spec: Mapping[str, Sequence], namer=None) -> DataFrame:
-    """short/long ratio of every last-k feature: long == 0 -> 0.0, missing stays missing."""
+def fraction_features(
+    df: DataFrame, pairs: Sequence[tuple[int, int]], spec: Mapping[str, Sequence], namer=None, zero_tol: float = 1e-9
+) -> DataFrame:
+    """short/long ratio of every last-k feature: long == 0 -> 0.0, missing stays missing.
+
+    A denominator below ``zero_tol`` in magnitude counts as zero: statistics
+    such as the skewness of symmetric data are exactly 0 but come out of
+    floating-point moments as ~1e-17, and a ratio to that noise is meaningless.
+    """
     namer = namer or last_k_name
     new = []
     for s, l in pairs:
@@ -131,7 +138,8 @@ def fraction_features(df: DataFrame, pairs: Sequence[tuple[int, int]], spec: Map
             for fn in fns:
                 name, _ = aggfns.resolve(fn)
                 short, long_ = F.col(namer(s, c, name)), F.col(namer(l, c, name))
-                value = F.when(long_ == 0, F.lit(0.0)).otherwise(short.cast("double") / long_.cast("double"))
+                small = F.abs(long_.cast("double")) < F.lit(zero_tol)
+                value = F.when(small, F.lit(0.0)).otherwise(F.try_divide(short.cast("double"), long_.cast("double")))
                 new.append(value.alias(f"last_{s}by{l}_fraction_{c}_{name}"))
     return df.select("*", *new)
 

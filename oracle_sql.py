@@ -33,13 +33,18 @@ CTE = {
 }
 
 
+RAW = False  # True while generating an intermediate CTE that must stay in double
+
+
 def with_(*names: str) -> str:
     return "WITH " + ", ".join(CTE[n] for n in names) + " "
 
 
 def f32(e: str) -> str:
     """Double result in canonical form."""
-    return f"CAST(CASE WHEN ({e}) = 0 THEN 0 ELSE ({e}) END AS REAL)"
+    if RAW:
+        return f"CAST({e} AS DOUBLE)"
+    return f"CAST(CASE WHEN abs({e}) < 1e-9 THEN 0 ELSE ({e}) END AS REAL)"
 
 
 # ------------------------------------------------------------- aggregates
@@ -320,6 +325,199 @@ def q_collision() -> str:
     )
 
 
+
+# ------------------------------------------------------------- windows
+
+def fagg(fn: str, x: str, w: str | None, mu: str | None = None, src: str = "double") -> str:
+    """One aggregate over the rows of a FILTER slice, with the slice guards."""
+    f = filt(w)
+    n = f"count(*){f}"
+    e = {
+        "min": f"min({x}){f}",
+        "max": f"max({x}){f}",
+        "mean": f"avg({x}){f}",
+        "sum": f"CASE WHEN {n} > 0 THEN coalesce(sum({x}){f}, 0) END",
+        "std": f"stddev_samp({x}){f}",
+        "var": f"var_samp({x}){f}",
+        "median": f"median({x}){f}",
+        "count": f"CASE WHEN {n} > 0 THEN count({x}){f} END",
+        "size": f"CASE WHEN {n} > 0 THEN {n} END",
+        "nunique": f"CASE WHEN {n} > 0 THEN count(DISTINCT {x}){f} END",
+        "nonzero": f"avg(CASE WHEN {x} IS DISTINCT FROM 0 THEN 1 ELSE 0 END){f}",
+        "iqr": f"CASE WHEN count({x}){f} = {n} THEN quantile_cont({x}, 0.75){f} - quantile_cont({x}, 0.25){f} END",
+    }.get(fn)
+    if fn in ("skew", "kurt"):
+        e = moment_sql(fn, x, mu, w)
+    return typed(fn, e, src)
+
+
+def trend_sql(y: str, xpos: str, w: str) -> str:
+    f = filt(w)
+    n = f"count(*){f}"
+    return f32(
+        f"CASE WHEN {n} = 0 THEN NULL WHEN count({y}){f} < {n} THEN NULL WHEN {n} = 1 THEN 0 "
+        f"ELSE regr_slope({y}, {xpos}){f} END"
+    )
+
+
+NINE = ["sum", "mean", "max", "min", "std", "median", "skew", "kurt", "iqr"]
+INS_SPEC = {"i_version": NINE, "late_days": NINE, "paid_late": ["count", "mean"], "over_amount": NINE, "paid_over": ["count", "mean"]}
+INS_TYPES = {"i_version": "int", "late_days": "int", "paid_late": "int", "over_amount": "double", "paid_over": "int"}
+INS_K = [1, 5, 10, 20, 50, 100]
+INS_ROWS = (
+    CTE["ins"] + ", i AS (SELECT *, i_days_paid - i_days_due AS late_days, "
+    "CASE WHEN i_days_paid - i_days_due > 0 THEN 1 ELSE 0 END AS paid_late, "
+    "i_paid - i_due AS over_amount, CASE WHEN i_paid - i_due > 0 THEN 1 ELSE 0 END AS paid_over FROM ins)"
+)
+INS_RANK = (
+    "r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY i_days_due DESC, l_orderkey, l_linenumber, "
+    "l_partkey, l_suppkey, i_version, i_due, i_paid, i_days_paid) AS rn FROM i)"
+)
+
+
+def last_k_sql(table_rank: str, key: str, spec: dict, types: dict, ks: list, moment_cols: list, namer) -> str:
+    mus = [f"avg({c}) FILTER (WHERE rn <= {k}) OVER (PARTITION BY {key}) AS mu_{c}_{k}" for k in ks for c in moment_cols]
+    sel = [key]
+    for k in ks:
+        for c, fns in spec.items():
+            for fn in fns:
+                sel.append(f"{fagg(fn, c, f'rn <= {k}', f'mu_{c}_{k}', types[c])} AS {namer(k, c, fn)}")
+    mu_cte = f", m AS (SELECT *{', ' if mus else ''}{', '.join(mus)} FROM {table_rank})"
+    return mu_cte, f"SELECT {', '.join(sel)} FROM m GROUP BY {key}"
+
+
+def q_last_k() -> str:
+    mu_cte, body = last_k_sql("r", "o_custkey", INS_SPEC, INS_TYPES, INS_K, ["i_version", "late_days", "over_amount"], lambda k, c, f: f"last_{k}_{c}_{f}")
+    return f"WITH {INS_ROWS}, {INS_RANK}{mu_cte} {body}"
+
+
+def q_fractions() -> str:
+    global RAW
+    RAW = True
+    try:
+        mu_cte, body = last_k_sql("r", "o_custkey", INS_SPEC, INS_TYPES, INS_K, ["i_version", "late_days", "over_amount"], lambda k, c, f: f"last_{k}_{c}_{f}")
+    finally:
+        RAW = False
+    sel = ["o_custkey"]
+    for s_, l_ in [(5, 20), (5, 50), (10, 100)]:
+        for c, fns in INS_SPEC.items():
+            for fn in fns:
+                a, b = f"CAST(last_{s_}_{c}_{fn} AS DOUBLE)", f"CAST(last_{l_}_{c}_{fn} AS DOUBLE)"
+                sel.append(f"{f32(f'CASE WHEN abs({b}) < 1e-9 THEN 0.0 ELSE {a} / {b} END')} AS last_{s_}by{l_}_fraction_{c}_{fn}")
+    return f"WITH {INS_ROWS}, {INS_RANK}{mu_cte}, lk AS ({body}) SELECT {', '.join(sel)} FROM lk"
+
+
+def q_trend_ins() -> str:
+    sel = ["o_custkey"]
+    for k in [10, 50, 100, 500]:
+        for c in ["late_days", "over_amount"]:
+            sel.append(f"{trend_sql(c, 'rn - 1', f'rn <= {k}')} AS trend_{k}_{c}")
+    return f"WITH {INS_ROWS}, {INS_RANK} SELECT {', '.join(sel)} FROM r GROUP BY o_custkey"
+
+
+POS_ROWS = (
+    CTE["e"] + ", p0 AS (SELECT *, CAST(floor(value / 10) AS INTEGER) AS sk_dpd FROM e), "
+    "p AS (SELECT *, CASE WHEN event_type = 'error' THEN sk_dpd ELSE 0 END AS sk_dpd_def, "
+    "CASE WHEN sk_dpd > 0 THEN 1 ELSE 0 END AS pos_paid_late, "
+    "CASE WHEN (CASE WHEN event_type = 'error' THEN sk_dpd ELSE 0 END) > 0 THEN 1 ELSE 0 END AS pos_paid_late_tol FROM p0)"
+)
+POS_RANK = "r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS rn FROM p)"
+POS_SPEC = {
+    "pos_paid_late": ["count", "mean"], "pos_paid_late_tol": ["count", "mean"],
+    "sk_dpd": ["sum", "mean", "max", "min", "median"], "sk_dpd_def": ["sum", "mean", "max", "min", "median"],
+}
+POS_TYPES = {"pos_paid_late": "int", "pos_paid_late_tol": "int", "sk_dpd": "int", "sk_dpd_def": "int"}
+
+
+def q_pos_last_k() -> str:
+    sel = ["user_id"]
+    for k in [1, 10, 50, None]:
+        w = None if k is None else f"rn <= {k}"
+        for c, fns in POS_SPEC.items():
+            for fn in fns:
+                name = f"all_{c}_{fn}" if k is None else f"last_{k}_{c}_{fn}"
+                sel.append(f"{fagg(fn, c, w, None, POS_TYPES[c])} AS {name}")
+    return f"WITH {POS_ROWS}, {POS_RANK} SELECT {', '.join(sel)} FROM r GROUP BY user_id"
+
+
+def q_trend_pos() -> str:
+    sel = ["user_id"]
+    for k in [1, 6, 12, 30, 60]:
+        for c in ["sk_dpd", "sk_dpd_def"]:
+            sel.append(f"{trend_sql(c, 'rn - 1', f'rn <= {k}')} AS trend_{k}_{c}")
+    return f"WITH {POS_ROWS}, {POS_RANK} SELECT {', '.join(sel)} FROM r GROUP BY user_id"
+
+
+def q_latest_loan() -> str:
+    spec = {
+        "pos_paid_late": ["count", "sum", "mean"], "pos_paid_late_tol": ["sum", "mean"],
+        "sk_dpd": ["sum", "mean", "max", "min", "std"], "sk_dpd_def": ["sum", "mean", "max", "min", "std"],
+    }
+    sel = ["r.user_id"]
+    for c, fns in spec.items():
+        for fn in fns:
+            sel.append(f"{fagg(fn, c, None, None, POS_TYPES[c])} AS last_loan_{c}_{fn}")
+    return (
+        f"WITH {POS_ROWS}, {POS_RANK.replace('ts DESC, event_id', 'ts DESC, event_id DESC')}, "
+        "newest AS (SELECT user_id, event_type FROM r WHERE rn = 1), "
+        "rows AS (SELECT p.* FROM p JOIN newest n ON p.user_id = n.user_id AND p.event_type = n.event_type) "
+        f"SELECT {', '.join(sel).replace('r.user_id', 'user_id')} FROM rows GROUP BY user_id"
+    )
+
+
+def q_tail_k() -> str:
+    sel = ["o_custkey"]
+    for k in [1, 3, 5]:
+        for c in ["o_totalprice", "o_days", "urgent"]:
+            sel.append(f"coalesce({f32(f'avg({c}) FILTER (WHERE rn <= {k})')}, 0) AS prev_last_{k}_{c}_mean")
+    return with_("o") + (
+        ", r AS (SELECT *, CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS urgent, "
+        "ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_days DESC, o_orderkey DESC) AS rn FROM o) "
+        f"SELECT {', '.join(sel)} FROM r GROUP BY o_custkey"
+    )
+
+
+DEDUP_FIRST = (
+    "d AS (SELECT o_custkey, l_orderkey, i_version, l_linenumber, i_paid FROM ("
+    "SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey, l_orderkey, i_version ORDER BY l_linenumber, i_paid) AS rn0 FROM i) WHERE rn0 = 1)"
+)
+
+
+def q_dedup_first() -> str:
+    return f"WITH {INS_ROWS}, {DEDUP_FIRST} SELECT o_custkey, l_orderkey, i_version, l_linenumber, {f32('i_paid')} AS i_paid FROM d"
+
+
+def q_prolongation() -> str:
+    fns = ["mean", "sum", "min", "median", "max", "std"]
+    sel = ["o_custkey"]
+    for c in ["pay_long", "pay_long_amount"]:
+        for fn in fns:
+            sel.append(f"{typed(fn, agg_sql(fn, c), 'double')} AS ins_{c}_{fn}")
+    return (
+        f"WITH {INS_ROWS}, {DEDUP_FIRST}, "
+        "n AS (SELECT *, CAST(coalesce(LEAD(l_linenumber) OVER (PARTITION BY o_custkey, l_orderkey ORDER BY l_linenumber, i_version, i_paid) "
+        "- l_linenumber, 1) AS DOUBLE) AS pay_long FROM d), "
+        "q AS (SELECT o_custkey, pay_long, i_paid * pay_long AS pay_long_amount FROM n) "
+        f"SELECT {', '.join(sel)} FROM q GROUP BY o_custkey"
+    )
+
+
+def q_dedup_last() -> str:
+    return (
+        f"WITH {POS_ROWS}, z AS (SELECT user_id, event_type, ts, event_id, value FROM p WHERE sk_dpd <> 0), "
+        "l AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC, value DESC) AS rn FROM z) "
+        f"SELECT user_id, event_type, event_id, {f32('value')} AS value FROM l WHERE rn = 1"
+    )
+
+
+def q_lag() -> str:
+    return (
+        f"WITH {POS_ROWS}, g AS (SELECT *, LAG(value) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS pv FROM p) "
+        f"SELECT event_id, user_id, {f32('coalesce(pv, value)')} AS prev_value_filled, {f32('value - pv')} AS value_change, "
+        "CASE WHEN value - pv > 0 THEN 1 ELSE 0 END AS use_flag FROM g"
+    )
+
+
 ORACLES = {
     "flagship_order_activity": q_flagship,
     "a22_naive_slices": q_flagship,
@@ -338,6 +536,17 @@ ORACLES = {
     "j2_validated_join": q_validated,
     "j5_label_propagation": q_label,
     "j8_name_collision": q_collision,
+    "w3_last_k_instalments": q_last_k,
+    "w8_last_k_fractions": q_fractions,
+    "w7_trend_instalments": q_trend_ins,
+    "w4_pos_last_k": q_pos_last_k,
+    "w7_trend_pos": q_trend_pos,
+    "w6_latest_loan": q_latest_loan,
+    "w5_tail_k_contracts": q_tail_k,
+    "w2_prolongation": q_prolongation,
+    "w9_dedup_first": q_dedup_first,
+    "w10_dedup_last": q_dedup_last,
+    "w1_lag_usage": q_lag,
 }
 
 
