@@ -518,6 +518,175 @@ def q_lag() -> str:
     )
 
 
+
+# ------------------------------------------------------------- encoders, selection, metrics
+
+def q_one_hot() -> str:
+    cols = []
+    for c, vals in [("o_orderstatus", ["F", "O", "P"]), ("o_orderpriority", PRIORITIES)]:
+        for v in vals:
+            cols.append(f"CAST({c} IS NOT DISTINCT FROM '{v}' AS INTEGER) AS {c}_{san(v)}")
+        cols.append(f"CAST({c} IS NULL AS INTEGER) AS {c}_nan")
+    return f"SELECT o_orderkey, {', '.join(cols)} FROM orders"
+
+
+def q_target() -> str:
+    return with_("docs") + (
+        ", tl AS (SELECT lang, avg(CAST(quality AS DOUBLE)) AS v FROM docs WHERE lang IS NOT NULL GROUP BY lang), "
+        "ts AS (SELECT source, avg(CAST(quality AS DOUBLE)) AS v FROM docs WHERE source IS NOT NULL GROUP BY source) "
+        f"SELECT d.doc_id, {f32('tl.v')} AS lang_target_encode, {f32('ts.v')} AS source_target_encode "
+        "FROM docs d LEFT JOIN tl ON d.lang = tl.lang LEFT JOIN ts ON d.source = ts.source"
+    )
+
+
+def q_child_target() -> str:
+    sel = ["o_custkey"]
+    for c, a in [("o_orderpriority", "p"), ("o_orderstatus", "s")]:
+        for fn in ["min", "max", "mean", "median"]:
+            sel.append(f"{f32(agg_sql(fn, a))} AS buro_{c}_target_encode_{fn}")
+    return with_("c") + (
+        ", ch AS (SELECT o.o_custkey, o.o_orderpriority, o.o_orderstatus, c.target FROM orders o LEFT JOIN c ON o.o_custkey = c.c_custkey), "
+        "tp AS (SELECT o_orderpriority, avg(CAST(target AS DOUBLE)) AS v FROM ch WHERE o_orderpriority IS NOT NULL GROUP BY 1), "
+        "tq AS (SELECT o_orderstatus, avg(CAST(target AS DOUBLE)) AS v FROM ch WHERE o_orderstatus IS NOT NULL GROUP BY 1), "
+        "enc AS (SELECT ch.o_custkey, tp.v AS p, tq.v AS s FROM ch LEFT JOIN tp ON ch.o_orderpriority = tp.o_orderpriority "
+        "LEFT JOIN tq ON ch.o_orderstatus = tq.o_orderstatus) "
+        f"SELECT {', '.join(sel)} FROM enc GROUP BY o_custkey"
+    )
+
+
+def q_woe() -> str:
+    def table(c):
+        return (
+            f"w_{c}0 AS (SELECT {c}, count_if(quality = 1) AS pos, count_if(quality = 0) AS neg FROM docs "
+            f"WHERE {c} IS NOT NULL AND quality IN (0, 1) GROUP BY {c}), "
+            f"w_{c} AS (SELECT {c}, CASE WHEN pos > 0 AND neg > 0 THEN ln((pos / (SELECT sum(pos) FROM w_{c}0)) / "
+            f"(neg / (SELECT sum(neg) FROM w_{c}0))) END AS w FROM w_{c}0)"
+        )
+
+    return with_("docs") + (
+        f", {table('lang')}, {table('source')} "
+        f"SELECT d.doc_id, {f32('coalesce(a.w, 0)')} AS lang_woe, {f32('coalesce(b.w, 0)')} AS source_woe FROM docs d "
+        "LEFT JOIN w_lang a ON d.lang = a.lang LEFT JOIN w_source b ON d.source = b.source"
+    )
+
+
+def q_factorize() -> str:
+    return (
+        "SELECT c_custkey, CAST(CASE WHEN c_mktsegment IS NULL THEN -1 ELSE DENSE_RANK() OVER (ORDER BY c_mktsegment) - 1 END AS INTEGER) "
+        "AS c_mktsegment FROM customer"
+    )
+
+
+def q_value_map() -> str:
+    n = "(CAST(quality IS NULL AS INTEGER) + CAST(toxic IS NULL AS INTEGER) + CAST(n_chars IS NULL AS INTEGER))"
+    m = f"CASE {n} WHEN 0 THEN 0.7298178 WHEN 1 THEN 0.8178222 WHEN 2 THEN 0.9921877 END"
+    return with_("docs") + f"SELECT doc_id, CAST({n} AS INTEGER) AS null_count, {f32(m)} AS null_score FROM docs"
+
+
+WIDE = [
+    ("l_orderkey", "CAST(l_orderkey AS DOUBLE)"), ("l_quantity", "l_quantity"), ("l_extendedprice", "l_extendedprice"),
+    ("paid", "l_extendedprice * (1 - l_discount) * (1 + l_tax)"), ("l_discount", "l_discount"), ("l_tax", "l_tax"),
+    ("unit_price", "l_extendedprice / l_quantity"), ("discount_amount", "l_extendedprice * l_discount"),
+    ("quantity_scaled", "l_quantity * 2.0 + l_discount"),
+]
+
+
+def q_corr() -> str:
+    cols = [n for n, _ in WIDE]
+    w = "w AS (SELECT " + ", ".join(f"{e} AS {n}" for n, e in WIDE) + " FROM lineitem)"
+    pairs = []
+    for j in range(len(cols)):
+        for i in range(j):
+            a = f"CASE WHEN {cols[j]} IS NOT NULL THEN {cols[i]} END"
+            b = f"CASE WHEN {cols[i]} IS NOT NULL THEN {cols[j]} END"
+            den = f"(stddev_pop({a}) * stddev_pop({b}))"
+            pairs.append(f"abs(CASE WHEN {den} > 0 THEN covar_pop({a}, {b}) / {den} END) AS r_{i}_{j}")
+    parts = []
+    for j, c in enumerate(cols):
+        if j == 0:
+            m = "CAST(NULL AS DOUBLE)"
+        elif j == 1:
+            m = "r_0_1"
+        else:
+            m = "greatest(" + ", ".join(f"r_{i}_{j}" for i in range(j)) + ")"
+        drop = "0" if c == "l_orderkey" or j == 0 else f"CASE WHEN {m} > 0.9 THEN 1 ELSE 0 END"
+        parts.append(f"SELECT '{c}' AS feature, {j} AS position, {f32(m)} AS max_abs_corr, CAST({drop} AS INTEGER) AS dropped FROM p")
+    return f"WITH {w}, p AS (SELECT {', '.join(pairs)} FROM w) " + " UNION ALL ".join(
+        f"SELECT feature, CAST(position AS INTEGER) AS position, max_abs_corr, dropped FROM ({x})" for x in parts
+    )
+
+
+def q_ranked() -> str:
+    global RAW
+    RAW = True
+    try:
+        block = q_flagship()
+    finally:
+        RAW = False
+    return (
+        f"WITH fs AS ({block}), u AS (UNPIVOT fs ON COLUMNS(* EXCLUDE (c_custkey)) INTO NAME feature VALUE v), "
+        "m AS (SELECT feature, avg(CAST(v AS DOUBLE)) AS mv FROM u GROUP BY feature), "
+        "r AS (SELECT feature, ROW_NUMBER() OVER (ORDER BY mv DESC, feature) AS rk, count(*) OVER () AS n FROM m) "
+        "SELECT feature, CAST(rk AS INTEGER) AS rank, CAST(rk <= n - floor(n * 0.4) AS INTEGER) AS kept FROM r"
+    )
+
+
+def q_importance() -> str:
+    return (
+        f"SELECT 'c_acctbal' AS feature, {f32('sum(c_acctbal) / 5.0')} AS importance FROM customer UNION ALL "
+        f"SELECT 'c_nationkey' AS feature, {f32('sum(CAST(c_nationkey AS DOUBLE)) / 5.0')} AS importance FROM customer"
+    )
+
+
+def _auc_body(group: str | None) -> str:
+    part = f"PARTITION BY {group} " if group else ""
+    part2 = f"PARTITION BY {group}, n_chars" if group else "PARTITION BY n_chars"
+    g = f"{group}, " if group else ""
+    return with_("docs") + (
+        f", l AS (SELECT {g}quality, n_chars FROM docs WHERE quality IS NOT NULL AND n_chars IS NOT NULL), "
+        f"rn AS (SELECT *, ROW_NUMBER() OVER ({part}ORDER BY n_chars) AS r FROM l), "
+        f"rk AS (SELECT *, avg(r) OVER ({part2}) AS ar FROM rn), "
+        f"a AS (SELECT {g}(sum(ar) FILTER (WHERE quality = 1) - count_if(quality = 1) * (count_if(quality = 1) + 1) / 2.0) "
+        f"/ nullif(count_if(quality = 1) * count_if(quality = 0), 0) AS auc FROM rk{' GROUP BY ' + group if group else ''}) "
+    )
+
+
+def q_auc() -> str:
+    return _auc_body(None) + f"SELECT {f32('auc')} AS auc FROM a"
+
+
+def q_auc_group() -> str:
+    return _auc_body("lang") + f"SELECT lang, {f32('auc')} AS auc FROM a"
+
+
+def q_gini() -> str:
+    return _auc_body(None) + f"SELECT {f32('2 * auc - 1')} AS gini FROM a"
+
+
+def q_blend() -> str:
+    return with_("docs") + (
+        ", tl AS (SELECT lang, avg(CAST(quality AS DOUBLE)) AS v FROM docs WHERE lang IS NOT NULL GROUP BY lang), "
+        "ts AS (SELECT source, avg(CAST(quality AS DOUBLE)) AS v FROM docs WHERE source IS NOT NULL GROUP BY source), "
+        "p AS (SELECT d.doc_id, tl.v AS score FROM docs d LEFT JOIN tl ON d.lang = tl.lang UNION ALL "
+        "SELECT d.doc_id, ts.v AS score FROM docs d LEFT JOIN ts ON d.source = ts.source) "
+        f"SELECT doc_id, {f32('avg(score)')} AS score FROM p GROUP BY doc_id"
+    )
+
+
+def q_top40() -> str:
+    return (
+        f"SELECT l_partkey, {f32('m')} AS mean_price FROM (SELECT l_partkey, avg(l_extendedprice) AS m FROM lineitem "
+        "GROUP BY l_partkey ORDER BY m DESC, l_partkey LIMIT 40)"
+    )
+
+
+def q_union() -> str:
+    return with_("docs") + (
+        "SELECT doc_id, lang, quality FROM docs WHERE quality IS NOT NULL "
+        "UNION ALL BY NAME SELECT doc_id, lang, n_chars FROM docs WHERE quality IS NULL"
+    )
+
+
 ORACLES = {
     "flagship_order_activity": q_flagship,
     "a22_naive_slices": q_flagship,
@@ -547,6 +716,22 @@ ORACLES = {
     "w9_dedup_first": q_dedup_first,
     "w10_dedup_last": q_dedup_last,
     "w1_lag_usage": q_lag,
+    "e1_one_hot": q_one_hot,
+    "e2_target_encoding": q_target,
+    "e3_child_target_encoding": q_child_target,
+    "e4_woe": q_woe,
+    "e5_factorize": q_factorize,
+    "e6_value_map": q_value_map,
+    "f1_corr_prune": q_corr,
+    "f1_corr_prune_gram": q_corr,
+    "f2_ranked_prune": q_ranked,
+    "f3_importance": q_importance,
+    "m6_auc": q_auc,
+    "m6_auc_by_group": q_auc_group,
+    "m7_gini": q_gini,
+    "m8_blend": q_blend,
+    "o3_top40_by_mean": q_top40,
+    "u1_union_by_name": q_union,
 }
 
 
