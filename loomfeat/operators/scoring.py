@@ -178,7 +178,9 @@ def oof_scores(
 
     feats = list(features)
     base = df.select(key, label, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in feats])
-    vec = VectorAssembler(inputCols=feats, outputCol="__features").transform(base)
+    # materialise the assembled rows once: every fold and every boosting
+    # iteration reads them, the upstream feature plan is not recomputed
+    vec = VectorAssembler(inputCols=feats, outputCol="__features").transform(base).select(key, label, "__features").checkpoint()
     train = kfold(vec.where(F.col(label).isNotNull()), key, k, seed).withColumn(label, F.col(label).cast("double"))
     test = vec.where(F.col(label).isNull())
     oof_parts, test_parts, imps = [], [], []
@@ -186,8 +188,9 @@ def oof_scores(
     for i in range(k):
         gbt = GBTClassifier(
             featuresCol="__features", labelCol=label, maxIter=max_iter, maxDepth=max_depth,
-            stepSize=step_size, seed=seed, predictionCol="__pred", probabilityCol="__prob", rawPredictionCol="__raw",
+            stepSize=step_size, seed=seed, predictionCol="__pred",
         )
+        gbt.setProbabilityCol("__prob").setRawPredictionCol("__raw")
         model = gbt.fit(train.where(F.col("fold") != i))
         prob = lambda d: vector_to_array(F.col("__prob"))[1]
         oof_parts.append(model.transform(train.where(F.col("fold") == i)).select(key, label, "fold", prob(None).alias("score")))

@@ -4,7 +4,7 @@ F1 (correlation pruning) needs every pairwise Pearson correlation of the
 numeric columns, pairwise-complete (a pair uses the rows where both values are
 present). Two plans:
 
-* few columns: one aggregate with ``covar_pop``/``stddev_pop`` per pair;
+* few columns (<= 10): one aggregate with ``covar_pop``/``stddev_pop`` per pair;
 * many columns: every task folds its rows into masked moment matrices with
   NumPy (``mapInPandas``), Spark sums the per-task matrices, and only the
   p x p result (p = number of features, not rows) reaches the driver.
@@ -26,7 +26,7 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from loomfeat.operators.columns import numeric_columns
 
-SMALL_P = 40
+SMALL_P = 10
 
 
 def _pair_expr(a: str, b: str):

@@ -69,4 +69,4 @@ def q_flagship(spark, d):
 
 
 # Register the per-area query modules (they import ``query`` from here).
-from loomfeat.plans import q_agg, q_enc, q_win  # noqa: E402,F401
+from loomfeat.plans import q_agg, q_blocks, q_enc, q_misc, q_win  # noqa: E402,F401
