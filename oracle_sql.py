@@ -687,6 +687,215 @@ def q_union() -> str:
     )
 
 
+
+# ------------------------------------------------------------- row expressions, typing, sources, UDF
+
+APP = (
+    CTE["o"] + ", s AS (SELECT o_custkey, sum(o_totalprice) AS amt_credit, avg(o_totalprice) AS amt_annuity, "
+    "max(o_totalprice) AS amt_goods_price, min(o_days) AS days_birth, max(o_days) AS days_employed, "
+    "count_if(o_orderstatus = 'O') AS cnt_children, count(*) AS cnt_fam_members, "
+    "avg(CASE WHEN o_orderpriority = '1-URGENT' THEN 1.0 ELSE 0.0 END) AS ext_source_1, "
+    "avg(CASE WHEN o_orderpriority = '2-HIGH' THEN 1.0 ELSE 0.0 END) AS ext_source_2, "
+    "avg(CASE WHEN o_orderpriority = '3-MEDIUM' THEN 1.0 ELSE 0.0 END) AS ext_source_3 FROM o GROUP BY o_custkey), "
+    "a AS (SELECT c.c_custkey, CAST(c.c_acctbal < 0 AS INTEGER) AS target, c.c_mktsegment, c.c_nationkey, "
+    "c.c_acctbal AS amt_income_total, s.* EXCLUDE (o_custkey) FROM customer c LEFT JOIN s ON c.c_custkey = s.o_custkey)"
+)
+EXT = ["ext_source_1", "ext_source_2", "ext_source_3"]
+
+
+def rat(a: str, b: str) -> str:
+    return f"CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0)"
+
+
+def row_stats(cols_: list[str]) -> dict:
+    lst = "[" + ", ".join(cols_) + "]"
+    nn = " + ".join(f"CAST({c} IS NOT NULL AS INTEGER)" for c in cols_)
+    sm = " + ".join(f"coalesce({c}, 0)" for c in cols_)
+    return {
+        "min": f"least({', '.join(cols_)})",
+        "max": f"greatest({', '.join(cols_)})",
+        "sum": sm,
+        "mean": f"({sm}) / nullif({nn}, 0)",
+        "median": f"list_aggregate({lst}, 'median')",
+        "std": f"list_aggregate({lst}, 'stddev_samp')",
+    }
+
+
+def q_application() -> str:
+    r = row_stats(EXT)
+    sel = [
+        f"{f32(rat('amt_annuity', 'amt_income_total'))} AS annuity_income_percentage",
+        f"{f32(rat('cnt_children', 'cnt_fam_members'))} AS children_ratio",
+        f"{f32(rat('amt_credit', 'amt_annuity'))} AS credit_to_annuity_ratio",
+        f"{f32(rat('amt_credit', 'amt_goods_price'))} AS credit_to_goods_ratio",
+        f"{f32(rat('amt_credit', 'amt_income_total'))} AS credit_to_income_ratio",
+        f"{f32(rat('days_employed', 'days_birth'))} AS days_employed_percentage",
+        f"{f32(rat('amt_income_total', 'amt_credit'))} AS income_credit_percentage",
+        f"{f32(rat('amt_income_total', '1 + cnt_children'))} AS income_per_child",
+        f"{f32(rat('amt_income_total', 'cnt_fam_members'))} AS income_per_person",
+        f"{f32(rat('amt_annuity', 'amt_credit'))} AS payment_rate",
+        f"{f32('ext_source_1 * 2.0 + ext_source_2 * 3.0 + ext_source_3 * 4.0')} AS external_sources_weighted",
+        f"{f32(r['min'])} AS external_sources_min",
+        f"{f32(r['max'])} AS external_sources_max",
+        f"{f32(r['sum'])} AS external_sources_sum",
+        f"{f32(r['mean'])} AS external_sources_mean",
+        f"{f32(r['median'])} AS external_sources_nanmedian",
+        f"{f32(r['std'])} AS external_sources_std",
+        "CASE WHEN days_employed > -2000 THEN 1 ELSE 0 END AS short_employment",
+        "CASE WHEN days_birth > -14000 THEN 1 ELSE 0 END AS young_age",
+    ]
+    return f"WITH {APP} SELECT c_custkey, {', '.join(sel)} FROM a"
+
+
+def q_scrub() -> str:
+    ps = "CASE WHEN o_totalprice > 450000 THEN NULL ELSE o_totalprice END"
+    return with_("o") + (
+        "SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status_scrubbed, "
+        f"{f32(ps)} AS price_scrubbed, {f32(f'coalesce({ps}, CAST(o_days AS DOUBLE))')} AS price_or_days, "
+        f"{f32(f'coalesce({ps}, 1.0)')} AS price_or_one, "
+        "CAST(CASE WHEN o_days + 2000 > 0 THEN o_days + 2000 ELSE 0 END AS INTEGER) AS days_clamped, "
+        f"{f32('1.0 - o_totalprice / nullif(o_totalprice + 1000, 0)')} AS price_complement, "
+        "CASE WHEN o_totalprice / 1000 > -o_days THEN 1 ELSE 0 END AS price_gt_age, "
+        "CAST((o_orderstatus = 'O')::INTEGER + (o_orderpriority = '1-URGENT')::INTEGER + (o_days > -365)::INTEGER AS INTEGER) AS flag_sum, "
+        f"{f32('o_totalprice - o_days * 100')} AS price_minus_days FROM o"
+    )
+
+
+def q_narrow() -> str:
+    def ints(c):
+        return (
+            f"SELECT '{c}' AS \"column\", CASE WHEN min({c}) > -128 AND max({c}) < 127 THEN 'tinyint' "
+            f"WHEN min({c}) > -32768 AND max({c}) < 32767 THEN 'smallint' "
+            f"WHEN min({c}) > -2147483648 AND max({c}) < 2147483647 THEN 'int' ELSE 'bigint' END AS narrowed FROM customer"
+        )
+
+    dbl = (
+        "SELECT 'c_acctbal' AS \"column\", CASE WHEN min(c_acctbal) > -3.4028234663852886e38 AND max(c_acctbal) < 3.4028234663852886e38 "
+        "THEN 'float' ELSE 'double' END AS narrowed FROM customer"
+    )
+    return " UNION ALL ".join([ints("c_custkey"), ints("c_nationkey"), dbl])
+
+
+def q_type_split() -> str:
+    parts = [f"SELECT '{c}' AS \"column\", 'categorical' AS kind" for c in ["o_orderstatus", "o_orderpriority"]]
+    for c in ["o_orderkey", "o_custkey", "o_totalprice", "o_days"]:
+        parts.append(f"SELECT '{c}' AS \"column\", CASE WHEN count(DISTINCT {c}) < 25 THEN 'discrete' ELSE 'continuous' END AS kind FROM o")
+    return with_("o") + " UNION ALL ".join(parts)
+
+
+def q_binary() -> str:
+    exprs = []
+    for c, vals in [("o_orderstatus", ["F", "O", "P"]), ("o_orderpriority", PRIORITIES)]:
+        for v in vals:
+            exprs.append((f"{c}_{san(v)}", f"CAST({c} IS NOT DISTINCT FROM '{v}' AS INTEGER)"))
+        exprs.append((f"{c}_nan", f"CAST({c} IS NULL AS INTEGER)"))
+    exprs.append(("o_totalprice", "o_totalprice"))
+    return " UNION ALL ".join(
+        f"SELECT '{n}' AS \"column\", CAST(min({e}) = 0 AND max({e}) = 1 AS INTEGER) AS is_binary FROM orders" for n, e in exprs
+    )
+
+
+def q_csv() -> str:
+    return f"SELECT c_custkey, c_name, c_nationkey, {f32('c_acctbal')} AS c_acctbal, c_mktsegment FROM customer"
+
+
+def q_capped() -> str:
+    return f"SELECT o_orderkey, o_custkey, {f32('o_totalprice')} AS o_totalprice FROM orders ORDER BY o_orderkey LIMIT 100"
+
+
+def q_projected() -> str:
+    return f"SELECT l_orderkey, {f32('l_extendedprice')} AS l_extendedprice FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-01-01'"
+
+
+def q_ranked_list() -> str:
+    return (
+        "SELECT feature, CAST(ROW_NUMBER() OVER (ORDER BY importance DESC, feature) AS INTEGER) AS rank FROM ("
+        "SELECT 'c_acctbal' AS feature, sum(c_acctbal) AS importance FROM customer UNION ALL "
+        "SELECT 'c_nationkey' AS feature, sum(CAST(c_nationkey AS DOUBLE)) AS importance FROM customer)"
+    )
+
+
+def q_grouped() -> str:
+    return (
+        "SELECT user_id, count(*) AS n, "
+        f"{f32('max(gap)')} AS gap_max FROM (SELECT user_id, "
+        "date_diff('microsecond', LAG(ts) OVER (PARTITION BY user_id ORDER BY ts), ts) / 1e6 AS gap FROM events) GROUP BY user_id"
+    )
+
+
+# ------------------------------------------------------------- kernel blocks
+
+
+def kname(prefix, c, tag, fn):
+    return f"{prefix}{c}{'_' + tag if tag else ''}_{fn}"
+
+
+def q_k_pos() -> str:
+    spec = {"e_days": ["max", "mean", "size", "sum"], "sk_dpd": ["max", "sum", "mean", "nonzero"], "sk_dpd_def": ["max", "sum", "mean", "nonzero"]}
+    types = {"e_days": "int", "sk_dpd": "int", "sk_dpd_def": "int"}
+    slices = [("", None), ("2y", "e_days >= -24"), ("1y", "e_days >= -12"), ("05y", "e_days >= -6")]
+    sel = ["user_id"]
+    for tag, w in slices:
+        for c, fns in spec.items():
+            for fn in fns:
+                sel.append(f"{fagg(fn, c, w, None, types[c])} AS {kname('pos_', c, tag, fn)}")
+        for v in ["click", "error", "purchase", "signup", "view"]:
+            name = kname("pos_", "event_type", tag, f"share_{v}")
+            if name == "pos_event_type_05y_share_signup":
+                continue
+            sel.append(f"{f32(f'avg(CASE WHEN event_type IS NOT DISTINCT FROM {chr(39)}{v}{chr(39)} THEN 1 ELSE 0 END){filt(w)}')} AS {name}")
+    return f"WITH {POS_ROWS} SELECT {', '.join(sel)} FROM p GROUP BY user_id"
+
+
+def q_k_ins() -> str:
+    spec = {
+        "i_version": ["nunique", "sum"], "dpd": ["max", "mean", "sum", "std", "nonzero"], "dbd": ["max", "mean", "sum", "std", "nonzero"],
+        "payment_perc": ["max", "mean", "sum", "std"], "payment_diff": ["max", "mean", "sum", "std"], "i_due": ["max", "mean", "sum", "std"],
+        "i_paid": ["min", "mean", "sum"], "i_days_paid": ["max", "mean", "sum"],
+    }
+    types = {"i_version": "int", "dpd": "int", "dbd": "int", "payment_perc": "double", "payment_diff": "double",
+             "i_due": "double", "i_paid": "double", "i_days_paid": "int"}
+    slices = [("", None), ("2y", "i_days_due >= -730"), ("1y", "i_days_due >= -365"), ("05y", "i_days_due >= -182"), ("025y", "i_days_due >= -91")]
+    sel = ["o_custkey AS c_custkey"]
+    for tag, w in slices:
+        for c, fns in spec.items():
+            for fn in fns:
+                sel.append(f"{fagg(fn, c, w, None, types[c])} AS {kname('ins_', c, tag, fn)}")
+    sel.append("count(*) AS ins_count")
+    rows = (
+        CTE["ins"] + ", k AS (SELECT *, 1.0 - i_paid / nullif(i_due, 0) AS payment_perc, i_due - i_paid AS payment_diff, "
+        "CASE WHEN i_days_paid - i_days_due > 0 THEN i_days_paid - i_days_due ELSE 0 END AS dpd, "
+        "CASE WHEN i_days_due - i_days_paid > 0 THEN i_days_due - i_days_paid ELSE 0 END AS dbd FROM ins)"
+    )
+    return f"WITH {rows} SELECT {', '.join(sel)} FROM k GROUP BY o_custkey"
+
+
+def q_k_cards() -> str:
+    rows = (
+        POS_ROWS + ", cc AS (SELECT user_id AS sk_id_curr, e_days AS months_balance, value AS amt_balance, value * 2 AS amt_credit_limit_actual, "
+        "CASE WHEN value < 5 THEN NULL ELSE value - 5 END AS amt_drawings_current, "
+        "CASE WHEN event_type = 'purchase' THEN value ELSE 0.0 END AS amt_payment_total_current, "
+        "sk_dpd AS cnt_drawings_current, sk_dpd, sk_dpd_def FROM p), "
+        "c2 AS (SELECT *, CAST(amt_balance AS DOUBLE) / nullif(amt_credit_limit_actual, 0) AS balance_credit_ratio, "
+        "amt_payment_total_current / nullif(amt_drawings_current, 0) AS required_payment_gap FROM cc)"
+    )
+    spec = {
+        "sk_dpd": ["max", "sum", "mean", "nonzero"], "sk_dpd_def": ["max", "sum", "mean", "nonzero"],
+        **{a: ["min", "max", "mean", "var"] for a in ["amt_balance", "amt_credit_limit_actual", "amt_drawings_current", "amt_payment_total_current", "cnt_drawings_current"]},
+        "balance_credit_ratio": ["mean", "std"], "required_payment_gap": ["mean", "min", "std"],
+    }
+    types = {k: "double" for k in spec}
+    types.update({"sk_dpd": "int", "sk_dpd_def": "int", "cnt_drawings_current": "int"})
+    slices = [("", None), ("2y", "months_balance >= -24"), ("1y", "months_balance >= -12"), ("05y", "months_balance >= -6")]
+    sel = ["sk_id_curr"]
+    for tag, w in slices:
+        for c, fns in spec.items():
+            for fn in fns:
+                sel.append(f"{fagg(fn, c, w, None, types[c])} AS {kname('cc_', c, tag, fn)}")
+    sel.append("count(*) AS cc_count")
+    return f"WITH {rows} SELECT {', '.join(sel)} FROM c2 GROUP BY sk_id_curr"
+
+
 ORACLES = {
     "flagship_order_activity": q_flagship,
     "a22_naive_slices": q_flagship,
@@ -732,6 +941,19 @@ ORACLES = {
     "m8_blend": q_blend,
     "o3_top40_by_mean": q_top40,
     "u1_union_by_name": q_union,
+    "p_application_features": q_application,
+    "p_scrub_fill": q_scrub,
+    "p31_narrow_types": q_narrow,
+    "p32_type_split": q_type_split,
+    "p33_binary_columns": q_binary,
+    "s1_s6_csv_roundtrip": q_csv,
+    "s2_capped_scan": q_capped,
+    "s3_projected_scan": q_projected,
+    "s5_s7_ranked_list": q_ranked_list,
+    "x1_grouped_udf": q_grouped,
+    "b46_kernel_pos": q_k_pos,
+    "b47_kernel_instalments": q_k_ins,
+    "b48_kernel_cards": q_k_cards,
 }
 
 
