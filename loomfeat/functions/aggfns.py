@@ -67,8 +67,17 @@ def agg_var(x, where=None):
     return F.var_samp(_in(x, where))
 
 
+QUARTILES = [0.25, 0.5, 0.75]
+
+
+def _quartiles(x, where):
+    """One exact percentile buffer per (column, slice) shared by median and iqr:
+    Catalyst de-duplicates identical aggregate expressions of one Aggregate."""
+    return F.percentile(_in(x, where), QUARTILES)
+
+
 def agg_median(x, where=None):
-    return F.median(_in(x, where))
+    return _quartiles(x, where)[1]
 
 
 def agg_count(x, where=None):
@@ -102,8 +111,48 @@ def agg_kurt(x, where=None):
 
 
 def agg_iqr(x, where=None):
-    v = _in(x, where)
-    return F.when(_complete(x, where), F.percentile(v, 0.75) - F.percentile(v, 0.25))
+    q = _quartiles(x, where)
+    return F.when(_complete(x, where), q[2] - q[0])
+
+
+def _power_sums(d: Column, where: Column | None):
+    """Sums of d, d^2, d^3, d^4 over the slice (plain algebraic sums, shared between
+    skew and kurt of one column and slice)."""
+    v = _in(d.cast("double"), where)
+    return F.count(v), F.sum(v), F.sum(v * v), F.sum(v * v * v), F.sum(v * v * v * v)
+
+
+def _central(d: Column, where: Column | None):
+    n, s1, s2, s3, s4 = _power_sums(d, where)
+    n = n.cast("double")
+    mean = s1 / n
+    m2 = s2 - s1 * mean
+    m3 = s3 - F.lit(3.0) * mean * s2 + F.lit(2.0) * n * mean * mean * mean
+    m4 = s4 - F.lit(4.0) * mean * s3 + F.lit(6.0) * mean * mean * s2 - F.lit(3.0) * n * mean * mean * mean * mean
+    return n, m2, m3, m4
+
+
+def skew_from_shift(shift: Column) -> AggBuilder:
+    """Population skewness from power sums of ``x - shift`` (``shift`` is a value of the
+    group, e.g. its newest row, which keeps the sums well conditioned). Constant -> NULL."""
+
+    def build(x, where=None):
+        n, m2, m3, _ = _central(x - shift, where)
+        ok = _complete(x, where) & (m2 > 0) & (F.min(_in(x, where)) < F.max(_in(x, where)))
+        return F.when(ok, F.sqrt(n) * m3 / F.pow(m2, 1.5))
+
+    return build
+
+
+def kurt_from_shift(shift: Column) -> AggBuilder:
+    """Population excess kurtosis from power sums of ``x - shift``. Constant -> NULL."""
+
+    def build(x, where=None):
+        n, m2, _, m4 = _central(x - shift, where)
+        ok = _complete(x, where) & (m2 > 0) & (F.min(_in(x, where)) < F.max(_in(x, where)))
+        return F.when(ok, n * m4 / (m2 * m2) - F.lit(3.0))
+
+    return build
 
 
 def agg_share(value) -> AggBuilder:

@@ -70,17 +70,62 @@ def agg_exprs(
     slices: Sequence[Slice] = (ALL,),
     prefix: str = "",
     namer: Callable[[str, str, str, str], str] = default_namer,
+    shifts: Mapping[str, Column] | None = None,
 ) -> list[Column]:
-    """Aggregate Columns for ``spec`` x ``slices``, named by ``namer``."""
+    """Aggregate Columns for ``spec`` x ``slices``, named by ``namer``.
+
+    ``shifts`` maps a column to a per-group reference value; skew/kurt of that
+    column are then computed from shared power sums instead of one
+    central-moment buffer each (far less generated code for wide specs).
+    """
+    shifts = shifts or {}
     out = []
     for s in slices:
         for c, fns in spec.items():
             for fn in fns:
                 name, build = aggfns.resolve(fn)
+                if c in shifts and fn == "skew":
+                    build = aggfns.skew_from_shift(shifts[c])
+                elif c in shifts and fn == "kurt":
+                    build = aggfns.kurt_from_shift(shifts[c])
                 out.append(build(F.col(c), s.where).alias(namer(prefix, c, s.tag, name)))
     return out
 
 
+def _split_nunique(spec: Spec) -> tuple[dict, dict]:
+    rest, distinct = {}, {}
+    for c, fns in spec.items():
+        keep = [f for f in fns if f != "nunique"]
+        if keep:
+            rest[c] = keep
+        if len(keep) != len(fns):
+            distinct[c] = True
+    return rest, distinct
+
+
+def slice_guard(where: Column) -> Column:
+    return F.count_if(F.coalesce(where, F.lit(False)))
+
+
+def distinct_counts(
+    df: DataFrame,
+    keys: Sequence[str],
+    column: str,
+    slices: Sequence[Slice],
+    names: Sequence[str],
+) -> DataFrame:
+    """A9 per slice without row expansion: distinct (key, value) pairs first (a partial
+    aggregate keyed by key and value, so a hot key spreads over tasks), then a count per key.
+    A key with no row in a slice gets NULL (N3) through the guard in ``aggregate``."""
+    flags = [(s.where if s.where is not None else F.lit(True)) for s in slices]
+    pairs = (
+        df.where(F.col(column).isNotNull())
+        .groupBy(*keys, column)
+        .agg(*[F.max(F.coalesce(f, F.lit(False)).cast("int")).alias(f"__d{i}") for i, f in enumerate(flags)])
+    )
+    return pairs.groupBy(*keys).agg(*[F.sum(f"__d{i}").alias(n) for i, n in enumerate(names)])
+
+
 def aggregate(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -96,11 +141,34 @@ def aggregate(
     ``size_name`` adds the group row count (``INS_COUNT``-style, A31).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    exprs = agg_exprs(spec, slices, prefix, namer)
+    rest, distinct = _split_nunique(spec)
+    exprs = agg_exprs(rest, slices, prefix, namer)
     if size_name:
         exprs.append(F.count(F.lit(1)).alias(size_name))
     exprs.extend(extra)
-    return df.groupBy(*keys).agg(*exprs)
+    if not distinct:
+        return df.groupBy(*keys).agg(*exprs)
+    # nunique: side aggregates over distinct (key, value) pairs instead of an Expand of every row
+    guarded = [i for i, s in enumerate(slices) if s.where is not None]
+    guards = [slice_guard(slices[i].where).alias(f"__n{i}") for i in guarded]
+    main = df.groupBy(*keys).agg(*exprs, *guards)
+    for c in distinct:
+        side = distinct_counts(df, keys, c, slices, [f"__u{i}_{c}" for i in range(len(slices))])
+        main = main.join(side, keys, "left")  # both sides hash-partitioned on keys: no extra exchange
+    out_cols = {}
+    for i, s in enumerate(slices):
+        for c in distinct:
+            value = F.coalesce(F.col(f"__u{i}_{c}"), F.lit(0)).cast("long")
+            if i in guarded:
+                value = F.when(F.col(f"__n{i}") > 0, value)
+            out_cols[namer(prefix, c, s.tag, "nunique")] = value
+    order = [namer(prefix, c, s.tag, aggfns.resolve(f)[0]) for s in slices for c, fns in spec.items() for f in fns]
+    extra_names = [c for c in main.columns if c not in keys and not c.startswith("__") and c not in order]
+    select = [F.col(k) for k in keys]
+    for name in order:
+        select.append(out_cols[name].alias(name) if name in out_cols else F.col(f"`{name}`"))
+    select += [F.col(f"`{c}`") for c in extra_names]
+    return main.select(*select)
 
 
 def aggregate_naive(

@@ -107,10 +107,17 @@ def last_k(
     rn = "__rn"
     out = None
     if finite or trend:
-        r = ranked(df, key, order_desc, tiebreak, rn).where(F.col(rn) <= F.lit(kmax))
+        w = Window.partitionBy(key).orderBy(*[c.desc() for c in _orders(order_desc)], *[F.col(t).asc() for t in tiebreak])
+        moment_cols = [c for c, fns in spec.items() if any(f in ("skew", "kurt") for f in fns)]
+        # row_number alone, then the filter: Spark inserts a WindowGroupLimit before the shuffle
+        r = df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) <= F.lit(kmax))
+        # the newest row's value shifts the power sums of skew/kurt; same window spec on rows that
+        # are already partitioned and sorted by it, so no further exchange or sort
+        r = r.select("*", *[F.first(F.col(c)).over(w).alias(f"__shift_{c}") for c in moment_cols])
+        shifts = {c: F.col(f"__shift_{c}") for c in moment_cols}
         exprs = []
         for k in finite:
-            exprs += agg_exprs(spec, [Slice(str(k), F.col(rn) <= F.lit(k))], namer=lambda p, c, t, f: namer(int(t), c, f))
+            exprs += agg_exprs(spec, [Slice(str(k), F.col(rn) <= F.lit(k))], namer=lambda p, c, t, f: namer(int(t), c, f), shifts=shifts)
         for k, tcols in trend.items():
             build = aggfns.agg_trend(F.col(rn) - F.lit(1))
             for c in tcols:
