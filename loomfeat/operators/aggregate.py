@@ -92,17 +92,6 @@ def agg_exprs(
     return out
 
 
-def _split_nunique(spec: Spec) -> tuple[dict, dict]:
-    rest, distinct = {}, {}
-    for c, fns in spec.items():
-        keep = [f for f in fns if f != "nunique"]
-        if keep:
-            rest[c] = keep
-        if len(keep) != len(fns):
-            distinct[c] = True
-    return rest, distinct
-
-
 def slice_guard(where: Column) -> Column:
     return F.count_if(F.coalesce(where, F.lit(False)))
 
@@ -135,38 +124,73 @@ def aggregate(
     namer: Callable[[str, str, str, str], str] = default_namer,
     size_name: str | None = None,
     extra: Sequence[Column] = (),
+    quantile_mode: str = "map",
 ) -> DataFrame:
     """One fused grouped aggregate over all slices.
 
     ``size_name`` adds the group row count (``INS_COUNT``-style, A31).
+
+    ``nunique`` is computed from distinct (key, value) pairs in a side
+    aggregate (no Expand of every row). ``quantile_mode`` chooses how
+    ``median``/``iqr`` are computed: ``"map"`` uses Spark's exact
+    ``percentile`` (a value -> count map per group, merged in one task per
+    group: fine while a group's distinct values fit a task); ``"rank"`` uses
+    ``quantiles.exact_quantiles`` (range-partitioned ranks, a hot group spans
+    many tasks), for keys that may hold a large share of all rows.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    rest, distinct = _split_nunique(spec)
+    side_fns = {"nunique"} | ({"median", "iqr"} if quantile_mode == "rank" else set())
+    rest = {c: [f for f in fns if f not in side_fns] for c, fns in spec.items()}
+    rest = {c: fns for c, fns in rest.items() if fns}
     exprs = agg_exprs(rest, slices, prefix, namer)
     if size_name:
         exprs.append(F.count(F.lit(1)).alias(size_name))
     exprs.extend(extra)
-    if not distinct:
+    distinct = [c for c, fns in spec.items() if "nunique" in fns]
+    quant = [c for c, fns in spec.items() if quantile_mode == "rank" and ("median" in fns or "iqr" in fns)]
+    if not distinct and not quant:
         return df.groupBy(*keys).agg(*exprs)
-    # nunique: side aggregates over distinct (key, value) pairs instead of an Expand of every row
-    guarded = [i for i, s in enumerate(slices) if s.where is not None]
-    guards = [slice_guard(slices[i].where).alias(f"__n{i}") for i in guarded]
-    main = df.groupBy(*keys).agg(*exprs, *guards)
+
+    helpers = []
+    for i, s in enumerate(slices):
+        if s.where is not None:
+            helpers.append(slice_guard(s.where).alias(f"__n{i}"))
+        for c in quant:
+            v = F.col(c) if s.where is None else F.when(s.where, F.col(c))
+            helpers.append(F.count(v).alias(f"__c{i}_{c}"))
+    if any(s.where is None for s in slices) and quant:
+        helpers.append(F.count(F.lit(1)).alias("__nall"))
+    main = df.groupBy(*keys).agg(*exprs, *helpers)
+    # side frames are keyed by the same keys: the joins need no further exchange of main
     for c in distinct:
         side = distinct_counts(df, keys, c, slices, [f"__u{i}_{c}" for i in range(len(slices))])
-        main = main.join(side, keys, "left")  # both sides hash-partitioned on keys: no extra exchange
-    out_cols = {}
+        main = main.join(side, keys, "left")
+    if quant:
+        from loomfeat.operators.quantiles import exact_quantiles
+
+        items = [(f"__q{i}_{c}", F.col(c), s.where) for i, s in enumerate(slices) for c in quant]
+        main = main.join(exact_quantiles(df, keys, items, aggfns.QUARTILES), keys, "left")
+
+    def rows_in(i):
+        return F.col("__nall") if slices[i].where is None else F.col(f"__n{i}")
+
+    side_cols = {}
     for i, s in enumerate(slices):
         for c in distinct:
             value = F.coalesce(F.col(f"__u{i}_{c}"), F.lit(0)).cast("long")
-            if i in guarded:
+            if s.where is not None:
                 value = F.when(F.col(f"__n{i}") > 0, value)
-            out_cols[namer(prefix, c, s.tag, "nunique")] = value
+            side_cols[namer(prefix, c, s.tag, "nunique")] = value
+        for c in quant:
+            q = [F.col(f"__q{i}_{c}__q{j}") for j in range(3)]
+            side_cols[namer(prefix, c, s.tag, "median")] = q[1]
+            complete = F.col(f"__c{i}_{c}") == rows_in(i)
+            side_cols[namer(prefix, c, s.tag, "iqr")] = F.when(complete, q[2] - q[0])
     order = [namer(prefix, c, s.tag, aggfns.resolve(f)[0]) for s in slices for c, fns in spec.items() for f in fns]
     extra_names = [c for c in main.columns if c not in keys and not c.startswith("__") and c not in order]
     select = [F.col(k) for k in keys]
     for name in order:
-        select.append(out_cols[name].alias(name) if name in out_cols else F.col(f"`{name}`"))
+        select.append(side_cols[name].alias(name) if name in side_cols else F.col(f"`{name}`"))
     select += [F.col(f"`{c}`") for c in extra_names]
     return main.select(*select)
 
@@ -333,16 +357,31 @@ def flag_stats(df: DataFrame, key: str, pattern: str = "flag", fns: Sequence[str
 
 
 def global_stats(df: DataFrame, columns: Sequence[str], fns: Sequence[str] = ("min", "max", "median", "mean")) -> DataFrame:
-    """One-row statistics of whole columns (plus ``nulls`` and ``nunique``)."""
-    exprs = []
+    """One-row statistics of whole columns (plus ``nulls`` and ``nunique``).
+
+    The whole table is one group here, so ``median`` uses the distributed exact
+    quantiles (range-partitioned ranks) instead of one percentile buffer.
+    """
+    exprs, medians = [], []
     for c in columns:
         for fn in fns:
             if fn == "nulls":
                 exprs.append(F.count_if(F.col(c).isNull()).alias(f"{c}_nulls"))
+            elif fn == "median":
+                medians.append(c)
             else:
                 name, build = aggfns.resolve(fn)
                 exprs.append(build(F.col(c), None).alias(f"{c}_{name}"))
-    return df.agg(*exprs)
+    order = [f"{c}_{fn}" for c in columns for fn in fns]
+    out = df.agg(*exprs) if exprs else None
+    if medians:
+        from loomfeat.operators.joins import attach_one_row
+        from loomfeat.operators.quantiles import exact_quantiles
+
+        q = exact_quantiles(df, [], [(c, F.col(c), None) for c in medians], [0.5])
+        q = q.select(*[F.col(f"{c}__q0").alias(f"{c}_median") for c in medians])
+        out = q if out is None else attach_one_row(out, q)
+    return out.select(*order)
 
 
 @dataclass

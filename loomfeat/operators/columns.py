@@ -92,8 +92,14 @@ def _fill_with_stat(df: DataFrame, columns: Sequence[str], stat) -> DataFrame:
 
 
 def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Fill with the global (exact) median of each column."""
-    return _fill_with_stat(df, list(columns), F.median)
+    """Fill with the global exact median of each column (distributed ranks, no one-task buffer)."""
+    from loomfeat.operators.joins import attach_one_row
+    from loomfeat.operators.quantiles import exact_quantiles
+
+    columns = list(columns)
+    q = exact_quantiles(df, [], [(c, F.col(c), None) for c in columns], [0.5])
+    out = attach_one_row(df, q.select(*[F.col(f"{c}__q0").alias(f"__fill_{c}") for c in columns]))
+    return out.select(*[(F.coalesce(F.col(c), F.col(f"__fill_{c}")) if c in columns else F.col(c)).alias(c) for c in df.columns])
 
 
 def fill_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:

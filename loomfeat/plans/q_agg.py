@@ -193,3 +193,25 @@ def q_collision(spark, d):
     a = agg.aggregate(o, "o_custkey", {"o_totalprice": ["mean"]}, prefix="x_")
     b = agg.aggregate(o.where(F.col("o_orderstatus") == "F"), "o_custkey", {"o_totalprice": ["mean"]}, prefix="x_")
     return a.join(joins.dedupe_columns(a, b, "o_custkey"), "o_custkey", "left")
+
+
+@query("a06_quantiles_rank_mode")
+def q_rank_quantiles(spark, d):
+    """A6/A12 with hot-key-safe exact quantiles: per customer and status slice, via ranks."""
+    o = fx.bureau(spark, d)
+    slices = [agg.ALL, agg.Slice("opn", F.col("o_orderstatus") == "O")]
+    return agg.aggregate(o, "o_custkey", {"o_totalprice": ["median", "iqr"], "o_days": ["median"]}, slices, prefix="q_", quantile_mode="rank")
+
+
+@query("p07_p08_global_fills")
+def q_global_fills(spark, d):
+    """P7 + P8: missing values filled with the global median / mean of the column."""
+    from loomfeat.operators import columns as cols
+    from loomfeat.functions.exprs import null_if
+
+    o = fx.bureau(spark, d).select(
+        "o_orderkey",
+        null_if("o_totalprice", F.col("o_orderstatus") == "P").alias("price_med"),
+        null_if("o_totalprice", F.col("o_orderstatus") == "P").alias("price_mean"),
+    )
+    return cols.fill_mean(cols.fill_median(o, ["price_med"]), ["price_mean"])

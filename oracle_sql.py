@@ -896,6 +896,30 @@ def q_k_cards() -> str:
     return f"WITH {rows} SELECT {', '.join(sel)} FROM c2 GROUP BY sk_id_curr"
 
 
+
+def q_rank_quantiles() -> str:
+    parts, cols = [], []
+    for i, (tag, w) in enumerate([("", None), ("opn", "o_orderstatus = 'O'")]):
+        t = f"_{tag}" if tag else ""
+        body = (
+            f"{f32('median(o_totalprice)')} AS q_o_totalprice{t}_median, "
+            f"{f32(agg_sql('iqr', 'o_totalprice'))} AS q_o_totalprice{t}_iqr, "
+            f"{f32('median(o_days)')} AS q_o_days{t}_median"
+        )
+        where = f" WHERE {w}" if w else ""
+        parts.append(f"LEFT JOIN (SELECT o_custkey AS k, {body} FROM o{where} GROUP BY o_custkey) s{i} ON sp.o_custkey = s{i}.k")
+        cols += [f"s{i}.q_o_totalprice{t}_median", f"s{i}.q_o_totalprice{t}_iqr", f"s{i}.q_o_days{t}_median"]
+    return with_("o") + f"SELECT sp.o_custkey, {', '.join(cols)} FROM (SELECT DISTINCT o_custkey FROM o) sp " + " ".join(parts)
+
+
+def q_global_fills() -> str:
+    p = "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END"
+    return (
+        f"SELECT o_orderkey, {f32(f'coalesce({p}, (SELECT median(o_totalprice) FROM orders WHERE o_orderstatus <> {chr(39)}P{chr(39)}))')} AS price_med, "
+        f"{f32(f'coalesce({p}, (SELECT avg(o_totalprice) FROM orders WHERE o_orderstatus <> {chr(39)}P{chr(39)}))')} AS price_mean FROM orders"
+    )
+
+
 ORACLES = {
     "flagship_order_activity": q_flagship,
     "a22_naive_slices": q_flagship,
@@ -954,6 +978,8 @@ ORACLES = {
     "b46_kernel_pos": q_k_pos,
     "b47_kernel_instalments": q_k_ins,
     "b48_kernel_cards": q_k_cards,
+    "a06_quantiles_rank_mode": q_rank_quantiles,
+    "p07_p08_global_fills": q_global_fills,
 }
 
 

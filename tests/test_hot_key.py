@@ -55,3 +55,22 @@ def test_prefix_rank_hot_group_spans_tasks(skewed):
     ranked = scoring.prefix_rank(df, ["k"], ["t"], name="r", num_partitions=8)
     hot = ranked.where("k = 0").select("t", "r").toPandas().sort_values("t")
     assert hot.r.tolist() == list(range(1, len(hot) + 1))
+
+
+def test_rank_quantiles_equal_map_quantiles(skewed):
+    pdf, df = skewed
+    spec = {"x": ["median", "iqr", "mean", "nunique"]}
+    slices = [agg.ALL, agg.Slice("a", F.col("c") == "a")]
+    a = agg.aggregate(df, "k", spec, slices, quantile_mode="map")
+    b = agg.aggregate(df, "k", spec, slices, quantile_mode="rank")
+    assert a.columns == b.columns
+    ra = {r["k"]: r.asDict() for r in a.collect()}
+    rb = {r["k"]: r.asDict() for r in b.collect()}
+    assert ra.keys() == rb.keys()
+    for k in ra:
+        for c in a.columns:
+            x, y = ra[k][c], rb[k][c]
+            assert (x is None and y is None) or x == pytest.approx(y), (k, c, x, y)
+    hot = pdf[pdf.k == 0]
+    assert rb[0]["x_median"] == pytest.approx(hot.x.median())
+    assert rb[0]["x_iqr"] == pytest.approx(hot.x.quantile(0.75) - hot.x.quantile(0.25))
