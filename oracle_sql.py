@@ -693,7 +693,7 @@ def q_union() -> str:
 APP = (
     CTE["o"] + ", s AS (SELECT o_custkey, sum(o_totalprice) AS amt_credit, avg(o_totalprice) AS amt_annuity, "
     "max(o_totalprice) AS amt_goods_price, min(o_days) AS days_birth, max(o_days) AS days_employed, "
-    "count_if(o_orderstatus = 'O') AS cnt_children, count(*) AS cnt_fam_members, "
+    "CAST(count_if(o_orderstatus = 'O') AS BIGINT) AS cnt_children, count(*) AS cnt_fam_members, "
     "avg(CASE WHEN o_orderpriority = '1-URGENT' THEN 1.0 ELSE 0.0 END) AS ext_source_1, "
     "avg(CASE WHEN o_orderpriority = '2-HIGH' THEN 1.0 ELSE 0.0 END) AS ext_source_2, "
     "avg(CASE WHEN o_orderpriority = '3-MEDIUM' THEN 1.0 ELSE 0.0 END) AS ext_source_3 FROM o GROUP BY o_custkey), "
@@ -920,6 +920,83 @@ def q_global_fills() -> str:
     )
 
 
+
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+def q_k_app() -> str:
+    r = row_stats(EXT)
+    nulls = " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in EXT)
+    flag = lambda e: f"CASE WHEN {e} THEN 1 ELSE 0 END"
+    sel = [
+        "b.c_custkey", "b.target", f"{f32('b.amt_income_total')} AS amt_income_total", f"{f32('b.amt_credit')} AS amt_credit",
+        f"{f32('b.amt_annuity')} AS amt_annuity", f"{f32('b.amt_goods_price')} AS amt_goods_price",
+        "b.days_birth", "b.days_employed", "b.cnt_children", "b.cnt_fam_members",
+        *[f"{f32('b.' + e)} AS {e}" for e in EXT],
+        "b.c_nationkey",
+        f"CAST({flag('b.cnt_children > 0')} + {flag('b.amt_income_total > 0')} + {flag('b.days_employed > -365')} AS INTEGER) AS document_sel",
+        "CAST(CASE WHEN b.c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 0 ELSE 1 END AS INTEGER) AS c_segment_bin",
+        f"{f32('te.v')} AS c_mktsegment_target_encode",
+        *[f"CAST(b.c_mktsegment IS NOT DISTINCT FROM '{v}' AS INTEGER) AS c_mktsegment_{v.lower()}" for v in SEGMENTS],
+        f"{f32(rat('b.amt_credit', 'b.amt_annuity'))} AS new_credit_to_annuity_ratio",
+        f"{f32(rat('b.amt_credit', 'b.amt_goods_price'))} AS new_credit_to_goods_ratio",
+        f"{f32('b.ext_source_1 * b.ext_source_2 * b.ext_source_3')} AS new_ext_sources_prod",
+        f"{f32(r['mean'])} AS new_ext_sources_mean",
+        f"{f32(r['std'])} AS new_ext_sources_std",
+        f"{f32(r['max'] + ' - ' + r['min'])} AS ext_all",
+        f"{f32(rat('b.days_employed', 'b.days_birth'))} AS new_employ_to_birth_ratio",
+        f"{f32(rat('b.amt_income_total', 'b.cnt_fam_members'))} AS new_inc_per_chld",
+        f"{flag('b.amt_credit > b.amt_income_total')} AS credit_gt_income",
+        f"{f32(f'CASE {nulls} WHEN 0 THEN 0.7298178 WHEN 1 THEN 0.8178222 WHEN 2 THEN 0.9921877 END')} AS new_ext_null_score",
+    ]
+    body = ", ".join(sel).replace("ext_source_1,", "ext_source_1,")
+    return (
+        f"WITH {APP}, b AS (SELECT * FROM a), "
+        "te AS (SELECT c_mktsegment, avg(CAST(target AS DOUBLE)) AS v FROM a WHERE c_mktsegment IS NOT NULL GROUP BY c_mktsegment) "
+        f"SELECT {body} FROM b LEFT JOIN te ON b.c_mktsegment = te.c_mktsegment"
+    ).replace("least(ext_source_1, ext_source_2, ext_source_3)", "least(b.ext_source_1, b.ext_source_2, b.ext_source_3)")
+
+
+PREV_ROWS = (
+    "c AS (SELECT c_custkey, CAST(c_acctbal < 0 AS INTEGER) AS target FROM customer), "
+    f"pr AS (SELECT o_custkey AS sk_id_curr, o_orderkey AS sk_id_prev, "
+    "CASE o_orderstatus WHEN 'F' THEN 'Approved' WHEN 'O' THEN 'Refused' ELSE 'Canceled' END AS name_contract_status, "
+    "o_orderpriority AS name_contract_type, o_totalprice AS amt_credit, o_totalprice * 0.9 AS amt_application, "
+    "o_totalprice / 12 AS amt_annuity, nullif(o_totalprice - fmod(o_totalprice, 1000), 0) AS amt_goods_price, "
+    f"CAST(CAST(o_orderdate AS DATE) - {ORDERS_REF} AS INTEGER) AS days_decision FROM orders), "
+    "te AS (SELECT pr.name_contract_type, avg(CAST(c.target AS DOUBLE)) AS v FROM pr LEFT JOIN c ON pr.sk_id_curr = c.c_custkey "
+    "WHERE pr.name_contract_type IS NOT NULL GROUP BY pr.name_contract_type), "
+    "p AS (SELECT pr.*, te.v AS name_contract_type_target_encode, amt_application / nullif(amt_credit, 0) AS app_credit_perc, "
+    "CASE WHEN amt_credit > amt_application THEN 1 ELSE 0 END AS credit_gt_application, "
+    "amt_credit - amt_goods_price AS credit_goods_diff FROM pr LEFT JOIN te ON pr.name_contract_type = te.name_contract_type)"
+)
+
+
+def q_k_prev() -> str:
+    num = {
+        "amt_annuity": ["min", "max", "mean"], "amt_application": ["min", "max", "mean"], "amt_credit": ["min", "max", "mean"],
+        "app_credit_perc": ["mean"], "amt_goods_price": ["min", "max", "mean"], "days_decision": ["min", "max", "mean"],
+        "credit_gt_application": ["mean"], "credit_goods_diff": ["mean", "var"],
+        "name_contract_type_target_encode": ["min", "max", "mean", "median"],
+    }
+    types = {k: "double" for k in num}
+    types.update({"days_decision": "int", "credit_gt_application": "int"})
+    sel = ["sk_id_curr AS c_custkey"]
+    for c, fns in num.items():
+        for fn in fns:
+            sel.append(f"{fagg(fn, c, None, None, types[c])} AS {kname('prev_', c, '', fn)}")
+    for v in ["Approved", "Canceled", "Refused"]:
+        sel.append(f"{f32(f'avg(CASE WHEN name_contract_status IS NOT DISTINCT FROM {chr(39)}{v}{chr(39)} THEN 1 ELSE 0 END)')} AS prev_name_contract_status_share_{v.lower()}")
+    windows = [("", None), ("05y", "days_decision >= -282"), ("1y", "days_decision >= -365"), ("2y", "days_decision >= -730"), ("3y", "days_decision >= -1095")]
+    for pre, st in [("apr_", "Approved"), ("ref_", "Refused")]:
+        for tag, w in windows:
+            cond = f"name_contract_status = '{st}'" + (f" AND {w}" if w else "")
+            for c, fns in num.items():
+                for fn in fns:
+                    sel.append(f"{fagg(fn, c, cond, None, types[c])} AS {kname(pre, c, tag, fn)}")
+    return f"WITH {PREV_ROWS} SELECT {', '.join(sel)} FROM p GROUP BY sk_id_curr"
+
+
 ORACLES = {
     "flagship_order_activity": q_flagship,
     "a22_naive_slices": q_flagship,
@@ -980,6 +1057,8 @@ ORACLES = {
     "b48_kernel_cards": q_k_cards,
     "a06_quantiles_rank_mode": q_rank_quantiles,
     "p07_p08_global_fills": q_global_fills,
+    "b43_kernel_application": q_k_app,
+    "b45_kernel_previous": q_k_prev,
 }
 
 
