@@ -997,6 +997,67 @@ def q_k_prev() -> str:
     return f"WITH {PREV_ROWS} SELECT {', '.join(sel)} FROM p GROUP BY sk_id_curr"
 
 
+
+BUREAU_K = (
+    "c AS (SELECT c_custkey, CAST(c_acctbal < 0 AS INTEGER) AS target FROM customer), "
+    "br AS (SELECT o_custkey AS sk_id_curr, o_orderkey AS sk_id_bureau, "
+    "CASE o_orderstatus WHEN 'O' THEN 'Active' WHEN 'F' THEN 'Closed' END AS credit_active, o_orderpriority AS credit_type, "
+    f"CAST(CAST(o_orderdate AS DATE) - {ORDERS_REF} AS INTEGER) AS days_credit, "
+    f"CAST(CAST(o_orderdate AS DATE) - {ORDERS_REF} AS INTEGER) + 30 * (o_orderkey % 13) AS days_credit_enddate, "
+    "o_totalprice AS amt_credit_sum, CASE WHEN o_orderstatus = 'O' THEN o_totalprice ELSE 0.0 END AS amt_credit_sum_debt, "
+    "CASE WHEN o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' THEN o_totalprice ELSE 0.0 END AS amt_credit_sum_overdue, "
+    "nullif(o_totalprice / 12, 0) AS amt_annuity FROM orders), "
+    "bb AS (SELECT l_orderkey, min(l_linenumber) AS months_balance_min, max(l_linenumber) AS months_balance_max, "
+    "count(*) AS months_balance_size, "
+    + ", ".join(f"avg(CASE WHEN l_returnflag IS NOT DISTINCT FROM '{v}' THEN 1 ELSE 0 END) AS status_{v.lower()}_mean" for v in "ANR")
+    + " FROM lineitem GROUP BY l_orderkey), "
+    "b0 AS (SELECT br.*, bb.* EXCLUDE (l_orderkey), c.target, amt_credit_sum_debt / nullif(1 + amt_credit_sum, 0) AS amt_credit_debt_rate, "
+    "amt_credit_sum / nullif(amt_annuity, 0) AS annuity_length FROM br LEFT JOIN bb ON br.sk_id_bureau = bb.l_orderkey "
+    "LEFT JOIN c ON br.sk_id_curr = c.c_custkey), "
+    "t1 AS (SELECT credit_type, avg(CAST(target AS DOUBLE)) AS v FROM b0 WHERE credit_type IS NOT NULL GROUP BY credit_type), "
+    "t2 AS (SELECT credit_active, avg(CAST(target AS DOUBLE)) AS v FROM b0 WHERE credit_active IS NOT NULL GROUP BY credit_active), "
+    "b AS (SELECT b0.*, t1.v AS credit_type_target_encode, t2.v AS credit_active_target_encode FROM b0 "
+    "LEFT JOIN t1 ON b0.credit_type = t1.credit_type LEFT JOIN t2 ON b0.credit_active = t2.credit_active)"
+)
+
+
+def q_k_bureau() -> str:
+    num = {
+        "days_credit": ["min", "max", "mean", "std"], "days_credit_enddate": ["min", "max", "mean", "std"],
+        "amt_credit_sum": ["max", "mean", "sum", "std"], "amt_credit_sum_debt": ["max", "mean", "sum"],
+        "amt_credit_sum_overdue": ["mean"], "amt_annuity": ["max", "mean"], "months_balance_min": ["min"],
+        "months_balance_max": ["max"], "months_balance_size": ["mean", "sum"], "annuity_length": ["min", "max", "mean"],
+        "amt_credit_debt_rate": ["max", "mean"], "credit_type_target_encode": ["min", "max", "mean", "median"],
+        "credit_active_target_encode": ["min", "max", "mean", "median"],
+    }
+    types = {k: "double" for k in num}
+    types.update({"days_credit": "int", "days_credit_enddate": "bigint", "months_balance_min": "int", "months_balance_max": "int", "months_balance_size": "bigint"})
+    sel = ["sk_id_curr AS c_custkey"]
+    for c, fns in num.items():
+        for fn in fns:
+            sel.append(f"{fagg(fn, c, None, None, types[c])} AS {kname('buro_', c, '', fn)}")
+    share = lambda col, v, w=None: f32(f"avg(CASE WHEN {col} IS NOT DISTINCT FROM '{v}' THEN 1 ELSE 0 END){filt(w)}")
+    for v in ["Active", "Closed"]:
+        sel.append(f"{share('credit_active', v)} AS buro_credit_active_share_{v.lower()}")
+    for v in PRIORITIES:
+        sel.append(f"{share('credit_type', v)} AS buro_credit_type_share_{san(v)}")
+    for v in "anr":
+        sel.append(f"{f32(f'avg(status_{v}_mean)')} AS buro_status_{v}_mean_mean")
+    windows = [("", None), ("025y", "days_credit >= -141"), ("05y", "days_credit >= -282"), ("1y", "days_credit >= -365"), ("2y", "days_credit >= -730")]
+    for pre, st in [("act_", "Active"), ("cls_", "Closed")]:
+        for tag, w in windows:
+            cond = f"credit_active = '{st}'" + (f" AND {w}" if w else "")
+            for c, fns in num.items():
+                for fn in fns:
+                    sel.append(f"{fagg(fn, c, cond, None, types[c])} AS {kname(pre, c, tag, fn)}")
+    for v in PRIORITIES:
+        cond = f"credit_type IS NOT DISTINCT FROM '{v}'"
+        for c, fns in num.items():
+            for fn in fns:
+                sel.append(f"{fagg(fn, c, cond, None, types[c])} AS type_{san(v)}_{c}_{fn}")
+    return f"WITH {BUREAU_K} SELECT {', '.join(sel)} FROM b GROUP BY sk_id_curr"
+
+
 ORACLES = {
     "flagship_order_activity": q_flagship,
     "a22_naive_slices": q_flagship,
@@ -1059,6 +1120,7 @@ ORACLES = {
     "p07_p08_global_fills": q_global_fills,
     "b43_kernel_application": q_k_app,
     "b45_kernel_previous": q_k_prev,
+    "b44_kernel_bureau": q_k_bureau,
 }
 
 
