@@ -38,6 +38,13 @@ def kfold(df: DataFrame, key: str, k: int = 5, seed: int = 5407, name: str = "fo
     return df.withColumn(name, F.pmod(_hash(key, seed), F.lit(k)).cast("int"))
 
 
+def _range_partitions(df: DataFrame) -> int:
+    """Range partitions for a distributed rank: the session's shuffle partition count
+    (sized for the data by whoever runs the job), at least the cluster's parallelism."""
+    conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
+    return max(int(conf), df.sparkSession.sparkContext.defaultParallelism)
+
+
 def prefix_rank(df: DataFrame, partition: Sequence[str], order: Sequence[str], name: str = "rank", num_partitions: int | None = None) -> DataFrame:
     """1-based row number within ``partition`` groups in ``order``, computed without
     putting a whole group in one task.
@@ -48,7 +55,7 @@ def prefix_rank(df: DataFrame, partition: Sequence[str], order: Sequence[str], n
     to a local row number.
     """
     keys = [*partition, *order]
-    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = num_partitions or _range_partitions(df)
     r = df.repartitionByRange(n, *[F.col(c) for c in keys]).withColumn("__pid", F.spark_partition_id())
     counts = r.groupBy("__pid", *partition).agg(F.count(F.lit(1)).alias("__cnt"))
     wo = Window.partitionBy(*partition).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -82,7 +89,7 @@ def _score_table(df: DataFrame, label: str, score: str, group: Sequence[str]) ->
 
 def _cumulative(df: DataFrame, group: Sequence[str], order: str, cols: Sequence[str], descending: bool) -> DataFrame:
     """Exclusive prefix sums of ``cols`` over ``order`` within ``group`` (range-partitioned)."""
-    n = df.sparkSession.sparkContext.defaultParallelism
+    n = _range_partitions(df)
     o = F.col(order).desc() if descending else F.col(order).asc()
     r = df.repartitionByRange(n, *[F.col(g) for g in group], o).withColumn("__pid", F.spark_partition_id())
     tot = r.groupBy("__pid", *group).agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
