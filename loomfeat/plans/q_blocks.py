@@ -25,6 +25,18 @@ def q_balance(spark, d):
     return blocks.balance_block(spark, d)
 
 
+@query("b04_bureau_block_unpruned")
+def q_bureau_unpruned(spark, d):
+    """B4-B9 without F1 (F1's data-dependent column drop is not SQL; it is checked on its own)."""
+    return blocks.bureau_block(spark, d, corr_threshold=None)
+
+
+@query("b10_balance_block_unpruned")
+def q_balance_unpruned(spark, d):
+    """B10-B13 without F1."""
+    return blocks.balance_block(spark, d, corr_threshold=None)
+
+
 @query("b14_card_block")
 def q_card(spark, d):
     """B14-B21 with correlation pruning."""

@@ -1058,6 +1058,91 @@ def q_k_bureau() -> str:
     return f"WITH {BUREAU_K} SELECT {', '.join(sel)} FROM b GROUP BY sk_id_curr"
 
 
+
+def q_balance_block() -> str:
+    sel = ["sp.sk_id_curr AS c_custkey", "CAST(coalesce(m.bureau_miss_time, 0) AS BIGINT) AS bureau_miss_time"]
+    for c in ["overdue_mean", "overdue_sum"]:
+        for fn in ["mean", "max", "std", "sum", "median"]:
+            sel.append(f"coalesce({typed(fn, agg_sql(fn, c), 'double')}, 0) AS bureau_{c}_{fn}")
+    flags = ["a", "n", "r"]
+    stat = [f"coalesce(st.balance_status_{v}, 0) AS balance_status_{v}" for v in flags]
+    stat += ["coalesce(st.status_total, 0) AS status_total"]
+    stat += [f"coalesce(st.balance_status_{v}_rate, 0) AS balance_status_{v}_rate" for v in flags]
+    return (
+        "WITH bb AS (SELECT l_orderkey AS sk_id_bureau, l_returnflag AS status, count(*) AS months FROM lineitem GROUP BY 1, 2), "
+        "r AS (SELECT o.o_custkey AS sk_id_curr, o.o_orderkey AS sk_id_bureau, bb.status, "
+        "CASE WHEN bb.status IN ('R') THEN 1.0 ELSE 0.0 END AS overdue FROM orders o LEFT JOIN bb ON o.o_orderkey = bb.sk_id_bureau), "
+        "m AS (SELECT sk_id_curr, CASE WHEN count_if(status IS NULL) > 0 THEN count_if(status IS NULL) END AS bureau_miss_time FROM r GROUP BY 1), "
+        "l1 AS (SELECT sk_id_curr, sk_id_bureau, avg(overdue) AS overdue_mean, coalesce(sum(overdue), 0) AS overdue_sum FROM r GROUP BY 1, 2), "
+        "st AS (SELECT sk_id_curr, "
+        + ", ".join(f"CAST(count_if(status = '{v.upper()}') AS BIGINT) AS balance_status_{v}" for v in flags)
+        + ", CAST(count(*) AS BIGINT) AS status_total, "
+        + ", ".join(f"{f32(f'count_if(status = {chr(39)}{v.upper()}{chr(39)}) / count(*)')} AS balance_status_{v}_rate" for v in flags)
+        + " FROM r WHERE status IS NOT NULL GROUP BY 1), "
+        f"ov AS (SELECT sk_id_curr, {', '.join(sel[2:]).replace('coalesce(', 'coalesce(', 0)} FROM l1 GROUP BY sk_id_curr), "
+        "sp AS (SELECT DISTINCT sk_id_curr FROM r) "
+        "SELECT sp.sk_id_curr AS c_custkey, CAST(coalesce(m.bureau_miss_time, 0) AS BIGINT) AS bureau_miss_time, "
+        + ", ".join(f"coalesce(ov.bureau_{c}_{fn}, 0) AS bureau_{c}_{fn}" for c in ["overdue_mean", "overdue_sum"] for fn in ["mean", "max", "std", "sum", "median"])
+        + ", " + ", ".join(stat)
+        + " FROM sp LEFT JOIN m ON sp.sk_id_curr = m.sk_id_curr LEFT JOIN ov ON sp.sk_id_curr = ov.sk_id_curr "
+        "LEFT JOIN st ON sp.sk_id_curr = st.sk_id_curr"
+    )
+
+
+def q_bureau_block() -> str:
+    rows = (
+        "br AS (SELECT o_custkey AS sk_id_curr, o_orderkey AS sk_id_bureau, "
+        "CASE o_orderstatus WHEN 'O' THEN 'Active' WHEN 'F' THEN 'Closed' END AS credit_active, "
+        f"CAST(CAST(o_orderdate AS DATE) - {ORDERS_REF} AS INTEGER) AS days_credit, "
+        f"CAST(CAST(o_orderdate AS DATE) - {ORDERS_REF} AS INTEGER) + 30 * (o_orderkey % 13) AS days_credit_enddate, "
+        "o_totalprice AS amt_credit_sum, CASE WHEN o_orderstatus = 'O' THEN o_totalprice ELSE 0.0 END AS amt_credit_sum_debt, "
+        "CASE WHEN o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' THEN o_totalprice ELSE 0.0 END AS amt_credit_sum_overdue, "
+        "nullif(o_totalprice / 12, 0) AS amt_annuity FROM orders), "
+        "bf AS (SELECT *, CASE WHEN credit_active = 'Active' THEN 1 ELSE 0 END AS active_flag, "
+        "CASE WHEN days_credit_enddate > 0 THEN 1 ELSE 0 END AS enddate_flag, "
+        "CASE WHEN amt_credit_sum_overdue > 0 THEN 1 ELSE 0 END AS overdue_flag, "
+        "CASE WHEN amt_credit_sum_debt > 0 THEN 1 ELSE 0 END AS using_flag FROM br), "
+        "fz AS (SELECT sk_id_curr, credit_active, CAST(coalesce(days_credit_enddate, 0) AS DOUBLE) AS days_credit_enddate, "
+        "CAST(coalesce(days_credit, 0) AS DOUBLE) AS days_credit, coalesce(amt_credit_sum, 0) AS amt_credit_sum, "
+        "coalesce(amt_credit_sum_debt, 0) AS amt_credit_sum_debt, coalesce(amt_credit_sum_overdue, 0) AS amt_credit_sum_overdue, "
+        "coalesce(amt_annuity, 0) AS amt_annuity FROM bf), "
+        "fd AS (SELECT *, amt_credit_sum_debt / nullif(1 + amt_credit_sum, 0) AS amt_credit_debt_rate, "
+        "amt_credit_sum - amt_credit_sum_debt AS amt_credit_debt_remain, "
+        "amt_credit_sum_debt / nullif(1 + amt_annuity, 0) AS amt_credit_months FROM fz)"
+    )
+    flags = ["active_flag", "enddate_flag", "overdue_flag", "using_flag"]
+    fl = ", ".join(f"{f32(f'avg({c})')} AS credit_{c}_mean, CAST(sum({c}) AS BIGINT) AS credit_{c}_sum, count({c}) AS credit_{c}_count" for c in flags)
+    base = ["days_credit_enddate", "days_credit", "amt_credit_sum", "amt_credit_sum_debt", "amt_credit_sum_overdue", "amt_annuity"]
+    six = ["min", "median", "max", "mean", "sum", "std"]
+    act = "credit_active = 'Active'"
+    cls = "NOT coalesce(credit_active = 'Active', false)"
+    st = []
+    for c in base + ["amt_credit_debt_rate", "amt_credit_debt_remain", "amt_credit_months"]:
+        st += [f"{fagg(fn, c, act, None, 'double')} AS credit_active_{c}_{fn}" for fn in six]
+    for c in base + ["amt_credit_debt_rate"]:
+        st += [f"{fagg(fn, c, cls, None, 'double')} AS credit_closed_{c}_{fn}" for fn in six]
+    names = [f"credit_{c}_{s_}" for c in flags for s_ in ("mean", "sum", "count")]
+    names += ["bureau_total_customer_debt", "bureau_total_customer_credit", "bureau_total_customer_overdue", "bureau_debt_credit_ratio", "bureau_overdue_debt_ratio"]
+    names += [f"credit_active_{c}_{fn}" for c in base + ["amt_credit_debt_rate", "amt_credit_debt_remain", "amt_credit_months"] for fn in six]
+    names += [f"credit_closed_{c}_{fn}" for c in base + ["amt_credit_debt_rate"] for fn in six]
+    return (
+        f"WITH {rows}, "
+        "ms AS (SELECT sk_id_curr, CAST(CASE WHEN count_if(credit_active IS NULL) > 0 THEN count_if(credit_active IS NULL) END AS BIGINT) "
+        "AS credit_credit_active_miss_times FROM bf GROUP BY 1), "
+        f"fs AS (SELECT sk_id_curr, {fl} FROM bf GROUP BY 1), "
+        "tt AS (SELECT sk_id_curr, sum(amt_credit_sum_debt) AS d, sum(amt_credit_sum) AS c, sum(amt_credit_sum_overdue) AS v FROM bf GROUP BY 1), "
+        f"tr AS (SELECT sk_id_curr, {f32('d')} AS bureau_total_customer_debt, {f32('c')} AS bureau_total_customer_credit, "
+        f"{f32('v')} AS bureau_total_customer_overdue, {f32('d / nullif(1 + c, 0)')} AS bureau_debt_credit_ratio, "
+        f"{f32('v / nullif(1 + d, 0)')} AS bureau_overdue_debt_ratio FROM tt), "
+        f"ss AS (SELECT sk_id_curr, {', '.join(st)} FROM fd GROUP BY 1), "
+        "sp AS (SELECT DISTINCT sk_id_curr FROM bf) "
+        "SELECT sp.sk_id_curr AS c_custkey, CAST(coalesce(ms.credit_credit_active_miss_times, 0) AS BIGINT) AS credit_credit_active_miss_times, "
+        + ", ".join(f"coalesce({n}, 0) AS {n}" for n in names)
+        + " FROM sp LEFT JOIN ms ON sp.sk_id_curr = ms.sk_id_curr LEFT JOIN fs ON sp.sk_id_curr = fs.sk_id_curr "
+        "LEFT JOIN tr ON sp.sk_id_curr = tr.sk_id_curr LEFT JOIN ss ON sp.sk_id_curr = ss.sk_id_curr"
+    )
+
+
 ORACLES = {
     "flagship_order_activity": q_flagship,
     "a22_naive_slices": q_flagship,
@@ -1121,6 +1206,8 @@ ORACLES = {
     "b43_kernel_application": q_k_app,
     "b45_kernel_previous": q_k_prev,
     "b44_kernel_bureau": q_k_bureau,
+    "b10_balance_block_unpruned": q_balance_block,
+    "b04_bureau_block_unpruned": q_bureau_block,
 }
 
 
