@@ -37,6 +37,12 @@ def q_balance_unpruned(spark, d):
     return blocks.balance_block(spark, d, corr_threshold=None)
 
 
+@query("b29_pos_block_unpruned")
+def q_pos_unpruned(spark, d):
+    """B29-B34 without F1."""
+    return blocks.pos_block(spark, d, corr_threshold=None)
+
+
 @query("b14_card_block")
 def q_card(spark, d):
     """B14-B21 with correlation pruning."""

@@ -1079,7 +1079,7 @@ def q_balance_block() -> str:
         + ", CAST(count(*) AS BIGINT) AS status_total, "
         + ", ".join(f"{f32(f'count_if(status = {chr(39)}{v.upper()}{chr(39)}) / count(*)')} AS balance_status_{v}_rate" for v in flags)
         + " FROM r WHERE status IS NOT NULL GROUP BY 1), "
-        f"ov AS (SELECT sk_id_curr, {', '.join(sel[2:]).replace('coalesce(', 'coalesce(', 0)} FROM l1 GROUP BY sk_id_curr), "
+        f"ov AS (SELECT sk_id_curr, {', '.join(sel[2:])} FROM l1 GROUP BY sk_id_curr), "
         "sp AS (SELECT DISTINCT sk_id_curr FROM r) "
         "SELECT sp.sk_id_curr AS c_custkey, CAST(coalesce(m.bureau_miss_time, 0) AS BIGINT) AS bureau_miss_time, "
         + ", ".join(f"coalesce(ov.bureau_{c}_{fn}, 0) AS bureau_{c}_{fn}" for c in ["overdue_mean", "overdue_sum"] for fn in ["mean", "max", "std", "sum", "median"])
@@ -1143,6 +1143,49 @@ def q_bureau_block() -> str:
     )
 
 
+
+def q_pos_block() -> str:
+    basic = ["user_id"]
+    for c in ["sk_dpd", "sk_dpd_def", "e_days", "sk_dpd_diff"]:
+        for fn in ["mean", "median", "min", "max", "sum", "std"]:
+            basic.append(f"{typed(fn, agg_sql(fn, c), 'int')} AS pos_{c}_{fn}")
+    pos_rows = POS_ROWS.replace("pos_paid_late_tol FROM p0)", "pos_paid_late_tol, sk_dpd - (CASE WHEN event_type = 'error' THEN sk_dpd ELSE 0 END) AS sk_dpd_diff FROM p0)")
+    lk = q_pos_last_k().split(" SELECT ", 1)[1]
+    tr = q_trend_pos().split(" SELECT ", 1)[1]
+    parts = {
+        "bs": f"SELECT {', '.join(basic)} FROM p GROUP BY user_id",
+        "lk": "SELECT " + lk,
+        "tr": "SELECT " + tr,
+    }
+    last = (
+        "l1 AS (SELECT user_id, e_days, avg(value) AS m, min(value) AS lo, max(value) AS hi, sum(value) AS s FROM p GROUP BY user_id, e_days), "
+        "lr AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY e_days DESC) AS rn FROM l1), "
+        f"la AS (SELECT user_id, e_days AS pos_last_e_days, {f32('m')} AS pos_last_value_mean, {f32('lo')} AS pos_last_value_min, "
+        f"{f32('hi')} AS pos_last_value_max, {f32('s')} AS pos_last_value_sum FROM lr WHERE rn = 1)"
+    )
+    spec = {
+        "pos_paid_late": ["count", "sum", "mean"], "pos_paid_late_tol": ["sum", "mean"],
+        "sk_dpd": ["sum", "mean", "max", "min", "std"], "sk_dpd_def": ["sum", "mean", "max", "min", "std"],
+    }
+    lsel = ["user_id"] + [f"{fagg(fn, c, None, None, POS_TYPES[c])} AS last_loan_{c}_{fn}" for c, fns in spec.items() for fn in fns]
+    loan = (
+        "r2 AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn2 FROM p), "
+        "nw AS (SELECT user_id, event_type FROM r2 WHERE rn2 = 1), "
+        "lrows AS (SELECT p.* FROM p JOIN nw ON p.user_id = nw.user_id AND p.event_type = nw.event_type), "
+        f"lo AS (SELECT {', '.join(lsel)} FROM lrows GROUP BY user_id)"
+    )
+    # every column of the final block, filled with 0
+    cols_bs = [b.split(" AS ")[-1] for b in basic[1:]]
+    return (
+        f"WITH {pos_rows}, {POS_RANK}, bs AS ({parts['bs']}), lk AS ({parts['lk']}), tr AS ({parts['tr']}), {last}, {loan} "
+        "SELECT bs.user_id, "
+        + ", ".join(f"coalesce(bs.{c}, 0) AS {c}" for c in cols_bs)
+        + ", la.* EXCLUDE (user_id), lk.* EXCLUDE (user_id), tr.* EXCLUDE (user_id), lo.* EXCLUDE (user_id) "
+        "FROM bs LEFT JOIN la ON bs.user_id = la.user_id LEFT JOIN lk ON bs.user_id = lk.user_id "
+        "LEFT JOIN tr ON bs.user_id = tr.user_id LEFT JOIN lo ON bs.user_id = lo.user_id"
+    )
+
+
 ORACLES = {
     "flagship_order_activity": q_flagship,
     "a22_naive_slices": q_flagship,
@@ -1208,6 +1251,7 @@ ORACLES = {
     "b44_kernel_bureau": q_k_bureau,
     "b10_balance_block_unpruned": q_balance_block,
     "b04_bureau_block_unpruned": q_bureau_block,
+    "b29_pos_block_unpruned": q_pos_block,
 }
 
 
