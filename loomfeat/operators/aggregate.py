@@ -27,6 +27,7 @@ class Slice:
 
     tag: str
     where: Column | None = None
+    sql: str | None = None  # the same predicate as SQL text, when available (faster plan building)
 
 
 ALL = Slice("", None)
@@ -36,21 +37,27 @@ def and_slices(a: Slice, b: Slice, sep: str = "_") -> Slice:
     """Combine two slices, e.g. status 'act' x window '1y' -> 'act_1y'."""
     tag = sep.join(t for t in (a.tag, b.tag) if t)
     if a.where is None:
-        return Slice(tag, b.where)
+        return Slice(tag, b.where, b.sql)
     if b.where is None:
-        return Slice(tag, a.where)
-    return Slice(tag, a.where & b.where)
+        return Slice(tag, a.where, a.sql)
+    sql = f"({a.sql}) AND ({b.sql})" if a.sql and b.sql else None
+    return Slice(tag, a.where & b.where, sql)
+
+
+def eq_slice(tag: str, column: str, value) -> Slice:
+    """Rows whose ``column`` equals ``value`` (NULL never matches)."""
+    return Slice(tag, F.col(column) == F.lit(value), f"`{column}` = {aggfns.sql_literal(value)}")
 
 
 def window_slices(offset_col: str, windows: Mapping[str, int]) -> list[Slice]:
     """``offset >= -w`` slices, e.g. ``{'1y': 365, '2y': 730}``."""
-    return [Slice(tag, F.col(offset_col) >= F.lit(-abs(w))) for tag, w in windows.items()]
+    return [Slice(tag, F.col(offset_col) >= F.lit(-abs(w)), f"`{offset_col}` >= {-abs(int(w))}") for tag, w in windows.items()]
 
 
 def value_slices(cat_col: str, values: Iterable, tag_fn: Callable[[object], str] | None = None) -> list[Slice]:
     """One slice per category value."""
     tag_fn = tag_fn or (lambda v: sanitize(str(v)))
-    return [Slice(tag_fn(v), F.col(cat_col).eqNullSafe(F.lit(v))) for v in values]
+    return [Slice(tag_fn(v), F.col(cat_col).eqNullSafe(F.lit(v)), f"`{cat_col}` <=> {aggfns.sql_literal(v)}") for v in values]
 
 
 def sanitize(name: str) -> str:
@@ -70,7 +77,7 @@ def agg_exprs(
     slices: Sequence[Slice] = (ALL,),
     prefix: str = "",
     namer: Callable[[str, str, str, str], str] = default_namer,
-    shifts: Mapping[str, Column] | None = None,
+    shifts: Mapping[str, Column | str] | None = None,
 ) -> list[Column]:
     """Aggregate Columns for ``spec`` x ``slices``, named by ``namer``.
 
@@ -84,10 +91,19 @@ def agg_exprs(
         for c, fns in spec.items():
             for fn in fns:
                 name, build = aggfns.resolve(fn)
-                if c in shifts and fn == "skew":
-                    build = aggfns.skew_from_shift(shifts[c])
-                elif c in shifts and fn == "kurt":
-                    build = aggfns.kurt_from_shift(shifts[c])
+                text_ok = isinstance(shifts.get(c), str) and (s.where is None or s.sql is not None)
+                if text_ok and fn in ("skew", "kurt"):
+                    out.append(aggfns.moment_sql(fn, c, shifts[c], s.sql).alias(namer(prefix, c, s.tag, name)))
+                    continue
+                if isinstance(fn, str) and fn in aggfns.TEXT_FNS and not (c in shifts and fn in ("skew", "kurt")) and (s.where is None or s.sql is not None):
+                    out.append(aggfns.agg_text(fn, c, s.sql).alias(namer(prefix, c, s.tag, name)))
+                    continue
+                shift = shifts.get(c)
+                shift = F.col(shift) if isinstance(shift, str) else shift
+                if shift is not None and fn == "skew":
+                    build = aggfns.skew_from_shift(shift)
+                elif shift is not None and fn == "kurt":
+                    build = aggfns.kurt_from_shift(shift)
                 out.append(build(F.col(c), s.where).alias(namer(prefix, c, s.tag, name)))
     return out
 

@@ -114,10 +114,11 @@ def last_k(
         # the newest row's value shifts the power sums of skew/kurt; same window spec on rows that
         # are already partitioned and sorted by it, so no further exchange or sort
         r = r.select("*", *[F.first(F.col(c)).over(w).alias(f"__shift_{c}") for c in moment_cols])
-        shifts = {c: F.col(f"__shift_{c}") for c in moment_cols}
+        shifts = {c: f"__shift_{c}" for c in moment_cols}
         exprs = []
         for k in finite:
-            exprs += agg_exprs(spec, [Slice(str(k), F.col(rn) <= F.lit(k))], namer=lambda p, c, t, f: namer(int(t), c, f), shifts=shifts)
+            sl = Slice(str(k), F.col(rn) <= F.lit(k), sql=f"`{rn}` <= {int(k)}")
+            exprs += agg_exprs(spec, [sl], namer=lambda p, c, t, f: namer(int(t), c, f), shifts=shifts)
         for k, tcols in trend.items():
             build = aggfns.agg_trend(F.col(rn) - F.lit(1))
             for c in tcols:

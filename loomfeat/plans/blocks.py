@@ -191,9 +191,9 @@ def bureau_block(spark: SparkSession, d: str, corr_threshold: float | None = 0.9
     act_spec = {c: SIX for c in BUREAU_DAYS + BUREAU_AMT + ["amt_credit_debt_rate", "amt_credit_debt_remain", "amt_credit_months"]}
     cls_spec = {c: SIX for c in BUREAU_DAYS + BUREAU_AMT + ["amt_credit_debt_rate"]}
     namer = lambda p, c, t, f: f"credit_{t}_{c}_{f}"
-    exprs = agg.agg_exprs(act_spec, [agg.Slice("active", active)], namer=namer)
+    exprs = agg.agg_exprs(act_spec, [agg.Slice("active", active, "`credit_active` = 'Active'")], namer=namer)
     # P23: '!=' keeps rows with a missing status (pandas semantics)
-    exprs += agg.agg_exprs(cls_spec, [agg.Slice("closed", ~F.coalesce(active, F.lit(False)))], namer=namer)
+    exprs += agg.agg_exprs(cls_spec, [agg.Slice("closed", ~F.coalesce(active, F.lit(False)), "NOT coalesce(`credit_active` = 'Active', false)")], namer=namer)
     status = filled.groupBy(key).agg(*exprs)
     act_cols = [c for c in status.columns if c.startswith("credit_active_")]
     cls_cols = [c for c in status.columns if c.startswith("credit_closed_")]
@@ -316,8 +316,8 @@ def previous_block(spark: SparkSession, d: str, corr_threshold: float | None = 0
     day_all = days + ["days_due_diff", "days_waiting_diff"]
     five = ["min", "median", "max", "mean", "std"]
     namer = lambda pre, c, t, f: f"prev_{t + '_' if t else ''}{c}_{f}"
-    approved = agg.Slice("approved", F.col("name_contract_status") == "Approved")
-    refused = agg.Slice("refused", F.col("name_contract_status") == "Refused")
+    approved = agg.eq_slice("approved", "name_contract_status", "Approved")
+    refused = agg.eq_slice("refused", "name_contract_status", "Refused")
     exprs = agg.agg_exprs({c: five for c in amt_all + day_all}, [agg.ALL], namer=namer)  # B37/B38
     exprs += agg.agg_exprs({c: five for c in amt_all}, [approved, refused], namer=namer)  # B39/B40 amounts
     exprs += agg.agg_exprs({c: five + ["sum"] for c in day_all}, [approved], namer=namer)  # B39 days (+ sum)
@@ -395,9 +395,9 @@ def card_block(spark: SparkSession, d: str, corr_threshold: float | None = 0.9)
     six = ["mean", "min", "max", "median", "sum", "std"]
     slices = [
         agg.Slice("all", None),
-        agg.Slice("using", F.col("amt_payment_total_current") != 0),
-        agg.Slice("1_year", F.col("months_balance") >= -12),
-        agg.Slice("2_year", F.col("months_balance") >= -24),
+        agg.Slice("using", F.col("amt_payment_total_current") != 0, "`amt_payment_total_current` <> 0"),
+        agg.Slice("1_year", F.col("months_balance") >= -12, "`months_balance` >= -12"),
+        agg.Slice("2_year", F.col("months_balance") >= -24, "`months_balance` >= -24"),
     ]
     lvl1 = derived.groupBy(key, loan).agg(*agg.agg_exprs({f: six for f in feats}, slices, namer=lambda p, col_, t, f: f"{t}__{col_}_{f}"))
     outs = []

@@ -41,7 +41,7 @@ FLAGSHIP_SPEC = {
 
 
 def flagship_slices() -> list[agg.Slice]:
-    status = [agg.Slice(t, F.col("o_orderstatus") == F.lit(v)) for t, v in FLAGSHIP_STATUS.items()]
+    status = [agg.eq_slice(t, "o_orderstatus", v) for t, v in FLAGSHIP_STATUS.items()]
     windows = agg.window_slices("o_days", FLAGSHIP_WINDOWS)
     out = [agg.ALL, *windows]
     for s in status:

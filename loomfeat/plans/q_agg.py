@@ -41,7 +41,7 @@ def q_share(spark, d):
     o = fx.bureau(spark, d)
     values = agg.category_domain(o, "o_orderpriority")
     spec = {"o_orderpriority": [(f"share_{agg.sanitize(v)}", aggfns.agg_share(v)) for v in values]}
-    slices = [agg.ALL, agg.Slice("opn", F.col("o_orderstatus") == "O")]
+    slices = [agg.ALL, agg.eq_slice("opn", "o_orderstatus", "O")]
     return agg.aggregate(o, "o_custkey", spec, slices, prefix="ord_")
 
 
@@ -199,7 +199,7 @@ def q_collision(spark, d):
 def q_rank_quantiles(spark, d):
     """A6/A12 with hot-key-safe exact quantiles: per customer and status slice, via ranks."""
     o = fx.bureau(spark, d)
-    slices = [agg.ALL, agg.Slice("opn", F.col("o_orderstatus") == "O")]
+    slices = [agg.ALL, agg.eq_slice("opn", "o_orderstatus", "O")]
     return agg.aggregate(o, "o_custkey", {"o_totalprice": ["median", "iqr"], "o_days": ["median"]}, slices, prefix="q_", quantile_mode="rank")
 
 

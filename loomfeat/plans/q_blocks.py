@@ -131,3 +131,32 @@ def q_k_scoring(spark, d):
 def q_modular(spark, d):
     """The modular feature set, every block materialised and joined onto the customer spine."""
     return blocks.modular_main(spark, d)
+
+
+@query("b01_load_split")
+def q_load_split(spark, d):
+    """B1: labelled rows split 90/10 by key hash and tagged 1/0, unlabelled rows tagged -1, one frame."""
+    from loomfeat.sources import fixtures as fx
+
+    docs = fx.labelled_docs(spark, d)
+    main, _y_train, _y_test = blocks.load_split(
+        docs.where(F.col("quality").isNotNull()), docs.where(F.col("quality").isNull()), "doc_id", "quality"
+    )
+    return main
+
+
+@query("b50_gini_scoring")
+def q_gini_scoring(spark, d):
+    """Scoring on a prebuilt wide table (written, then read back), labels joined by key (Q19),
+    normalised Gini of the out-of-fold scores."""
+    from loomfeat.operators import columns as cols
+    from loomfeat.session import scratch_dir
+
+    wide = kernel.application(spark, d)
+    path = scratch_dir(spark, "wide-application")
+    wide.drop("target").write.mode("overwrite").parquet(path)
+    prebuilt = spark.read.parquet(path)
+    labels = wide.select("c_custkey", "target")
+    feats = [c for c in cols.numeric_columns(prebuilt) if c != "c_custkey"]
+    gini, _oof, _test, _imp = kernel.gini_scoring(prebuilt, labels, "c_custkey", "target", feats)
+    return gini
