@@ -37,6 +37,12 @@ def q_balance_unpruned(spark, d):
     return blocks.balance_block(spark, d, corr_threshold=None)
 
 
+@query("b22_instalment_block_unpruned")
+def q_instalment_unpruned(spark, d):
+    """B22-B28 without F1."""
+    return blocks.instalment_block(spark, d, corr_threshold=None)
+
+
 @query("b29_pos_block_unpruned")
 def q_pos_unpruned(spark, d):
     """B29-B34 without F1."""

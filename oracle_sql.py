@@ -1186,6 +1186,81 @@ def q_pos_block() -> str:
     )
 
 
+
+def out_type(fn: str, src: str) -> str:
+    """SQL type Spark gives an aggregate (mirror of ``typed``)."""
+    if fn in COUNT_FNS:
+        return "BIGINT"
+    if fn in DOUBLE_FNS or src == "double":
+        return "REAL"
+    if fn == "sum":
+        return "BIGINT"
+    return "INTEGER" if src == "int" else "BIGINT"
+
+
+def fill0(name: str, typ: str, src: str | None = None) -> str:
+    e = f"coalesce({src or name}, 0)"
+    return f"{f32(e)} AS {name}" if typ == "REAL" else f"CAST({e} AS {typ}) AS {name}"
+
+
+def q_instalment_block() -> str:
+    global RAW
+    RAW = True
+    try:
+        mu_cte, lk_body = last_k_sql("r", "o_custkey", INS_SPEC, INS_TYPES, INS_K, ["i_version", "late_days", "over_amount"], lambda k, c, f: f"last_{k}_{c}_{f}")
+        trends = [f"{trend_sql(c, 'rn - 1', f'rn <= {k}')} AS trend_{k}_{c}" for k in [10, 50, 100, 500] for c in ["late_days", "over_amount"]]
+        basic_cols = {"i_due": "double", "i_paid": "double", "i_days_paid": "int", "i_days_due": "int", "l_linenumber": "int", "i_version": "int"}
+        six = ["mean", "min", "max", "median", "sum", "std"]
+        bsel, bnames = [], []
+        for c, t in basic_cols.items():
+            for fn in six:
+                bsel.append(f"{fagg(fn, c, None, None, t)} AS ins_{c}_{fn}")
+                bnames.append((f"ins_{c}_{fn}", out_type(fn, t)))
+        nine = ["sum", "mean", "median", "min", "max", "std", "iqr", "skew", "kurt"]
+        for c, t in [("late_days", "int"), ("over_amount", "double")]:
+            for fn in nine:
+                bsel.append(f"{fagg(fn, c, None, 'mu_' + c, t)} AS {c}_{fn}")
+                bnames.append((f"{c}_{fn}", out_type(fn, t)))
+        for c in ["paid_late", "paid_over"]:
+            for fn in ["sum", "mean", "count"]:
+                bsel.append(f"{fagg(fn, c, None, None, 'int')} AS {c}_{fn}")
+                bnames.append((f"{c}_{fn}", out_type(fn, "int")))
+        psel, pnames = [], []
+        for c in ["pay_long", "pay_long_amount"]:
+            for fn in ["min", "median", "max", "mean", "sum", "std"]:
+                psel.append(f"{typed(fn, agg_sql(fn, c), 'double')} AS ins_{c}_{fn}")
+                pnames.append((f"ins_{c}_{fn}", "REAL"))
+    finally:
+        RAW = False
+    lknames = [(f"last_{k}_{c}_{fn}", out_type(fn, INS_TYPES[c])) for k in INS_K for c, fns in INS_SPEC.items() for fn in fns]
+    trnames = [(f"trend_{k}_{c}", "REAL") for k in [10, 50, 100, 500] for c in ["late_days", "over_amount"]]
+    frac = []
+    for s_, l_ in [(5, 20), (5, 50), (10, 100)]:
+        for c, fns in INS_SPEC.items():
+            for fn in fns:
+                a, b = f"CAST(lk.last_{s_}_{c}_{fn} AS DOUBLE)", f"CAST(lk.last_{l_}_{c}_{fn} AS DOUBLE)"
+                frac.append((f"last_{s_}by{l_}_fraction_{c}_{fn}", f"CASE WHEN abs({b}) < 1e-9 THEN 0.0 ELSE {a} / {b} END"))
+    final = ["bs.o_custkey AS c_custkey"]
+    final += [fill0(n, t, f"bs.{n}") for n, t in bnames]
+    final += [fill0(n, t, f"pl.{n}") for n, t in pnames]
+    final += [fill0(n, t, f"lk.{n}") for n, t in lknames]
+    final += [fill0(n, t, f"lk.{n}") for n, t in trnames]
+    final += [f"{f32(f'coalesce({e}, 0)')} AS {n}" for n, e in frac]
+    return (
+        f"WITH {INS_ROWS}, {INS_RANK}{mu_cte}, "
+        f"lk0 AS ({lk_body}), tr AS (SELECT o_custkey, {', '.join(trends)} FROM r GROUP BY o_custkey), "
+        "lk AS (SELECT lk0.*, tr.* EXCLUDE (o_custkey) FROM lk0 JOIN tr ON lk0.o_custkey = tr.o_custkey), "
+        "im AS (SELECT *, avg(late_days) OVER (PARTITION BY o_custkey) AS mu_late_days, avg(over_amount) OVER (PARTITION BY o_custkey) AS mu_over_amount FROM i), "
+        f"bs AS (SELECT o_custkey, {', '.join(bsel)} FROM im GROUP BY o_custkey), "
+        + DEDUP_FIRST + ", "
+        "n AS (SELECT *, CAST(coalesce(LEAD(l_linenumber) OVER (PARTITION BY o_custkey, l_orderkey ORDER BY l_linenumber, i_version, i_paid) "
+        "- l_linenumber, 1) AS DOUBLE) AS pay_long FROM d), "
+        "q AS (SELECT o_custkey, pay_long, i_paid * pay_long AS pay_long_amount FROM n), "
+        f"pl AS (SELECT o_custkey, {', '.join(psel)} FROM q GROUP BY o_custkey) "
+        f"SELECT {', '.join(final)} FROM bs LEFT JOIN pl ON bs.o_custkey = pl.o_custkey LEFT JOIN lk ON bs.o_custkey = lk.o_custkey"
+    )
+
+
 ORACLES = {
     "flagship_order_activity": q_flagship,
     "a22_naive_slices": q_flagship,
@@ -1252,6 +1327,7 @@ ORACLES = {
     "b10_balance_block_unpruned": q_balance_block,
     "b04_bureau_block_unpruned": q_bureau_block,
     "b29_pos_block_unpruned": q_pos_block,
+    "b22_instalment_block_unpruned": q_instalment_block,
 }
 
 
