@@ -37,6 +37,12 @@ def q_balance_unpruned(spark, d):
     return blocks.balance_block(spark, d, corr_threshold=None)
 
 
+@query("b14_card_block_unpruned")
+def q_card_unpruned(spark, d):
+    """B14-B21 without F1."""
+    return blocks.card_block(spark, d, corr_threshold=None)
+
+
 @query("b22_instalment_block_unpruned")
 def q_instalment_unpruned(spark, d):
     """B22-B28 without F1."""

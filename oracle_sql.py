@@ -1261,6 +1261,86 @@ def q_instalment_block() -> str:
     )
 
 
+
+def q_card_block() -> str:
+    global RAW
+    rows = (
+        POS_ROWS + ", c AS (SELECT user_id AS sk_id_curr, event_type AS sk_id_prev, ts, event_id, e_days AS months_balance, "
+        "value AS amt_balance, value * 2 AS amt_credit_limit_actual, CASE WHEN value < 5 THEN NULL ELSE value - 5 END AS amt_drawings_current, "
+        "CASE WHEN event_type = 'purchase' THEN value ELSE 0.0 END AS amt_payment_total_current, sk_dpd AS cnt_drawings_current, "
+        "sk_dpd, sk_dpd_def FROM p), "
+        "dv AS (SELECT *, amt_credit_limit_actual - amt_balance AS amt_balance_diff, "
+        "amt_drawings_current / nullif(1 + amt_credit_limit_actual, 0) AS amt_credit_ratio, "
+        "amt_balance / nullif(1 + amt_credit_limit_actual, 0) AS amt_balance_ratio FROM c)"
+    )
+    feats = {"amt_balance": "double", "amt_credit_limit_actual": "double", "amt_drawings_current": "double",
+             "amt_payment_total_current": "double", "cnt_drawings_current": "int", "amt_balance_diff": "double",
+             "amt_credit_ratio": "double", "amt_balance_ratio": "double"}
+    six = ["mean", "min", "max", "median", "sum", "std"]
+    slices = [("all", None), ("using", "amt_payment_total_current <> 0"), ("1_year", "months_balance >= -12"), ("2_year", "months_balance >= -24")]
+    RAW = True
+    try:
+        l1, l1types = [], {}
+        for tag, w in slices:
+            for c, t in feats.items():
+                for fn in six:
+                    n = f"{tag}__{c}_{fn}"
+                    l1.append(f'{fagg(fn, c, w, None, t)} AS "{n}"')
+                    ot = out_type(fn, t)
+                    l1types[n] = {"REAL": "double", "INTEGER": "int", "BIGINT": "bigint"}[ot]
+    finally:
+        RAW = False
+    final_cols = []  # (name, type, source expr in the joined frame)
+    l2 = {}
+    for tag, _ in slices:
+        sel = []
+        for n, t in l1types.items():
+            if not n.startswith(f"{tag}__"):
+                continue
+            for fn in six:
+                name = f"card_{n.replace('__', '_', 1)}_{fn}"
+                sel.append(f"{typed(fn, agg_sql(fn, chr(34) + n + chr(34)), t)} AS {name}")
+                final_cols.append((name, out_type(fn, t), f"s_{tag}.{name}"))
+        l2[tag] = f"s_{tag} AS (SELECT sk_id_curr, {', '.join(sel)} FROM l1 GROUP BY sk_id_curr)"
+    sk_sel, sk_names = [], []
+    for c in ["sk_dpd_flag", "sk_dpd_def_flag"]:
+        for fn in ["mean", "sum", "count"]:
+            sk_sel.append(f"{typed(fn, agg_sql(fn, c), 'int')} AS card_{c}_{fn}")
+            sk_names.append((f"card_{c}_{fn}", out_type(fn, "int"), f"sk.card_{c}_{fn}"))
+    for c in ["sk_out", "sk_dpd_def", "sk_dpd"]:
+        for fn in ["median", "mean", "sum", "max", "std"]:
+            sk_sel.append(f"{typed(fn, agg_sql(fn, c), 'double')} AS card_{c}_{fn}")
+            sk_names.append((f"card_{c}_{fn}", "REAL", f"sk.card_{c}_{fn}"))
+    use_names = [
+        ("card_first_time_months_balance_min_mean", "REAL", "us.a"), ("card_first_time_months_balance_min_max", "INTEGER", "us.b"),
+        ("card_first_time_delay_mean_mean", "REAL", "us.c"), ("card_first_time_delay_mean_max", "REAL", "us.d"),
+        ("card_use_flag_mean", "REAL", "uf.m"), ("card_use_flag_sum", "BIGINT", "uf.s"), ("card_use_flag_count", "BIGINT", "uf.n"),
+        ("creditcard_amt_drawings_current_miss_times", "BIGINT", "ms.x"),
+    ]
+    allcols = sk_names + use_names + final_cols
+    return (
+        f"WITH {rows}, l1 AS (SELECT sk_id_curr, sk_id_prev, {', '.join(l1)} FROM dv GROUP BY sk_id_curr, sk_id_prev), "
+        + ", ".join(l2.values()) + ", "
+        "ms AS (SELECT sk_id_curr, CASE WHEN count_if(amt_drawings_current IS NULL) > 0 THEN count_if(amt_drawings_current IS NULL) END AS x FROM c GROUP BY 1), "
+        "skr AS (SELECT sk_id_curr, CAST(sk_dpd AS DOUBLE) AS sk_dpd, CAST(sk_dpd_def AS DOUBLE) AS sk_dpd_def, "
+        "CAST(sk_dpd - sk_dpd_def AS DOUBLE) AS sk_out, CASE WHEN sk_dpd > 0 THEN 1 ELSE 0 END AS sk_dpd_flag, "
+        "CASE WHEN sk_dpd_def > 0 THEN 1 ELSE 0 END AS sk_dpd_def_flag FROM c), "
+        f"sk AS (SELECT sk_id_curr, {', '.join(sk_sel)} FROM skr GROUP BY 1), "
+        "lg AS (SELECT *, LAG(amt_balance) OVER (PARTITION BY sk_id_curr, sk_id_prev ORDER BY ts, event_id) AS pv FROM c), "
+        "us0 AS (SELECT sk_id_curr, sk_id_prev, months_balance, coalesce(amt_drawings_current, amt_balance) AS delay, "
+        "CASE WHEN amt_balance - pv > 0 THEN 1 ELSE 0 END AS use_flag FROM lg), "
+        "fu AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY sk_id_curr, sk_id_prev ORDER BY months_balance DESC, delay DESC) AS rn "
+        "FROM us0 WHERE use_flag <> 0) WHERE rn = 1), "
+        "us AS (SELECT sk_id_curr, avg(months_balance) AS a, max(months_balance) AS b, avg(delay) AS c, max(delay) AS d FROM fu GROUP BY 1), "
+        "uf AS (SELECT sk_id_curr, avg(use_flag) AS m, sum(use_flag) AS s, count(use_flag) AS n FROM us0 GROUP BY 1), "
+        "sp AS (SELECT DISTINCT sk_id_curr FROM c) "
+        "SELECT sp.sk_id_curr, " + ", ".join(fill0(n, t, e) for n, t, e in allcols)
+        + " FROM sp LEFT JOIN ms ON sp.sk_id_curr = ms.sk_id_curr LEFT JOIN sk ON sp.sk_id_curr = sk.sk_id_curr "
+        "LEFT JOIN us ON sp.sk_id_curr = us.sk_id_curr LEFT JOIN uf ON sp.sk_id_curr = uf.sk_id_curr "
+        + " ".join(f"LEFT JOIN s_{tag} ON sp.sk_id_curr = s_{tag}.sk_id_curr" for tag, _ in slices)
+    )
+
+
 ORACLES = {
     "flagship_order_activity": q_flagship,
     "a22_naive_slices": q_flagship,
@@ -1328,6 +1408,7 @@ ORACLES = {
     "b04_bureau_block_unpruned": q_bureau_block,
     "b29_pos_block_unpruned": q_pos_block,
     "b22_instalment_block_unpruned": q_instalment_block,
+    "b14_card_block_unpruned": q_card_block,
 }
 
 
