@@ -311,21 +311,27 @@ def missing_counts(
 ) -> DataFrame:
     """Per key, number of rows where a column is NULL, for columns that have any NULL.
 
-    One global one-row pass finds the columns with a NULL (``only_with_nulls``),
-    then one grouped pass counts. A key without NULL gets NULL (it is absent in
-    the reference's per-column join); fill later where the reference does.
+    One grouped pass counts the NULLs of every candidate column per key; the
+    small per-key result is checkpointed and tells which columns have a NULL
+    at all (no second scan of the child table). A key without NULL gets NULL
+    (it is absent in the reference's per-column join); fill later where the
+    reference does.
     """
     columns = [c for c in (columns or df.columns) if c != key]
-    if only_with_nulls and columns:
-        row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
-        columns = [c for c in columns if row[c] > 0]
     if not columns:
         return df.select(key).distinct()
+    names = {c: f"{prefix}{c}{suffix}" for c in columns}
     exprs = []
     for c in columns:
         n = F.count_if(F.col(c).isNull())
-        exprs.append(F.when(n > 0, n).alias(f"{prefix}{c}{suffix}"))
-    return df.groupBy(key).agg(*exprs)
+        exprs.append(F.when(n > 0, n).alias(names[c]))
+    per_key = df.groupBy(key).agg(*exprs)
+    if not only_with_nulls:
+        return per_key
+    per_key = per_key.checkpoint()
+    row = per_key.agg(*[F.count(F.col(f"`{names[c]}`")).alias(c) for c in columns]).first()
+    keep = [names[c] for c in columns if row[c] > 0]
+    return per_key.select(key, *[F.col(f"`{n}`") for n in keep])
 
 
 def ratio_of_totals(

@@ -49,7 +49,9 @@ def exact_sample(df: DataFrame, n: int, key: str | Sequence[str], seed: int = 42
     """Exactly ``n`` rows, repeatable: the ``n`` smallest ``xxhash64(key, seed)``.
 
     Planned as a distributed top-k (TakeOrderedAndProject): each task keeps at
-    most ``n`` rows, no global sort.
+    most ``n`` rows, no global sort; the final merge holds ``n`` rows per input
+    task, so this is for debug-sized samples (the reference's 10,000 rows). For
+    a large share of a table use ``fraction_sample`` (no shuffle at all).
     """
     keys = [key] if isinstance(key, str) else list(key)
     h = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
