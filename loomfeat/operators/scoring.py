@@ -50,13 +50,16 @@ def prefix_rank(df: DataFrame, partition: Sequence[str], order: Sequence[str], n
     putting a whole group in one task.
 
     Rows are range-partitioned on (partition, order): a large group spans many
-    tasks. Each task's row count per group is aggregated (one row per task and
-    group), turned into offsets by a window over that small table, and added
-    to a local row number.
+    tasks. The partitioned rows are checkpointed, so the task id of every row
+    is fixed. Each task's row count per group is aggregated (one row per task
+    and group), turned into offsets by a window over that small table, and
+    added to a local row number.
     """
     keys = [*partition, *order]
     n = num_partitions or _range_partitions(df)
-    r = df.repartitionByRange(n, *[F.col(c) for c in keys]).withColumn("__pid", F.spark_partition_id())
+    # materialised once: both branches below must see the same task of every row (a re-run
+    # could coalesce or re-split partitions differently under AQE)
+    r = df.repartitionByRange(n, *[F.col(c) for c in keys]).withColumn("__pid", F.spark_partition_id()).checkpoint()
     counts = r.groupBy("__pid", *partition).agg(F.count(F.lit(1)).alias("__cnt"))
     wo = Window.partitionBy(*partition).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(wo), F.lit(0))).drop("__cnt")
@@ -91,7 +94,7 @@ def _cumulative(df: DataFrame, group: Sequence[str], order: str, cols: Sequence[
     """Exclusive prefix sums of ``cols`` over ``order`` within ``group`` (range-partitioned)."""
     n = _range_partitions(df)
     o = F.col(order).desc() if descending else F.col(order).asc()
-    r = df.repartitionByRange(n, *[F.col(g) for g in group], o).withColumn("__pid", F.spark_partition_id())
+    r = df.repartitionByRange(n, *[F.col(g) for g in group], o).withColumn("__pid", F.spark_partition_id()).checkpoint()
     tot = r.groupBy("__pid", *group).agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
     wo = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select("__pid", *group, *[F.coalesce(F.sum(f"__t_{c}").over(wo), F.lit(0.0)).alias(f"__o_{c}") for c in cols])

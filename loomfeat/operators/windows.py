@@ -31,16 +31,40 @@ def _orders(order: Sequence[Column | str]) -> list[Column]:
 # ------------------------------------------------------------------ W1 / W2
 
 
-def lag_within(df: DataFrame, partition: Sequence[str], order: Sequence[Column | str], column: str, name: str, offset: int = 1) -> DataFrame:
-    """Previous row's value within (entity, loan), in an explicit total order."""
-    w = Window.partitionBy(*partition).orderBy(*_orders(order))
-    return df.withColumn(name, F.lag(F.col(column), offset).over(w))
+def _shift_within(df, partition, order, column, name, offset, method):
+    if method == "window":
+        w = Window.partitionBy(*partition).orderBy(*_orders(order))
+        fn = F.lag if offset > 0 else F.lead
+        return df.withColumn(name, fn(F.col(column), abs(offset)).over(w))
+    # "rank": distributed row numbers (a long sequence spans many tasks), then an
+    # equi-join on (partition, rank + offset): the triples are unique, no hot key
+    from loomfeat.operators.scoring import prefix_rank
+
+    order_cols = [o for o in order if isinstance(o, str)]
+    if len(order_cols) != len(order):
+        raise ValueError("method='rank' needs column names as the order")
+    ranked = prefix_rank(df, list(partition), order_cols, name="__pos")
+    other = ranked.select(*partition, (F.col("__pos") + F.lit(offset)).alias("__pos"), F.col(column).alias(name))
+    return ranked.join(other, [*partition, "__pos"], "left").drop("__pos")
+
+
+def lag_within(
+    df: DataFrame, partition: Sequence[str], order: Sequence[Column | str], column: str, name: str, offset: int = 1, method: str = "window"
+) -> DataFrame:
+    """Previous row's value within (entity, loan), in an explicit total order.
+
+    ``method="window"`` sorts each (entity, loan) sequence in one task (fine at
+    loan granularity); ``method="rank"`` never does: ranks come from
+    ``scoring.prefix_rank`` and the previous row is found by an equi-join.
+    """
+    return _shift_within(df, partition, order, column, name, offset, method)
 
 
-def lead_within(df: DataFrame, partition: Sequence[str], order: Sequence[Column | str], column: str, name: str, offset: int = 1) -> DataFrame:
-    """Next row's value within (entity, loan)."""
-    w = Window.partitionBy(*partition).orderBy(*_orders(order))
-    return df.withColumn(name, F.lead(F.col(column), offset).over(w))
+def lead_within(
+    df: DataFrame, partition: Sequence[str], order: Sequence[Column | str], column: str, name: str, offset: int = 1, method: str = "window"
+) -> DataFrame:
+    """Next row's value within (entity, loan); ``method`` as in ``lag_within``."""
+    return _shift_within(df, partition, order, column, name, -offset, method)
 
 
 # ------------------------------------------------------------------ W9 / W10

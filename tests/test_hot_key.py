@@ -74,3 +74,15 @@ def test_rank_quantiles_equal_map_quantiles(skewed):
     hot = pdf[pdf.k == 0]
     assert rb[0]["x_median"] == pytest.approx(hot.x.median())
     assert rb[0]["x_iqr"] == pytest.approx(hot.x.quantile(0.75) - hot.x.quantile(0.25))
+
+
+def test_lag_lead_rank_method_equals_window(skewed):
+    pdf, df = skewed
+    from loomfeat.operators import windows as win
+
+    for fn in (win.lag_within, win.lead_within):
+        a = fn(df, ["k"], ["t"], "x", "prev", method="window").select("k", "t", "prev")
+        b = fn(df, ["k"], ["t"], "x", "prev", method="rank").select("k", "t", "prev")
+        ra = {(r["k"], r["t"]): r["prev"] for r in a.collect()}
+        rb = {(r["k"], r["t"]): r["prev"] for r in b.collect()}
+        assert ra == rb
