@@ -174,3 +174,17 @@ def q_lag(spark, d):
         (F.col("value") - F.col("prev_value")).alias("value_change"),
         flag_gt(F.col("value") - F.col("prev_value"), 0).alias("use_flag"),
     )
+
+
+@query("w1_lag_usage_rank")
+def q_lag_rank(spark, d):
+    """W1 via distributed ranks and an equi-join (no (user, loan) sequence sorted in one task)."""
+    rows = pos_rows(spark, d).select("user_id", "event_type", "ts", "event_id", "value")
+    lagged = win.lag_within(rows, ["user_id", "event_type"], ["ts", "event_id"], "value", "prev_value", method="rank")
+    return lagged.select(
+        "event_id",
+        "user_id",
+        F.coalesce(F.col("prev_value"), F.col("value")).alias("prev_value_filled"),
+        (F.col("value") - F.col("prev_value")).alias("value_change"),
+        flag_gt(F.col("value") - F.col("prev_value"), 0).alias("use_flag"),
+    )

@@ -1409,6 +1409,7 @@ ORACLES = {
     "b29_pos_block_unpruned": q_pos_block,
     "b22_instalment_block_unpruned": q_instalment_block,
     "b14_card_block_unpruned": q_card_block,
+    "w1_lag_usage_rank": q_lag,
 }
 
 
