@@ -140,7 +140,8 @@ def aggregate(
     namer: Callable[[str, str, str, str], str] = default_namer,
     size_name: str | None = None,
     extra: Sequence[Column] = (),
-    quantile_mode: str = "map",
+    quantile_mode: str = "auto",
+    rank_threshold: int = 2_000_000,
 ) -> DataFrame:
     """One fused grouped aggregate over all slices.
 
@@ -152,9 +153,17 @@ def aggregate(
     ``percentile`` (a value -> count map per group, merged in one task per
     group: fine while a group's distinct values fit a task); ``"rank"`` uses
     ``quantiles.exact_quantiles`` (range-partitioned ranks, a hot group spans
-    many tasks), for keys that may hold a large share of all rows.
+    many tasks), for keys that may hold a large share of all rows; ``"auto"``
+    (default) looks at the largest group first (one partial-aggregated pass
+    over the keys) and takes ``"rank"`` when it exceeds ``rank_threshold`` rows.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    wants_q = any(f in ("median", "iqr") for fns in spec.values() for f in fns)
+    if quantile_mode == "auto":
+        quantile_mode = "map"
+        if wants_q:
+            largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+            quantile_mode = "rank" if largest > rank_threshold else "map"
     side_fns = {"nunique"} | ({"median", "iqr"} if quantile_mode == "rank" else set())
     rest = {c: [f for f in fns if f not in side_fns] for c, fns in spec.items()}
     rest = {c: fns for c, fns in rest.items() if fns}

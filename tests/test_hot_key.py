@@ -86,3 +86,15 @@ def test_lag_lead_rank_method_equals_window(skewed):
         ra = {(r["k"], r["t"]): r["prev"] for r in a.collect()}
         rb = {(r["k"], r["t"]): r["prev"] for r in b.collect()}
         assert ra == rb
+
+
+def test_auto_quantile_mode_switches_on_large_groups(skewed):
+    pdf, df = skewed
+    spec = {"x": ["median", "iqr"]}
+    small = agg.aggregate(df, "k", spec, rank_threshold=10)  # the hot key exceeds 10 rows -> rank path
+    big = agg.aggregate(df, "k", spec, rank_threshold=10**9)  # -> percentile buffers
+    ra = {r["k"]: (r["x_median"], r["x_iqr"]) for r in small.collect()}
+    rb = {r["k"]: (r["x_median"], r["x_iqr"]) for r in big.collect()}
+    assert ra.keys() == rb.keys()
+    for k in ra:
+        assert ra[k] == pytest.approx(rb[k])
