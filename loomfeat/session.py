@@ -18,9 +18,21 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # many small groups with exact median/percentile: stay hash-based longer
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+    # AQE merges small shuffle partitions up to this size and splits skewed ones
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
 
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 * 1024, minimum: int = 200) -> int:
+    """A starting ``spark.sql.shuffle.partitions`` for a job reading ``input_bytes``.
+
+    Sized so that a shuffle partition of the widest stage stays near
+    ``target_bytes`` before AQE coalescing (100 TB -> about 400k partitions);
+    AQE then merges the small ones to the advisory size.
+    """
+    return max(minimum, -(-int(input_bytes) // int(target_bytes)))
+
+
 def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "loomfeat") -> SparkSession:
     """Build (or reuse) a session. Used by tests, bench and examples."""
     builder = (
