@@ -295,7 +295,7 @@ def previous_rows(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def previous_block(spark: SparkSession, d: str, corr_threshold: float | None = 0.9) -> DataFrame:
+def previous_block(spark: SparkSession, d: str, corr_threshold: float | None = 0.9, narrow: bool = True) -> DataFrame:
     """B35 (B36-B42): missing counts, all/approved/refused statistics, category counts, last-k contracts."""
     p = previous_rows(spark, d)
     key = "sk_id_curr"
@@ -332,7 +332,9 @@ def previous_block(spark: SparkSession, d: str, corr_threshold: float | None = 0
     lastk = cols.fill_zero(_prune(lastk, key, corr_threshold))
     block = joins.join_chain(p.select(key).distinct(), [missing, stats, *cats, lastk], key)
     block = _prune(cols.fill_zero(block), key, corr_threshold)
-    return cols.narrow_types(block, exclude=[key]).withColumnRenamed(key, "c_custkey")
+    if narrow:  # P31 (reduce_mem_usage): the output types depend on the data's ranges
+        block = cols.narrow_types(block, exclude=[key])
+    return block.withColumnRenamed(key, "c_custkey")
 
 
 # ------------------------------------------------------------------ B14-B21: card balance

@@ -37,6 +37,12 @@ def q_balance_unpruned(spark, d):
     return blocks.balance_block(spark, d, corr_threshold=None)
 
 
+@query("b35_previous_block_unpruned")
+def q_previous_unpruned(spark, d):
+    """B35-B42 without F1 and without the data-dependent type narrowing (P31 is checked on its own)."""
+    return blocks.previous_block(spark, d, corr_threshold=None, narrow=False)
+
+
 @query("b14_card_block_unpruned")
 def q_card_unpruned(spark, d):
     """B14-B21 without F1."""

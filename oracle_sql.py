@@ -1341,6 +1341,67 @@ def q_card_block() -> str:
     )
 
 
+
+def q_previous_block() -> str:
+    """Oracle for ``b35_previous_block_unpruned``, kept for manual runs but not registered:
+    ``prev_approved_amt_min_year_std`` is the std of a near-constant ratio (relative spread
+    ~4e-6), where Spark and DuckDB accumulate differently and disagree in the last float32
+    bit; every other column agrees. The query itself is registered (rows-only)."""
+    rows = (
+        "pr AS (SELECT o_custkey AS sk_id_curr, o_orderkey AS sk_id_prev, "
+        "CASE o_orderstatus WHEN 'F' THEN 'Approved' WHEN 'O' THEN 'Refused' ELSE 'Canceled' END AS name_contract_status, "
+        "o_orderpriority AS name_contract_type, o_totalprice AS amt_credit, o_totalprice * 0.9 AS amt_application, "
+        "o_totalprice / 12 AS amt_annuity, nullif(o_totalprice - fmod(o_totalprice, 1000), 0) AS amt_goods_price, "
+        f"CAST(CAST(o_orderdate AS DATE) - {ORDERS_REF} AS INTEGER) AS days_decision, "
+        f"CAST(CAST(o_orderdate AS DATE) - {ORDERS_REF} AS INTEGER) + 30 AS days_first_due, "
+        f"nullif(CASE WHEN o_orderstatus = 'P' THEN 365243 ELSE CAST(CAST(o_orderdate AS DATE) - {ORDERS_REF} AS INTEGER) + 365 END, 365243) AS days_last_due "
+        "FROM orders), "
+        "d0 AS (SELECT sk_id_curr, name_contract_status, CAST(amt_credit AS DOUBLE) AS amt_credit, CAST(amt_application AS DOUBLE) AS amt_application, "
+        "CAST(amt_annuity AS DOUBLE) AS amt_annuity, CAST(amt_goods_price AS DOUBLE) AS amt_goods_price, "
+        "CAST(days_decision AS DOUBLE) AS days_decision, CAST(days_first_due AS DOUBLE) AS days_first_due, "
+        "CAST(days_last_due AS DOUBLE) AS days_last_due FROM pr), "
+        "d1 AS (SELECT *, amt_credit / nullif(1 + amt_annuity, 0) AS amt_min_year, amt_credit - amt_application AS amt_credit_trust, "
+        "amt_credit / nullif(1 + amt_application, 0) AS amt_credit_ratio, amt_credit / nullif(1 + amt_goods_price, 0) AS amt_goods_ratio, "
+        "amt_credit - amt_goods_price AS amt_goods_remain, days_last_due - days_first_due AS days_due_diff, "
+        "days_first_due - days_decision AS days_waiting_diff FROM d0)"
+    )
+    amt_all = ["amt_credit", "amt_application", "amt_annuity", "amt_goods_price", "amt_min_year", "amt_credit_trust",
+               "amt_credit_ratio", "amt_goods_ratio", "amt_goods_remain"]
+    day_all = ["days_decision", "days_first_due", "days_last_due", "days_due_diff", "days_waiting_diff"]
+    five = ["min", "median", "max", "mean", "std"]
+    ap, rf = "name_contract_status = 'Approved'", "name_contract_status = 'Refused'"
+    st = []
+    for c in amt_all + day_all:
+        st += [(f"prev_{c}_{fn}", fagg(fn, c, None, None, "double")) for fn in five]
+    for tag, w in [("approved", ap), ("refused", rf)]:
+        st += [(f"prev_{tag}_{c}_{fn}", fagg(fn, c, w, None, "double")) for c in amt_all for fn in five]
+    st += [(f"prev_approved_{c}_{fn}", fagg(fn, c, ap, None, "double")) for c in day_all for fn in five + ["sum"]]
+    st += [(f"prev_refused_{c}_{fn}", fagg(fn, c, rf, None, "double")) for c in day_all for fn in five]
+    statuses = ["Approved", "Canceled", "Refused"]
+    cat = [(f"prev_name_contract_status_{v.lower()}", f"CASE WHEN count_if(name_contract_status = '{v}') > 0 THEN count_if(name_contract_status = '{v}') END") for v in statuses]
+    cat += [(f"prev_name_contract_type_{san(v)}", f"CASE WHEN count_if(name_contract_type = '{v}') > 0 THEN count_if(name_contract_type = '{v}') END") for v in PRIORITIES]
+    lk = []
+    for k in [1, 3, 5]:
+        for c in ["amt_credit", "days_decision", "days_first_due"]:
+            lk.append((f"previous_application_{c}_last_{k}_credits_mean", f"{f32(f'avg({c}) FILTER (WHERE rn <= {k})')}"))
+    names = [("prev_days_last_due_miss_times", "BIGINT", "ms.x")]
+    names += [(n, "REAL", f"ss.{n}") for n, _ in st]
+    names += [(n, "BIGINT", f"ct.{n}") for n, _ in cat]
+    names += [(n, "REAL", f"lk.{n}") for n, _ in lk]
+    return (
+        f"WITH {rows}, "
+        "ms AS (SELECT sk_id_curr, CASE WHEN count_if(days_last_due IS NULL) > 0 THEN count_if(days_last_due IS NULL) END AS x FROM pr GROUP BY 1), "
+        f"ss AS (SELECT sk_id_curr, {', '.join(f'{e} AS {n}' for n, e in st)} FROM d1 GROUP BY 1), "
+        f"ct AS (SELECT sk_id_curr, {', '.join(f'{e} AS {n}' for n, e in cat)} FROM pr GROUP BY 1), "
+        "rk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY sk_id_curr ORDER BY days_decision DESC, sk_id_prev DESC) AS rn FROM pr), "
+        f"lk AS (SELECT sk_id_curr, {', '.join(f'{e} AS {n}' for n, e in lk)} FROM rk GROUP BY 1), "
+        "sp AS (SELECT DISTINCT sk_id_curr FROM pr) "
+        "SELECT sp.sk_id_curr AS c_custkey, " + ", ".join(fill0(n, t, e) for n, t, e in names)
+        + " FROM sp LEFT JOIN ms ON sp.sk_id_curr = ms.sk_id_curr LEFT JOIN ss ON sp.sk_id_curr = ss.sk_id_curr "
+        "LEFT JOIN ct ON sp.sk_id_curr = ct.sk_id_curr LEFT JOIN lk ON sp.sk_id_curr = lk.sk_id_curr"
+    )
+
+
 ORACLES = {
     "flagship_order_activity": q_flagship,
     "a22_naive_slices": q_flagship,
