@@ -100,8 +100,8 @@ def corr_pairs_gram(df: DataFrame, columns: Sequence[str], shift: bool = True) -
         return pd.DataFrame({"__one": [1], "__blob": [total.tobytes()]})
 
     # tree reduction: per-task matrices are summed in parallel buckets first
-    nparts = max(1, sel.rdd.getNumPartitions())
-    buckets = max(1, int(np.sqrt(nparts)))
+    # about sqrt(parallelism) buckets: each reducer sums that many per-task blobs
+    buckets = max(1, int(np.sqrt(sel.sparkSession.sparkContext.defaultParallelism)))
     lvl1 = (
         parts.withColumn("__b", F.pmod(F.monotonically_increasing_id(), F.lit(buckets)))
         .groupBy("__b")
