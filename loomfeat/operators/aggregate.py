@@ -259,6 +259,9 @@ def two_level(
     """
     inner = [inner] if isinstance(inner, str) else list(inner)
     lvl1 = aggregate(df, [outer, *inner], inner_spec, namer=inner_namer)
+    if any(f in ("median", "iqr") for f in outer_fns):
+        # level 2 first checks its group sizes (quantile plan choice): read level 1 once
+        lvl1 = lvl1.checkpoint()
     lvl1_cols = [c for c in lvl1.columns if c not in (outer, *inner)]
     spec2 = {c: list(outer_fns) for c in lvl1_cols}
     return aggregate(lvl1, outer, spec2, prefix=prefix, namer=outer_namer)
