@@ -4,24 +4,37 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from loomfeat.functions.exprs import nan_to_null
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType | str | None = None, fmt: str | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str | None = None,
+    fmt: str | None = None,
+    where: Column | str | None = None,
+) -> DataFrame:
     """Scan a table with an explicit schema (CSV with header, or Parquet).
 
-    Floating NaN values are turned into NULL at ingest (rule N8).
+    Floating NaN values are turned into NULL at ingest (rule N8). A filter
+    written on top of that projection is no longer pushed into the Parquet
+    reader (it becomes an expression over the scrub), so row filters belong in
+    ``where``: it is applied to the raw columns first, where Spark pushes it
+    into the scan, and once more after the scrub, which drops rows whose NaN
+    became NULL. The result equals filtering the scrubbed table.
     """
     fmt = fmt or ("csv" if path.endswith(".csv") or path.endswith("/csv") else "parquet")
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.option("header", "true").csv(path) if fmt == "csv" else reader.parquet(path)
-    return scrub_nan(df)
+    if where is None:
+        return scrub_nan(df)
+    return scrub_nan(df.where(where)).where(where)
 
 
 def scrub_nan(df: DataFrame) -> DataFrame:
