@@ -68,8 +68,11 @@ def propagate_label(child: DataFrame, labels: DataFrame, key: str, label: str) -
 
 
 def lookup(df: DataFrame, dictionary: DataFrame, on: str | Sequence[str], max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Left join of a per-category dictionary, broadcast when its size is bounded."""
-    return df.join(bounded_broadcast(dictionary, max_rows), on, "left")
+    """Left join of a per-category dictionary, broadcast when its size is bounded.
+
+    The dictionary is materialised once, so the size check does not recompute it.
+    """
+    return df.join(bounded_broadcast(dictionary.checkpoint(), max_rows), on, "left")
 
 
 def dedupe_columns(left: DataFrame, right: DataFrame, on: str | Sequence[str], suffix: str = "_y") -> DataFrame:
