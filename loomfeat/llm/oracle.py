@@ -24,3 +24,23 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_
   coalesce(h.n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 """
+
+ORACLES["op4_mix"] = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+    md5(coalesce(doc_id::VARCHAR, '')) AS k FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS ss, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rk FROM d GROUP BY source),
+w AS (SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][(rk % 3 + 1)::INT] AS wt FROM s),
+f AS (SELECT *, 2.0::DOUBLE * ss AS bound, 2.0::DOUBLE * ss / wt AS fill, 1.5::DOUBLE * sum(ss) OVER () AS total FROM w),
+l AS (
+  SELECT *, (total - coalesce(sum(bound) OVER p, 0)) / (sum(wt) OVER () - coalesce(sum(wt) OVER p, 0)) AS lvl FROM f
+  WINDOW p AS (ORDER BY fill, rk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (
+  SELECT source, ss, least(bound, coalesce((SELECT max(lvl) FROM l WHERE lvl <= fill) * wt, bound)) AS target FROM l),
+c AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY k, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS st FROM d)
+SELECT c.doc_id, c.size, t.ss AS source_size, t.target,
+  (least(greatest(floor(t.target)::BIGINT - c.st, 0), c.size)
+   + least(greatest(floor(t.target)::BIGINT - t.ss - c.st, 0), c.size))::BIGINT AS taken
+FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source
+"""

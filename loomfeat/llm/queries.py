@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomfeat.llm import decontaminate
+from loomfeat.llm import decontaminate, mixing, quality, toxicity
 from loomfeat.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,3 +20,18 @@ def query(fn):
 @query
 def op3_decontaminate(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_mix(spark, sf_dir):
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_quality(spark, sf_dir):
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_toxicity(spark, sf_dir):
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
