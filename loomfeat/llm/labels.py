@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from loomfeat.llm.common import col
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, training, per_class: int, max_chars: int) -> list[tuple[bytes, int]]:
-    """At most ``per_class`` texts of each label 0/1, drawn in hash order of the id.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, training, per_class: tuple[int, int], max_chars: int) -> list[tuple[bytes, int]]:
+    """At most ``per_class[y]`` texts of each label y (0, 1), drawn in hash order of the id.
 
     Only rows whose id fulfils ``training`` are drawn, and of those only texts of up to
     ``max_chars`` characters: the two bounds hold the sample to a fixed size for any input.
@@ -20,7 +20,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, training, pe
     out: list[tuple[bytes, int]] = []
     for y in (0, 1):
         # twice as many ids as rows wanted: some are of texts too long or missing
-        ids = marked.where(F.col("y") == y).select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(2 * per_class)
-        rows = texts.join(F.broadcast(ids), "id").orderBy(F.xxhash64("id"), "id", F.md5(F.col("t").cast("binary"))).limit(per_class).select(F.col("t").cast("binary").alias("t")).collect()
+        ids = marked.where(F.col("y") == y).select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(2 * per_class[y])
+        rows = texts.join(F.broadcast(ids), "id").orderBy(F.xxhash64("id"), "id", F.md5(F.col("t").cast("binary"))).limit(per_class[y]).select(F.col("t").cast("binary").alias("t")).collect()
         out += [(bytes(r.t), y) for r in rows]
     return out

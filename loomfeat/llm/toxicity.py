@@ -103,56 +103,67 @@ class Model:
         return np.where(counts > 0, p, self.empty)
 
 
-def train(sample: list[tuple[bytes, int]], dim: int = 8, steps: int = 120, rate: float = 0.02, gain: float = 200.0, seed: int = 9) -> Model:
-    """Fit vectors and softmax jointly by Adam on the whole sample, then place the threshold.
+def train(sample: list[tuple[bytes, int]], share: float, dim: int = 8, epochs: int = 25, batches: int = 12, rate: float = 0.03, gain: float = 100.0, decay: float = 3e-4, seed: int = 9) -> Model:
+    """Fit vectors and softmax jointly by Adam on mini-batches, then place the threshold.
 
-    A fifth of the sample is left out of the fit; the bias is moved so that a score of 0.5
-    separates it best. Without both labels every score is 0, or 1 if all labels are 1.
+    ``share`` is the share of label 1 among all labelled rows, to which the sample is
+    reweighted. A fifth of the sample is left out of the fit; the bias is moved so that a
+    score of 0.5 separates it with the fewest errors. Without both labels every score is
+    0, or 1 if all labels are 1.
     """
     y = np.array([label for _, label in sample], np.int64)
     if len(set(y.tolist())) < 2:
-        share = float(y.mean()) if len(y) else 0.0
-        return Model(np.zeros(1 << BITS), 40.0 if share == 1 else -40.0, share)
-    bags = [bag(t) for t, _ in sample]
-    doc = np.repeat(np.arange(len(bags)), [len(b) for b, _ in bags])
-    idx, val = np.concatenate([b for b, _ in bags]), np.concatenate([v for _, v in bags]) * gain
+        only = float(y.mean()) if len(y) else 0.0
+        return Model(np.zeros(1 << BITS), 40.0 if only == 1 else -40.0, only)
     rng = np.random.default_rng(seed)
     fit = rng.permutation(len(y)) % 5 != 0
-    use = fit[doc]
-    fdoc, fidx, fval = doc[use], idx[use], val[use]
-    target = np.stack([1 - y, y], 1).astype(np.float64)
-    weight = np.where(fit, 1.0 / np.bincount(y[fit], minlength=2)[y] / 2, 0.0)
+    order = rng.permutation(len(y))
+    order = np.concatenate([order[fit[order]], order[~fit[order]]])
+    y, n_fit = y[order], int(fit.sum())
+    bags = [bag(sample[i][0]) for i in order]
+    edge = np.cumsum([0] + [len(b) for b, _ in bags])
+    idx, val = np.concatenate([b for b, _ in bags]), np.concatenate([v for _, v in bags]) * np.float32(gain)
+    doc = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(edge))
+    prior = np.where(y == 1, share, 1 - share) / np.bincount(y, minlength=2)[y]
+    weight = np.sqrt(prior / np.bincount(y, minlength=2)[y])  # between the labels' shares and equal parts
     vectors = rng.normal(0, 0.01, (1 << BITS, dim))
     softmax = rng.normal(0, 0.3, (dim, 2))
     bias = np.zeros(2)
     params, state = [vectors, softmax, bias], [[0.0, 0.0] for _ in range(3)]
-    for step in range(1, steps + 1):
-        # with two classes the errors of a row are opposite, so both passes need one column
-        part = vectors @ (softmax[:, 1] - softmax[:, 0])
-        logit = np.bincount(fdoc, fval * part[fidx], len(y)) + bias[1] - bias[0]
-        error = (1 / (1 + np.exp(-np.clip(logit, -50, 50))) - target[:, 1]) * weight
-        back = np.bincount(fidx, fval * error[fdoc], 1 << BITS)
-        inner = vectors.T @ back
-        grads = [np.outer(back, softmax[:, 1] - softmax[:, 0]) + 1e-7 * vectors, np.stack([-inner, inner], 1), np.array([-error.sum(), error.sum()])]
-        for p, g, s in zip(params, grads, state):
-            s[0] = 0.9 * s[0] + 0.1 * g
-            s[1] = 0.99 * s[1] + 0.01 * g * g
-            p -= rate * (s[0] / (1 - 0.9**step)) / (np.sqrt(s[1] / (1 - 0.99**step)) + 1e-8)
+    cuts = np.linspace(0, n_fit, batches + 1).astype(int)
+    step = 0
+    for epoch in range(epochs):
+        for b in rng.permutation(batches):
+            step += 1
+            i, j = cuts[b], cuts[b + 1]
+            at = slice(edge[i], edge[j])
+            own, bucket, x = doc[at] - i, idx[at], val[at]
+            # with two classes the errors of a row are opposite, so both passes need one column
+            part = vectors @ (softmax[:, 1] - softmax[:, 0])
+            logit = np.bincount(own, x * part[bucket], j - i) + bias[1] - bias[0]
+            error = (1 / (1 + np.exp(-np.clip(logit, -50, 50))) - y[i:j]) * weight[i:j] / weight[i:j].sum()
+            back = np.bincount(bucket, x * error[own], 1 << BITS)
+            inner = vectors.T @ back
+            grads = [np.outer(back, softmax[:, 1] - softmax[:, 0]) + decay * vectors, np.stack([-inner, inner], 1), np.array([-error.sum(), error.sum()])]
+            lr = rate * (1 - epoch / epochs)
+            for p, g, s in zip(params, grads, state):
+                s[0] = 0.9 * s[0] + 0.1 * g
+                s[1] = 0.99 * s[1] + 0.01 * g * g
+                p -= lr * (s[0] / (1 - 0.9**step)) / (np.sqrt(s[1] / (1 - 0.99**step)) + 1e-8)
     part = vectors @ (softmax[:, 1] - softmax[:, 0])
-    logit = np.bincount(doc, val * part[idx], len(y)) + bias[1] - bias[0]
-    return Model(part * gain, float(bias[1] - bias[0]) - threshold(logit[~fit], y[~fit]), 0.0)
+    at = slice(edge[n_fit], None)
+    logit = np.bincount(doc[at] - n_fit, val[at] * part[idx[at]], len(y) - n_fit) + bias[1] - bias[0]
+    return Model(part * gain, float(bias[1] - bias[0]) - threshold(logit, y[n_fit:], prior[n_fit:]), 0.0)
 
 
-def threshold(logit: np.ndarray, y: np.ndarray) -> float:
-    """The cut between two neighbouring logits with the fewest errors per label (0 if one label)."""
+def threshold(logit: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
+    """The cut between two neighbouring logits with the least weight of errors (0 if one label)."""
     if len(set(y.tolist())) < 2:
         return 0.0
     order = np.argsort(logit, kind="stable")
-    s, ones = logit[order], y[order]
-    missed = np.cumsum(ones) / ones.sum()
-    wrong = 1 - np.cumsum(1 - ones) / (1 - ones).sum()
-    cost = (missed + wrong)[:-1]
-    best = np.flatnonzero(cost == cost.min())
+    s, ones, w = logit[order], y[order], weight[order]
+    cost = (np.cumsum(w * ones) + (w * (1 - ones)).sum() - np.cumsum(w * (1 - ones)))[:-1]
+    best = np.flatnonzero(cost <= cost.min() * (1 + 1e-9))
     i = best[np.argmax(s[best + 1] - s[best])]
     return float((s[i] + s[i + 1]) / 2)
 
@@ -168,9 +179,14 @@ def score_toxicity(docs: DataFrame, model: Model, keep: list[str], text_col: str
     return map_docs(docs, keep, {"t": col(text_col)}, run, [T.StructField("score", T.DoubleType())])
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 2_000, max_chars: int = 20_000) -> Model:
-    """Train on at most ``2 * per_class`` labelled rows that are not held out."""
-    return train(labelled_sample(docs, labels, "toxic", lambda i: ~held_out(i, 5, 0), per_class, max_chars))
+def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = (4_500, 1_500), max_chars: int = 12_000) -> Model:
+    """Train on at most ``sum(per_class)`` labelled rows that are not held out.
+
+    The share of label 1 is counted over all of them.
+    """
+    training = lambda i: ~held_out(i, 5, 0)
+    share = labels.where(training(col("doc_id")) & F.col("toxic").isin(0, 1)).agg(F.avg("toxic")).first()[0]
+    return train(labelled_sample(docs, labels, "toxic", training, per_class, max_chars), float(share or 0.0))
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
