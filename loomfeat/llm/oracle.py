@@ -44,3 +44,18 @@ SELECT c.doc_id, c.size, t.ss AS source_size, t.target,
    + least(greatest(floor(t.target)::BIGINT - t.ss - c.st, 0), c.size))::BIGINT AS taken
 FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source
 """
+
+ORACLES["op7_jaccard"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all({_LOWER.format('text')}, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS p
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.p = b.p AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT o.a, o.b FROM o JOIN n x ON x.doc_id = o.a JOIN n y ON y.doc_id = o.b WHERE 100 * o.c >= 80 * (x.n + y.n - o.c)),
+r AS (SELECT a AS doc_id, a AS c FROM (SELECT DISTINCT a FROM l) UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.doc_id),
+m AS (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(m.c, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomfeat.llm import decontaminate, mixing, quality, toxicity
+from loomfeat.llm import decontaminate, jaccard, mixing, quality, toxicity
 from loomfeat.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,8 @@ def op5_quality(spark, sf_dir):
 @query
 def op9_toxicity(spark, sf_dir):
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_jaccard(spark, sf_dir):
+    return jaccard.classes(table(spark, sf_dir, "documents"))
