@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomfeat.llm import decontaminate, jaccard, mixing, quality, toxicity
+from loomfeat.llm import decontaminate, jaccard, mixing, quality, suffix_dedup, toxicity
 from loomfeat.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,8 @@ def op9_toxicity(spark, sf_dir):
 @query
 def op7_jaccard(spark, sf_dir):
     return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
