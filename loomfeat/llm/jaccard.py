@@ -117,11 +117,10 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) ->
             sets = shingles(as_bytes(texts), k)
             digests = [[mixed(s.view(np.uint64) ^ np.uint64(c)).sum(dtype=np.uint64) for s in sets] for c in (0x51ED270B, 0xC2B2AE3D27D4EB4F)]
             prefix = [s[: len(s) - least_overlap(len(s), percent) + 1] if len(s) else s for s in sets]
-            offsets = np.cumsum([0] + [len(p) for p in prefix]).astype(np.int32)
             yield [
                 pa.array([len(s) for s in sets], pa.int32()),
                 *[pa.array(np.array(d, np.uint64).view(np.int64)) for d in digests],
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*prefix, np.zeros(0, np.int64)]))),
+                _ragged(prefix),
             ]
 
     fields = [T.StructField("n", T.IntegerType()), T.StructField("s1", T.LongType()), T.StructField("s2", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType()))]
@@ -129,14 +128,52 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) ->
     return out.select(F.col("doc._id").alias("id"), "n", "s1", "s2", "prefix")
 
 
+def _costly(rows: DataFrame, list_rows: int, hot_tokens: int) -> DataFrame:
+    """The tokens that more than ``list_rows`` rows hold; if too many to send, those of the longest lists."""
+    counted = rows.groupBy("token").count().where(F.col("count") > list_rows)
+    return materialise(counted.orderBy(F.desc("count"), "token").limit(hot_tokens).select("token"), "hot-tokens")
+
+
+def _lists(docs: DataFrame, ids: DataFrame, hot: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """(id, n, full, first, tail, base) of documents with costly tokens.
+
+    ``first``: their first cheap tokens, as many as a plain prefix has; all if there are
+    fewer, and then ``full`` is set and ``base`` is the plain prefix. ``tail``: those of
+    ``first`` behind the plain prefix.
+    """
+    known = docs.sparkSession.sparkContext.broadcast(np.sort(np.array([r.token for r in hot.collect()], np.int64)))
+
+    def run(batches):
+        for (texts,) in batches:
+            hots, out = known.value, [[], [], [], [], []]
+            for s in shingles(as_bytes(texts), k):
+                width = len(s) - least_overlap(len(s), percent) + 1 if len(s) else 0
+                at = np.minimum(np.searchsorted(hots, s), max(0, len(hots) - 1))
+                cheap = s[hots[at] != s] if len(hots) else s
+                first, full = cheap[:width], len(cheap) < width
+                row = (len(s), full, first, first[first > s[width - 1]] if width else first, s[: width * full])
+                for c, v in zip(out, row):
+                    c.append(v)
+            yield [pa.array(out[0], pa.int32()), pa.array(out[1], pa.bool_()), *[_ragged(c) for c in out[2:]]]
+
+    wanted = with_ids(docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("t")), ids, "left_semi")
+    longs = T.ArrayType(T.LongType())
+    fields = [T.StructField("n", T.IntegerType()), T.StructField("full", T.BooleanType()), *[T.StructField(c, longs) for c in ("first", "tail", "base")]]
+    out = map_docs(wanted, ["id"], {"t": F.col("t")}, run, fields)
+    return out.where("n > 0").select(F.col("doc.id").alias("id"), *[f.name for f in fields])
+
+
+def _ragged(arrays: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0] + [len(x) for x in arrays]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*arrays, np.zeros(0, np.int64)])))
+
+
 def _tokens(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     """(id, tokens) of the documents with the given ids, from their texts."""
 
     def run(batches):
         for (texts,) in batches:
-            sets = shingles(as_bytes(texts), k)
-            offsets = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
-            yield [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*sets, np.zeros(0, np.int64)])))]
+            yield [_ragged(shingles(as_bytes(texts), k))]
 
     wanted = with_ids(docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("t")), ids, "left_semi")
     out = map_docs(wanted, ["id"], {"t": F.col("t")}, run, [T.StructField("tokens", T.ArrayType(T.LongType()))])
@@ -180,7 +217,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k:
     return both.where(shared * 100 >= (F.size("ta") + F.size("tb") - shared) * percent).select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, list_rows: int = 64) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, list_rows: int = 64, hot_tokens: int = 500_000) -> DataFrame:
     """(id, n_shingles, component_id) for every row of ``docs``.
 
     component_id is the smallest id that links reach, the row's own included. A null,
@@ -197,28 +234,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = with_ids(keyed.select("id", "n", "prefix"), copies.select("id").distinct(), "left_anti")
 
     base = reps.select(F.explode("prefix").alias("token"), "id", "n")
-    hot = materialise(base.groupBy("token").count().where(F.col("count") > list_rows).select("token"), "hot-tokens")
+    hot = _costly(base, list_rows, hot_tokens)
     costly = materialise(with_ids(base, hot, "left_semi", "token").select("id").distinct(), "costly")
-    plain = with_ids(reps, costly, "left_anti").select(F.explode("prefix").alias("token"), "id", "n", F.lit(False).alias("full"))
-    rows, saturated = plain, None
+    rows = with_ids(reps, costly, "left_anti").select(F.explode("prefix").alias("token"), "id", "n", F.lit(False).alias("full"))
+    saturated = None
     if not costly.isEmpty():
-        full = with_ids(reps.select("id", "n"), costly, "left_semi").distinct().join(_tokens(docs, costly, id_col, text_col, k).distinct(), "id")
-        full = materialise(full.where(F.size("tokens") == F.col("n")), "costly-sets")
         while True:
-            # the first tokens that are not costly, as many as a plain prefix has; all if fewer
-            here = with_ids(full.select(F.explode("tokens").alias("token"), "id"), hot, "left_semi", "token").groupBy("id").agg(F.collect_list("token").alias("hot"))
-            width = (F.col("n") - _least(F.col("n"), percent) + 1).cast("int")
-            cheap = full.join(here, "id", "left").select("id", "n", F.array_except("tokens", F.coalesce("hot", F.array().cast("array<bigint>"))).alias("cheap"))
-            lists = materialise(cheap.select("id", "n", (F.size("cheap") < width).alias("full"), F.slice("cheap", F.lit(1), width).alias("first")), "lists")
-            longer = lists.select(F.explode("first").alias("token"), "id", "n", "full")
-            more = materialise(longer.groupBy("token").count().where(F.col("count") > list_rows).select("token"), "hot-tokens")
-            if more.isEmpty():
+            lists = materialise(_lists(docs, costly, hot, id_col, text_col, k, percent), "lists")
+            # tokens that only the longer prefixes hold may be costly themselves
+            more = _costly(lists.select(F.explode("tail").alias("token")), list_rows, hot_tokens)
+            grown = hot.union(more).distinct()
+            if more.isEmpty() or hot.count() >= hot_tokens:
                 break
-            hot = materialise(hot.union(more).distinct(), "hot-tokens")
-        rows = plain.union(longer)
-        saturated = with_ids(full, materialise(lists.where("full").select("id").distinct(), "saturated"), "left_semi").select(
-            F.explode(F.slice("tokens", F.lit(1), width)).alias("token"), "id", "n", F.lit(False).alias("full")
-        )
+            hot = materialise(grown, "hot-tokens")
+        rows = rows.union(lists.select(F.explode("first").alias("token"), "id", "n", "full"))
+        saturated = lists.where("full").select(F.explode("base").alias("token"), "id", "n", F.lit(False).alias("full"))
         saturated = materialise(saturated, "saturated-rows")
     pairs = _pairs(rows, percent, "not (x.full and y.full)")
     if saturated is not None:
