@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomfeat.llm import decontaminate, jaccard, mixing, quality, suffix_dedup, toxicity
+from loomfeat.llm import balltree, conversations, decontaminate, jaccard, langid, mixing, quality, suffix_dedup, toxicity, urls
 from loomfeat.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,23 @@ def op7_jaccard(spark, sf_dir):
 @query
 def op6_suffix_dedup(spark, sf_dir):
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_balltree(spark, sf_dir):
+    return balltree.top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op10_langid(spark, sf_dir):
+    return langid.predicted(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_quotations(spark, sf_dir):
+    return conversations.reply_ordered(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op8_urls(spark, sf_dir):
+    return urls.judged(table(spark, sf_dir, "pages"))

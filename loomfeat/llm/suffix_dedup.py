@@ -279,7 +279,8 @@ def _counted_marks(stretches: DataFrame, window: int) -> DataFrame:
 def repeats(texts: DataFrame, window: int = 400, group_rows: int = 400, batch_bytes: int = 256 << 10) -> DataFrame:
     """(id, k, spans): the byte ranges, unmerged, that repeated windows of a text cover."""
     owned = materialise(_owned(texts, window), "anchors")
-    again = owned.groupBy("anchor").count().where("count > 1").select("anchor")
+    # written first, so that the join below has plain exchanges on both sides and splits hot anchors
+    again = materialise(owned.groupBy("anchor").count().where("count > 1").select("anchor"), "again")
     owned = materialise(owned.join(again, "anchor"), "repeated-anchors").select(*_OWNED.names)
     kinds = materialise(
         owned.groupBy("anchor", "span").agg(F.count("*").alias("number"), F.min(F.struct("id", "k", "first", "last")).alias("one")).select("anchor", "span", "number", "one.*"), "stretches"
