@@ -131,7 +131,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) ->
 def _costly(rows: DataFrame, list_rows: int, hot_tokens: int) -> DataFrame:
     """The tokens that more than ``list_rows`` rows hold; if too many to send, those of the longest lists."""
     counted = rows.groupBy("token").count().where(F.col("count") > list_rows)
-    return materialise(counted.orderBy(F.desc("count"), "token").limit(hot_tokens).select("token"), "hot-tokens")
+    return materialise(counted.orderBy(F.desc("count"), "token").limit(hot_tokens), "hot-tokens")
 
 
 def _lists(docs: DataFrame, ids: DataFrame, hot: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
@@ -235,21 +235,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     base = reps.select(F.explode("prefix").alias("token"), "id", "n")
     hot = _costly(base, list_rows, hot_tokens)
-    costly = materialise(with_ids(base, hot, "left_semi", "token").select("id").distinct(), "costly")
+    costly = materialise(with_ids(base, hot.select("token"), "left_semi", "token").select("id").distinct(), "costly")
     rows = with_ids(reps, costly, "left_anti").select(F.explode("prefix").alias("token"), "id", "n", F.lit(False).alias("full"))
     saturated = None
     if not costly.isEmpty():
         while True:
             lists = materialise(_lists(docs, costly, hot, id_col, text_col, k, percent), "lists")
-            # tokens that only the longer prefixes hold may be costly themselves
+            # tokens that only the longer prefixes hold may be costly themselves; their lists
+            # are lengthened again until the pairs in them are few for the rows
             more = _costly(lists.select(F.explode("tail").alias("token")), list_rows, hot_tokens)
-            grown = hot.union(more).distinct()
-            if more.isEmpty() or hot.count() >= hot_tokens:
+            cost = more.agg(F.sum(F.col("count") * F.col("count"))).first()[0] or 0
+            if cost <= list_rows * (lists.agg(F.sum(F.size("first"))).first()[0] or 0) or hot.count() >= hot_tokens:
                 break
-            hot = materialise(grown, "hot-tokens")
+            hot = materialise(hot.union(more).distinct(), "hot-tokens")
         rows = rows.union(lists.select(F.explode("first").alias("token"), "id", "n", "full"))
-        saturated = lists.where("full").select(F.explode("base").alias("token"), "id", "n", F.lit(False).alias("full"))
-        saturated = materialise(saturated, "saturated-rows")
+        saturated = materialise(lists.where("full").select("id", "n", "base"), "saturated")
     pairs = _pairs(rows, percent, "not (x.full and y.full)")
     if saturated is not None:
         pairs = pairs.union(_to_smallest(saturated, percent))
@@ -260,7 +260,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     joined = materialise(components(links), "components")
     rest = _across(pairs, joined)
     if saturated is not None:
-        rest = rest.union(_across_lists(saturated, joined, percent)).distinct()
+        rest = rest.union(_across_families(saturated, joined, percent)).distinct()
     rest = materialise(rest.join(first, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         links = links.union(_verified(rest, docs, *check))
@@ -272,8 +272,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return sets.join(placed, "id", "left").select("id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.least(F.coalesce("component", "id"), "id")).otherwise(F.col("id")).alias("component_id"))
 
 
-def _to_smallest(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of each row with the smallest id of its token's list, if they share enough."""
+def _to_smallest(saturated: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each document with the smallest one of its prefix lists, if they share enough."""
+    rows = saturated.select(F.explode("base").alias("token"), "id", "n")
     least = rows.groupBy("token").agg(F.min(F.struct("id", "n")).alias("m"))
     joined = rows.join(least, "token").where("m.id < id").groupBy(F.col("m.id").alias("a"), F.col("id").alias("b"), F.col("m.n").alias("na"), F.col("n").alias("nb")).agg(F.count("*").alias("shared"))
     reach = F.greatest(_least(F.col("na"), percent), _least(F.col("nb"), percent))
@@ -288,20 +289,55 @@ def _across(pairs: DataFrame, joined: DataFrame) -> DataFrame:
     return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
-def _across_lists(rows: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
-    """Pairs of saturated documents in different components: those outside a list's largest
-    component against the whole list."""
-    at = rows.join(joined.withColumnRenamed("vertex", "id"), "id", "left").select("token", "id", "n", F.coalesce("component", "id").alias("c"))
-    at = materialise(at, "placed-rows")
-    largest = at.groupBy("token", "c").count().groupBy("token").agg(F.max_by("c", F.struct("count", "c")).alias("big"), F.count("*").alias("kinds")).where("kinds > 1")
-    split = at.join(largest.select("token", "big"), "token")
-    x, y = split.where("c <> big").alias("x"), split.alias("y")
-    near = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
-    # of two outside the largest, the smaller id meets the larger
-    once = (F.col("y.c") == F.col("y.big")) | (F.col("x.id") < F.col("y.id"))
-    joined_rows = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.c") != F.col("y.c")) & near & once)
-    counted = joined_rows.groupBy(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"), (F.col("x.n") + F.col("y.n")).alias("n"), F.greatest("x.n", "y.n").alias("most")).agg(F.count("*").alias("shared"))
-    return counted.where(F.col("shared") >= _needed(F.col("n"), F.lit(0), _least(F.col("most"), percent), percent)).select("a", "b")
+def _across_families(saturated: DataFrame, joined: DataFrame, percent: int, block: int = 256) -> DataFrame:
+    """Pairs of saturated documents in different components that share enough of their prefixes.
+
+    Prefix lists that share a document make a family; a link never leaves one. Of a family
+    the documents outside its largest component (few: heavier variants of a large group)
+    are compared to all of it, block by block, so that no row is made for a mere pair.
+    """
+    rows = saturated.select(F.explode("base").alias("token"), "id")
+    least = rows.groupBy("token").agg(F.min("id").alias("m"))
+    family = components(rows.join(least, "token").where("m < id").select(F.col("m").alias("a"), F.col("id").alias("b")).distinct())
+    placed = saturated.join(family.select(F.col("vertex").alias("id"), F.col("component").alias("family")), "id")
+    placed = placed.join(joined.select(F.col("vertex").alias("id"), F.col("component").alias("c")), "id", "left").withColumn("c", F.coalesce("c", "id"))
+    placed = materialise(placed, "families")
+    sizes = placed.groupBy("family", "c").count().groupBy("family").agg(
+        F.max_by("c", F.struct("count", "c")).alias("big"), F.max("count").alias("most"), F.sum("count").alias("all"), F.count("*").alias("kinds")
+    )
+    sizes = sizes.where("kinds > 1").select("family", "big", F.ceil((F.col("all") - F.col("most")) / block).alias("na"), F.ceil(F.col("all") / block).alias("nb"))
+    sizes = materialise(sizes, "family-sizes")
+    own = placed.join(sizes, "family")
+    spread = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
+    cells = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    few = materialise(own.where("c <> big").select("family", spread("na").alias("x"), cells("nb").alias("y"), "id", "n", "c", "base"), "few")
+    all_ = materialise(own.select("family", cells("na").alias("x"), spread("nb").alias("y"), "id", "n", "c", "base"), "all")
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if left.num_rows and right.num_rows:
+            sides = []
+            known = np.unique(left["base"].combine_chunks().flatten().to_numpy())
+            for t in (left, right):
+                lists = t["base"].combine_chunks()
+                tokens = lists.flatten().to_numpy()
+                row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+                at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
+                there = known[at] == tokens
+                m = np.zeros((len(lists), len(known)), np.float32)
+                m[row[there], at[there]] = 1
+                sides.append((m, t["id"].to_numpy(), t["n"].to_numpy().astype(np.int64), t["c"].to_numpy()))
+            (ma, ia, na, ca), (mb, ib, nb, cb) = sides
+            shared = ma @ mb.T
+            whole = -(-percent * (na[:, None] + nb[None, :]) // (100 + percent))
+            reach = np.maximum(-(-percent * na // 100)[:, None], -(-percent * nb // 100)[None, :])
+            near = np.minimum(na[:, None], nb[None, :]) * 100 >= np.maximum(na[:, None], nb[None, :]) * percent
+            i, j = np.nonzero((shared >= np.maximum(whole - reach + 1, 1)) & near & (ca[:, None] != cb[None, :]))
+            a, b = np.minimum(ia[i], ib[j]), np.maximum(ia[i], ib[j])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    keys = ["family", "x", "y"]
+    return few.groupBy(*keys).cogroup(all_.groupBy(*keys)).applyInArrow(compare, "a long, b long").distinct()
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
