@@ -16,9 +16,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomfeat.llm.common import col
+from loomfeat.llm.common import col, materialise
 
 QUOTED = r"^\s*>"
+ANY_QUOTE = r"(?m)^[ \t]*>"
 #: Turns of a conversation that one window looks at together.
 TURNS = 1024
 
@@ -35,10 +36,14 @@ def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
 
-def _own_lines(lines: Column) -> Column:
-    """Lines that are neither quotes nor the attribution (``... wrote:``) right above one."""
-    after = lambda i: F.coalesce(F.get(lines, i + 1).rlike(QUOTED), F.lit(False))
-    return F.filter(lines, lambda x, i: ~x.rlike(QUOTED) & ~(x.rlike(r"\S.*:\s*$") & after(i)))
+def _own(text: Column) -> Column:
+    """The text without quotes and without the attributions (``... wrote:``) right above them."""
+    lines = F.split(text, r"\r?\n")
+    # each line beside the next one, so that a lambda looks at one row of the array only
+    pairs = F.arrays_zip(lines.alias("a"), F.slice(lines, 2, F.greatest(F.size(lines), F.lit(1))).alias("b"))
+    keep = lambda p: ~p["a"].rlike(QUOTED) & ~(p["a"].rlike(r"\S.*:\s*$") & F.coalesce(p["b"].rlike(QUOTED), F.lit(False)))
+    kept = F.array_join(F.transform(F.filter(pairs, keep), lambda p: p["a"]), "\n")
+    return F.when(text.rlike(ANY_QUOTE), F.regexp_replace(F.regexp_replace(kept, r"\n{3,}", "\n\n"), r"^\s+|\s+$", "")).otherwise(text)
 
 
 def _previous_turn(messages: DataFrame) -> DataFrame:
@@ -62,13 +67,13 @@ def link_quotations(messages: DataFrame, conv_col: str = "conv_id", turn_col: st
     rows that share conversation and turn are parts of one message for its readers.
     """
     m = messages.select(F.struct("*").alias("doc"), col(conv_col).alias("c"), col(turn_col).cast("long").alias("n"), col(text_col).alias("t"))
-    m = m.withColumn("lines", F.split("t", r"\r?\n")).withColumn("h", F.md5(F.col("t").cast("binary")))
-    m = m.withColumn("own", F.array_join(_own_lines(F.col("lines")), "\n")).withColumn("own", F.regexp_replace("own", r"\n{3,}", "\n\n"))
-    m = m.withColumn("own", F.trim(F.col("own"))).withColumn("depth", F.coalesce(F.array_max(F.transform("lines", _level)), F.lit(0)))
+    depth = F.when(F.col("t").rlike(ANY_QUOTE), F.array_max(F.transform(F.split("t", r"\r?\n"), _level))).otherwise(F.lit(0))
+    m = m.select("doc", "c", "n", "t", F.md5(F.col("t").cast("binary")).alias("h"), _own(F.col("t")).alias("own"), F.coalesce(depth, F.lit(0)).alias("depth"))
+    m = materialise(m, "messages")  # read by several branches below
 
     # passages of messages that quote, each with its units: the whole (rank 0) and its lines
-    quoting = m.where("depth > 0 and c is not null and n is not null").select("c", "n", "h", "lines").dropDuplicates(["c", "n", "h"])
-    line = quoting.select("c", "n", "h", F.posexplode("lines").alias("pos", "line")).withColumn("level", _level(F.col("line")))
+    quoting = m.where("depth > 0 and c is not null and n is not null").select("c", "n", "h", "t").dropDuplicates(["c", "n", "h"])
+    line = quoting.select("c", "n", "h", F.posexplode(F.split("t", r"\r?\n")).alias("pos", "line")).withColumn("level", _level(F.col("line")))
     message = Window.partitionBy("c", "n", "h").orderBy("pos")
     line = line.withColumn("new", (F.col("level") != F.coalesce(F.lag("level").over(message), F.lit(-1))).cast("int"))
     line = line.withColumn("passage", F.sum("new").over(message)).where("level > 0").withColumn("body", _body(F.col("line")))

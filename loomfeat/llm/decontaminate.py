@@ -41,7 +41,7 @@ def suffix_array(seq: np.ndarray, bits: int) -> np.ndarray:
     alive = np.ones(n, bool)
     for d in range(width):
         sym = np.zeros(n, np.int64)
-        sym[: n - d] = seq[d:]
+        sym[: max(0, n - d)] = seq[d:]
         key = (key << bits) | np.where(alive, sym, 0)
         alive &= sym != 0
     sa = np.argsort(key, kind="stable")
