@@ -122,8 +122,12 @@ def train(sample: list[tuple[bytes, int]], share: float, dim: int = 8, epochs: i
     y, n_fit = y[order], int(fit.sum())
     bags = [bag(sample[i][0]) for i in order]
     edge = np.cumsum([0] + [len(b) for b, _ in bags])
-    idx, val = np.concatenate([b for b, _ in bags]), np.concatenate([v for _, v in bags]) * np.float32(gain)
-    doc = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(edge))
+    idx, val = np.empty(edge[-1], np.int32), np.empty(edge[-1], np.float32)
+    for i in range(len(bags)):  # one copy at a time: the driver holds the sample once
+        idx[edge[i] : edge[i + 1]], val[edge[i] : edge[i + 1]] = bags[i]
+        bags[i] = None
+    val *= np.float32(gain)
+    owner = lambda i, j: np.repeat(np.arange(j - i, dtype=np.int32), np.diff(edge[i : j + 1]))
     prior = np.where(y == 1, share, 1 - share) / np.bincount(y, minlength=2)[y]
     weight = np.sqrt(prior / np.bincount(y, minlength=2)[y])  # between the labels' shares and equal parts
     vectors = rng.normal(0, 0.01, (1 << BITS, dim))
@@ -137,7 +141,7 @@ def train(sample: list[tuple[bytes, int]], share: float, dim: int = 8, epochs: i
             step += 1
             i, j = cuts[b], cuts[b + 1]
             at = slice(edge[i], edge[j])
-            own, bucket, x = doc[at] - i, idx[at], val[at]
+            own, bucket, x = owner(i, j), idx[at], val[at]
             # with two classes the errors of a row are opposite, so both passes need one column
             part = vectors @ (softmax[:, 1] - softmax[:, 0])
             logit = np.bincount(own, x * part[bucket], j - i) + bias[1] - bias[0]
@@ -152,7 +156,7 @@ def train(sample: list[tuple[bytes, int]], share: float, dim: int = 8, epochs: i
                 p -= lr * (s[0] / (1 - 0.9**step)) / (np.sqrt(s[1] / (1 - 0.99**step)) + 1e-8)
     part = vectors @ (softmax[:, 1] - softmax[:, 0])
     at = slice(edge[n_fit], None)
-    logit = np.bincount(doc[at] - n_fit, val[at] * part[idx[at]], len(y) - n_fit) + bias[1] - bias[0]
+    logit = np.bincount(owner(n_fit, len(y)), val[at] * part[idx[at]], len(y) - n_fit) + bias[1] - bias[0]
     return Model(part * gain, float(bias[1] - bias[0]) - threshold(logit, y[n_fit:], prior[n_fit:]), 0.0)
 
 
@@ -179,7 +183,7 @@ def score_toxicity(docs: DataFrame, model: Model, keep: list[str], text_col: str
     return map_docs(docs, keep, {"t": col(text_col)}, run, [T.StructField("score", T.DoubleType())])
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = (4_500, 1_500), max_chars: int = 12_000) -> Model:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = (3_000, 1_100), max_chars: int = 12_000) -> Model:
     """Train on at most ``sum(per_class)`` labelled rows that are not held out.
 
     The share of label 1 is counted over all of them.
