@@ -38,7 +38,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 def map_docs(
     df: DataFrame,
     keep: list[str],
-    inputs: dict[str, Column],
+    inputs: dict[str, Column | str],
     fn: Callable[[Iterator[tuple[pa.Array, ...]]], Iterator[list]],
     fields: list[T.StructField],
 ) -> DataFrame:
@@ -47,10 +47,13 @@ def map_docs(
     ``fn`` gets an iterator of tuples with the ``inputs`` columns of one batch and yields,
     for each batch, one list of arrays (the ``fields`` in order). It may read ahead, as
     long as the batches it yields keep order and length. The kept columns travel in the
-    struct ``doc``, so their names cannot clash with the results'.
+    struct ``doc``, so their names cannot clash with the results'. An input given by its
+    name is a plain column and is sent once, even if it is kept.
     """
-    names = list(inputs)
-    src = df.select(F.struct(*[col(k) for k in keep], F.lit(0).alias("_")).alias("doc"), *[c.alias(n) for n, c in inputs.items()])
+    own = {n: keep.index(c) for n, c in inputs.items() if isinstance(c, str) and c in keep}
+    sent = {n: col(c) if isinstance(c, str) else c for n, c in inputs.items() if n not in own}
+    place = {n: i + 1 for i, n in enumerate(sent)}
+    src = df.select(F.struct(*[col(k) for k in keep], F.lit(0).alias("_")).alias("doc"), *[c.alias(n) for n, c in sent.items()])
     schema = T.StructType([T.StructField("doc", src.schema["doc"].dataType), *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,7 +62,7 @@ def map_docs(
         def feed():
             for b in batches:
                 docs.append(b.column(0))
-                yield tuple(b.column(i + 1) for i in range(len(names)))
+                yield tuple(b.column(0).field(own[n]) if n in own else b.column(place[n]) for n in inputs)
 
         for out in fn(feed()):
             yield pa.RecordBatch.from_arrays([docs.pop(0), *out], names=[f.name for f in schema.fields])

@@ -320,7 +320,7 @@ def find_contamination(
         phrases = spark.sparkContext.broadcast(Phrases([("null" if r.i is None else r.i, r.t and bytes(r.t)) for r in rows], n))
         last = k == n_slices - 1
         if k == 0:
-            inputs = {"_text": col(text_col)}
+            inputs = {"_text": text_col}
             out = map_docs(out, keep if last else names, inputs, _search(phrases, shard_bytes), FIELDS)
         else:
             inputs = {"_text": F.col("_t"), "_items": F.col("_i"), "_spans": F.col("_s")}
@@ -352,7 +352,7 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str =
 
     hit = F.col("n_hit") > 0
     left = found.where(~hit | (F.col("n_hit") < F.col("n_words")))
-    cleaned = map_docs(left.select(*unpack(left, names), F.col("spans").alias("_spans")), names, {"t": col(text_col), "s": F.col("_spans")}, cut, [T.StructField("_clean", T.StringType())])
+    cleaned = map_docs(left.select(*unpack(left, names), F.col("spans").alias("_spans")), names, {"t": text_col, "s": F.col("_spans")}, cut, [T.StructField("_clean", T.StringType())])
     return cleaned.select(*[F.col("_clean").alias(c) if c == text_col else F.col("doc").getField(c).alias(c) for c in names])
 
 

@@ -253,7 +253,7 @@ def predict_languages(docs: DataFrame, model: Model, keep: list[str], text_col:
                 at = until
             yield [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
 
-    return map_docs(docs, keep, {"t": col(text_col)}, run, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return map_docs(docs, keep, {"t": text_col}, run, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
 
 def predicted(docs: DataFrame) -> DataFrame:

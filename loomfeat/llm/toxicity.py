@@ -178,9 +178,11 @@ def score_toxicity(docs: DataFrame, model: Model, keep: list[str], text_col: str
 
     def run(batches):
         for (texts,) in batches:
-            yield [pa.array(shared.value.score(as_bytes(texts)), pa.float64())]
+            # a few texts at a time: the batch itself is the most that a worker holds
+            parts = [shared.value.score(as_bytes(texts.slice(i, 500))) for i in range(0, len(texts), 500)]
+            yield [pa.array(np.concatenate([*parts, np.zeros(0)]), pa.float64())]
 
-    return map_docs(docs, keep, {"t": col(text_col)}, run, [T.StructField("score", T.DoubleType())])
+    return map_docs(docs, keep, {"t": text_col}, run, [T.StructField("score", T.DoubleType())])
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = (3_000, 1_100), max_chars: int = 12_000) -> Model:
