@@ -53,6 +53,7 @@ def map_docs(
     own = {n: keep.index(c) for n, c in inputs.items() if isinstance(c, str) and c in keep}
     sent = {n: col(c) if isinstance(c, str) else c for n, c in inputs.items() if n not in own}
     place = {n: i + 1 for i, n in enumerate(sent)}
+    names = list(inputs)
     src = df.select(F.struct(*[col(k) for k in keep], F.lit(0).alias("_")).alias("doc"), *[c.alias(n) for n, c in sent.items()])
     schema = T.StructType([T.StructField("doc", src.schema["doc"].dataType), *fields])
 
@@ -62,7 +63,7 @@ def map_docs(
         def feed():
             for b in batches:
                 docs.append(b.column(0))
-                yield tuple(b.column(0).field(own[n]) if n in own else b.column(place[n]) for n in inputs)
+                yield tuple(b.column(0).field(own[n]) if n in own else b.column(place[n]) for n in names)
 
         for out in fn(feed()):
             yield pa.RecordBatch.from_arrays([docs.pop(0), *out], names=[f.name for f in schema.fields])
