@@ -35,6 +35,10 @@ def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 * 10
 
 def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "loomfeat") -> SparkSession:
     """Build (or reuse) a session. Used by tests, bench and examples."""
+    running = SparkSession.getActiveSession()
+    if running is not None:  # a session that exists keeps its own settings
+        ensure_checkpoint_dir(running)
+        return running
     builder = (
         SparkSession.builder.master(master)
         .appName(app)
@@ -54,8 +58,9 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) a private folder is created and registered.
+    ``spark.checkpoint.dir`` is read from the session; only on a local master
+    (tests) a private folder is created when it is unset. On a cluster such a
+    folder would be another one on each machine, so an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,6 +68,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="loomfeat-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
