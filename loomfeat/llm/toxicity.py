@@ -22,7 +22,7 @@ from loomfeat.llm.labels import labelled_sample
 
 GRAMS = (3, 4, 5, 6)
 BITS = 17
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 
 def gram_buckets(stream: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
