@@ -9,7 +9,9 @@ tokens gets a prefix longer by as many tokens, of which it must share as many mo
 that bound a pair always shares tokens that are not costly, and only those bring
 documents together. Documents that have too few such tokens (members of very large groups
 of near copies) are compared to the smallest member of each of their prefix lists first,
-and then only across what is not yet one component.
+and then only across what is not yet one component. So are all others: a document meets
+the smallest member of each of its lists first, and pairs are made only of documents that
+this left in different components.
 
 Documents with equal sets are one class from the start, represented by its smallest id.
 """
@@ -18,11 +20,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomfeat.llm.common import LOWER, as_bytes, col, map_docs, materialise
+from loomfeat.llm.common import LOWER, as_bytes, col, map_docs, materialise, unpack
 from loomfeat.llm.graph import components
 
 #: Ids that may be broadcast (8 bytes each); larger id sets are joined by shuffle.
@@ -169,15 +171,15 @@ def _ragged(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def _tokens(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """(id, tokens) of the documents with the given ids, from their texts."""
+    """(columns of ``ids``, tokens) of the documents with the given ids, from their texts."""
 
     def run(batches):
         for (texts,) in batches:
             yield [_ragged(shingles(as_bytes(texts), k))]
 
-    wanted = with_ids(docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("t")), ids, "left_semi")
-    out = map_docs(wanted, ["id"], {"t": F.col("t")}, run, [T.StructField("tokens", T.ArrayType(T.LongType()))])
-    return out.select(F.col("doc.id").alias("id"), "tokens")
+    wanted = with_ids(docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("t")), ids, "inner")
+    out = map_docs(wanted, ids.columns, {"t": F.col("t")}, run, [T.StructField("tokens", T.ArrayType(T.LongType()))])
+    return out.select(*unpack(out, ids.columns), "tokens")
 
 
 def with_ids(df: DataFrame, ids: DataFrame, how: str, key: str = "id") -> DataFrame:
@@ -195,17 +197,57 @@ def _least(n: Column, percent: int) -> Column:
     return F.floor((percent * n + 99) / F.lit(100))
 
 
-def _pairs(rows: DataFrame, percent: int, among: str) -> DataFrame:
-    """(a, b) of pairs that share as many listed tokens as a link would need."""
-    x, y = rows.alias("x"), rows.alias("y")
-    na, nb = F.col("x.n"), F.col("y.n")
-    near = (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (F.col("x.id") < F.col("y.id"))
-    joined = x.join(y, (F.col("x.token") == F.col("y.token")) & near & F.expr(among))
-    counted = joined.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b"), na.alias("na"), nb.alias("nb"), F.col("x.full").alias("fa"), F.col("y.full").alias("fb")).agg(F.count("*").alias("shared"))
+def _enough(counted: DataFrame, percent: int) -> DataFrame:
+    """Of (a, b, na, nb, fa, fb, shared) the pairs that share as many listed tokens as a link would need."""
     # a saturated side lists all its cheap tokens, so the other side's reach decides
     ta, tb = _least(F.col("na"), percent), _least(F.col("nb"), percent)
     reach = F.when(F.col("fa") & ~F.col("fb"), tb).when(F.col("fb") & ~F.col("fa"), ta).otherwise(F.greatest(ta, tb))
-    return counted.where(F.col("shared") >= _needed(F.col("na"), F.col("nb"), reach, percent)).select("a", "b")
+    return counted.where(F.col("shared") >= _needed(F.col("na"), F.col("nb"), reach, percent)).select("a", "b", "shared")
+
+
+def _shared_rows(rows: DataFrame) -> DataFrame:
+    """Rows whose token some other row holds too, with the smallest row of the token.
+
+    A list is at most ``list_rows`` long (beyond ``hot_tokens`` costly tokens the window spills).
+    """
+    w = Window.partitionBy("token")
+    least = F.min(F.struct("id", "n", "full")).over(w)
+    return rows.select("*", F.count("*").over(w).alias("size"), least.alias("least")).where("size > 1").drop("size")
+
+
+def _stars(shared: DataFrame, percent: int) -> DataFrame:
+    """(a, b, shared): each document with the smallest members of its lists, if they share enough."""
+    mine = shared.where("least.id < id").groupBy(
+        F.col("least.id").alias("a"), F.col("id").alias("b"), F.col("least.n").alias("na"), F.col("n").alias("nb"), F.col("least.full").alias("fa"), F.col("full").alias("fb")
+    )
+    return _enough(mine.agg(F.count("*").alias("shared")), percent)
+
+
+def _pairs_across(shared: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of different components that share enough listed tokens; not both saturated."""
+    ids = joined.select(F.col("vertex").alias("id"), "component")
+    placed = shared.drop("least").join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left").withColumn("c", F.coalesce("component", "id"))
+    w = Window.partitionBy("token")
+    mixed_lists = placed.drop("component").withColumn("one", F.min("c").over(w) == F.max("c").over(w)).where("not one").drop("one")
+    x, y = mixed_lists.alias("x"), mixed_lists.alias("y")
+    na, nb = F.col("x.n"), F.col("y.n")
+    near = (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (F.col("x.id") < F.col("y.id"))
+    met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.c") != F.col("y.c")) & near & F.expr("not (x.full and y.full)"))
+    pair = met.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b"), na.alias("na"), nb.alias("nb"), F.col("x.full").alias("fa"), F.col("y.full").alias("fb"))
+    return _enough(pair.agg(F.count("*").alias("shared")), percent).select("a", "b")
+
+
+def _verified_stars(stars: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """The (a, b) that are similar enough, each b having one a: every set is moved once."""
+    tails = _tokens(docs, stars.select(F.col("b").alias("id"), "a"), id_col, text_col, k)
+    heads = _tokens(docs, materialise(stars.select(F.col("a").alias("id")).distinct(), "star-heads"), id_col, text_col, k)
+    both = tails.select("a", F.col("id").alias("b"), F.col("tokens").alias("tb")).join(heads.select(F.col("id").alias("a"), F.col("tokens").alias("ta")), "a")
+    return _similar(both, percent)
+
+
+def _similar(both: DataFrame, percent: int) -> DataFrame:
+    shared = F.size(F.array_intersect("ta", "tb"))
+    return both.where(shared * 100 >= (F.size("ta") + F.size("tb") - shared) * percent).select("a", "b").distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
@@ -213,8 +255,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k:
     ids = materialise(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "pair-ids")
     sets = _tokens(docs, ids, id_col, text_col, k)
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("ta")), "a").join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("tb")), "b")
-    shared = F.size(F.array_intersect("ta", "tb"))
-    return both.where(shared * 100 >= (F.size("ta") + F.size("tb") - shared) * percent).select("a", "b").distinct()
+    return _similar(both, percent)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, list_rows: int = 64, hot_tokens: int = 500_000) -> DataFrame:
@@ -250,15 +291,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             hot = materialise(hot.union(more).distinct(), "hot-tokens")
         rows = rows.union(lists.select(F.explode("first").alias("token"), "id", "n", "full"))
         saturated = materialise(lists.where("full").select("id", "n", "base"), "saturated")
-    pairs = _pairs(rows, percent, "not (x.full and y.full)")
+    shared = materialise(_shared_rows(rows), "shared-tokens")
+    stars = _stars(shared, percent)
     if saturated is not None:
-        pairs = pairs.union(_to_smallest(saturated, percent))
-    pairs = materialise(pairs.distinct(), "pairs")
+        stars = stars.union(_to_smallest(saturated, percent))
+    # the member that a document shares most with is the likeliest link
+    first = materialise(stars.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a")).select("a", "b"), "stars")
     check = (id_col, text_col, k, percent)
-    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = materialise(_verified(first, docs, *check), "links")
+    links = materialise(_verified_stars(first, docs, *check), "links")
     joined = materialise(components(links), "components")
-    rest = _across(pairs, joined)
+    rest = _pairs_across(shared, joined, percent)
     if saturated is not None:
         rest = rest.union(_across_families(saturated, joined, percent)).distinct()
     rest = materialise(rest.join(first, ["a", "b"], "left_anti"), "rest")
@@ -278,15 +320,7 @@ def _to_smallest(saturated: DataFrame, percent: int) -> DataFrame:
     least = rows.groupBy("token").agg(F.min(F.struct("id", "n")).alias("m"))
     joined = rows.join(least, "token").where("m.id < id").groupBy(F.col("m.id").alias("a"), F.col("id").alias("b"), F.col("m.n").alias("na"), F.col("n").alias("nb")).agg(F.count("*").alias("shared"))
     reach = F.greatest(_least(F.col("na"), percent), _least(F.col("nb"), percent))
-    return joined.where(F.col("shared") >= _needed(F.col("na"), F.col("nb"), reach, percent)).select("a", "b")
-
-
-def _across(pairs: DataFrame, joined: DataFrame) -> DataFrame:
-    """Pairs whose ends are not in one component yet."""
-    ca = joined.select(F.col("vertex").alias("a"), F.col("component").alias("ca"))
-    cb = joined.select(F.col("vertex").alias("b"), F.col("component").alias("cb"))
-    both = pairs.join(ca, "a", "left").join(cb, "b", "left")
-    return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    return joined.where(F.col("shared") >= _needed(F.col("na"), F.col("nb"), reach, percent)).select("a", "b", "shared")
 
 
 def _across_families(saturated: DataFrame, joined: DataFrame, percent: int, block: int = 256) -> DataFrame:
