@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from loomfeat.functions import aggfns
 from loomfeat.functions.exprs import col
+from loomfeat.operators.joins import null_safe_join
 
 Spec = Mapping[str, Sequence]  # {column: [fn name | (name, builder)]}
 
@@ -156,6 +157,7 @@ def aggregate(
     many tasks), for keys that may hold a large share of all rows; ``"auto"``
     (default) looks at the largest group first (one partial-aggregated pass
     over the keys) and takes ``"rank"`` when it exceeds ``rank_threshold`` rows.
+    Both give the same values; rows with a NULL key are one group in both.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     wants_q = any(f in ("median", "iqr") for fns in spec.values() for f in fns)
@@ -189,12 +191,12 @@ def aggregate(
     # side frames are keyed by the same keys: the joins need no further exchange of main
     for c in distinct:
         side = distinct_counts(df, keys, c, slices, [f"__u{i}_{c}" for i in range(len(slices))])
-        main = main.join(side, keys, "left")
+        main = null_safe_join(main, side, keys)
     if quant:
         from loomfeat.operators.quantiles import exact_quantiles
 
         items = [(f"__q{i}_{c}", F.col(c), s.where) for i, s in enumerate(slices) for c in quant]
-        main = main.join(exact_quantiles(df, keys, items, aggfns.QUARTILES), keys, "left")
+        main = null_safe_join(main, exact_quantiles(df, keys, items, aggfns.QUARTILES), keys)
 
     def rows_in(i):
         return F.col("__nall") if slices[i].where is None else F.col(f"__n{i}")
@@ -267,14 +269,16 @@ def two_level(
     return aggregate(lvl1, outer, spec2, prefix=prefix, namer=outer_namer)
 
 
-def category_domain(df: DataFrame, cat_col: str, max_values: int = 1000) -> list:
-    """Sorted non-NULL domain of a categorical column, bounded (dynamic columns, E1/A25/A27).
+def category_domain(df: DataFrame, cat_col: str, max_values: int | None = None) -> list:
+    """Sorted non-NULL domain of a categorical column (dynamic columns, E1/A25/A27).
 
-    Only the distinct values are collected, never rows; more than ``max_values``
-    values raises, because every value becomes a column.
+    Only the distinct values are collected, never rows: every value becomes a column of
+    the plan, so the caller chooses a column of few values. With ``max_values`` a larger
+    domain raises.
     """
-    vals = df.select(cat_col).where(F.col(cat_col).isNotNull()).distinct().limit(max_values + 1).collect()
-    if len(vals) > max_values:
+    vals = df.select(cat_col).where(F.col(cat_col).isNotNull()).distinct()
+    vals = (vals if max_values is None else vals.limit(max_values + 1)).collect()
+    if max_values is not None and len(vals) > max_values:
         raise ValueError(f"{cat_col} has more than {max_values} distinct values; refusing to pivot")
     return sorted(r[0] for r in vals)
 

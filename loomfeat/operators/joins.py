@@ -1,8 +1,8 @@
-"""Joins and the size-checked broadcast they rely on.
+"""Joins.
 
-Only left equi-joins occur. A side is broadcast only after its row count was
-checked against a bound; above the bound the join stays a shuffle join, where
-AQE can still pick a broadcast from runtime sizes and split skewed partitions.
+Only left equi-joins occur. No side carries a broadcast hint, except one-row statistics:
+Spark broadcasts a side whose bytes, estimated or measured at run time, are below its
+threshold, and AQE splits skewed partitions of the others.
 """
 
 from __future__ import annotations
@@ -12,17 +12,17 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Return ``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
-
-    The count stops at ``max_rows + 1`` rows, so the check is cheap even for a
-    large side.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Equi-join on ``keys`` in which NULL keys match each other; the left side's keys stay."""
+    right = right.select(*[F.col(f"`{c}`").alias(f"__r_{c}" if c in keys else c) for c in right.columns])
+    if not keys:
+        return attach_one_row(left, right)
+    cond = [F.col(f"`{k}`").eqNullSafe(F.col(f"`__r_{k}`")) for k in keys]
+    on = cond[0]
+    for c in cond[1:]:
+        on = on & c
+    return left.join(right, on, how).drop(*[f"__r_{k}" for k in keys])
 
 
 def left_join(spine: DataFrame, block: DataFrame, on: str | Sequence[str]) -> DataFrame:
@@ -67,12 +67,9 @@ def propagate_label(child: DataFrame, labels: DataFrame, key: str, label: str) -
     return child.join(labels.select(key, label), key, "left")
 
 
-def lookup(df: DataFrame, dictionary: DataFrame, on: str | Sequence[str], max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Left join of a per-category dictionary, broadcast when its size is bounded.
-
-    The dictionary is materialised once, so the size check does not recompute it.
-    """
-    return df.join(bounded_broadcast(dictionary.checkpoint(), max_rows), on, "left")
+def lookup(df: DataFrame, dictionary: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """Left join of a per-category dictionary; Spark broadcasts it if its bytes are few."""
+    return df.join(dictionary, on, "left")
 
 
 def dedupe_columns(left: DataFrame, right: DataFrame, on: str | Sequence[str], suffix: str = "_y") -> DataFrame:
@@ -88,8 +85,9 @@ def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row frame (global statistics) to every row.
 
     An equi-join on a constant with the broadcast one-row side: no pairs are
-    enumerated, every row of ``df`` meets exactly one row.
+    enumerated, every row of ``df`` meets exactly one row. ``one_row`` must be a global
+    aggregate (one row by construction).
     """
     left = df.withColumn("__one", F.lit(1))
-    right = F.broadcast(one_row.limit(1).withColumn("__one", F.lit(1)))
+    right = F.broadcast(one_row.withColumn("__one", F.lit(1)))
     return left.join(right, "__one", "inner").drop("__one")

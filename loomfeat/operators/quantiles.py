@@ -4,12 +4,13 @@ Spark's ``percentile`` keeps a value -> count map per group and merges the
 partial maps of a group in one task: memory grows with the group's distinct
 values. This operator never does that:
 
-1. rows become (group, item, value), one item per (column, slice) asked for;
-2. ``prefix_rank`` range-partitions by (group, item, value), so a hot group
-   spans many tasks, and numbers the rows with offsets from a tiny table;
-3. the ranks each quantile needs (floor/ceil of p * (n - 1)) are few per
-   group; an equi-join on (group, item, rank) picks those rows, the pairs are
-   unique, so the join has no hot key;
+1. rows become (group, item, value), one item per (column, slice) asked for,
+   in one scan, and are counted per (group, item, value): a value that most
+   rows hold is one row from there on;
+2. running counts over (group, item, value) come from range partitions and a
+   tiny table of offsets, so a hot group spans many tasks;
+3. each counted value covers a run of ranks; the ranks a quantile needs
+   (floor/ceil of p * (n - 1)) are picked from the runs by a partial aggregate;
 4. linear interpolation exactly as Spark's ``percentile``.
 """
 
@@ -20,7 +21,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomfeat.operators.scoring import prefix_rank
+from loomfeat.operators.joins import null_safe_join
+from loomfeat.operators.scoring import _cumulative
 
 
 def exact_quantiles(
@@ -28,47 +30,43 @@ def exact_quantiles(
     keys: Sequence[str],
     items: Sequence[tuple[str, Column, Column | None]],
     probs: Sequence[float],
-    num_partitions: int | None = None,
 ) -> DataFrame:
     """Quantiles of several (name, value, where) items per group, one column per (item, p).
 
     Output columns: keys + ``<name>__q<i>`` for the i-th probability (NULL for a
-    group whose item has no value).
+    group whose item has no value). Rows with a NULL key are a group.
     """
     keys = list(keys)
-    parts = []
+    cells = []
     for idx, (_, value, where) in enumerate(items):
         v = value.cast("double")
-        cond = v.isNotNull() if where is None else (v.isNotNull() & F.coalesce(where, F.lit(False)))
-        parts.append(df.where(cond).select(*keys, F.lit(idx).alias("__item"), v.alias("__v")))
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
-    counts = long.groupBy(*keys, "__item").agg(F.count(F.lit(1)).alias("__n"))
-    ranked = prefix_rank(long, [*keys, "__item"], ["__v"], name="__r", num_partitions=num_partitions)
-    # needed ranks: for each probability the lower and upper neighbour (1-based)
-    pos = [F.struct(F.lit(i).alias("pi"), (F.lit(float(p)) * (F.col("__n") - 1)).alias("pos")) for i, p in enumerate(probs)]
-    need = counts.select(*keys, "__item", F.explode(F.array(*pos)).alias("__p"))
-    need = need.select(
-        *keys, "__item", F.col("__p.pi").alias("__pi"), F.col("__p.pos").alias("__pos"),
-        (F.floor("__p.pos") + 1).cast("long").alias("__lo"), (F.ceil("__p.pos") + 1).cast("long").alias("__hi"),
-    )
-    wanted = need.select(*keys, "__item", F.explode(F.array_distinct(F.array("__lo", "__hi"))).alias("__r")).distinct()
-    picked = ranked.join(wanted, [*keys, "__item", "__r"], "left_semi").select(*keys, "__item", "__r", "__v")
-    lo = picked.select(*keys, "__item", F.col("__r").alias("__lo"), F.col("__v").alias("__vlo"))
-    hi = picked.select(*keys, "__item", F.col("__r").alias("__hi"), F.col("__v").alias("__vhi"))
-    q = need.join(lo, [*keys, "__item", "__lo"]).join(hi, [*keys, "__item", "__hi"])
-    pos0 = F.col("__pos")
-    lower, higher = F.col("__lo") - 1, F.col("__hi") - 1
-    value = F.when(F.col("__lo") == F.col("__hi"), F.col("__vlo")).otherwise(
-        (higher - pos0) * F.col("__vlo") + (pos0 - lower) * F.col("__vhi")
-    )
-    q = q.select(*keys, "__item", "__pi", value.alias("__q"))
-    out = q.groupBy(*keys).agg(
+        v = v if where is None else F.when(where, v)
+        cells.append(F.struct(F.lit(idx).alias("__item"), v.alias("__v")))
+    long = df.select(*keys, F.explode(F.array(*cells)).alias("__c")).select(*keys, "__c.__item", "__c.__v").where("__v is not null")
+    group = [*keys, "__item"]
+    values = long.groupBy(*group, "__v").agg(F.count(F.lit(1)).cast("double").alias("__m"))
+    runs = _cumulative(values, group, "__v", ["__m"], descending=False)
+    totals = runs.groupBy(*group).agg(F.sum("__m").alias("__n"))
+    runs = null_safe_join(runs, totals, group)
+    picked = []
+    for j, p in enumerate(probs):
+        pos = F.lit(float(p)) * (F.col("__n") - 1)
+        for side, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            covers = (F.col("cum___m") <= rank) & (rank < F.col("cum___m") + F.col("__m"))
+            picked.append(F.max(F.when(covers, F.col("__v"))).alias(f"__{side}{j}"))
+    q = runs.groupBy(*group).agg(F.first("__n").alias("__n"), *picked)
+
+    def value_at(j: int, p: float) -> Column:
+        pos = F.lit(float(p)) * (F.col("__n") - 1)
+        lower, higher = F.floor(pos), F.ceil(pos)
+        between = (higher - pos) * F.col(f"__lo{j}") + (pos - lower) * F.col(f"__hi{j}")
+        return F.when(lower == higher, F.col(f"__lo{j}")).otherwise(between)
+
+    q = q.select(*group, *[value_at(j, p).alias(f"__q{j}") for j, p in enumerate(probs)])
+    return q.groupBy(*keys).agg(
         *[
-            F.max(F.when((F.col("__item") == i) & (F.col("__pi") == j), F.col("__q"))).alias(f"{name}__q{j}")
+            F.max(F.when(F.col("__item") == i, F.col(f"__q{j}"))).alias(f"{name}__q{j}")
             for i, (name, _, _) in enumerate(items)
             for j in range(len(probs))
         ]
     )
-    return out

@@ -13,7 +13,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomfeat.operators.joins import attach_one_row
+from loomfeat.operators.joins import attach_one_row, null_safe_join
 
 # ---------------------------------------------------------------- splits (M1-M3)
 
@@ -65,7 +65,7 @@ def prefix_rank(df: DataFrame, partition: Sequence[str], order: Sequence[str], n
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(wo), F.lit(0))).drop("__cnt")
     wl = Window.partitionBy("__pid", *partition).orderBy(*[F.col(c) for c in order])
     local = r.withColumn("__local", F.row_number().over(wl))
-    out = local.join(offsets, ["__pid", *partition], "left")
+    out = null_safe_join(local, offsets, ["__pid", *partition])
     return out.withColumn(name, F.col("__off") + F.col("__local")).drop("__pid", "__off", "__local")
 
 
@@ -100,7 +100,7 @@ def _cumulative(df: DataFrame, group: Sequence[str], order: str, cols: Sequence[
     tot = tot.select("__pid", *group, *[F.coalesce(F.sum(f"__t_{c}").over(wo), F.lit(0.0)).alias(f"__o_{c}") for c in cols])
     wl = Window.partitionBy("__pid", *group).orderBy(o).rowsBetween(Window.unboundedPreceding, -1)
     local = r.select("*", *[F.coalesce(F.sum(c).over(wl), F.lit(0.0)).alias(f"__l_{c}") for c in cols])
-    out = local.join(tot, ["__pid", *group], "left")
+    out = null_safe_join(local, tot, ["__pid", *group])
     return out.select(
         *[c for c in df.columns], *[(F.col(f"__o_{c}") + F.col(f"__l_{c}")).alias(f"cum_{c}") for c in cols]
     )

@@ -100,10 +100,10 @@ def corr_pairs_gram(df: DataFrame, columns: Sequence[str], shift: bool = True) -
         return pd.DataFrame({"__one": [1], "__blob": [total.tobytes()]})
 
     # tree reduction: per-task matrices are summed in parallel buckets first
-    # about sqrt(parallelism) buckets: each reducer sums that many per-task blobs
+    # tasks are dealt to buckets by their number
     buckets = max(1, int(np.sqrt(sel.sparkSession.sparkContext.defaultParallelism)))
     lvl1 = (
-        parts.withColumn("__b", F.pmod(F.monotonically_increasing_id(), F.lit(buckets)))
+        parts.withColumn("__b", F.pmod(F.spark_partition_id(), F.lit(buckets)))
         .groupBy("__b")
         .applyInPandas(lambda pdf: reduce_blobs(pdf), schema)
     )

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from loomfeat.functions import aggfns
 from loomfeat.operators.aggregate import Slice, aggregate, agg_exprs
+from loomfeat.operators.joins import null_safe_join
 
 
 def _orders(order: Sequence[Column | str]) -> list[Column]:
@@ -45,7 +46,7 @@ def _shift_within(df, partition, order, column, name, offset, method):
         raise ValueError("method='rank' needs column names as the order")
     ranked = prefix_rank(df, list(partition), order_cols, name="__pos")
     other = ranked.select(*partition, (F.col("__pos") + F.lit(offset)).alias("__pos"), F.col(column).alias(name))
-    return ranked.join(other, [*partition, "__pos"], "left").drop("__pos")
+    return null_safe_join(ranked, other, [*partition, "__pos"]).drop("__pos")
 
 
 def lag_within(
@@ -155,13 +156,13 @@ def last_k(
 
 
 def fraction_features(
-    df: DataFrame, pairs: Sequence[tuple[int, int]], spec: Mapping[str, Sequence], namer=None, zero_tol: float = 1e-9
+    df: DataFrame, pairs: Sequence[tuple[int, int]], spec: Mapping[str, Sequence], namer=None, moment_tol: float = 1e-9
 ) -> DataFrame:
     """short/long ratio of every last-k feature: long == 0 -> 0.0, missing stays missing.
 
-    A denominator below ``zero_tol`` in magnitude counts as zero: statistics
-    such as the skewness of symmetric data are exactly 0 but come out of
-    floating-point moments as ~1e-17, and a ratio to that noise is meaningless.
+    Only an exact 0 is zero, except for skewness and kurtosis: those of symmetric
+    data are exactly 0 but come out of floating-point moments as ~1e-17, so they count
+    as 0 below ``moment_tol``.
     """
     namer = namer or last_k_name
     new = []
@@ -170,8 +171,8 @@ def fraction_features(
             for fn in fns:
                 name, _ = aggfns.resolve(fn)
                 short, long_ = F.col(namer(s, c, name)), F.col(namer(l, c, name))
-                small = F.abs(long_.cast("double")) < F.lit(zero_tol)
-                value = F.when(small, F.lit(0.0)).otherwise(F.try_divide(short.cast("double"), long_.cast("double")))
+                zero = F.abs(long_.cast("double")) < F.lit(moment_tol) if name in ("skew", "kurt") else long_.cast("double") == 0
+                value = F.when(zero, F.lit(0.0)).otherwise(F.try_divide(short.cast("double"), long_.cast("double")))
                 new.append(value.alias(f"last_{s}by{l}_fraction_{c}_{name}"))
     return df.select("*", *new)
 
