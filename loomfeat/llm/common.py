@@ -46,7 +46,8 @@ def map_docs(
 
     ``fn`` gets an iterator of tuples with the ``inputs`` columns of one batch and yields,
     for each batch, one list of arrays (the ``fields`` in order). It may read ahead, as
-    long as the batches it yields keep order and length. The kept columns travel in the
+    long as the batches it yields keep order and length. Spark's batches arrive in slices,
+    so that a worker holds one batch and the copies of a slice. The kept columns travel in the
     struct ``doc``, so their names cannot clash with the results'. An input given by its
     name is a plain column and is sent once, even if it is kept.
     """
@@ -61,7 +62,7 @@ def map_docs(
         docs: list[pa.Array] = []
 
         def feed():
-            for b in batches:
+            for b in (part for batch in batches for part in _parts(batch)):
                 docs.append(b.column(0))
                 yield tuple(b.column(0).field(own[n]) if n in own else b.column(place[n]) for n in names)
 
@@ -91,6 +92,17 @@ def _word_table() -> bytes:
     return bytes(out)
 
 
+#: Bytes of a batch that are worked on at a time.
+PART_BYTES = 4 << 20
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``PART_BYTES`` (a row is never cut)."""
+    rows = max(1, batch.num_rows * PART_BYTES // max(1, batch.nbytes))
+    for i in range(0, batch.num_rows, rows):
+        yield batch.slice(i, rows)
+
+
 #: Lower-cases A-Z and turns every byte outside ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]`` into a blank.
 WORDS = _word_table()
 
