@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -69,7 +70,7 @@ def map_docs(
         for out in fn(feed()):
             yield pa.RecordBatch.from_arrays([docs.pop(0), *out], names=[f.name for f in schema.fields])
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(tidied(run), schema)
 
 
 def unpack(df: DataFrame, columns: list[str]) -> list[Column]:
@@ -96,6 +97,32 @@ def _word_table() -> bytes:
 PART_BYTES = 4 << 20
 
 
+def release() -> None:
+    """Give memory that is free again back to the system; workers outlive their stage."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def tidied(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``fn`` over Arrow batches, releasing memory behind each of Spark's batches and at the end."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b
+            del b
+            release()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(each(batches))
+        finally:
+            release()
+
+    return run
+
+
 def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """A batch in slices of about ``PART_BYTES`` (a row is never cut)."""
     rows = max(1, batch.num_rows * PART_BYTES // max(1, batch.nbytes))

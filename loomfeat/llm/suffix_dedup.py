@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomfeat.llm.common import as_bytes, col, map_docs, materialise, unpack
+from loomfeat.llm.common import as_bytes, col, map_docs, materialise, tidied, unpack
 from loomfeat.llm.jaccard import CHUNK, _Powers, mixed, with_ids
 
 # ---------------------------------------------------------------- anchors
@@ -207,7 +207,7 @@ def _owned(texts: DataFrame, window: int) -> DataFrame:
                 yield _batch(_OWNED, [ids[at:until][doc], keys[at:until][doc], rest[0], rest[1].astype(np.int32), rest[2].astype(np.int32), rest[3]])
                 at = until
 
-    return texts.where(F.octet_length("t") >= window).select("id", "k", "t").mapInArrow(run, _OWNED)
+    return texts.where(F.octet_length("t") >= window).select("id", "k", "t").mapInArrow(tidied(run), _OWNED)
 
 
 _STRETCH = T.StructType([*_OWNED.fields, T.StructField("number", T.LongType()), T.StructField("bytes", T.BinaryType())])
@@ -250,7 +250,7 @@ def _sorted_marks(stretches: DataFrame, window: int, batch_bytes: int) -> DataFr
             yield marks(held)
 
     dealt = stretches.repartition("anchor").sortWithinPartitions("anchor")
-    return dealt.select("id", "k", "anchor", "first", "number", "bytes").mapInArrow(run, _MARK)
+    return dealt.select("id", "k", "anchor", "first", "number", "bytes").mapInArrow(tidied(run), _MARK)
 
 
 _WINDOW = T.StructType([*_MARK.fields[:2], T.StructField("first", T.IntegerType()), T.StructField("number", T.LongType()), T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType())])
@@ -271,7 +271,7 @@ def _counted_marks(stretches: DataFrame, window: int) -> DataFrame:
                             c.append(v)
                 yield _batch(_WINDOW, out)
 
-    windows = stretches.select("id", "k", "first", "number", "bytes").mapInArrow(run, _WINDOW)
+    windows = stretches.select("id", "k", "first", "number", "bytes").mapInArrow(tidied(run), _WINDOW)
     again = windows.groupBy("d1", "d2").agg(F.sum("number").alias("all")).where(F.col("all") > 1)
     return windows.where("number = 1").join(again, ["d1", "d2"], "left_semi").select("id", "k", "first", F.col("first").alias("last"))
 
