@@ -62,7 +62,7 @@ def map_docs(
         docs: list[pa.Array] = []
 
         def feed():
-            for b in (part for batch in batches for part in _parts(batch)):
+            for b in (part for batch in batches for part in parts(batch)):
                 docs.append(b.column(0))
                 yield tuple(b.column(0).field(own[n]) if n in own else b.column(place[n]) for n in names)
 
@@ -96,7 +96,7 @@ def _word_table() -> bytes:
 PART_BYTES = 4 << 20
 
 
-def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """A batch in slices of about ``PART_BYTES`` (a row is never cut)."""
     rows = max(1, batch.num_rows * PART_BYTES // max(1, batch.nbytes))
     for i in range(0, batch.num_rows, rows):

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomfeat.llm.common import as_bytes, col, map_docs, materialise, unpack
+from loomfeat.llm.common import as_bytes, col, map_docs, materialise, parts, unpack
 from loomfeat.llm.jaccard import CHUNK, _Powers, mixed, with_ids
 
 # ---------------------------------------------------------------- anchors
@@ -216,8 +216,8 @@ _STRETCH = T.StructType([*_OWNED.fields, T.StructField("number", T.LongType()),
 def _stretches(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
     """The bytes of one stretch of each kind, cut from the document that represents it."""
     ids = materialise(wanted.select("id").distinct(), "stretch-ids")
-    parts = wanted.groupBy("id", "k").agg(F.collect_list(F.struct("anchor", "first", "last", "span", "number")).alias("parts"))
-    joined = with_ids(texts, ids, "left_semi").dropDuplicates(_KEY).join(parts, _KEY)
+    pieces = wanted.groupBy("id", "k").agg(F.collect_list(F.struct("anchor", "first", "last", "span", "number")).alias("parts"))
+    joined = with_ids(texts, ids, "left_semi").dropDuplicates(_KEY).join(pieces, _KEY)
     rows = joined.select("id", "k", "t", F.explode("parts").alias("p"))
     cut = F.expr(f"substring(t, p.first + 1, p.last - p.first + {window})")
     return rows.select("id", "k", "p.anchor", "p.first", "p.last", "p.span", "p.number", cut.alias("bytes"))
@@ -237,7 +237,7 @@ def _sorted_marks(stretches: DataFrame, window: int, batch_bytes: int) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, anchor = [], 0, None
-        for b in batches:
+        for b in (part for batch in batches for part in parts(batch)):
             cols = [b.column(b.schema.get_field_index(c)).to_pylist() for c in ("anchor", "id", "k", "first", "number", "bytes")]
             for a, *row in zip(*cols):
                 if a != anchor and size >= batch_bytes:
@@ -260,7 +260,7 @@ def _counted_marks(stretches: DataFrame, window: int) -> DataFrame:
     """The same for anchors with too many stretches to gather: windows counted by digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for batch in batches for part in parts(batch)):
             cols = [b.column(b.schema.get_field_index(c)).to_pylist() for c in ("id", "k", "first", "number", "bytes")]
             for i in range(0, b.num_rows, 256):
                 out: list[list] = [[] for _ in range(6)]
