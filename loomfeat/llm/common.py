@@ -35,6 +35,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of an Arrow batch, and of a slice of one, that are worked on at a time.
+PART_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send the workers batches of ``PART_BYTES``, where the session sets no size of its own.
+
+    Spark's 64 MB are held in each task by the writer's vectors (twice while they grow), by
+    the worker and by its results.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(PART_BYTES))
+
+
 def map_docs(
     df: DataFrame,
     keep: list[str],
@@ -57,6 +71,7 @@ def map_docs(
     names = list(inputs)
     src = df.select(F.struct(*[col(k) for k in keep], F.lit(0).alias("_")).alias("doc"), *[c.alias(n) for n, c in sent.items()])
     schema = T.StructType([T.StructField("doc", src.schema["doc"].dataType), *fields])
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs: list[pa.Array] = []
@@ -92,10 +107,6 @@ def _word_table() -> bytes:
     return bytes(out)
 
 
-#: Bytes of a batch that are worked on at a time.
-PART_BYTES = 4 << 20
-
-
 def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """A batch in slices of about ``PART_BYTES`` (a row is never cut)."""
     rows = max(1, batch.num_rows * PART_BYTES // max(1, batch.nbytes))
