@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomfeat.llm.common import as_bytes, col, map_docs, materialise, parts, unpack
+from loomfeat.llm.common import as_bytes, col, map_docs, materialise, parts, small_batches, unpack
 from loomfeat.llm.jaccard import CHUNK, _Powers, mixed, with_ids
 
 # ---------------------------------------------------------------- anchors
@@ -93,7 +93,9 @@ def two_stage(text: np.ndarray, depth: int) -> np.ndarray:
     smaller = step[turn[np.searchsorted(turn, np.arange(n))]] > 0  # than its successor
     string = text.tobytes().decode("latin-1")
     direct = np.flatnonzero(smaller)
-    direct = np.array(sorted(direct.tolist(), key=lambda i: string[i : i + depth]), np.int64)
+    direct = direct[np.argsort(text[direct], kind="stable")]
+    buckets = np.split(direct, np.flatnonzero(np.diff(text[direct])) + 1)  # only one bucket's keys at a time
+    direct = np.concatenate([np.array(sorted(b.tolist(), key=lambda i: string[i : i + depth]), np.int64) for b in buckets])
     count = np.bincount(text, minlength=256)
     head = np.cumsum(count) - count
     tail = head + np.bincount(text[~smaller], minlength=256)  # where the directly sorted begin
@@ -278,6 +280,7 @@ def _counted_marks(stretches: DataFrame, window: int) -> DataFrame:
 
 def repeats(texts: DataFrame, window: int = 400, group_rows: int = 400, batch_bytes: int = 256 << 10) -> DataFrame:
     """(id, k, spans): the byte ranges, unmerged, that repeated windows of a text cover."""
+    small_batches(texts.sparkSession)
     owned = materialise(_owned(texts, window), "anchors")
     # written first, so that the join below has plain exchanges on both sides and splits hot anchors
     again = materialise(owned.groupBy("anchor").count().where("count > 1").select("anchor"), "again")
