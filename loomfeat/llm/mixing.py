@@ -95,6 +95,7 @@ def mix(
     budget: float = 1.5,
     max_repeat: float = 2.0,
     bucket_rows: int = 2_000,
+    ordered: bool = True,
 ) -> DataFrame:
     """The kept columns in ``doc``, size, source_size, target, taken and the document's passes.
 
@@ -104,11 +105,14 @@ def mix(
     holds, for each time the document is read, its position in [0, 1] and the words read.
     Within a source documents go in the order of the md5 of their id, so reruns agree; rows that
     repeat an id are taken one after the other. Null and empty texts have size 0, are
-    never taken and get no pass. The result is range-sorted by first position (none: last).
+    never taken and get no pass. The result is range-sorted by first position (none: last)
+    if ``ordered``.
     """
     rows = docs.select(
         F.struct(*[col(k) for k in keep], F.lit(0).alias("_")).alias("doc"),
         col(source_col).alias("source"),
+        # never null, so that the window and the join below share one exchange of the rows
+        F.coalesce(F.concat(F.lit("="), col(source_col).cast("string")), F.lit("")).alias("place"),
         word_count(col(text_col)).alias("size"),
         F.md5(F.coalesce(col(id_col).cast("string"), F.lit("")).cast("binary")).alias("key"),
     )
@@ -119,7 +123,7 @@ def mix(
         digits += 1
     rows = rows.withColumn("bucket", F.substring("key", 1, digits))
     # two levels of buckets, so that the window over one source's buckets stays small
-    buckets = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
+    buckets = rows.groupBy("source", "place", "bucket").agg(F.sum("size").alias("words"))
     outer = F.substring("bucket", 1, digits // 2)
     inner = Window.partitionBy("source", outer).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     coarse = buckets.groupBy("source", outer.alias("outer")).agg(F.sum("words").alias("words"))
@@ -127,23 +131,20 @@ def mix(
     coarse = coarse.select("source", "outer", F.coalesce(F.sum("words").over(across), F.lit(0)).alias("base"))
     sizes = buckets.groupBy("source").agg(F.sum("words").alias("source_size"))
     targets = source_targets(sizes, [integrate(s)[-1][3] for s in schedules], budget, max_repeat)
-    fine = buckets.select("source", "bucket", outer.alias("outer"), F.coalesce(F.sum("words").over(inner), F.lit(0)).alias("before"))
+    fine = buckets.select("source", "place", "bucket", outer.alias("outer"), F.coalesce(F.sum("words").over(inner), F.lit(0)).alias("before"))
     offsets = (
         fine.alias("f")
         .join(coarse.alias("c"), F.col("f.source").eqNullSafe(F.col("c.source")) & (F.col("f.outer") == F.col("c.outer")))
-        .select("f.source", "f.bucket", (F.col("f.before") + F.col("c.base")).alias("offset"))
+        .select("f.source", "f.place", "f.bucket", (F.col("f.before") + F.col("c.base")).alias("offset"))
     )
     offsets = (
         offsets.alias("o")
         .join(targets.alias("t"), F.col("o.source").eqNullSafe(F.col("t.source")))
-        .select("o.source", "o.bucket", "o.offset", "t.source_size", "t.rank", "t.target")
+        .select("o.place", "o.bucket", "o.offset", "t.source_size", "t.rank", "t.target")
     )
-    here = Window.partitionBy("source", "bucket").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("within", F.coalesce(F.sum("size").over(here), F.lit(0))).alias("r")
-    joined = placed.join(
-        offsets.alias("o"),
-        F.col("r.source").eqNullSafe(F.col("o.source")) & (F.col("r.bucket") == F.col("o.bucket")),
-    ).select("r.doc", "r.key", "r.size", "o.source_size", "o.rank", "o.target", (F.col("o.offset") + F.col("r.within")).alias("start"))
+    here = Window.partitionBy("place", "bucket").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.drop("source").withColumn("within", F.coalesce(F.sum("size").over(here), F.lit(0)))
+    joined = placed.join(offsets, ["place", "bucket"]).select("doc", "key", "size", "source_size", "rank", "target", (F.col("offset") + F.col("within")).alias("start"))
 
     goal = F.floor("target")
     most = int(-(-max_repeat // 1))
@@ -165,7 +166,9 @@ def mix(
         "target",
         F.filter(passes, lambda x: x.isNotNull()).alias("passes"),
     ).withColumn("taken", F.aggregate("passes", F.lit(0).cast("long"), lambda a, x: a + x["words"]))
-    return out.orderBy(F.try_element_at("passes", F.lit(1))["position"].asc_nulls_last(), "key").drop("key")
+    if ordered:
+        out = out.orderBy(F.try_element_at("passes", F.lit(1))["position"].asc_nulls_last(), "key")
+    return out.drop("key")
 
 
 def mixed(docs: DataFrame) -> DataFrame:
@@ -179,7 +182,7 @@ def curriculum(docs: DataFrame, **options) -> DataFrame:
 
     doc_id, source, position, words (of this reading), target and text.
     """
-    out = mix(docs, ["doc_id", "source", "text"], **options)
+    out = mix(docs, ["doc_id", "source", "text"], ordered=False, **options)
     rows = out.select("doc", "target", F.explode("passes").alias("p"))
     return rows.select(
         F.col("doc.doc_id").alias("doc_id"),
