@@ -36,7 +36,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 #: Bytes of an Arrow batch, and of a slice of one, that are worked on at a time.
-PART_BYTES = 4 << 20
+PART_BYTES = 1 << 20
 
 
 def small_batches(spark: SparkSession) -> None:

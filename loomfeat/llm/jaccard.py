@@ -29,7 +29,7 @@ from loomfeat.llm.graph import components
 
 #: Ids that may be broadcast (8 bytes each); larger id sets are joined by shuffle.
 BROADCAST_IDS = 500_000
-CHUNK = 1 << 18
+CHUNK = 1 << 17
 
 # ---------------------------------------------------------------- shingles
 

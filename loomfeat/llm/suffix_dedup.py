@@ -278,7 +278,7 @@ def _counted_marks(stretches: DataFrame, window: int) -> DataFrame:
     return windows.where("number = 1").join(again, ["d1", "d2"], "left_semi").select("id", "k", "first", F.col("first").alias("last"))
 
 
-def repeats(texts: DataFrame, window: int = 400, group_rows: int = 400, batch_bytes: int = 256 << 10) -> DataFrame:
+def repeats(texts: DataFrame, window: int = 400, group_rows: int = 400, batch_bytes: int = 128 << 10) -> DataFrame:
     """(id, k, spans): the byte ranges, unmerged, that repeated windows of a text cover."""
     small_batches(texts.sparkSession)
     owned = materialise(_owned(texts, window), "anchors")
