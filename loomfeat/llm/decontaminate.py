@@ -299,7 +299,7 @@ def find_contamination(
     item_col: str = "item_id",
     item_text_col: str = "text",
     n: int = 10,
-    shard_bytes: int = 16 << 20,
+    shard_bytes: int = 8 << 20,
     slice_bytes: int = 16 << 20,
 ) -> DataFrame:
     """Per document: the kept columns in ``doc``, n_words, n_hit, items, spans (byte ranges).
