@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from loomfeat.llm import decontaminate, jaccard, mixing, suffix_dedup, toxicity
 from loomfeat.llm.common import col, materialise, table, unpack
 
+#: Words of the shortest passage whose repeats are cut out.
+REPEATED_WORDS = 51
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.5 or more for toxicity go."""
@@ -26,8 +29,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte strings of 400 and more that repeat are cut out; the length column follows."""
-    return _measured(suffix_dedup.remove_repeats(docs))
+    """Passages of over 50 words that repeat are cut out; the length column follows.
+
+    51 words take 101 bytes at least, so that no shorter window is needed to find them all.
+    """
+    return _measured(suffix_dedup.remove_repeats(docs, window=2 * REPEATED_WORDS - 1, min_words=REPEATED_WORDS))
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomfeat.llm.common import as_bytes, col, map_docs, materialise, parts, small_batches, unpack
+from loomfeat.llm.common import WORDS, as_bytes, col, map_docs, materialise, parts, small_batches, unpack
 from loomfeat.llm.jaccard import CHUNK, _Powers, mixed, with_ids
 
 # ---------------------------------------------------------------- anchors
@@ -307,6 +307,30 @@ def merged(starts: list[dict], window: int) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
+def passages(text: bytes, starts: list[dict], window: int, min_words: int, min_bytes: int) -> list[tuple[int, int]]:
+    """Maximal byte runs as by ``merged``, of the passages that are long enough.
+
+    A passage is what a gapless run of starts covers: of a string that repeats as a whole,
+    every start is marked. So two short repeats side by side are two passages. One goes if it
+    holds ``min_words`` whole words, or ``min_bytes`` bytes (scripts without blanks).
+    """
+    runs: list[list[int]] = []
+    for a, b in sorted((s["first"], s["last"]) for s in starts):
+        if runs and a <= runs[-1][1] + 1:
+            runs[-1][1] = max(b, runs[-1][1])
+        else:
+            runs.append([a, b])
+    long = [{"first": a, "last": b} for a, b in runs if b + window - a >= min_bytes or whole_words(text, a, b + window) >= min_words]
+    return merged(long, window)
+
+
+def whole_words(text: bytes, a: int, b: int) -> int:
+    """Blank-separated words of ``text[a:b]``; one that the range cuts in its letters or digits is none."""
+    found = text[a:b].split()
+    glued = lambda i: 0 < i < len(text) and not text[i - 1 : i + 1].translate(WORDS).count(b" ")
+    return max(0, len(found) - glued(a) - glued(b))
+
+
 def kept_bytes(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     out, at = [], 0
     for a, b in spans:
@@ -358,18 +382,24 @@ def removed_spans(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text
     return plain.union(cut.select(F.col("doc.doc").alias("doc"), *[f.name for f in fields]))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 400) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 400, min_words: int = 0, min_bytes: int = 400) -> DataFrame:
     """The documents (same columns) without the repeated bytes.
 
+    With ``min_words``, only of repeats of that many words or ``min_bytes`` bytes (``passages``);
+    ``window`` bounds from below what is found, and n words take 2n - 1 bytes at least.
+
     A character cut in part goes whole. Documents without repeats pass unchanged; one of
     which only white space is left goes.
     """
     names = docs.columns
     clean, marked = _marked(docs, names, id_col, text_col, window)
 
+    def spans(text: bytes, starts: list[dict]) -> list[tuple[int, int]]:
+        return passages(text, starts, window, min_words, min_bytes) if min_words else merged(starts, window)
+
     def run(batches):
         for texts, starts in batches:
-            yield [pa.array([t if t is None or not s else kept_bytes(t, merged(s, window)).decode("utf-8", "ignore").encode() for t, s in zip(as_bytes(texts), starts.to_pylist())], pa.binary()).cast(pa.string())]
+            yield [pa.array([t if t is None or not s else kept_bytes(t, spans(t, s)).decode("utf-8", "ignore").encode() for t, s in zip(as_bytes(texts), starts.to_pylist())], pa.binary()).cast(pa.string())]
 
     cut = map_docs(marked, ["doc", "starts"], {"t": F.col("t"), "s": F.col("starts")}, run, [T.StructField("left", T.StringType())])
     cut = cut.where(F.col("doc.starts").isNull() | (F.length(F.regexp_replace("left", r"\s+", "")) > 0))

@@ -279,6 +279,23 @@ def test_removed_texts(spark):
     assert suffix_dedup.digests(docs.limit(0)).count() == 0
 
 
+def test_repeated_passages_of_51_words(spark):
+    import corpus_pipeline
+
+    long, tiny = " ".join(f"p{i:02}xy" for i in range(51)), " ".join(chr(97 + i * i % 23) for i in range(51))
+    kept = " ".join(f"q{i:02}xyz" for i in range(50))
+    lines = [" ".join(f"{c}{i:02}x" for i in range(30)) for c in "rs"]
+    unspaced = "".join(chr(0x4E00 + i * i % 997) for i in range(140))
+    assert len(long) < 400 and len(tiny) == 101
+    bodies = {i: " ".join(f"{c}{k}{c}" for k in range(60)) for i, c in enumerate("abcdefghij")}
+    inside = {0: long, 1: long, 2: tiny, 3: tiny, 4: kept, 5: kept, 6: lines[0] + "\n" + lines[1], 7: lines[0], 8: lines[1], 9: unspaced}
+    texts = [f"{bodies[i]} {inside[i]} {bodies[i][::-1]}" for i in bodies] + [unspaced]
+    left = {r.doc_id: r.text for r in corpus_pipeline.cut_repeats(spark, docs_of(spark, texts), SMALL).collect()}
+    assert all(passage not in left[i] for i, passage in inside.items() if i in (0, 1, 2, 3, 9)) and 10 not in left
+    assert all(left[i].startswith(bodies[i]) and left[i].rstrip().endswith(bodies[i][::-1]) for i in bodies)
+    assert all(left[i] == texts[i] for i in (4, 5, 6, 7, 8))
+
+
 # ---------------------------------------------------------------- 7
 
 
