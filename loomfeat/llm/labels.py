@@ -2,25 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomfeat.llm.common import col
+from loomfeat.llm.common import as_bytes, col, materialise, parts, small_batches
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, training, per_class: tuple[int, int], max_chars: int) -> list[tuple[bytes, int]]:
-    """At most ``per_class[y]`` texts of each label y (0, 1), drawn in hash order of the id.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, training, per_class: tuple[int, int], features: Callable[[bytes], bytes]) -> list[tuple[bytes, int]]:
+    """The features of at most ``per_class[y]`` whole texts of each label y (0, 1), in hash order of the id.
 
-    Only rows whose id fulfils ``training`` are drawn, and of those only texts of up to
-    ``max_chars`` characters: the two bounds hold the sample to a fixed size for any input.
-    Rows with a null label, id or text teach nothing; an id that repeats is drawn once.
+    Rows are drawn after labels have met their texts, whatever the length of these. Only ids
+    that fulfil ``training`` are drawn. Rows with a null label, id or text teach nothing; an
+    id that repeats is drawn once for each of its different texts. ``features`` runs in the tasks:
+    the driver holds numbers of rows and of features that the input does not change.
     """
+    small_batches(docs.sparkSession)
     marked = labels.select(col("doc_id").alias("id"), col(label).cast("int").alias("y")).where(F.col("id").isNotNull() & F.col("y").isin(0, 1) & training(F.col("id")))
-    texts = docs.select(col("doc_id").alias("id"), col("text").alias("t")).where(F.col("t").isNotNull() & (F.length("t") <= max_chars))
-    out: list[tuple[bytes, int]] = []
-    for y in (0, 1):
-        # twice as many ids as rows wanted: some are of texts too long or missing
-        ids = marked.where(F.col("y") == y).select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(2 * per_class[y])
-        rows = texts.join(F.broadcast(ids), "id").orderBy(F.xxhash64("id"), "id", F.md5(F.col("t").cast("binary"))).limit(per_class[y]).select(F.col("t").cast("binary").alias("t")).collect()
-        out += [(bytes(r.t), y) for r in rows]
-    return out
+    texts = docs.select(col("doc_id").alias("id"), col("text").cast("binary").alias("t")).where(F.col("id").isNotNull() & F.col("t").isNotNull()).withColumn("k", F.xxhash64("t"))
+    # ids and hashes only: no text is sorted or moved before the rows are known
+    keys = materialise(texts.select("id", "k").join(marked.distinct(), "id").distinct(), f"{label}-keys")
+    order = [F.xxhash64("id"), F.col("id"), F.col("k")]
+    drawn = [r for y in (0, 1) for r in keys.where(F.col("y") == y).orderBy(*order).limit(per_class[y]).collect()]
+    place = docs.sparkSession.createDataFrame([(r.id, r.k, r.y, i) for i, r in enumerate(drawn)], "id " + keys.schema["id"].dataType.simpleString() + ", k long, y int, i int")
+    few = texts.join(F.broadcast(place), ["id", "k"]).select("i", "y", "t").dropDuplicates(["i"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (part for batch in batches for part in parts(batch)):
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([features(t) for t in as_bytes(b.column(2))], pa.binary())], names=["i", "y", "x"])
+
+    # written, so that the driver reads one part at a time and computes none of them twice
+    found = materialise(few.mapInArrow(run, "i int, y int, x binary"), f"{label}-features")
+    rows = sorted(((r.i, r.y, bytes(r.x)) for r in found.toLocalIterator()), key=lambda r: r[0])
+    return [(x, y) for _, y, x in rows]

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomfeat.llm.common import col, held_out, map_docs, unpack
+from loomfeat.llm.common import col, held_out, map_docs, materialise, parts, small_batches, unpack
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -212,21 +212,35 @@ def learn(vocabulary: list[str], samples: dict[str, Counter], rounds: int = 4, s
     return Model(vocabulary, languages, p)
 
 
-def fit_languages(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", per_language: int = 400, max_chars: int = 20_000, vocabulary: str = VOCABULARY) -> Model:
-    """Learn every non-null label from at most ``per_language`` training texts each.
+def fit_languages(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", per_language: int = 400, vocabulary: str = VOCABULARY) -> Model:
+    """Learn every non-null label from at most ``per_language`` whole training texts each.
 
-    The texts, of up to ``max_chars`` characters, are drawn in hash order of the id among
-    rows that are not held out; labels of which no such text has a letter are not learned.
+    The texts are drawn in hash order of the id among rows that are not held out; labels of
+    which no drawn text has a letter are not learned. Words are counted in the tasks.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(col(id_col).alias("i"), col(lang_col).cast("string").alias("l"), col(text_col).alias("t"))
-    rows = rows.where(F.col("l").isNotNull() & F.col("t").isNotNull() & ~held_out(F.col("i"), 4, 2) & (F.length("t") <= max_chars))
-    ranked = rows.select("l", "t", F.row_number().over(Window.partitionBy("l").orderBy(F.xxhash64("i"), "i", F.xxhash64("t"))).alias("r"))
-    samples: dict[str, Counter] = {}
-    for r in ranked.where(F.col("r") <= per_language).orderBy("l", "r").select("l", "t").toLocalIterator():
-        found = words_of(r.t)
-        if any(w.isalpha() for w in found):
-            samples.setdefault(r.l, Counter()).update(found)
-    return learn(read_vocabulary(vocabulary), samples)
+    rows = rows.where(F.col("l").isNotNull() & F.col("t").isNotNull() & ~held_out(F.col("i"), 4, 2)).withColumn("k", F.xxhash64("t")).withColumn("h", F.xxhash64("i"))
+    # the rows are known by their keys first; texts are moved of drawn rows only
+    order = Window.partitionBy("l", F.pmod("h", F.lit(64))).orderBy("h", "i", "k")
+    near = rows.select("l", "i", "h", "k").withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_language).drop("r")
+    ranked = near.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("h", "i", "k"))).where(F.col("r") <= per_language)
+    drawn = materialise(ranked.groupBy("l", "i", "h", "k").agg(F.count("*").alias("copies")), "language-sample")
+    d = drawn.select(F.col("l").alias("l2"), F.col("i").alias("i2"), F.col("h").alias("h2"), F.col("k").alias("k2"), "copies")
+    texts = rows.join(d, (F.col("l") == F.col("l2")) & (F.col("h") == F.col("h2")) & (F.col("k") == F.col("k2")) & F.col("i").eqNullSafe(F.col("i2")))
+    texts = texts.dropDuplicates(["l", "i", "k"]).select("l", "t", "copies")
+
+    def run(batches):
+        for b in (part for batch in batches for part in parts(batch)):
+            for lang, text, copies in zip(*[c.to_pylist() for c in b.columns]):
+                found = Counter(w for w in words_of(text) if w.isalpha())
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(list(found), pa.string()), pa.array([n * copies for n in found.values()], pa.int64())], names=["l", "w", "n"])
+
+    counted = materialise(texts.mapInArrow(run, "l string, w string, n long").groupBy("l", "w").agg(F.sum("n").alias("n")), "language-words")
+    found: dict[str, dict[str, int]] = {}
+    for r in counted.toLocalIterator():
+        found.setdefault(r.l, {})[r.w] = r.n
+    return learn(read_vocabulary(vocabulary), {lang: Counter(dict(sorted(words.items()))) for lang, words in found.items()})
 
 
 def predict_languages(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:

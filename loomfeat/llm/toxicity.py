@@ -66,6 +66,12 @@ def bag(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return buckets.astype(np.int32), (counts / max(1, counts.sum())).astype(np.float32)
 
 
+def packed_bag(text: bytes) -> bytes:
+    """The bag as one string: all buckets, then all shares, four bytes each."""
+    buckets, shares = bag(text)
+    return buckets.tobytes() + shares.tobytes()
+
+
 class Model:
     """The logit of label 1: ``gain * mean(table[grams]) + bias``."""
 
@@ -106,6 +112,7 @@ class Model:
 def train(sample: list[tuple[bytes, int]], share: float, dim: int = 8, epochs: int = 25, batches: int = 12, rate: float = 0.03, gain: float = 100.0, decay: float = 3e-4, seed: int = 9) -> Model:
     """Fit vectors and softmax jointly by Adam on mini-batches, then place the threshold.
 
+    The sample's texts are given as their packed bags; the list is emptied.
     ``share`` is the share of label 1 among all labelled rows, to which the sample is
     reweighted. A fifth of the sample is left out of the fit; the bias is moved so that a
     score of 0.5 separates it with the fewest errors. Without both labels every score is
@@ -120,11 +127,13 @@ def train(sample: list[tuple[bytes, int]], share: float, dim: int = 8, epochs: i
     order = rng.permutation(len(y))
     order = np.concatenate([order[fit[order]], order[~fit[order]]])
     y, n_fit = y[order], int(fit.sum())
-    bags = [bag(sample[i][0]) for i in order]
-    edge = np.cumsum([0] + [len(b) for b, _ in bags])
+    bags = [sample[i][0] for i in order]
+    sample.clear()
+    edge = np.cumsum([0] + [len(b) // 8 for b in bags])
     idx, val = np.empty(edge[-1], np.int32), np.empty(edge[-1], np.float32)
     for i in range(len(bags)):  # one copy at a time: the driver holds the sample once
-        idx[edge[i] : edge[i + 1]], val[edge[i] : edge[i + 1]] = bags[i]
+        n = len(bags[i]) // 8
+        idx[edge[i] : edge[i + 1]], val[edge[i] : edge[i + 1]] = np.frombuffer(bags[i], np.int32, n), np.frombuffer(bags[i], np.float32, n, 4 * n)
         bags[i] = None
     val *= np.float32(gain)
     owner = lambda i, j: np.repeat(np.arange(j - i, dtype=np.int32), np.diff(edge[i : j + 1]))
@@ -185,14 +194,14 @@ def score_toxicity(docs: DataFrame, model: Model, keep: list[str], text_col: str
     return map_docs(docs, keep, {"t": text_col}, run, [T.StructField("score", T.DoubleType())])
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = (3_000, 1_100), max_chars: int = 12_000) -> Model:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = (3_000, 1_100)) -> Model:
     """Train on at most ``sum(per_class)`` labelled rows that are not held out.
 
     The share of label 1 is counted over all of them.
     """
     training = lambda i: ~held_out(i, 5, 0)
     share = labels.where(training(col("doc_id")) & F.col("toxic").isin(0, 1)).agg(F.avg("toxic")).first()[0]
-    return train(labelled_sample(docs, labels, "toxic", training, per_class, max_chars), float(share or 0.0))
+    return train(labelled_sample(docs, labels, "toxic", training, per_class, packed_bag), float(share or 0.0))
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -207,6 +207,22 @@ def test_classifier_edges(spark):
     assert {r.lang_pred for r in langid.predicted(unlabelled).collect()} == {"und"}
 
 
+def test_long_texts_are_learned(spark):
+    words = {"aa": "alpha beta gamma", "bb": "kilo lima mike"}
+    texts = [f"{words[lang]} " * 2_000 for i in range(30) for lang in words]
+    rows = [(i, t, ("aa", "bb")[i % 2], "s", len(t), "x", "y", "z") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    marks = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"), (F.col("doc_id") % 2).cast("int").alias("quality"))
+    assert all(len(t) > 20_000 for t in texts)
+    assert {(r.doc_id % 2, r.predicted) for r in toxicity.scored(docs, marks).collect()} == {(0, 0), (1, 1)}
+    assert {(r.doc_id % 2, r.lang_pred) for r in langid.predicted(docs).collect()} == {(0, "aa"), (1, "bb")}
+    # labels of other tables' ids take no place of a labelled text
+    lost = marks.union(spark.range(100, 20_000).selectExpr("id", "cast(id % 2 as int)", "cast(id % 2 as int)"))
+    assert {(r.doc_id % 2, r.predicted) for r in toxicity.scored(docs, lost).collect()} == {(0, 0), (1, 1)}
+    model = quality.fit_quality(docs, lost)
+    assert model.weights.any()
+
+
 def test_grams_stay_in_words():
     whole = toxicity.bag(b"some words and others here")
     assert toxicity.bag(b"some  words!and\nothers here")[0].tolist() == whole[0].tolist()
