@@ -194,7 +194,7 @@ def score_toxicity(docs: DataFrame, model: Model, keep: list[str], text_col: str
     return map_docs(docs, keep, {"t": text_col}, run, [T.StructField("score", T.DoubleType())])
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = (3_000, 1_100)) -> Model:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = (4_500, 1_500)) -> Model:
     """Train on at most ``sum(per_class)`` labelled rows that are not held out.
 
     The share of label 1 is counted over all of them.

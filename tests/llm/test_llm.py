@@ -207,6 +207,20 @@ def test_classifier_edges(spark):
     assert {r.lang_pred for r in langid.predicted(unlabelled).collect()} == {"und"}
 
 
+def test_toxicity_sample_size(spark):
+    import inspect
+
+    from loomfeat.llm import labels
+
+    docs = docs_of(spark, [f"text of row {i}" for i in range(9_000)])
+    marks = spark.range(9_000).select(F.col("id").alias("doc_id"), (F.col("id") % 3 == 0).cast("int").alias("toxic"))
+    per_class = inspect.signature(toxicity.fit_toxicity).parameters["per_class"].default
+    sample = labels.labelled_sample(docs, marks, "toxic", lambda i: F.lit(True), per_class, toxicity.packed_bag)
+    assert Counter(y for _, y in sample) == {0: 4_500, 1: 1_500}
+    texts = {toxicity.packed_bag(f"text of row {i}".encode()) for i in range(9_000)}
+    assert all(x in texts for x, _ in sample)
+
+
 def test_long_texts_are_learned(spark):
     words = {"aa": "alpha beta gamma", "bb": "kilo lima mike"}
     texts = [f"{words[lang]} " * 2_000 for i in range(30) for lang in words]
