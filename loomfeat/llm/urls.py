@@ -2,7 +2,9 @@
 
 Rules judge the urls they fit. The others are judged by a multinomial naive Bayes over
 words of host and path, learned from the urls that rules judge. Names without blanks are
-split into words by Viterbi over unigrams, which are counted in the text of all pages.
+split into words by Viterbi over unigrams, which are counted in the text of all pages. Each
+name meets the counts of its substrings, and each url those of its words, by shuffled joins,
+so that neither model is cut to a size.
 """
 
 from __future__ import annotations
@@ -10,13 +12,14 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from itertools import batched
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomfeat.llm.common import col, lower_ascii, map_docs
+from loomfeat.llm.common import col, lower_ascii, materialise, parts, small_batches
 
 #: Fixed values of the contract: host, path prefix, verdict.
 RULES = [
@@ -27,7 +30,12 @@ RULES = [
     ("net", "/fr/", "block"),
 ]
 
+#: Letters of the longest run that stands for one unknown word.
 WORD_CHARS = 20
+#: Parts into which joins deal a key that many rows share (``com``, ``a``).
+SALTS = 16
+#: Log odds are summed as whole multiples of 1 / ODDS, so that a sum does not depend on its order.
+ODDS = 10**12
 _HIDDEN = re.compile(r"<(script|style)\b.*?</\1\s*>|<[^>]*>", re.S | re.I)
 _WORD = re.compile(r"[a-z]+")
 _PART = re.compile(r"[a-z]+|[0-9]+|[^\x00-\x7f]+")
@@ -51,11 +59,13 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 class Segmenter:
     """Most probable split of a name into words of the unigram model.
 
-    A run of n letters that is no word has the probability ``10 / (total * 10^n)``.
+    A run of n letters that is no word has the probability ``10 / (total * 10^n)``; ``counts``
+    need no more than the words that occur in the names, if ``total`` is that of all words.
     """
 
-    def __init__(self, counts: dict[str, int]):
-        self.total = sum(counts.values()) or 1
+    def __init__(self, counts: dict[str, int], total: int = 0):
+        self.total = total or sum(counts.values()) or 1
+        self.longest = max([WORD_CHARS, *map(len, counts)])
         self.cost = {w: -math.log(c / self.total) for w, c in counts.items()}
         self.seen: dict[str, list[str]] = {}
 
@@ -71,9 +81,10 @@ class Segmenter:
         strange = math.log(self.total) - math.log(10)
         for j in range(1, len(name) + 1):
             options = []
-            for i in range(max(0, j - WORD_CHARS), j):
+            for i in range(max(0, j - self.longest), j):
                 w = name[i:j]
-                options.append((best[i] + self.cost.get(w, strange + (j - i) * math.log(10)), i))
+                if j - i <= WORD_CHARS or w in self.cost:
+                    options.append((best[i] + self.cost.get(w, strange + (j - i) * math.log(10)), i))
             cost, i = min(options)
             best.append(cost)
             back.append(i)
@@ -83,87 +94,97 @@ class Segmenter:
             j = back[j]
         return out[::-1]
 
-    def tokens(self, host: str, path: str) -> list[str]:
-        """Words of the host and of the path, marked; numbers read ``#``."""
-        out = []
-        for mark, text in (("h:", host), ("p:", path.lower())):
-            for part in _PART.findall(text):
-                out += [mark + "#"] if part[0].isdigit() else [mark + w for w in self.split(part)]
-        return out
 
+def names_of(host: str, path: str) -> Counter:
+    """(mark, name) of host and path with their numbers; digits read ``#``."""
+    return Counter((mark, "#" if part[0].isdigit() else part) for mark, text in (("h:", host), ("p:", path.lower())) for part in _PART.findall(text))
 
-def count_words(pages: DataFrame, html_col: str, vocabulary: int) -> dict[str, int]:
-    """Counts over all pages' visible text of the ``vocabulary`` most frequent words."""
+
+def count_words(pages: DataFrame, html_col: str) -> DataFrame:
+    """(word, number) over all pages' visible text."""
 
     def run(batches):
-        for b in batches:
+        for b in (part for batch in batches for part in parts(batch)):
             counts: Counter = Counter()
             for html in b.column(0).to_pylist():
                 if html:
                     counts.update(_WORD.findall(_HIDDEN.sub(" ", html).lower()))
-            words = [w for w in counts if len(w) <= WORD_CHARS]
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([counts[w] for w in words], pa.int64())], names=["word", "number"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "number"])
+
+    return pages.select(col(html_col)).mapInArrow(run, "word string, number long").groupBy("word").agg(F.sum("number").alias("number"))
+
 
-    words = pages.select(col(html_col)).mapInArrow(run, "word string, number long").groupBy("word").agg(F.sum("number").alias("number"))
-    return {r.word: r.number for r in words.orderBy(F.desc("number"), "word").limit(vocabulary).collect()}
+def _salted(many: DataFrame, few: DataFrame, key: str, by: list[str], how: str = "inner") -> DataFrame:
+    """Join with the rows of ``many`` that share a key dealt to ``SALTS`` tasks by the columns ``by``."""
+    many = many.withColumn("salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)))
+    few = few.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+    return many.join(few, [key, "salt"], how).drop("salt")
 
 
-class Bayes:
-    """Multinomial naive Bayes with add-one smoothing; a tie or nothing learned allows."""
+def split_names(names: DataFrame, words: DataFrame) -> DataFrame:
+    """(name, tokens): the split of each name by the words among its substrings."""
+    total, longest = words.agg(F.sum("number"), F.max(F.length("word"))).first()
 
-    def __init__(self, tokens: dict[tuple[str, str], int], rows: dict[str, int]):
-        size = len({t for _, t in tokens}) + 1
-        all_ = {v: sum(n for (w, _), n in tokens.items() if w == v) for v in ("allow", "block")}
-        part = {v: {t: math.log((n + 1) / (all_[v] + size)) for (w, t), n in tokens.items() if w == v} for v in all_}
-        none = {v: math.log(1 / (all_[v] + size)) for v in all_}
-        self.odds = {t: part["block"].get(t, none["block"]) - part["allow"].get(t, none["allow"]) for _, t in tokens}
-        self.strange = none["block"] - none["allow"]
-        self.prior = math.log((rows.get("block", 0) + 1) / (rows.get("allow", 0) + 1))
-        self.only = next((v for v in ("allow", "block") if rows.get(v, 0) == sum(rows.values())), None) if rows else "allow"
+    def substrings(batches):
+        for b in batches:
+            for name in b.column(0).to_pylist():
+                found = (name[i:j] for i in range(len(name)) for j in range(i + 1, min(len(name), i + (longest or 0)) + 1))
+                for some in batched(found if _WORD.fullmatch(name) else (), 4096):
+                    some = list(set(some))
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(some), pa.string()), pa.array(some, pa.string())], names=["name", "word"])
+
+    def split(batches):
+        for b in batches:
+            held, found = b.column(0).to_pylist(), b.column(1).to_pylist()
+            tokens = [Segmenter({w["word"]: w["number"] for w in own or []}, total or 0).split(name) for name, own in zip(held, found)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(tokens, pa.list_(pa.string()))], names=["name", "tokens"])
 
-    def verdict(self, tokens: list[str]) -> str:
-        if self.only:
-            return self.only
-        return "block" if self.prior + sum(self.odds.get(t, self.strange) for t in tokens) > 0 else "allow"
+    asked = names.mapInArrow(substrings, "name string, word string")
+    known = _salted(asked, words, "word", ["name"]).groupBy("name").agg(F.collect_list(F.struct("word", "number")).alias("words"))
+    return names.join(known, "name", "left").select("name", "words").mapInArrow(split, "name string, tokens array<string>")
 
 
-def judge(pages: DataFrame, keep: list[str], url_col: str = "url", html_col: str = "html", rules=RULES, vocabulary: int = 20_000) -> DataFrame:
+def judge(pages: DataFrame, keep: list[str], url_col: str = "url", html_col: str = "html", rules=RULES) -> DataFrame:
     """The kept columns in ``doc``, host, path, rule, verdict.
 
-    Word counts and the classifier cover all pages; ``vocabulary`` is the number of
-    words the segmentation knows. Null urls have no words and get the prior's verdict;
-    null or empty html teaches no words. Repeated rows are judged alike.
+    Word counts and the classifier (add-one smoothing) cover all pages. A tie or nothing
+    learned allows; if rules know one verdict only, it is everyone's. Null urls have no words
+    and get the prior's verdict; null or empty html teaches no words. Repeated rows are
+    judged alike.
     """
-    spark = pages.sparkSession
+    small_batches(pages.sparkSession)
     host, path = host_and_path(col(url_col))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     split = pages.select(F.struct(*[col(c) for c in keep]).alias("doc"), host.alias("host"), path.alias("path")).withColumn("rule", rule).withColumn("known", verdict)
-    words = spark.sparkContext.broadcast(count_words(pages, html_col, vocabulary))
-
-    def tokens(batches):
-        segment = Segmenter(words.value)
-        for b in batches:
-            counts: Counter = Counter()
-            for h, p, v in zip(*[b.column(i).to_pylist() for i in range(3)]):
-                counts[(v, "")] += 1
-                counts.update((v, t) for t in segment.tokens(h, p))
-            keys = list(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([counts[k] for k in keys], pa.int64())], names=["verdict", "token", "number"])
-
-    learned = split.where("known is not null").select("host", "path", "known").mapInArrow(tokens, "verdict string, token string, number long")
-    # tokens are words of the bounded vocabulary or runs of at most WORD_CHARS strange letters;
-    # of the latter only those that come back can tell anything
-    learned = learned.groupBy("verdict", "token").agg(F.sum("number").alias("number")).where("number > 1 or token = ''")
-    counts = {(r.verdict, r.token): r.number for r in learned.orderBy(F.desc("number"), "token", "verdict").limit(4 * vocabulary).collect()}
-    model = spark.sparkContext.broadcast(Bayes({k: n for k, n in counts.items() if k[1]}, {v: n for (v, t), n in counts.items() if not t}))
-
-    def run(batches):
-        segment = Segmenter(words.value)
-        for hosts, paths, known in batches:
-            yield [pa.array([v or model.value.verdict(segment.tokens(h, p)) for h, p, v in zip(hosts.to_pylist(), paths.to_pylist(), known.to_pylist())], pa.string())]
-
-    out = map_docs(split, ["doc", "host", "path", "rule"], {"h": F.col("host"), "p": F.col("path"), "v": F.col("known")}, run, [T.StructField("verdict", T.StringType())])
-    return out.select("doc.doc", "doc.host", "doc.path", "doc.rule", "verdict")
+    urls = materialise(split.groupBy("host", "path", "known").agg(F.count("*").alias("rows")), "urls")
+    rows = {r.known: r.n for r in urls.where("known is not null").groupBy("known").agg(F.sum("rows").alias("n")).collect()}
+    if len(rows) < 2:
+        return split.select("doc", "host", "path", "rule", F.coalesce("known", F.lit(next(iter(rows), "allow"))).alias("verdict"))
+
+    def names(batches):
+        for b in (part for batch in batches for part in parts(batch)):
+            found = [(i, *k, m) for i, (h, p) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())) for k, m in names_of(h, p).items()]
+            at = pa.array([f[0] for f in found], pa.int64())
+            more = [pa.array([f[k] for f in found], t) for k, t in ((1, pa.string()), (2, pa.string()), (3, pa.int64()))]
+            yield pa.RecordBatch.from_arrays([c.take(at) for c in b.columns] + more, names=[*b.schema.names, "mark", "name", "times"])
+
+    named = materialise(urls.mapInArrow(names, T.StructType([*urls.schema.fields, *[T.StructField(n, T.StringType()) for n in ("mark", "name")], T.StructField("times", T.LongType())])), "url-names")
+    segments = materialise(split_names(named.select("name").distinct(), materialise(count_words(pages, html_col), "words")), "name-tokens")
+    tokens = _salted(named, segments, "name", ["host", "path"]).select("host", "path", "known", "rows", "times", "mark", F.explode("tokens").alias("token"))
+    tokens = materialise(tokens.groupBy("host", "path", "known", "rows", F.concat("mark", "token").alias("token")).agg(F.sum("times").alias("times")), "url-tokens")
+
+    seen = lambda v: F.sum(F.when(F.col("known") == v, F.col("rows") * F.col("times")).otherwise(0)).alias(v)
+    learned = materialise(tokens.where("known is not null").groupBy("token").agg(seen("allow"), seen("block")), "learned-tokens")
+    size, allow, block = learned.agg(F.count("*"), F.coalesce(F.sum("allow"), F.lit(0)), F.coalesce(F.sum("block"), F.lit(0))).first()
+    strange = math.log(allow + size + 1) - math.log(block + size + 1)
+    prior = math.log((rows["block"] + 1) / (rows["allow"] + 1))
+    odds = learned.select("token", F.round((F.log(F.col("block") + 1) - F.log(F.col("allow") + 1) + F.lit(strange)) * ODDS).cast("long").alias("odds"))
+    asked = _salted(tokens.where("known is null"), odds, "token", ["host", "path"], "left")
+    scores = asked.groupBy("host", "path").agg(F.sum(F.col("times") * F.coalesce("odds", F.lit(round(strange * ODDS)))).alias("score"))
+    judged_urls = split.where("known is null").join(scores, ["host", "path"], "left")
+    guess = F.when(F.coalesce("score", F.lit(0)) + F.lit(round(prior * ODDS)) > 0, "block").otherwise("allow")
+    out = judged_urls.select("doc", "host", "path", "rule", guess.alias("verdict"))
+    return out.union(split.where("known is not null").select("doc", "host", "path", "rule", F.col("known").alias("verdict")))
 
 
 def judged(pages: DataFrame) -> DataFrame:

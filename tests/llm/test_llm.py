@@ -404,6 +404,46 @@ def test_url_rules(spark):
     assert urls.judged(df.limit(0)).count() == 0
 
 
+def test_urls_learn_every_word(spark):
+    # zebra and apple are seen once each under one verdict
+    marked = ["http://aa.com/apple", "http://aa.net/es/zebra"]
+    rows = [(i, u, "") for i, u in enumerate([*marked, "http://qq.org/zebra", "http://qq.org/apple"])]
+    got = {r.page_id: r.verdict for r in urls.judged(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {0: "allow", 1: "block", 2: "block", 3: "allow"}
+
+
+def test_urls_equal_brute_force(spark):
+    import math
+
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet").select("page_id", "url", "html")
+    known = spark.createDataFrame([(-i, f"http://{w}.{end}", None) for i, (w, end) in enumerate([("a", "com/"), ("b", "net/es/")] * 3, 1) for _ in range(i)], pages.schema)
+    long = "abcdefghijklmnopqrstuvwxyz"
+    pages = pages.union(known).union(spark.createDataFrame([(-99, f"http://x{long}.org/{long}yes", f"<p>{long} yes {long}</p>")], pages.schema))
+    rows = pages.collect()
+    words: Counter = Counter()
+    for r in rows:
+        words.update(urls._WORD.findall(urls._HIDDEN.sub(" ", r.html or "").lower()))
+    segment = urls.Segmenter(words)
+    assert long in segment.split(f"{long}yes")
+    got = {r.page_id: r for r in urls.judged(pages).collect()}
+    counts, number = {"allow": Counter(), "block": Counter()}, Counter()
+
+    def tokens(r):
+        return [m + t for (m, n), times in urls.names_of(r.host, r.path).items() for t in segment.split(n) * times]
+
+    for p in rows:
+        r = got[p.page_id]
+        if r.rule:
+            counts[r.verdict].update(tokens(r))
+            number[r.verdict] += 1
+    size = len({*counts["allow"], *counts["block"]}) + 1
+    part = lambda v, t: math.log((counts[v][t] + 1) / (sum(counts[v].values()) + size))
+    for r in got.values():
+        if not r.rule:
+            score = math.log((number["block"] + 1) / (number["allow"] + 1)) + sum(part("block", t) - part("allow", t) for t in tokens(r))
+            assert r.verdict == ("block" if score > 0 else "allow")
+
+
 def test_viterbi_finds_the_best_split():
     seg = urls.Segmenter({"the": 50, "then": 20, "end": 10, "a": 30, "at": 15, "hat": 5})
 
