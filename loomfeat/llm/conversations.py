@@ -4,7 +4,8 @@ Lines that begin with ``>`` marks are quotes, as deep as they have marks. Consec
 lines of one depth are a passage; it is normalised (lower case, letters and digits, single
 blanks), hashed, and joined to the messages of its conversation by the hashes of their own
 text: the whole, its paragraphs, its lines. A passage none of them equals is linked by its
-longest line that one equals. The original is the first message that holds the text.
+longest paragraph or line that one equals; empty quoted lines part its paragraphs. The
+original is the first message that holds the text.
 
 The result has every message without its quotes, the message it answers, and is sorted by
 conversation, answered message and turn: each message follows the one it answers, and
@@ -20,6 +21,10 @@ from loomfeat.llm.common import col, materialise
 
 QUOTED = r"^\s*>"
 ANY_QUOTE = r"(?m)^[ \t]*>"
+_WROTE = r"(?i:wrote|writes|schrieb|a écrit|escribió|escreveu|ha scritto|schreef|написала?|пишет|写道)"
+_NOBODY = r"(?<!\b(?i:I|you|he|she|we|they|it|who)\s)"
+#: A line that tells who wrote what is quoted below it: with a date or an address, or a name only.
+ATTRIBUTION = rf"^(?:.*[0-9@].*{_WROTE}(?:\s.*)?|\s*(?:\S+|\p{{Lu}}\S*(?:\s\p{{Lu}}\S*){{1,4}})\s{_NOBODY}{_WROTE})\s*[:：]\s*$"
 #: Turns of a conversation that one window looks at together.
 TURNS = 1024
 
@@ -41,7 +46,7 @@ def _own(text: Column) -> Column:
     lines = F.split(text, r"\r?\n")
     # each line beside the next one, so that a lambda looks at one row of the array only
     pairs = F.arrays_zip(lines.alias("a"), F.slice(lines, 2, F.greatest(F.size(lines), F.lit(1))).alias("b"))
-    keep = lambda p: ~p["a"].rlike(QUOTED) & ~(p["a"].rlike(r"\S.*:\s*$") & F.coalesce(p["b"].rlike(QUOTED), F.lit(False)))
+    keep = lambda p: ~p["a"].rlike(QUOTED) & ~(p["a"].rlike(ATTRIBUTION) & F.coalesce(p["b"].rlike(QUOTED), F.lit(False)))
     kept = F.array_join(F.transform(F.filter(pairs, keep), lambda p: p["a"]), "\n")
     return F.when(text.rlike(ANY_QUOTE), F.regexp_replace(F.regexp_replace(kept, r"\n{3,}", "\n\n"), r"^\s+|\s+$", "")).otherwise(text)
 
@@ -55,14 +60,13 @@ def _previous_turn(messages: DataFrame) -> DataFrame:
     return inner.join(lasts, ["c", "bucket"], "left").select("c", "n", F.coalesce("near", "far").alias("before"))
 
 
-def link_quotations(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text", min_chars: int = 12) -> DataFrame:
+def link_quotations(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text") -> DataFrame:
     """Per message: the whole row in ``doc``, own (text without quotes), depth, links, reply_to.
 
     ``links`` has a struct (level, turn, whole) for each linked passage, in order; ``whole``
-    tells a passage that equals a text from one linked by a line. ``reply_to`` is the turn
+    tells a passage that equals a text from one linked by a part. ``reply_to`` is the turn
     of the latest message quoted at level 1, else the turn before; null for the first.
-    Single lines and paragraphs of fewer than ``min_chars`` normalised characters link
-    nothing, a whole message of any length does. A message never links to itself or to a
+    Of a passage's paragraphs and lines the longest that is found links, of any length. A message never links to itself or to a
     later one. Null texts stay null; rows with a null conversation or turn stay unlinked;
     rows that share conversation and turn are parts of one message for its readers.
     """
@@ -71,23 +75,24 @@ def link_quotations(messages: DataFrame, conv_col: str = "conv_id", turn_col: st
     m = m.select("doc", "c", "n", "t", F.md5(F.col("t").cast("binary")).alias("h"), _own(F.col("t")).alias("own"), F.coalesce(depth, F.lit(0)).alias("depth"))
     m = materialise(m, "messages")  # read by several branches below
 
-    # passages of messages that quote, each with its units: the whole (rank 0) and its lines
+    # passages of messages that quote, each with its units: the whole, its paragraphs and its lines
     quoting = m.where("depth > 0 and c is not null and n is not null").select("c", "n", "h", "t").dropDuplicates(["c", "n", "h"])
     line = quoting.select("c", "n", "h", F.posexplode(F.split("t", r"\r?\n")).alias("pos", "line")).withColumn("level", _level(F.col("line")))
     message = Window.partitionBy("c", "n", "h").orderBy("pos")
     line = line.withColumn("new", (F.col("level") != F.coalesce(F.lag("level").over(message), F.lit(-1))).cast("int"))
     line = line.withColumn("passage", F.sum("new").over(message)).where("level > 0").withColumn("body", _body(F.col("line")))
     passages = line.groupBy("c", "n", "h", "level", "passage").agg(F.array_sort(F.collect_list(F.struct("pos", "body"))).alias("bodies"))
-    bodies = F.col("bodies.body")
+    passages = passages.withColumn("bodies", F.col("bodies.body"))
+    bodies = F.col("bodies")
+    paragraphs = F.split(F.array_join(bodies, "\n"), r"\n\s*\n")
     whole = F.struct(F.lit(True).alias("whole"), normalised(F.array_join(bodies, " ")).alias("u"))
-    single = F.transform(bodies, lambda b: F.struct(F.lit(False).alias("whole"), normalised(b).alias("u")))
-    single = F.filter(single, lambda s: F.length(s["u"]) >= min_chars)
+    single = F.transform(F.array_distinct(F.concat(paragraphs, bodies)), lambda b: F.struct(F.lit(False).alias("whole"), normalised(b).alias("u")))
     units = passages.select("c", "n", "h", "level", "passage", F.explode(F.concat(F.array(whole), single)).alias("x")).where("x.u <> ''")
     units = units.select("c", "n", "h", "level", "passage", "x.whole", F.length("x.u").alias("size"), F.md5(F.col("x.u").cast("binary")).alias("key"))
 
     # first holder of every own text, paragraph and line of a conversation
     parts = F.concat(F.split("own", r"\n\s*\n"), F.split("own", r"\n"))
-    parts = F.filter(F.transform(parts, normalised), lambda u: F.length(u) >= min_chars)
+    parts = F.transform(parts, normalised)
     held = m.where("c is not null and n is not null and own <> ''").select("c", "n", F.explode(F.array_distinct(F.concat(F.array(normalised(F.col("own"))), parts))).alias("u"))
     first = held.where("u <> ''").groupBy("c", F.md5(F.col("u").cast("binary")).alias("key")).agg(F.min("n").alias("origin"))
 

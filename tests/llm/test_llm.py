@@ -92,6 +92,28 @@ def test_quotations(spark):
     assert conversations.reply_ordered(df.limit(0)).count() == 0
 
 
+def test_quoted_parts(spark):
+    rows = [
+        (0, "The first paragraph is\nabout one thing.\n\nThe second is about\nsome other thing.\n\nA third."),
+        (1, "Not at all."),
+        (2, "On Mon, 1 Jan 2024, Bob Ray wrote:\n> The first paragraph is about\n> one thing.\n>\n> The second is about some\n> other thing.\nI like these two points:\n> Not at\nWhy?"),
+        (3, "我同意。\n明天见"),
+        (4, "between"),
+        (5, "> 我同意。\n> 別的\nfine"),
+        (6, "Then I wrote:\n> Not at all.\nand more"),
+        (7, "ok\nthat is done now"),
+        (8, "between"),
+        (9, "Bob Ray wrote:\n> ok\n> lost words\nyes"),
+    ]
+    df = spark.createDataFrame([(1, n, "u", t) for n, t in rows], "conv_id long, turn long, role string, text string")
+    by = {r.turn: r for r in conversations.reply_ordered(df).collect()}
+    assert [tuple(x) for x in by[2].links] == [(1, 0, False)] and by[2].reply_to == 0
+    assert by[2].text == "I like these two points:\nWhy?"
+    assert by[5].reply_to == 3 and [tuple(x) for x in by[5].links] == [(1, 3, False)]
+    assert by[6].text == "Then I wrote:\nand more" and by[6].reply_to == 1
+    assert by[9].reply_to == 7 and by[9].text == "yes"
+
+
 def test_turns_across_buckets(spark):
     turns = [0, 1, 1023, 1024, 5000, 5001]
     df = spark.createDataFrame([(1, t, "u", f"t{t}") for t in turns], "conv_id long, turn long, role string, text string")
