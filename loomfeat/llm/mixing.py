@@ -177,18 +177,25 @@ def mixed(docs: DataFrame) -> DataFrame:
     return out.select(F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def first_words(text: Column, n: Column) -> Column:
+    """The text up to the end of its ``n``-th word."""
+    return F.array_join(F.slice(F.split(text, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"), 1, n.cast("int")), "")
+
+
 def curriculum(docs: DataFrame, **options) -> DataFrame:
     """The training order: one row for each reading of a document, by position.
 
-    doc_id, source, position, words (of this reading), target and text.
+    doc_id, source, position, words (of this reading), target and text, which ends with the
+    last word read.
     """
     out = mix(docs, ["doc_id", "source", "text"], ordered=False, **options)
-    rows = out.select("doc", "target", F.explode("passes").alias("p"))
+    rows = out.select("doc", "size", "target", F.explode("passes").alias("p"))
+    text = F.col("doc.text")
     return rows.select(
         F.col("doc.doc_id").alias("doc_id"),
         F.col("doc.source").alias("source"),
         F.col("p.position").alias("position"),
         F.col("p.words").alias("words"),
         "target",
-        F.col("doc.text").alias("text"),
+        F.when(F.col("p.words") < F.col("size"), first_words(text, F.col("p.words"))).otherwise(text).alias("text"),
     ).orderBy("position", "doc_id")

@@ -179,6 +179,16 @@ def test_mixing(spark):
     assert mixing.mixed(docs.limit(0)).count() == 0
 
 
+def test_curriculum_holds_the_words_taken(spark):
+    texts = [f"  w{i}\t{i}  " + " \n".join(f"x{k}" for k in range(40 + i)) + " \n" for i in range(7)]
+    docs = docs_of(spark, texts).withColumn("source", F.when(F.col("doc_id") < 3, "a").otherwise("b"))
+    rows = mixing.curriculum(docs).collect()
+    assert any(r.words < len(texts[r.doc_id].split()) for r in rows)
+    for r in rows:
+        assert len(r.text.split()) == r.words and texts[r.doc_id].startswith(r.text)
+        assert r.text == texts[r.doc_id] or r.words < len(texts[r.doc_id].split())
+
+
 def test_positions_invert_the_integral(spark):
     for knots in mixing.SCHEDULES:
         segments = mixing.integrate(knots)
