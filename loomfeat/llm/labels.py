@@ -11,7 +11,34 @@ from pyspark.sql import functions as F
 from loomfeat.llm.common import as_bytes, col, materialise, parts, small_batches
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, training, per_class: tuple[int, int], features: Callable[[bytes], bytes]) -> list[tuple[bytes, int]]:
+#: Bytes of features that the driver fetches at a time.
+FETCHED = 4 << 20
+
+
+class Sample:
+    """Labels and sizes of the drawn rows, in order; their features are read from a table."""
+
+    def __init__(self, found: DataFrame):
+        rows = sorted(found.select("i", "y", F.octet_length("x")).collect())
+        self.place = {i: k for k, (i, _, _) in enumerate(rows)}
+        self.labels, self.sizes = [y for _, y, _ in rows], [size for _, _, size in rows]
+        self.found = found
+
+    def read(self) -> Iterator[tuple[int, bytes]]:
+        """(place in the order, features), in any order, a few at a time."""
+        some = self.found.select("i", "x").repartition(sum(self.sizes) // FETCHED + 1)
+        for r in some.toLocalIterator():
+            yield self.place[r.i], r.x
+
+
+def labelled_sample(*args) -> list[tuple[bytes, int]]:
+    """The drawn rows of ``drawn_features`` as a list, for features that are small."""
+    sample = drawn_features(*args)
+    held = dict(sample.read())
+    return [(bytes(held[k]), y) for k, y in enumerate(sample.labels)]
+
+
+def drawn_features(docs: DataFrame, labels: DataFrame, label: str, training, per_class: tuple[int, int], features: Callable[[bytes], bytes]) -> Sample:
     """The features of at most ``per_class[y]`` whole texts of each label y (0, 1), in hash order of the id.
 
     Rows are drawn after labels have met their texts, whatever the length of these. Only ids
@@ -33,7 +60,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, training, pe
         for b in (part for batch in batches for part in parts(batch)):
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([features(t) for t in as_bytes(b.column(2))], pa.binary())], names=["i", "y", "x"])
 
-    # written, so that the driver reads one part at a time and computes none of them twice
-    found = materialise(few.mapInArrow(run, "i int, y int, x binary"), f"{label}-features")
-    rows = sorted(((r.i, r.y, bytes(r.x)) for r in found.toLocalIterator()), key=lambda r: r[0])
-    return [(x, y) for _, y, x in rows]
+    # written, so that the driver reads a few at a time and computes none of them twice
+    return Sample(materialise(few.mapInArrow(run, "i int, y int, x binary"), f"{label}-features"))

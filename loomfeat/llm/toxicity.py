@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomfeat.llm.common import WORDS, as_bytes, col, held_out, map_docs, unpack
-from loomfeat.llm.labels import labelled_sample
+from loomfeat.llm.labels import Sample, drawn_features
 
 GRAMS = (3, 4, 5, 6)
 BITS = 17
@@ -109,16 +109,16 @@ class Model:
         return np.where(counts > 0, p, self.empty)
 
 
-def train(sample: list[tuple[bytes, int]], share: float, dim: int = 8, epochs: int = 25, batches: int = 12, rate: float = 0.03, gain: float = 100.0, decay: float = 3e-4, seed: int = 9) -> Model:
+def train(sample: Sample, share: float, dim: int = 8, epochs: int = 25, batches: int = 12, rate: float = 0.03, gain: float = 100.0, decay: float = 3e-4, seed: int = 9) -> Model:
     """Fit vectors and softmax jointly by Adam on mini-batches, then place the threshold.
 
-    The sample's texts are given as their packed bags; the list is emptied.
+    The sample's texts are read as packed bags, each put into its place as it arrives.
     ``share`` is the share of label 1 among all labelled rows, to which the sample is
     reweighted. A fifth of the sample is left out of the fit; the bias is moved so that a
     score of 0.5 separates it with the fewest errors. Without both labels every score is
     0, or 1 if all labels are 1.
     """
-    y = np.array([label for _, label in sample], np.int64)
+    y = np.array(sample.labels, np.int64)
     if len(set(y.tolist())) < 2:
         only = float(y.mean()) if len(y) else 0.0
         return Model(np.zeros(1 << BITS), 40.0 if only == 1 else -40.0, only)
@@ -127,14 +127,12 @@ def train(sample: list[tuple[bytes, int]], share: float, dim: int = 8, epochs: i
     order = rng.permutation(len(y))
     order = np.concatenate([order[fit[order]], order[~fit[order]]])
     y, n_fit = y[order], int(fit.sum())
-    bags = [sample[i][0] for i in order]
-    sample.clear()
-    edge = np.cumsum([0] + [len(b) // 8 for b in bags])
+    edge = np.append(0, np.cumsum(np.array(sample.sizes, np.int64)[order] // 8))
     idx, val = np.empty(edge[-1], np.int32), np.empty(edge[-1], np.float32)
-    for i in range(len(bags)):  # one copy at a time: the driver holds the sample once
-        n = len(bags[i]) // 8
-        idx[edge[i] : edge[i + 1]], val[edge[i] : edge[i + 1]] = np.frombuffer(bags[i], np.int32, n), np.frombuffer(bags[i], np.float32, n, 4 * n)
-        bags[i] = None
+    place = np.argsort(order)
+    for k, packed in sample.read():  # the driver holds the sample once
+        at, n = slice(edge[place[k]], edge[place[k] + 1]), len(packed) // 8
+        idx[at], val[at] = np.frombuffer(packed, np.int32, n), np.frombuffer(packed, np.float32, n, 4 * n)
     val *= np.float32(gain)
     owner = lambda i, j: np.repeat(np.arange(j - i, dtype=np.int32), np.diff(edge[i : j + 1]))
     prior = np.where(y == 1, share, 1 - share) / np.bincount(y, minlength=2)[y]
@@ -201,7 +199,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int]
     """
     training = lambda i: ~held_out(i, 5, 0)
     share = labels.where(training(col("doc_id")) & F.col("toxic").isin(0, 1)).agg(F.avg("toxic")).first()[0]
-    return train(labelled_sample(docs, labels, "toxic", training, per_class, packed_bag), float(share or 0.0))
+    return train(drawn_features(docs, labels, "toxic", training, per_class, packed_bag), float(share or 0.0))
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
