@@ -71,3 +71,19 @@ s AS (
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
 FROM s QUALIFY rank <= 20
 """
+
+ORACLES["op13_near_vectors"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS x,
+    label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda y: y IS NULL OR isnan(y) OR isinf(y))) = 0
+    AND len(list_filter(embedding, lambda y: y <> 0)) > 0 AS live FROM embeddings),
+u AS (SELECT vec_id, label, x, sqrt(list_sum(list_transform(x, lambda y: y * y))) AS n FROM v WHERE live),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_dot_product(a.x, b.x) / (a.n * b.n) >= 0.98),
+r AS (SELECT a AS vec_id, a AS c FROM (SELECT DISTINCT a FROM l) UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.vec_id),
+m AS (SELECT vec_id, min(c) AS c FROM r GROUP BY vec_id),
+k AS (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a)
+SELECT v.vec_id, coalesce(k.n, 0)::BIGINT AS n_links, coalesce(m.c, v.vec_id) AS component_id, v.vec_id = coalesce(m.c, v.vec_id) AS kept
+FROM v LEFT JOIN k USING (vec_id) LEFT JOIN m USING (vec_id)
+"""

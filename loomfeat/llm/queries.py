@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomfeat.llm import balltree, conversations, decontaminate, jaccard, langid, mixing, quality, suffix_dedup, toxicity, urls
+from loomfeat.llm import balltree, conversations, decontaminate, epsilon_grid, jaccard, langid, mixing, quality, suffix_dedup, toxicity, urls, whitening
 from loomfeat.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,13 @@ def op1_quotations(spark, sf_dir):
 @query
 def op8_urls(spark, sf_dir):
     return urls.judged(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_whitening(spark, sf_dir):
+    return whitening.digests(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_near_vectors(spark, sf_dir):
+    return epsilon_grid.near_duplicates(table(spark, sf_dir, "embeddings"))
