@@ -87,3 +87,26 @@ k AS (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a)
 SELECT v.vec_id, coalesce(k.n, 0)::BIGINT AS n_links, coalesce(m.c, v.vec_id) AS component_id, v.vec_id = coalesce(m.c, v.vec_id) AS kept
 FROM v LEFT JOIN k USING (vec_id) LEFT JOIN m USING (vec_id)
 """
+
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, len({0}) + 1), lambda i: ascii({0}[i])::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+ORACLES["op12_prefix_trie"] = f"""
+WITH o AS (
+  SELECT conv_id AS c, {{'r': coalesce(role, ''), 'x': coalesce(text, '')}} AS t,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p FROM conversations WHERE conv_id IS NOT NULL),
+l AS (SELECT c, list(t ORDER BY p) AS w FROM o GROUP BY c),
+h AS (SELECT c, w, c - c % 100 AS base, {_CRC32.format('(c::VARCHAR)')} % 6 AS h FROM l),
+b AS (SELECT h.c, list_concat(coalesce(l.w[1:h.h], []), h.w[h.h + 1:]) AS w FROM h LEFT JOIN l ON l.c = h.base),
+f AS (SELECT c, w, unnest(range(0, len(w) + 1)) AS d FROM b),
+n AS (
+  SELECT d, w[1:d] AS k, min(c) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CASE WHEN len(w) = d THEN c::VARCHAR END, ',' ORDER BY c), '')) AS ends_sha256
+  FROM f GROUP BY 1, 2),
+p AS (SELECT d - 1 AS d, k[1:d - 1] AS k, count(*) AS m FROM n WHERE d > 0 GROUP BY 1, 2),
+v AS (SELECT n.*, coalesce(p.m, 0) AS m, CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * length(k[d].x) END AS saved FROM n LEFT JOIN p USING (d, k)),
+a AS (SELECT a AS d, k[1:a] AS k, sum((m = 0)::INT) AS leaves, sum(saved) AS saved FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM v) GROUP BY 1, 2)
+SELECT v.conv_id, v.d AS depth, u.conv_id AS parent_conv_id, v.n_convs, v.m AS n_children, a.leaves::BIGINT AS n_leaves,
+  a.saved::BIGINT AS saved_tokens, v.ends_sha256
+FROM v JOIN a USING (d, k) LEFT JOIN n u ON u.d = v.d - 1 AND u.k = v.k[1:v.d - 1]
+"""

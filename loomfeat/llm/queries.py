@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomfeat.llm import balltree, conversations, decontaminate, epsilon_grid, jaccard, langid, mixing, quality, suffix_dedup, toxicity, urls, whitening
+from loomfeat.llm import balltree, conversations, decontaminate, epsilon_grid, jaccard, langid, mixing, prefix_trie, quality, suffix_dedup, toxicity, urls, whitening
 from loomfeat.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,8 @@ def op11_whitening(spark, sf_dir):
 @query
 def op13_near_vectors(spark, sf_dir):
     return epsilon_grid.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.nodes(table(spark, sf_dir, "conversations"))

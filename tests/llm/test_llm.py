@@ -49,7 +49,7 @@ def test_query_equals_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "embeddings"):
+    for t in ("documents", "benchmark", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     out = QUERIES[name](spark, SMALL)
     rel = con.sql(ORACLES[name])
