@@ -10,32 +10,24 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomfeat.operators.joins import attach_one_row, null_safe_join
+from loomfeat.operators.selection import key_hash, mark_smallest
 
 # ---------------------------------------------------------------- splits (M1-M3)
 
 
-def _hash(key: str | Sequence[str], seed: int) -> Column:
-    keys = [key] if isinstance(key, str) else list(key)
-    return F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
-
-
 def split_flag(df: DataFrame, key: str, train_fraction: float = 0.9, seed: int = 1222, name: str = "is_train") -> DataFrame:
-    """M1: seeded, repeatable split; ``name`` = 1 for the train part, 0 for the held-out part.
-
-    Rows go by key hash, so no shuffle is needed and the split is stable when
-    the table grows. The share is ``train_fraction`` in expectation.
-    """
-    h = F.pmod(_hash(key, seed), F.lit(1_000_000))
-    return df.withColumn(name, (h < F.lit(int(round(train_fraction * 1_000_000)))).cast("int"))
+    """M1: seeded, repeatable split; ``name`` = 1 for exactly ``round(rows * train_fraction)`` rows, else 0."""
+    return mark_smallest(df, key, fraction=train_fraction, seed=seed, name=name)
 
 
 def kfold(df: DataFrame, key: str, k: int = 5, seed: int = 5407, name: str = "fold") -> DataFrame:
-    """M2: fold id in [0, k) from the key hash."""
-    return df.withColumn(name, F.pmod(_hash(key, seed), F.lit(k)).cast("int"))
+    """M2: shuffled folds in [0, k) whose sizes differ by one at most: rows in hash order, dealt in turn."""
+    ranked = prefix_rank(df.withColumn("__h", key_hash(key, seed)), [], ["__h", key], name="__r")
+    return ranked.withColumn(name, F.pmod(F.col("__r") - 1, F.lit(k)).cast("int")).drop("__h", "__r")
 
 
 def _range_partitions(df: DataFrame) -> int:
@@ -71,7 +63,7 @@ def prefix_rank(df: DataFrame, partition: Sequence[str], order: Sequence[str], n
 
 def stratified_kfold(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 5407, name: str = "fold") -> DataFrame:
     """M3: per class, rows in hash order are dealt round-robin into ``k`` folds."""
-    h = df.withColumn("__h", _hash(key, seed))
+    h = df.withColumn("__h", key_hash(key, seed))
     ranked = prefix_rank(h, [label], ["__h", key], name="__r")
     return ranked.withColumn(name, F.pmod(F.col("__r") - 1, F.lit(k)).cast("int")).drop("__h", "__r")
 
@@ -191,7 +183,8 @@ def oof_scores(
     # materialise the assembled rows once: every fold and every boosting
     # iteration reads them, the upstream feature plan is not recomputed
     vec = VectorAssembler(inputCols=feats, outputCol="__features").transform(base).select(key, label, "__features").checkpoint()
-    train = kfold(vec.where(F.col(label).isNotNull()), key, k, seed).withColumn(label, F.col(label).cast("double"))
+    labelled = vec.where(F.col(label).isNotNull())
+    train = labelled.join(kfold(labelled.select(key).distinct(), key, k, seed), key).withColumn(label, F.col(label).cast("double"))
     test = vec.where(F.col(label).isNull())
     oof_parts, test_parts, imps = [], [], []
     spark = df.sparkSession

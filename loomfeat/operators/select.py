@@ -2,12 +2,13 @@
 
 F1 (correlation pruning) needs every pairwise Pearson correlation of the
 numeric columns, pairwise-complete (a pair uses the rows where both values are
-present). Two plans:
-
-* few columns (<= 10): one aggregate with ``covar_pop``/``stddev_pop`` per pair;
-* many columns: every task folds its rows into masked moment matrices with
-  NumPy (``mapInPandas``), Spark sums the per-task matrices, and only the
-  p x p result (p = number of features, not rows) reaches the driver.
+present). The columns are cut into blocks; for each pair of blocks every task
+folds its rows into centred co-moments (count, two means, two sums of squares,
+one of products) of that pair of blocks, as matrix products of Arrow batches.
+The rows (column i, block J) of those matrices are shuffled, merged in two
+levels (buckets of tasks, then all) by the update formula of centred moments,
+and become correlations on Spark. A task holds the moments of one pair of
+blocks, and the driver gets one maximum per column, whatever their number.
 
 The decision rule is the reference's: drop column j when any *earlier* column
 i (kept or not) has |r_ij| > threshold; protected columns are never dropped
@@ -17,122 +18,117 @@ correlation (never dropped).
 
 from __future__ import annotations
 
-from typing import Sequence
+from functools import reduce
+from typing import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from loomfeat.operators.columns import numeric_columns
 
-SMALL_P = 10
-
-
-def _pair_expr(a: str, b: str):
-    xa = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
-    xb = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
-    den = F.stddev_pop(xa) * F.stddev_pop(xb)
-    return F.when(den > 0, F.try_divide(F.covar_pop(xa, xb), den))
-
-
-def corr_pairs_small(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
-    """|r| matrix from one aggregate with one expression per pair (upper triangle)."""
-    p = len(columns)
-    exprs, idx = [], []
-    for i in range(p):
-        for j in range(i + 1, p):
-            exprs.append(_pair_expr(columns[i], columns[j]).alias(f"r_{i}_{j}"))
-            idx.append((i, j))
-    m = np.full((p, p), np.nan)
-    if not exprs:
-        return m
-    row = df.agg(*exprs).first()
-    for (i, j), v in zip(idx, row):
-        if v is not None:
-            m[i, j] = m[j, i] = abs(v)
-    return m
-
-
-_MOMENTS = ("n", "sx", "sy", "sxx", "syy", "sxy")
-
-
-def _partition_moments(columns: Sequence[str]):
-    p = len(columns)
-
-    def run(batches):
-        acc = [np.zeros((p, p)) for _ in _MOMENTS]
-        for pdf in batches:
-            x = pdf[list(columns)].to_numpy(dtype=np.float64, na_value=np.nan)
-            m = (~np.isnan(x)).astype(np.float64)
-            x0 = np.where(m > 0, x, 0.0)
-            acc[0] += m.T @ m
-            acc[1] += x0.T @ m  # [i, j]: sum of x_i over rows where both present
-            acc[2] += m.T @ x0  # [i, j]: sum of x_j over rows where both present
-            acc[3] += (x0 * x0).T @ m
-            acc[4] += m.T @ (x0 * x0)
-            acc[5] += x0.T @ x0
-        import pandas as pd
-
-        yield pd.DataFrame({"__one": [1], "__blob": [np.stack(acc).astype(np.float64).tobytes()]})
-
-    return run
-
-
-def corr_pairs_gram(df: DataFrame, columns: Sequence[str], shift: bool = True) -> np.ndarray:
-    """|r| matrix from per-task masked moment matrices, summed by Spark."""
-    p = len(columns)
-    sel = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
-    names = [f"c{i}" for i in range(p)]
-    if shift:
-        # centre by the column means first: sums of squares stay well conditioned
-        means = sel.agg(*[F.avg(c).alias(c) for c in names]).first()
-        sel = sel.select(*[(F.col(c) - F.lit(means[c] or 0.0)).alias(c) for c in names])
-    schema = StructType([StructField("__one", LongType()), StructField("__blob", BinaryType())])
-    parts = sel.mapInPandas(_partition_moments(names), schema)
-
-    def reduce_blobs(pdf):
-        import pandas as pd
-
-        total = np.zeros(len(_MOMENTS) * p * p)
-        for b in pdf["__blob"]:
-            total += np.frombuffer(b, dtype=np.float64)
-        return pd.DataFrame({"__one": [1], "__blob": [total.tobytes()]})
-
-    # tree reduction: per-task matrices are summed in parallel buckets first
-    # tasks are dealt to buckets by their number
-    buckets = max(1, int(np.sqrt(sel.sparkSession.sparkContext.defaultParallelism)))
-    lvl1 = (
-        parts.withColumn("__b", F.pmod(F.spark_partition_id(), F.lit(buckets)))
-        .groupBy("__b")
-        .applyInPandas(lambda pdf: reduce_blobs(pdf), schema)
-    )
-    blobs = [r["__blob"] for r in lvl1.collect()]
-    total = np.zeros(len(_MOMENTS) * p * p)
-    for b in blobs:
-        total += np.frombuffer(b, dtype=np.float64)
-    n, sx, sy, sxx, syy, sxy = total.reshape(len(_MOMENTS), p, p)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        cov = sxy / n - (sx / n) * (sy / n)
-        vx = sxx / n - (sx / n) ** 2
-        vy = syy / n - (sy / n) ** 2
-        den = np.sqrt(np.clip(vx, 0, None) * np.clip(vy, 0, None))
-        r = np.where((den > 0) & (n > 0), cov / den, np.nan)
-    np.fill_diagonal(r, np.nan)
-    return np.abs(r)
-
-
-def correlated_to_drop(names: Sequence[str], absr: np.ndarray, threshold: float = 0.9, protect: Sequence[str] = ()) -> list[str]:
-    """Columns j with some earlier i where |r_ij| > threshold (not greedy)."""
-    protect = set(protect)
-    out = []
-    for j, name in enumerate(names):
-        if name in protect or j == 0:
-            continue
-        col = absr[:j, j]
-        if np.any(np.nan_to_num(col, nan=0.0) > threshold):
-            out.append(name)
-    return out
+#: Columns of a block: a task holds six matrices of BLOCK x BLOCK doubles (12 MB).
+BLOCK = 512
+#: Tasks whose moments are merged first.
+TASKS = 64
+#: A sum of squares below this share of count * mean^2 is rounding, not variance.
+ROUNDING = 1e-13
+
+
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    return np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+
+
+def _locations(df: DataFrame) -> dict[int, tuple[float, float]]:
+    """(mean, largest absolute value) of each column by its place; without any value (0, 1)."""
+    p = len(df.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, top = np.zeros(p, np.int64), np.zeros(p), np.zeros(p)
+        for batch in batches:
+            x = _matrix(batch)
+            there = ~np.isnan(x)
+            x = np.where(there, x, 0.0)
+            n, total, top = n + there.sum(0), total + x.sum(0), np.maximum(top, np.abs(x).max(0, initial=0.0))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(p)), pa.array(n), pa.array(total), pa.array(top)], names=["i", "n", "total", "top"])
+
+    rows = df.mapInArrow(run, "i long, n long, total double, top double").groupBy("i").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("top").alias("top")).collect()
+    return {r.i: (r.total / r.n if r.n else 0.0, r.top or 1.0) for r in rows}
+
+
+def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Centred moments (n, mean x, mean y, Sxx, Syy, Sxy along the first axis) of two parts together."""
+    n = a[0] + b[0]
+    share = np.divide(b[0], n, out=np.zeros_like(n), where=n > 0)
+    dx, dy = b[1] - a[1], b[2] - a[2]
+    weight = a[0] * share
+    return np.stack([n, a[1] + dx * share, a[2] + dy * share, a[3] + b[3] + dx * dx * weight, a[4] + b[4] + dy * dy * weight, a[5] + b[5] + dx * dy * weight])
+
+
+def _batch_moments(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    mx, my = (~np.isnan(x)).astype(float), (~np.isnan(y)).astype(float)
+    x, y = np.where(mx > 0, x, 0.0), np.where(my > 0, y, 0.0)
+    n, sx, sy = mx.T @ my, x.T @ my, mx.T @ y
+    ax, ay = (np.divide(s, n, out=np.zeros_like(n), where=n > 0) for s in (sx, sy))
+    return np.stack([n, ax, ay, (x * x).T @ my - sx * ax, mx.T @ (y * y) - sy * ay, x.T @ y - sx * ay])
+
+
+def correlation_table(df: DataFrame, columns: Sequence[str], block: int = BLOCK) -> DataFrame:
+    """(i, j, r): |Pearson r| of every pair of ``columns`` by their places, i < j; null where there is none."""
+    columns = list(columns)
+    wide = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{k}") for k, c in enumerate(columns)])
+    at = _locations(wide)
+    starts = range(0, len(columns), block)
+    parts = [_pair_of_blocks(wide, at, range(a, min(a + block, len(columns))), range(b, min(b + block, len(columns)))) for a in starts for b in starts if a <= b]
+    rows = reduce(DataFrame.unionAll, parts)
+    schema = "i long, first long, moments binary"
+
+    def merge(t: pa.Table) -> pa.Table:
+        whole = reduce(_merged, (np.frombuffer(m, np.float64).reshape(6, -1) for m in t["moments"].to_pylist()))
+        return pa.table({"i": t["i"][:1], "first": t["first"][:1], "moments": pa.array([whole.tobytes()], pa.binary())})
+
+    def correlate(t: pa.Table) -> pa.Table:
+        i, first = t["i"][0].as_py(), t["first"][0].as_py()
+        n, mx, my, sxx, syy, sxy = np.frombuffer(merge(t)["moments"][0].as_py(), np.float64).reshape(6, -1)
+        live = (sxx > ROUNDING * n * mx * mx) & (syy > ROUNDING * n * my * my) & (sxx > 0) & (syy > 0)
+        r = np.abs(np.divide(sxy, np.sqrt(sxx) * np.sqrt(syy), out=np.zeros_like(sxy), where=live))
+        j = first + np.arange(len(r))
+        later = j > i
+        return pa.table({"i": pa.array(np.full(later.sum(), i)), "j": pa.array(j[later]), "r": pa.array(r[later], mask=~live[later] | np.isnan(r[later]))})
+
+    merged = rows.groupBy("i", "first", F.expr(f"task div {TASKS}").alias("bucket")).applyInArrow(merge, schema)
+    return merged.groupBy("i", "first").applyInArrow(correlate, "i long, j long, r double")
+
+
+def _pair_of_blocks(wide: DataFrame, at: dict[int, tuple[float, float]], xs: range, ys: range) -> DataFrame:
+    """(task, i, first, moments): centred moments of column i with the columns from ``first`` on, per task."""
+    used = sorted({*xs, *ys})
+    mean, top = (np.array([at.get(k, (0.0, 1.0))[n] for k in used]) for n in (0, 1))
+    px, py = [used.index(k) for k in xs], [used.index(k) for k in ys]
+    first = ys[0]
+    places = list(xs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = None
+        for batch in batches:
+            if batch.num_rows:
+                x = (_matrix(batch) - mean) / top  # near zero, and squares neither overflow nor vanish
+                m = _batch_moments(x[:, px], x[:, py])
+                whole = m if whole is None else _merged(whole, m)
+        if whole is not None:
+            rows = [np.ascontiguousarray(whole[:, k]).tobytes() for k in range(len(places))]
+            yield pa.RecordBatch.from_arrays([pa.array(places), pa.array([first] * len(rows)), pa.array(rows, pa.binary())], names=["i", "first", "moments"])
+
+    part = wide.select(*[f"c{k}" for k in used]).mapInArrow(run, "i long, first long, moments binary")
+    return part.withColumn("task", F.spark_partition_id())
+
+
+def greatest_correlations(df: DataFrame, columns: Sequence[str], block: int = BLOCK) -> list[float | None]:
+    """For each of ``columns``, the largest |r| with an earlier one (None: there is none)."""
+    best = correlation_table(df, columns, block).groupBy("j").agg(F.max("r").alias("r")).collect()
+    found = {r.j: r.r for r in best}
+    return [found.get(k) for k in range(len(columns))]
 
 
 def correlation_prune(
@@ -140,15 +136,14 @@ def correlation_prune(
     threshold: float = 0.9,
     protect: Sequence[str] = (),
     columns: Sequence[str] | None = None,
-    method: str = "auto",
+    block: int = BLOCK,
 ) -> tuple[DataFrame, list[str]]:
     """drop columns highly correlated with an earlier column. Returns (frame, dropped)."""
     cols = list(columns) if columns is not None else numeric_columns(df)
     if len(cols) < 2:
         return df, []
-    use_small = method == "small" or (method == "auto" and len(cols) <= SMALL_P)
-    absr = corr_pairs_small(df, cols) if use_small else corr_pairs_gram(df, cols)
-    drop = correlated_to_drop(cols, absr, threshold, protect)
+    best = greatest_correlations(df, cols, block)
+    drop = [c for c, r in zip(cols, best) if r is not None and r > threshold and c not in set(protect)]
     return df.drop(*drop), drop
 
 

@@ -49,7 +49,7 @@ def _prune(df: DataFrame, key: str, threshold: float | None, columns: Sequence[s
 
 
 def load_split(labelled: DataFrame, unlabelled: DataFrame, key: str, label: str, train_fraction: float = 0.9, seed: int = 1222):
-    """B1: split labelled rows 90/10 by key hash, tag 1/0/-1, union with the unlabelled rows.
+    """B1: cut labelled rows 90/10 in hash order (exactly), tag 1/0/-1, union with the unlabelled rows.
 
     Returns (main without the label, y_train, y_test).
     """

@@ -153,7 +153,7 @@ def q_modular(spark, d):
 
 @query("b01_load_split")
 def q_load_split(spark, d):
-    """B1: labelled rows split 90/10 by key hash and tagged 1/0, unlabelled rows tagged -1, one frame."""
+    """B1: labelled rows cut 90/10 in hash order and tagged 1/0, unlabelled rows tagged -1, one frame."""
     from loomfeat.sources import fixtures as fx
 
     docs = fx.labelled_docs(spark, d)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-import numpy as np
 from pyspark.sql import functions as F
 
 from loomfeat.functions.exprs import row_null_count, value_map
@@ -85,29 +84,24 @@ def wide_numeric(spark, d):
     )
 
 
-def _corr_report(spark, d, method):
+def _corr_report(spark, d, block):
     df = wide_numeric(spark, d)
     cols = df.columns
-    absr = select.corr_pairs_small(df, cols) if method == "small" else select.corr_pairs_gram(df, cols)
-    dropped = set(select.correlated_to_drop(cols, absr, 0.9, protect=["l_orderkey"]))
-    rows = []
-    for j, c in enumerate(cols):
-        prev = absr[:j, j]
-        m = None if j == 0 or np.all(np.isnan(prev)) else float(np.nanmax(prev))
-        rows.append((c, j, m, int(c in dropped)))
+    best = select.greatest_correlations(df, cols, block)
+    rows = [(c, j, r, int(r is not None and r > 0.9 and c != "l_orderkey")) for j, (c, r) in enumerate(zip(cols, best))]
     return spark.createDataFrame(rows, "feature string, position int, max_abs_corr double, dropped int")
 
 
 @query("f1_corr_prune")
-def q_corr_small(spark, d):
+def q_corr(spark, d):
     """per column, the largest |Pearson r| with an earlier column and the drop decision."""
-    return _corr_report(spark, d, "small")
+    return _corr_report(spark, d, select.BLOCK)
 
 
 @query("f1_corr_prune_gram")
-def q_corr_gram(spark, d):
-    """F1, many-column plan: per-task moment matrices summed by Spark (same result)."""
-    return _corr_report(spark, d, "gram")
+def q_corr_blocks(spark, d):
+    """F1 over several blocks of columns (same result)."""
+    return _corr_report(spark, d, 4)
 
 
 F2_KEEP = 0.6
@@ -140,7 +134,7 @@ def q_importance(spark, d):
 
 @query("m1_split_tag_union")
 def q_split(spark, d):
-    """M1 + P34 + U1 (block B1): seeded 90/10 split of labelled rows, tags 1/0, unlabelled -1."""
+    """M1 + P34 + U1 (block B1): seeded, exact 90/10 split of labelled rows, tags 1/0, unlabelled -1."""
     docs = fx.labelled_docs(spark, d)
     lab = scoring.split_flag(docs.where(F.col("quality").isNotNull()), "doc_id", 0.9, seed=1222)
     test = docs.where(F.col("quality").isNull()).select("doc_id", "lang", "source", "n_chars").withColumn("is_train", F.lit(-1))
@@ -149,7 +143,7 @@ def q_split(spark, d):
 
 @query("m2_kfold")
 def q_kfold(spark, d):
-    """M2: hash-assigned fold per labelled row."""
+    """M2: five folds of equal size, labelled rows dealt in hash order."""
     docs = fx.labelled_docs(spark, d).where(F.col("quality").isNotNull())
     return scoring.kfold(docs, "doc_id", 5, seed=5407).select("doc_id", "fold")
 

@@ -59,16 +59,14 @@ def projected(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def exact_sample(df: DataFrame, n: int, key: str | Sequence[str], seed: int = 42) -> DataFrame:
-    """Exactly ``n`` rows, repeatable: the ``n`` smallest ``xxhash64(key, seed)``.
+    """Exactly ``n`` rows of any share of the table, repeatable: those of smallest key hash.
 
-    Planned as a distributed top-k (TakeOrderedAndProject): each task keeps at
-    most ``n`` rows, no global sort; the final merge holds ``n`` rows per input
-    task, so this is for debug-sized samples (the reference's 10,000 rows). For
-    a large share of a table use ``fraction_sample`` (no shuffle at all).
+    Histograms of the hash narrow down where the ``n``-th row lies (``operators.selection``);
+    the table is neither sorted nor shuffled, and no task merges ``n`` rows of each other.
     """
-    keys = [key] if isinstance(key, str) else list(key)
-    h = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
-    return df.withColumn("__h", h).orderBy("__h", *keys).limit(n).drop("__h")
+    from loomfeat.operators.selection import smallest
+
+    return smallest(df, key, n, seed)
 
 
 def fraction_sample(df: DataFrame, fraction: float, key: str | Sequence[str], seed: int = 42) -> DataFrame:

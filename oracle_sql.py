@@ -688,6 +688,50 @@ def q_union() -> str:
 
 
 
+# ------------------------------------------------------------- exact cuts, folds and samples
+
+
+def hash_order(seed: int, key: str, partition: str = "") -> str:
+    """Row number in the order of the seeded key hash."""
+    part = f"PARTITION BY {partition} " if partition else ""
+    return f"row_number() OVER ({part}ORDER BY md5('{seed}|' || CAST({key} AS VARCHAR)), {key})"
+
+
+def _cut() -> str:
+    return (
+        with_("docs") + f", lab AS (SELECT *, {hash_order(1222, 'doc_id')} AS r, count(*) OVER () AS n FROM docs WHERE quality IS NOT NULL), "
+        "cut AS (SELECT *, CAST(r <= round_even(n * 0.9, 0) AS INTEGER) AS is_train FROM lab) "
+    )
+
+
+def q_split() -> str:
+    return _cut() + (
+        "SELECT doc_id, lang, quality, is_train, CAST(NULL AS VARCHAR) AS source, CAST(NULL AS BIGINT) AS n_chars FROM cut "
+        "UNION ALL SELECT doc_id, lang, NULL, -1, source, n_chars FROM docs WHERE quality IS NULL"
+    )
+
+
+def q_load_split() -> str:
+    return _cut() + (
+        "SELECT doc_id, lang, source, n_chars, toxic, is_train FROM cut "
+        "UNION ALL SELECT doc_id, lang, source, n_chars, toxic, -1 FROM docs WHERE quality IS NULL"
+    )
+
+
+def q_kfold() -> str:
+    return with_("docs") + f"SELECT doc_id, CAST(({hash_order(5407, 'doc_id')} - 1) % 5 AS INTEGER) AS fold FROM docs WHERE quality IS NOT NULL"
+
+
+def q_stratified() -> str:
+    return with_("docs") + (
+        f"SELECT doc_id, quality, CAST(({hash_order(5407, 'doc_id', 'quality')} - 1) % 5 AS INTEGER) AS fold FROM docs WHERE quality IS NOT NULL"
+    )
+
+
+def q_sample() -> str:
+    return f"SELECT o_orderkey, o_custkey FROM (SELECT *, {hash_order(42, 'o_orderkey')} AS r FROM orders) WHERE r <= 500"
+
+
 # ------------------------------------------------------------- row expressions, typing, sources, UDF
 
 APP = (
@@ -1471,6 +1515,11 @@ ORACLES = {
     "b22_instalment_block_unpruned": q_instalment_block,
     "b14_card_block_unpruned": q_card_block,
     "w1_lag_usage_rank": q_lag,
+    "m1_split_tag_union": q_split,
+    "b01_load_split": q_load_split,
+    "m2_kfold": q_kfold,
+    "m3_stratified_kfold": q_stratified,
+    "s4_exact_sample": q_sample,
 }
 
 

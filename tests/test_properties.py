@@ -89,20 +89,38 @@ def test_auc_matches_brute_force(spark):
     assert scoring.auc(fx.labelled_docs(spark, SF_SMALL), "quality", "n_chars").first()["auc"] == pytest.approx(brute)
 
 
-def test_corr_plans_agree_and_prune_is_idempotent(spark):
+@pytest.mark.parametrize("block", [2, 5, 512])
+def test_correlations_equal_pairwise_pandas(spark, block):
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 7)) * [1, 1e150, 1e-150, 1, 1, 1, 1] + [0, 0, 0, 1e6, 0, 0, 0]
+    x[:, 4] = x[:, 0] * 2 + rng.normal(scale=0.1, size=400)
+    x[:, 6] = 3.5
+    pdf = pd.DataFrame(x, columns=[f"c.{i}" for i in range(7)]).mask(rng.random((400, 7)) < 0.2)
+    pdf.iloc[:, 5] = np.where(np.arange(400) == 7, 1.0, np.nan)
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in pdf.to_numpy()], ", ".join(f"`{c}` double" for c in pdf.columns)).repartition(5)
+    got = {(r.i, r.j): r.r for r in select.correlation_table(df, pdf.columns, block).collect()}
+    assert sorted(got) == [(i, j) for i in range(7) for j in range(i + 1, 7)]
+    for (i, j), r in got.items():
+        pair = pdf.iloc[:, [i, j]].dropna().to_numpy()
+        if len(pair) < 2 or 6 in (i, j):
+            assert r is None, (i, j, r)
+        else:
+            a, b = (pair - pair.mean(0)).T / np.abs(pair).max(0)[:, None]
+            assert r == pytest.approx(abs(a @ b) / np.sqrt((a @ a) * (b @ b)), rel=1e-9, abs=1e-12)
+
+
+def test_prune_is_idempotent(spark):
     from loomfeat.plans.q_enc import wide_numeric
 
     df = wide_numeric(spark, SF_SMALL)
-    cols = df.columns
-    a = select.corr_pairs_small(df, cols)
-    b = select.corr_pairs_gram(df, cols)
-    import numpy as np
-
-    assert np.allclose(np.nan_to_num(a), np.nan_to_num(b), atol=1e-9)
     pruned, dropped = select.correlation_prune(df, 0.9, protect=["l_orderkey"])
     assert dropped  # the data has near-collinear columns
     again, dropped2 = select.correlation_prune(pruned, 0.9, protect=["l_orderkey"])
     assert dropped2 == [] and again.columns == pruned.columns
+    assert select.correlation_prune(df.limit(0), 0.9)[1] == []
 
 
 def test_dedup_first_matches_window(spark):
