@@ -132,6 +132,21 @@ def distinct_counts(
     return pairs.groupBy(*keys).agg(*[F.sum(f"__d{i}").alias(n) for i, n in enumerate(names)])
 
 
+def _slice_id(s: Slice) -> str:
+    """Equal for slices that are known to select the same rows."""
+    return "" if s.where is None else s.sql or f"#{id(s.where)}"
+
+
+@dataclass(frozen=True)
+class Part:
+    """One specification of a fused aggregate: columns and functions, over slices, with its names."""
+
+    spec: Spec
+    slices: Sequence[Slice] = (ALL,)
+    prefix: str = ""
+    namer: Callable[[str, str, str, str], str] = default_namer
+
+
 def aggregate(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -141,85 +156,82 @@ def aggregate(
     namer: Callable[[str, str, str, str], str] = default_namer,
     size_name: str | None = None,
     extra: Sequence[Column] = (),
-    quantile_mode: str = "auto",
-    rank_threshold: int = 2_000_000,
 ) -> DataFrame:
     """One fused grouped aggregate over all slices.
 
     ``size_name`` adds the group row count (``INS_COUNT``-style, A31).
+    """
+    if size_name:
+        extra = [F.count(F.lit(1)).alias(size_name), *extra]
+    return aggregate_parts(df, keys, [Part(spec, slices, prefix, namer)], extra)
+
 
-    ``nunique`` is computed from distinct (key, value) pairs in a side
-    aggregate (no Expand of every row). ``quantile_mode`` chooses how
-    ``median``/``iqr`` are computed: ``"map"`` uses Spark's exact
-    ``percentile`` (a value -> count map per group, merged in one task per
-    group: fine while a group's distinct values fit a task); ``"rank"`` uses
-    ``quantiles.exact_quantiles`` (range-partitioned ranks, a hot group spans
-    many tasks), for keys that may hold a large share of all rows; ``"auto"``
-    (default) looks at the largest group first (one partial-aggregated pass
-    over the keys) and takes ``"rank"`` when it exceeds ``rank_threshold`` rows.
-    Both give the same values; rows with a NULL key are one group in both.
+def aggregate_parts(df: DataFrame, keys: str | Sequence[str], parts: Sequence[Part], extra: Sequence[Column] = ()) -> DataFrame:
+    """Several specifications of one table in one aggregate: one scan, one exchange on the keys.
+
+    What would hold a group's values in one task goes beside it, on the same scan:
+    ``nunique`` from distinct (key, value) pairs (no Expand of every row), ``median`` and
+    ``iqr`` from ``quantiles.exact_quantiles`` (all of them together, one item per column and
+    slice). Rows with a NULL key are one group. Columns come in the order of the parts, then
+    ``extra``.
     """
+    from loomfeat.operators.quantiles import exact_quantiles
+
     keys = [keys] if isinstance(keys, str) else list(keys)
-    wants_q = any(f in ("median", "iqr") for fns in spec.values() for f in fns)
-    if quantile_mode == "auto":
-        quantile_mode = "map"
-        if wants_q:
-            largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-            quantile_mode = "rank" if largest > rank_threshold else "map"
-    side_fns = {"nunique"} | ({"median", "iqr"} if quantile_mode == "rank" else set())
-    rest = {c: [f for f in fns if f not in side_fns] for c, fns in spec.items()}
-    rest = {c: fns for c, fns in rest.items() if fns}
-    exprs = agg_exprs(rest, slices, prefix, namer)
-    if size_name:
-        exprs.append(F.count(F.lit(1)).alias(size_name))
-    exprs.extend(extra)
-    distinct = [c for c, fns in spec.items() if "nunique" in fns]
-    quant = [c for c, fns in spec.items() if quantile_mode == "rank" and ("median" in fns or "iqr" in fns)]
+    side_fns = ("nunique", "median", "iqr")
+    exprs, order, slices = [], [], {}
+    distinct: dict[tuple[str, str], str] = {}
+    quant: dict[tuple[str, str], str] = {}
+    spreads: set[tuple[str, str]] = set()
+    for p in parts:
+        rest = {c: [f for f in fns if f not in side_fns] for c, fns in p.spec.items()}
+        exprs += agg_exprs({c: fns for c, fns in rest.items() if fns}, p.slices, p.prefix, p.namer)
+        for s in p.slices:
+            at = _slice_id(s)
+            slices.setdefault(at, s.where)
+            for c, fns in p.spec.items():
+                order += [(p.namer(p.prefix, c, s.tag, aggfns.resolve(f)[0]), f, (c, at)) for f in fns]
+                if "nunique" in fns:
+                    distinct.setdefault((c, at), f"__u{len(distinct)}")
+                if "median" in fns or "iqr" in fns:
+                    quant.setdefault((c, at), f"__q{len(quant)}")
+                if "iqr" in fns:
+                    spreads.add((c, at))
+    extra = list(extra)
     if not distinct and not quant:
-        return df.groupBy(*keys).agg(*exprs)
-
-    helpers = []
-    for i, s in enumerate(slices):
-        if s.where is not None:
-            helpers.append(slice_guard(s.where).alias(f"__n{i}"))
-        for c in quant:
-            v = F.col(c) if s.where is None else F.when(s.where, F.col(c))
-            helpers.append(F.count(v).alias(f"__c{i}_{c}"))
-    if any(s.where is None for s in slices) and quant:
-        helpers.append(F.count(F.lit(1)).alias("__nall"))
-    main = df.groupBy(*keys).agg(*exprs, *helpers)
-    # side frames are keyed by the same keys: the joins need no further exchange of main
-    for c in distinct:
-        side = distinct_counts(df, keys, c, slices, [f"__u{i}_{c}" for i in range(len(slices))])
+        return df.groupBy(*keys).agg(*exprs, *extra)
+
+    rows_in = {at: f"__n{i}" for i, at in enumerate({at: None for _, at in [*distinct, *sorted(spreads)]})}
+    main = df.groupBy(*keys).agg(
+        *exprs,
+        *extra,
+        *[(F.count(F.lit(1)) if slices[at] is None else slice_guard(slices[at])).alias(name) for at, name in rows_in.items()],
+        *[F.count(F.col(c) if slices[at] is None else F.when(slices[at], F.col(c))).alias(f"{name}__c") for (c, at), name in quant.items() if (c, at) in spreads],
+    )
+    named = {n for n, *_ in order}
+    extra_names = [c for c in main.columns if c not in keys and not c.startswith("__") and c not in named]
+    # the side frames are keyed by the same keys: the joins need no further exchange of main
+    for c in {c: None for c, _ in distinct}:
+        own = [(at, name) for (col_, at), name in distinct.items() if col_ == c]
+        side = distinct_counts(df, keys, c, [Slice("", slices[at]) for at, _ in own], [name for _, name in own])
         main = null_safe_join(main, side, keys)
     if quant:
-        from loomfeat.operators.quantiles import exact_quantiles
+        items = [(name, F.col(c), slices[at]) for (c, at), name in quant.items()]
+        only = {name: (0, 1, 2) if at in spreads else (1,) for at, name in quant.items()}
+        main = null_safe_join(main, exact_quantiles(df, keys, items, aggfns.QUARTILES, only), keys)
+
+    def value(name: str, f, where: tuple[str, str]) -> Column:
+        if f == "nunique":
+            n = F.coalesce(F.col(distinct[where]), F.lit(0)).cast("long")
+            return n if slices[where[1]] is None else F.when(F.col(rows_in[where[1]]) > 0, n)
+        if f == "median":
+            return F.col(f"{quant[where]}__q1")
+        if f == "iqr":
+            q = quant[where]
+            return F.when(F.col(f"{q}__c") == F.col(rows_in[where[1]]), F.col(f"{q}__q2") - F.col(f"{q}__q0"))
+        return F.col(f"`{name}`")
 
-        items = [(f"__q{i}_{c}", F.col(c), s.where) for i, s in enumerate(slices) for c in quant]
-        main = null_safe_join(main, exact_quantiles(df, keys, items, aggfns.QUARTILES), keys)
-
-    def rows_in(i):
-        return F.col("__nall") if slices[i].where is None else F.col(f"__n{i}")
-
-    side_cols = {}
-    for i, s in enumerate(slices):
-        for c in distinct:
-            value = F.coalesce(F.col(f"__u{i}_{c}"), F.lit(0)).cast("long")
-            if s.where is not None:
-                value = F.when(F.col(f"__n{i}") > 0, value)
-            side_cols[namer(prefix, c, s.tag, "nunique")] = value
-        for c in quant:
-            q = [F.col(f"__q{i}_{c}__q{j}") for j in range(3)]
-            side_cols[namer(prefix, c, s.tag, "median")] = q[1]
-            complete = F.col(f"__c{i}_{c}") == rows_in(i)
-            side_cols[namer(prefix, c, s.tag, "iqr")] = F.when(complete, q[2] - q[0])
-    order = [namer(prefix, c, s.tag, aggfns.resolve(f)[0]) for s in slices for c, fns in spec.items() for f in fns]
-    extra_names = [c for c in main.columns if c not in keys and not c.startswith("__") and c not in order]
-    select = [F.col(k) for k in keys]
-    for name in order:
-        select.append(side_cols[name].alias(name) if name in side_cols else F.col(f"`{name}`"))
-    select += [F.col(f"`{c}`") for c in extra_names]
-    return main.select(*select)
+    return main.select(*[F.col(k) for k in keys], *[value(*o).alias(o[0]) for o in order], *[F.col(f"`{c}`") for c in extra_names])
 
 
 def aggregate_naive(
@@ -261,9 +273,6 @@ def two_level(
     """
     inner = [inner] if isinstance(inner, str) else list(inner)
     lvl1 = aggregate(df, [outer, *inner], inner_spec, namer=inner_namer)
-    if any(f in ("median", "iqr") for f in outer_fns):
-        # level 2 first checks its group sizes (quantile plan choice): read level 1 once
-        lvl1 = lvl1.checkpoint()
     lvl1_cols = [c for c in lvl1.columns if c not in (outer, *inner)]
     spec2 = {c: list(outer_fns) for c in lvl1_cols}
     return aggregate(lvl1, outer, spec2, prefix=prefix, namer=outer_namer)
@@ -283,6 +292,15 @@ def category_domain(df: DataFrame, cat_col: str, max_values: int | None = None)
     return sorted(r[0] for r in vals)
 
 
+def category_domains(df: DataFrame, columns: Sequence[str], max_values: int = 10_000) -> dict[str, list[str]]:
+    """Sorted non-NULL values, as text, of several categorical columns in one pass."""
+    cells = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])
+    found = df.select(F.explode(cells).alias("x")).select("x.c", "x.v").where("v IS NOT NULL").distinct().limit(max_values + 1).collect()
+    if len(found) > max_values:
+        raise ValueError(f"the columns have more than {max_values} distinct values")
+    return {c: sorted(r.v for r in found if r.c == c) for c in columns}
+
+
 def category_counts(
     df: DataFrame,
     key: str,
@@ -317,6 +335,33 @@ def category_counts(
     return out
 
 
+def category_counts_many(
+    df: DataFrame,
+    key: str,
+    columns: Sequence[str],
+    name: Callable[[str, str], str],
+    max_values: int = 10_000,
+) -> DataFrame:
+    """A27 for many columns at once: a row per key, NULL where a key lacks a value.
+
+    Rows become (key, column, value) and are counted in one exchange; the counts are written
+    once, give the domains of all columns and are then turned into columns by the key. More
+    than ``max_values`` values of all columns together raise: each becomes a column.
+    """
+    from loomfeat.session import written
+
+    cells = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])
+    counts = df.select(key, F.explode(cells).alias("x")).select(key, "x.c", "x.v").where("v IS NOT NULL")
+    counts = written(counts.groupBy(key, "c", "v").agg(F.count(F.lit(1)).alias("n")), "category-counts")
+    domain = counts.select("c", "v").distinct().limit(max_values + 1).collect()
+    if len(domain) > max_values:
+        raise ValueError(f"the columns have more than {max_values} distinct values; refusing to pivot")
+    place = {c: i for i, c in enumerate(columns)}
+    domain = sorted((place[r.c], r.v) for r in domain)
+    n = [F.max(F.when((F.col("c") == columns[i]) & (F.col("v") == v), F.col("n"))).alias(name(columns[i], v)) for i, v in domain]
+    return counts.groupBy(key).agg(*n) if n else counts.select(key).distinct()
+
+
 def missing_counts(
     df: DataFrame,
     key: str,

@@ -8,9 +8,11 @@ statistics reaches the driver, never data rows.
 from __future__ import annotations
 
 import re
-from typing import Iterable, Sequence
+from typing import Iterable, Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
@@ -113,21 +115,14 @@ _INT_TYPES = [("tinyint", 127), ("smallint", 32767), ("int", 2147483647), ("bigi
 _FLOAT32_MAX = 3.4028234663852886e38
 
 
-def narrow_types(df: DataFrame, exclude: Iterable[str] = ()) -> DataFrame:
-    """Range-based narrowing with strict bounds, from one min/max pass.
+def _ranges(nums) -> list:
+    return [x for i, f in enumerate(nums) for x in (F.min(F.col(f"`{f.name}`")).alias(f"lo{i}"), F.max(F.col(f"`{f.name}`")).alias(f"hi{i}"))]
 
-    Integers go to the smallest of tinyint/smallint/int/bigint whose open range
-    holds (min, max); floating columns become float when within float32 range,
-    else stay double (Spark has no float16, see Q13).
-    """
-    ex = set(exclude)
-    nums = [f for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in ex]
-    if not nums:
-        return df
-    row = df.agg(*[x for f in nums for x in (F.min(f.name).alias(f"{f.name}__min"), F.max(f.name).alias(f"{f.name}__max"))]).first()
+
+def _narrowed(df: DataFrame, nums, row) -> DataFrame:
     target = {}
-    for f in nums:
-        lo, hi = row[f"{f.name}__min"], row[f"{f.name}__max"]
+    for i, f in enumerate(nums):
+        lo, hi = row[f"lo{i}"], row[f"hi{i}"]
         if lo is None:
             continue
         if f.dataType.typeName() in ("byte", "short", "integer", "long"):
@@ -137,33 +132,78 @@ def narrow_types(df: DataFrame, exclude: Iterable[str] = ()) -> DataFrame:
                     break
         else:
             target[f.name] = "float" if (lo > -_FLOAT32_MAX and hi < _FLOAT32_MAX) else "double"
-    return df.select(*[(F.col(c).cast(target[c]) if c in target else F.col(c)).alias(c) for c in df.columns])
+    return df.select(*[(F.col(f"`{c}`").cast(target[c]) if c in target else F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
-def type_split(df: DataFrame, special: Iterable[str] = (), max_discrete: int = 25) -> tuple[list[str], list[str], list[str]]:
-    """(string columns, numeric with < 25 distinct values or special, other numeric).
+def _narrowable(df: DataFrame, exclude: Iterable[str]) -> list:
+    ex = set(exclude)
+    return [f for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in ex]
+
 
-    Exact, without one distinct aggregate per column over all rows (which Spark
-    plans as an Expand of every row per column): a HyperLogLog pass screens the
-    columns, and only the candidates near or under the limit get an exact count
-    of their (by then known to be few) distinct values.
+def narrow_types(df: DataFrame, exclude: Iterable[str] = ()) -> DataFrame:
+    """Range-based narrowing with strict bounds, from one min/max pass.
+
+    Integers go to the smallest of tinyint/smallint/int/bigint whose open range
+    holds (min, max); floating columns become float when within float32 range,
+    else stay double (Spark has no float16, see Q13).
+    """
+    nums = _narrowable(df, exclude)
+    return _narrowed(df, nums, df.agg(*_ranges(nums)).first()) if nums else df
+
+
+def write_narrowed(df: DataFrame, name: str, exclude: Iterable[str] = ()) -> DataFrame:
+    """P31 without a pass of its own: ``df`` written below the shared folder, read back narrowed.
+
+    The ranges are observed by the write itself. A task that runs again (a lost executor)
+    observes the same rows again, which leaves a minimum and a maximum as they are.
     """
+    from loomfeat.session import written
+
+    nums = _narrowable(df, exclude)
+    if not nums:
+        return written(df, name)
+    seen = Observation()
+    out = written(df.observe(seen, F.count(F.lit(1)).alias("rows"), *_ranges(nums)), name)
+    return _narrowed(out, nums, seen.get)
+
+
+def few_distinct(df: DataFrame, columns: Sequence[str], limit: int) -> dict[str, int | None]:
+    """Number of distinct values of each column, None from ``limit`` on; one pass, exact.
+
+    Every task keeps the distinct values of a column until it has seen ``limit`` of them,
+    and then only the fact: at most that many values per column leave a task.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    # equal values have one text: -0.0 is written as 0.0, and a float as its double
+    texts = [(F.col(f"`{c}`").cast("double") + F.lit(0.0) if kinds[c].typeName() in ("float", "double") else F.col(f"`{c}`")).cast("string").alias(f"c{i}") for i, c in enumerate(columns)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: list[set | None] = [set() for _ in columns]
+        for batch in batches:
+            for i, own in enumerate(seen):
+                if own is not None:
+                    own.update(v for v in pc.unique(batch.column(i)).to_pylist() if v is not None)
+                    if len(own) >= limit:
+                        seen[i] = None
+        rows = [(i, None) if own is None else (i, v) for i, own in enumerate(seen) for v in (own if own is not None else [None])]
+        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int32()), pa.array([v for _, v in rows], pa.string())], names=["i", "v"])
+
+    parts = df.select(*texts).mapInArrow(run, "i int, v string").distinct()
+    counts = parts.groupBy("i").agg(F.count("v").alias("n"), F.max(F.col("v").isNull()).alias("full")).collect()
+    found = {columns[r.i]: None if r.full or r.n >= limit else r.n for r in counts}
+    return {c: found.get(c, 0) for c in columns}
+
+
+def type_split(df: DataFrame, special: Iterable[str] = (), max_discrete: int = 25) -> tuple[list[str], list[str], list[str]]:
+    """(string columns, numeric with < 25 distinct values or special, other numeric), exactly, in one pass."""
     special = set(special)
     cats = string_columns(df)
     nums = [c for c in df.columns if c not in cats]
     if not nums:
         return cats, [], []
-    approx = df.agg(*[F.approx_count_distinct(F.col(c), 0.01).alias(c) for c in nums]).first()
-    # a factor-2 error is far outside the error bound of HLL at 1% rsd: screen generously
-    cands = [c for c in nums if approx[c] < 2 * max_discrete]
-    exact = {}
-    if cands:
-        # collect_set is bounded here: a column with more than 2x the limit was screened out
-        row = df.agg(*[F.size(F.collect_set(F.col(c))).alias(c) for c in cands]).first()
-        exact = {c: row[c] for c in cands}
-    disc = [c for c in nums if (c in exact and exact[c] < max_discrete) or c in special]
-    other = [c for c in nums if c not in disc]
-    return cats, disc, other
+    n = few_distinct(df, nums, max_discrete)
+    disc = [c for c in nums if n[c] is not None or c in special]
+    return cats, disc, [c for c in nums if c not in disc]
 
 
 def binary_columns(df: DataFrame, exclude: Iterable[str] = (), skip_substring: str = "_MEAN") -> list[str]:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -42,11 +42,21 @@ def assert_unique(df: DataFrame, keys: str | Sequence[str], what: str = "frame")
         raise DuplicateKeyError(f"{what}: key {keys} repeats, e.g. {[tuple(r) for r in dup]}")
 
 
+def unique_rows(df: DataFrame, on: str | Sequence[str], what: str = "frame") -> DataFrame:
+    """``df`` itself, failing the job that reads it when a key combination repeats.
+
+    The rows of a key are counted over the partitioning and order by key that a join on it
+    needs anyway; no job of its own runs.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    repeats = F.raise_error(F.concat(F.lit(f"{what}: key "), F.to_json(F.struct(*keys)), F.lit(" repeats"))).cast("boolean")
+    return df.withColumn("__rows", n).where(F.when(F.col("__rows") == 1, F.lit(True)).otherwise(repeats)).drop("__rows")
+
+
 def validated_left_join(spine: DataFrame, block: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """``merge(..., validate='one_to_one')``: both sides unique on the key, then left join."""
-    assert_unique(spine, on, "left side")
-    assert_unique(block, on, "right side")
-    return spine.join(block, on, "left")
+    """``merge(..., validate='one_to_one')``: both sides unique on the key, checked as the join runs."""
+    return unique_rows(spine, on, "left side").join(unique_rows(block, on, "right side"), on, "left")
 
 
 def join_chain(spine: DataFrame, blocks: Sequence[DataFrame], on: str) -> DataFrame:

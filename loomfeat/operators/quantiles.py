@@ -1,28 +1,38 @@
 """Exact per-group quantiles without holding a group in one task.
 
-Spark's ``percentile`` keeps a value -> count map per group and merges the
-partial maps of a group in one task: memory grows with the group's distinct
-values. This operator never does that:
-
-1. rows become (group, item, value), one item per (column, slice) asked for,
-   in one scan, and are counted per (group, item, value): a value that most
-   rows hold is one row from there on;
-2. running counts over (group, item, value) come from range partitions and a
-   tiny table of offsets, so a hot group spans many tasks;
-3. each counted value covers a run of ranks; the ranks a quantile needs
-   (floor/ceil of p * (n - 1)) are picked from the runs by a partial aggregate;
-4. linear interpolation exactly as Spark's ``percentile``.
+Spark's ``percentile`` keeps a value -> count map per group and merges the partial maps of
+a group in one task: memory grows with the group's distinct values. This plan never does
+that, whatever the sizes of groups, so there is no choice of plans by size:
+
+1. rows become (group, item, value), one item per (column, slice) asked for, in one scan,
+   and are counted per (group, item, bucket, value); the bucket is a non-decreasing function
+   of the value, 32 to the octave, so a hot group is many buckets, and a value that most rows
+   hold is one row;
+2. running counts inside each bucket, and of the buckets of each (group, item), add up to
+   the run of ranks that a value covers: both are windows over bounded parts of a group;
+3. the ranks that a quantile needs (floor and ceiling of p * (n - 1)) are picked from the
+   runs by a partial aggregate, and interpolated exactly as Spark's ``percentile`` does.
+
+The plan is lazy: no job runs while it is built, and nothing is checkpointed.
 """
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomfeat.operators.joins import null_safe_join
-from loomfeat.operators.scoring import _cumulative
+
+#: Buckets to the octave of a value's size.
+PER_OCTAVE = 32
+
+
+def value_bucket(v: Column) -> Column:
+    """A whole number that never falls when ``v`` rises: sign and place of log2 |v|."""
+    place = F.floor(F.log2(F.abs(v)) * PER_OCTAVE) + F.lit(100_000)
+    return F.when(v == 0, F.lit(0)).otherwise(F.signum(v).cast("int") * F.least(place, F.lit(200_000))).cast("int")
 
 
 def exact_quantiles(
@@ -30,11 +40,13 @@ def exact_quantiles(
     keys: Sequence[str],
     items: Sequence[tuple[str, Column, Column | None]],
     probs: Sequence[float],
+    only: Mapping[str, Sequence[int]] | None = None,
 ) -> DataFrame:
     """Quantiles of several (name, value, where) items per group, one column per (item, p).
 
     Output columns: keys + ``<name>__q<i>`` for the i-th probability (NULL for a
-    group whose item has no value). Rows with a NULL key are a group.
+    group whose item has no value); ``only`` names the probabilities of an item that are
+    wanted as columns. Rows with a NULL key are a group.
     """
     keys = list(keys)
     cells = []
@@ -44,17 +56,24 @@ def exact_quantiles(
         cells.append(F.struct(F.lit(idx).alias("__item"), v.alias("__v")))
     long = df.select(*keys, F.explode(F.array(*cells)).alias("__c")).select(*keys, "__c.__item", "__c.__v").where("__v is not null")
     group = [*keys, "__item"]
-    values = long.groupBy(*group, "__v").agg(F.count(F.lit(1)).cast("double").alias("__m"))
-    runs = _cumulative(values, group, "__v", ["__m"], descending=False)
-    totals = runs.groupBy(*group).agg(F.sum("__m").alias("__n"))
-    runs = null_safe_join(runs, totals, group)
-    picked = []
+    part = [*group, "__b"]
+    values = long.withColumn("__b", value_bucket(F.col("__v"))).groupBy(*part, "__v").agg(F.count(F.lit(1)).alias("__m"))
+    inside = Window.partitionBy(*part).orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
+    runs = values.withColumn("__in", F.coalesce(F.sum("__m").over(inside), F.lit(0)))
+    buckets = runs.groupBy(*part).agg(F.sum("__m").alias("__t"))
+    below = Window.partitionBy(*group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group)
+    buckets = buckets.select(*part, F.coalesce(F.sum("__t").over(below), F.lit(0)).alias("__below"), F.sum("__t").over(whole).alias("__n"))
+    runs = null_safe_join(runs, buckets, part, "inner").withColumn("__from", F.col("__below") + F.col("__in"))
+
+    picked, wanted = [], F.lit(False)
     for j, p in enumerate(probs):
         pos = F.lit(float(p)) * (F.col("__n") - 1)
         for side, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            covers = (F.col("cum___m") <= rank) & (rank < F.col("cum___m") + F.col("__m"))
+            covers = (F.col("__from") <= rank) & (rank < F.col("__from") + F.col("__m"))
+            wanted = wanted | covers
             picked.append(F.max(F.when(covers, F.col("__v"))).alias(f"__{side}{j}"))
-    q = runs.groupBy(*group).agg(F.first("__n").alias("__n"), *picked)
+    q = runs.where(wanted).groupBy(*group).agg(F.max("__n").alias("__n"), *picked)
 
     def value_at(j: int, p: float) -> Column:
         pos = F.lit(float(p)) * (F.col("__n") - 1)
@@ -67,6 +86,6 @@ def exact_quantiles(
         *[
             F.max(F.when(F.col("__item") == i, F.col(f"__q{j}"))).alias(f"{name}__q{j}")
             for i, (name, _, _) in enumerate(items)
-            for j in range(len(probs))
+            for j in (only or {}).get(name, range(len(probs)))
         ]
     )

@@ -4,8 +4,11 @@ Design for hot keys:
 
 * last-k (W3/W5/W7): one ``row_number`` per key and a ``rn <= max(k)`` filter.
   Spark plans that as a WindowGroupLimit *before* the shuffle, so a key never
-  ships more than ``max(k)`` rows per map task. Whole-history statistics (W4)
-  are a plain partial aggregate joined on the key, never a window.
+  ships more than ``max(k)`` rows per map task. The rows that are left become one
+  ordered array per key, of ``max(k)`` rows at most, and the statistics of every k
+  are array functions of its first k elements: no aggregation buffer per statistic.
+  Whole-history statistics (W4) are a plain partial aggregate joined on the key,
+  never a window.
 * latest loan (W6) and dedup (W9/W10): ``max_by``/``min(struct)`` aggregates,
   partially combined map-side; no group is sorted in one task.
 * lag/lead (W1/W2) need the ordered sequence of one loan; they are windows
@@ -21,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomfeat.functions import aggfns
-from loomfeat.operators.aggregate import Slice, aggregate, agg_exprs
+from loomfeat.operators.aggregate import aggregate
 from loomfeat.operators.joins import null_safe_join
 
 
@@ -108,6 +111,65 @@ def ranked(df: DataFrame, key: str, order_desc: Sequence[Column | str], tiebreak
     return df.withColumn(rank_col, F.row_number().over(w))
 
 
+def _quantile_sql(p: float) -> str:
+    at = f"{p}D * (s.n - 1)"
+    low, high = f"int(floor({at}))", f"int(ceil({at}))"
+    a, b = f"get(s.sorted, {low})", f"get(s.sorted, {high})"
+    return f"if({low} = {high}, {a}, ({high} - {at}) * {a} + ({at} - {low}) * {b})"
+
+
+_SPREAD = "s.n = s.rows AND s.n > 0 AND s.low < s.high AND s.m2 > 0"
+
+#: Statistics of an array ``s.h`` of doubles (NULL elements are missing values), from the sums of ``_STAGES``.
+_ARRAY_STATS = {
+    "count": "bigint(s.n)",
+    "size": "bigint(s.rows)",
+    "sum": "s.total",
+    "mean": "s.mean",
+    "min": "s.low",
+    "max": "s.high",
+    "var": "if(s.n > 1, s.m2 / (s.n - 1), null)",
+    "std": "if(s.n > 1, sqrt(s.m2 / (s.n - 1)), null)",
+    "median": f"if(s.n > 0, {_quantile_sql(0.5)}, null)",
+    "iqr": f"if(s.n = s.rows AND s.n > 0, {_quantile_sql(0.75)} - {_quantile_sql(0.25)}, null)",
+    "skew": f"if({_SPREAD}, sqrt(double(s.n)) * s.m3 / pow(s.m2, 1.5D), null)",
+    "kurt": f"if({_SPREAD}, s.n * s.m4 / (s.m2 * s.m2) - 3D, null)",
+    "nonzero": "if(s.rows > 0, size(filter(s.h, y -> NOT (y <=> 0D))) / s.rows, null)",
+    # least squares on 0, 1, ... from the newest element
+    "slope": "CASE WHEN s.rows = 0 OR s.n < s.rows THEN null WHEN s.rows = 1 THEN 0D "
+    "ELSE aggregate(transform(s.h, (y, i) -> (i - (s.rows - 1) / 2D) * y), 0D, (t, y) -> t + y) / (double(s.rows) * (double(s.rows) * s.rows - 1) / 12D) END",
+}
+
+_SORTED, _MOMENTS = {"min", "max", "median", "iqr", "skew", "kurt"}, {"var": (2,), "std": (2,), "skew": (2, 3), "kurt": (2, 4)}
+
+
+def _array_stats(arrays: Sequence[str], fns: Sequence[str]) -> str:
+    """SQL of an array with one struct of the statistics ``fns`` for each of ``arrays``.
+
+    From arrays to sums in stages, every one a struct that the next reads, so nothing is
+    computed twice; all arrays go through one expression.
+    """
+    kept = "'h', s.h, 'v', s.v, 'rows', s.rows, 'n', s.n, 'total', s.total"
+    powers = sorted({p for f in fns for p in _MOMENTS.get(f, ())})
+    ends = ", 'sorted', s.sorted, 'low', get(s.sorted, 0), 'high', get(s.sorted, s.n - 1)" if _SORTED & set(fns) else ""
+    stages = [
+        "'h', s, 'v', filter(s, y -> y IS NOT NULL)",
+        "'h', s.h, 'v', s.v, 'rows', size(s.h), 'n', size(s.v), 'total', aggregate(s.v, 0D, (t, y) -> t + y)" + (", 'sorted', sort_array(s.v)" if ends else ""),
+        f"{kept}, 'mean', if(s.n > 0, s.total / s.n, null){ends}",
+    ]
+    if powers:
+        sums = ", ".join(f"'m{p}', aggregate(s.v, 0D, (t, y) -> t + {' * '.join(['(y - s.mean)'] * p)})" for p in powers)
+        stages.append(f"{kept}, 'mean', s.mean{', ' + repr('sorted') + ', s.sorted, ' + repr('low') + ', s.low, ' + repr('high') + ', s.high' if ends else ''}, {sums}")
+    stats = f"array({', '.join(arrays)})"
+    for fields in (*stages, ", ".join(f"'{f}', {_ARRAY_STATS[f]}" for f in fns)):
+        stats = f"transform({stats}, s -> named_struct({fields}))"
+    return stats
+
+
+#: Statistics of whole-number columns that stay whole, as aggregates of them do.
+_WHOLE = {"sum": "long", "min": None, "max": None}
+
+
 def last_k(
     df: DataFrame,
     key: str,
@@ -122,7 +184,7 @@ def last_k(
 
     ``None`` in ``ks`` is the whole history (W4). ``trend`` maps ``k`` to the
     columns whose least-squares slope over the newest ``k`` rows is wanted
-    (x = 0 for the newest row, W7). One window, one fused aggregate.
+    (x = 0 for the newest row, W7). One window, one ordered array per key.
     """
     ks = list(ks)
     namer = namer or last_k_name
@@ -133,22 +195,29 @@ def last_k(
     out = None
     if finite or trend:
         w = Window.partitionBy(key).orderBy(*[c.desc() for c in _orders(order_desc)], *[F.col(t).asc() for t in tiebreak])
-        moment_cols = [c for c, fns in spec.items() if any(f in ("skew", "kurt") for f in fns)]
         # row_number alone, then the filter: Spark inserts a WindowGroupLimit before the shuffle
         r = df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) <= F.lit(kmax))
-        # the newest row's value shifts the power sums of skew/kurt; same window spec on rows that
-        # are already partitioned and sorted by it, so no further exchange or sort
-        r = r.select("*", *[F.first(F.col(c)).over(w).alias(f"__shift_{c}") for c in moment_cols])
-        shifts = {c: f"__shift_{c}" for c in moment_cols}
-        exprs = []
-        for k in finite:
-            sl = Slice(str(k), F.col(rn) <= F.lit(k), sql=f"`{rn}` <= {int(k)}")
-            exprs += agg_exprs(spec, [sl], namer=lambda p, c, t, f: namer(int(t), c, f), shifts=shifts)
-        for k, tcols in trend.items():
-            build = aggfns.agg_trend(F.col(rn) - F.lit(1))
-            for c in tcols:
-                exprs.append(build(F.col(c), F.col(rn) <= F.lit(k)).alias(trend_name(k, c)))
-        out = r.groupBy(key).agg(*exprs)
+        used = list(dict.fromkeys([*spec, *[c for cs in trend.values() for c in cs]]))
+        kinds = {f.name: f.dataType for f in df.schema.fields}
+        cells = F.struct(F.col(rn), *[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(used)])
+        rows = r.groupBy(key).agg(F.sort_array(F.collect_list(cells)).alias("__rows"))
+        arrays = rows.select(key, *[F.col(f"__rows.v{i}").alias(f"__a{i}") for i in range(len(used))])
+        jobs = [(k, c) for k in dict.fromkeys([*finite, *trend]) for c in used if (k in finite and c in spec) or c in trend.get(k, ())]
+        groups: dict[tuple, list] = {}  # arrays that want the same statistics go through one expression
+        for k, c in jobs:
+            fns = [aggfns.resolve(f)[0] for f in spec.get(c, ())] if k in finite else []
+            groups.setdefault((*fns, *(["slope"] if c in trend.get(k, ()) else [])), []).append((k, c))
+        named = {}
+        for g, (fns, own) in enumerate(groups.items()):
+            for j, (k, c) in enumerate(own):
+                whole = kinds[c].typeName() in ("byte", "short", "integer", "long")
+                for f in fns:
+                    value = F.col(f"__g{g}")[j][f]
+                    name = trend_name(k, c) if f == "slope" else namer(k, c, f)
+                    named[name] = value.cast(_WHOLE[f] or kinds[c]) if whole and f in _WHOLE else value
+        stats = [F.expr(_array_stats([f"slice(__a{used.index(c)}, 1, {k})" for k, c in own], fns)).alias(f"__g{g}") for g, (fns, own) in enumerate(groups.items())]
+        order = [*[namer(k, c, aggfns.resolve(f)[0]) for k in finite for c, fns in spec.items() for f in fns], *[trend_name(k, c) for k, cs in trend.items() for c in cs]]
+        out = arrays.select(key, *stats).select(key, *[named[n].alias(n) for n in order])
     if None in ks:
         whole = aggregate(df, key, spec, namer=lambda p, c, t, f: namer(None, c, f))
         out = whole if out is None else whole.join(out, key, "left")

@@ -200,7 +200,7 @@ def q_rank_quantiles(spark, d):
     """A6/A12 with hot-key-safe exact quantiles: per customer and status slice, via ranks."""
     o = fx.bureau(spark, d)
     slices = [agg.ALL, agg.eq_slice("opn", "o_orderstatus", "O")]
-    return agg.aggregate(o, "o_custkey", {"o_totalprice": ["median", "iqr"], "o_days": ["median"]}, slices, prefix="q_", quantile_mode="rank")
+    return agg.aggregate(o, "o_custkey", {"o_totalprice": ["median", "iqr"], "o_days": ["median"]}, slices, prefix="q_")
 
 
 @query("p07_p08_global_fills")

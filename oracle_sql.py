@@ -738,6 +738,7 @@ APP = (
     CTE["o"] + ", s AS (SELECT o_custkey, sum(o_totalprice) AS amt_credit, avg(o_totalprice) AS amt_annuity, "
     "max(o_totalprice) AS amt_goods_price, min(o_days) AS days_birth, max(o_days) AS days_employed, "
     "CAST(count_if(o_orderstatus = 'O') AS BIGINT) AS cnt_children, count(*) AS cnt_fam_members, "
+    "CAST(max(o_orderkey) % 30 AS DOUBLE) AS own_car_age, nullif(min(o_orderkey) % 5 * -100, 0) AS days_last_phone_change, "
     "avg(CASE WHEN o_orderpriority = '1-URGENT' THEN 1.0 ELSE 0.0 END) AS ext_source_1, "
     "avg(CASE WHEN o_orderpriority = '2-HIGH' THEN 1.0 ELSE 0.0 END) AS ext_source_2, "
     "avg(CASE WHEN o_orderpriority = '3-MEDIUM' THEN 1.0 ELSE 0.0 END) AS ext_source_3 FROM o GROUP BY o_custkey), "
@@ -769,6 +770,10 @@ def q_application() -> str:
     r = row_stats(EXT)
     sel = [
         f"{f32(rat('amt_annuity', 'amt_income_total'))} AS annuity_income_percentage",
+        f"{f32(rat('own_car_age', 'days_birth'))} AS car_to_birth_ratio",
+        f"{f32(rat('own_car_age', 'days_employed'))} AS car_to_employ_ratio",
+        f"{f32(rat('days_last_phone_change', 'days_birth'))} AS phone_to_birth_ratio",
+        f"{f32(rat('days_last_phone_change', 'days_employed'))} AS phone_to_employ_ratio",
         f"{f32(rat('cnt_children', 'cnt_fam_members'))} AS children_ratio",
         f"{f32(rat('amt_credit', 'amt_annuity'))} AS credit_to_annuity_ratio",
         f"{f32(rat('amt_credit', 'amt_goods_price'))} AS credit_to_goods_ratio",
@@ -916,10 +921,7 @@ def q_k_ins() -> str:
 
 def q_k_cards() -> str:
     rows = (
-        POS_ROWS + ", cc AS (SELECT user_id AS sk_id_curr, e_days AS months_balance, value AS amt_balance, value * 2 AS amt_credit_limit_actual, "
-        "CASE WHEN value < 5 THEN NULL ELSE value - 5 END AS amt_drawings_current, "
-        "CASE WHEN event_type = 'purchase' THEN value ELSE 0.0 END AS amt_payment_total_current, "
-        "sk_dpd AS cnt_drawings_current, sk_dpd, sk_dpd_def FROM p), "
+        POS_ROWS + f", cc AS ({CARD_TABLE}), "
         "c2 AS (SELECT *, CAST(amt_balance AS DOUBLE) / nullif(amt_credit_limit_actual, 0) AS balance_credit_ratio, "
         "amt_payment_total_current / nullif(amt_drawings_current, 0) AS required_payment_gap FROM cc)"
     )
@@ -965,6 +967,80 @@ def q_global_fills() -> str:
 
 
 
+# rows of the roles that several blocks share (the mapping of loomfeat.plans.blocks)
+
+N = "o_orderkey"
+DAYS = f"CAST(CAST(o_orderdate AS DATE) - {ORDERS_REF} AS INTEGER)"
+
+
+def _due(e: str) -> str:
+    return f"CASE WHEN o_orderstatus = 'P' THEN NULL ELSE {e} END"
+
+
+def _code(letter: str, m: int, shift: int = 0) -> str:
+    return f"'{letter}' || CAST(({N} + {shift}) % {m} AS VARCHAR)"
+
+
+PREV_CATEGORIES = {
+    "name_contract_type": "o_orderpriority",
+    "weekday_appr_process_start": "CAST(dayofweek(o_orderdate) + 1 AS VARCHAR)",
+    "hour_appr_process_start": f"CAST({N} % 24 AS VARCHAR)",
+    "name_cash_loan_purpose": f"CASE WHEN {N} % 3 <> 0 THEN {_code('purpose ', 5)} END",
+    "name_contract_status": "CASE o_orderstatus WHEN 'F' THEN 'Approved' WHEN 'O' THEN 'Refused' ELSE 'Canceled' END",
+    "name_payment_type": _code("pay ", 4, 1),
+    "code_reject_reason": f"CASE WHEN o_orderstatus = 'O' THEN {_code('reason ', 3)} END",
+    "name_type_suite": f"CASE WHEN {N} % 7 <> 0 THEN {_code('suite ', 6, 2)} END",
+    "name_client_type": f"CASE WHEN {N} % 2 = 0 THEN 'Repeater' ELSE 'New' END",
+    "name_goods_category": _code("goods ", 9, 3),
+    "name_portfolio": _code("portfolio ", 4, 5),
+    "name_product_type": f"CASE WHEN {N} % 5 = 0 THEN 'x-sell' ELSE 'walk-in' END",
+    "channel_type": _code("channel ", 8, 7),
+    "name_seller_industry": _code("industry ", 10, 1),
+    "name_yield_group": "CASE WHEN o_totalprice > 200000 THEN 'high' WHEN o_totalprice > 100000 THEN 'middle' ELSE 'low' END",
+    "product_combination": "o_orderstatus || ' ' || o_orderpriority[1:1]",
+}
+PREV_VALUES = {
+    "name_contract_type": PRIORITIES,
+    "weekday_appr_process_start": [str(i) for i in range(1, 8)],
+    "hour_appr_process_start": [str(i) for i in range(24)],
+    "name_cash_loan_purpose": [f"purpose {i}" for i in range(5)],
+    "name_contract_status": ["Approved", "Canceled", "Refused"],
+    "name_payment_type": [f"pay {i}" for i in range(4)],
+    "code_reject_reason": [f"reason {i}" for i in range(3)],
+    "name_type_suite": [f"suite {i}" for i in range(6)],
+    "name_client_type": ["New", "Repeater"],
+    "name_goods_category": [f"goods {i}" for i in range(9)],
+    "name_portfolio": [f"portfolio {i}" for i in range(4)],
+    "name_product_type": ["walk-in", "x-sell"],
+    "channel_type": [f"channel {i}" for i in range(8)],
+    "name_seller_industry": [f"industry {i}" for i in range(10)],
+    "name_yield_group": ["high", "low", "middle"],
+    "product_combination": [f"{a} {b}" for a in "FOP" for b in "12345"],
+}
+PREV_TABLE = (
+    f"pr AS (SELECT o_custkey AS sk_id_curr, {N} AS sk_id_prev, "
+    + ", ".join(f"{e} AS {c}" for c, e in PREV_CATEGORIES.items())
+    + f", o_totalprice AS amt_credit, o_totalprice * (CAST(0.83 AS DOUBLE) + ({N} % 7) / CAST(17.0 AS DOUBLE)) AS amt_application, "
+    f"o_totalprice / (6 + {N} % 25) AS amt_annuity, {_due(f'o_totalprice * ({N} % 10) / CAST(100.0 AS DOUBLE)')} AS amt_down_payment, "
+    f"nullif(o_totalprice - fmod(o_totalprice, 1000), 0) AS amt_goods_price, {_due(f'({N} % 10) / CAST(100.0 AS DOUBLE)')} AS rate_down_payment, "
+    f"CASE WHEN {N} % 11 <> 0 THEN CAST(12 + {N} % 48 AS DOUBLE) END AS cnt_payment, "
+    f"{DAYS} AS days_decision, {DAYS} + 30 AS days_first_due, {_due(f'{DAYS} + 300 + {N} % 90')} AS days_last_due_1st_version, "
+    f"{_due(f'{DAYS} + 365')} AS days_last_due, {_due(f'{DAYS} + 370 + {N} % 60')} AS days_termination, {_due(f'{DAYS} + {N} % 20')} AS days_first_drawing "
+    "FROM orders)"
+)
+CARD_TABLE = (
+    "SELECT user_id AS sk_id_curr, event_type AS sk_id_prev, ts, event_id, e_days AS months_balance, "
+    "CASE WHEN event_id % 4 = 0 THEN 'Completed' ELSE 'Active' END AS name_contract_status, "
+    "CASE WHEN event_id % 9 = 0 THEN 0.0 ELSE value END AS amt_balance, value * 2 + event_id % 13 AS amt_credit_limit_actual, "
+    "CASE WHEN value < 5 THEN NULL ELSE value - 5 END AS amt_drawings_current, "
+    "value * ((event_id % 5) / CAST(8.0 AS DOUBLE)) AS amt_payment_current, "
+    "CASE WHEN event_type = 'purchase' THEN value WHEN event_id % 17 = 0 THEN NULL ELSE 0.0 END AS amt_payment_total_current, "
+    "value * CAST(0.75 AS DOUBLE) + event_id % 6 AS amt_receivable_principal, value + event_id % 10 AS amt_recivable, "
+    "sk_dpd AS cnt_drawings_current, sk_dpd, sk_dpd_def FROM p"
+)
+
+
+REQUESTS = {"hour": 2, "day": 3, "week": 4, "mon": 5, "qrt": 6, "year": 7}
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
@@ -977,21 +1053,33 @@ def q_k_app() -> str:
         f"{f32('b.amt_annuity')} AS amt_annuity", f"{f32('b.amt_goods_price')} AS amt_goods_price",
         "b.days_birth", "b.days_employed", "b.cnt_children", "b.cnt_fam_members",
         *[f"{f32('b.' + e)} AS {e}" for e in EXT],
-        "b.c_nationkey",
+        f"{f32('b.own_car_age')} AS own_car_age", "b.days_last_phone_change", "b.c_nationkey",
+        *[f"b.c_custkey % {m} AS amt_req_credit_bureau_{n}" for n, m in REQUESTS.items()],
         f"CAST({flag('b.cnt_children > 0')} + {flag('b.amt_income_total > 0')} + {flag('b.days_employed > -365')} AS INTEGER) AS document_sel",
         "CAST(CASE WHEN b.c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 0 ELSE 1 END AS INTEGER) AS c_segment_bin",
         f"{f32('te.v')} AS c_mktsegment_target_encode",
         *[f"CAST(b.c_mktsegment IS NOT DISTINCT FROM '{v}' AS INTEGER) AS c_mktsegment_{v.lower()}" for v in SEGMENTS],
-        f"{f32(rat('b.amt_credit', 'b.amt_annuity'))} AS new_credit_to_annuity_ratio",
-        f"{f32(rat('b.amt_credit', 'b.amt_goods_price'))} AS new_credit_to_goods_ratio",
-        f"{f32('b.ext_source_1 * b.ext_source_2 * b.ext_source_3')} AS new_ext_sources_prod",
+        f"{f32(rat('b.amt_income_total', 'b.cnt_fam_members'))} AS income_per_person",
+        f"{f32(rat('b.days_employed', 'b.days_birth'))} AS days_employed_perc",
+        f"{f32(rat('b.amt_income_total', 'b.amt_credit'))} AS income_credit_perc",
+        f"{f32(rat('b.amt_credit', 'b.amt_annuity'))} AS annuity_length",
+        f"{f32(rat('b.amt_annuity', 'b.amt_credit'))} AS payment_rate",
+        f"{f32(rat('b.amt_credit', 'b.amt_goods_price'))} AS consumer_goods_ratio",
+        f"{f32(f'CASE {nulls} WHEN 0 THEN 0.7298178 WHEN 1 THEN 0.8178222 WHEN 2 THEN 0.9921877 END')} AS empty_ext",
+        f"{f32(rat('b.amt_credit', 'b.amt_income_total'))} AS credit_to_income",
+        f"{f32(rat('b.amt_income_total', 'b.amt_annuity'))} AS income_to_annuity",
+        f"{f32(rat(rat('b.amt_income_total', 'b.cnt_fam_members'), 'b.amt_annuity'))} AS income_person_to_annuity",
+        f"{f32(rat('b.amt_income_total', 'b.amt_goods_price'))} AS income_to_price",
+        f"{f32(r['max'] + ' - ' + r['min'])} AS score_spread",
+        f"{f32(rat('b.amt_income_total', '(1 + b.cnt_children)'))} AS new_inc_per_chld",
+        f"{f32(rat('b.amt_annuity', '(1 + b.amt_income_total)'))} AS new_annuity_to_income_ratio",
+        f"{f32('b.ext_source_1 * b.ext_source_2 * b.ext_source_3')} AS new_sources_prod",
         f"{f32(r['mean'])} AS new_ext_sources_mean",
-        f"{f32(r['std'])} AS new_ext_sources_std",
-        f"{f32(r['max'] + ' - ' + r['min'])} AS ext_all",
-        f"{f32(rat('b.days_employed', 'b.days_birth'))} AS new_employ_to_birth_ratio",
-        f"{f32(rat('b.amt_income_total', 'b.cnt_fam_members'))} AS new_inc_per_chld",
-        f"{flag('b.amt_credit > b.amt_income_total')} AS credit_gt_income",
-        f"{f32(f'CASE {nulls} WHEN 0 THEN 0.7298178 WHEN 1 THEN 0.8178222 WHEN 2 THEN 0.9921877 END')} AS new_ext_null_score",
+        f"{f32('coalesce(' + r['std'] + ', avg(' + r['std'] + ') OVER ())')} AS new_scores_std",
+        f"{f32(rat('b.days_last_phone_change', 'b.days_employed'))} AS new_phone_to_birth_ratio",
+        f"{f32(rat('b.amt_credit', 'b.amt_income_total'))} AS new_credit_to_income_ratio",
+        *[f"{f32(rat(f'(b.c_custkey % {REQUESTS[x]})', f'(b.c_custkey % {REQUESTS[y]})'))} AS {x}_by_{y}" for x, y in zip(list(REQUESTS), list(REQUESTS)[1:])],
+        f"{flag('b.amt_credit > b.amt_goods_price')} AS over_expect_credit",
     ]
     body = ", ".join(sel).replace("ext_source_1,", "ext_source_1,")
     return (
@@ -1001,45 +1089,40 @@ def q_k_app() -> str:
     ).replace("least(ext_source_1, ext_source_2, ext_source_3)", "least(b.ext_source_1, b.ext_source_2, b.ext_source_3)")
 
 
-PREV_ROWS = (
-    "c AS (SELECT c_custkey, CAST(c_acctbal < 0 AS INTEGER) AS target FROM customer), "
-    f"pr AS (SELECT o_custkey AS sk_id_curr, o_orderkey AS sk_id_prev, "
-    "CASE o_orderstatus WHEN 'F' THEN 'Approved' WHEN 'O' THEN 'Refused' ELSE 'Canceled' END AS name_contract_status, "
-    "o_orderpriority AS name_contract_type, o_totalprice AS amt_credit, o_totalprice * 0.9 AS amt_application, "
-    "o_totalprice / 12 AS amt_annuity, nullif(o_totalprice - fmod(o_totalprice, 1000), 0) AS amt_goods_price, "
-    f"CAST(CAST(o_orderdate AS DATE) - {ORDERS_REF} AS INTEGER) AS days_decision FROM orders), "
-    "te AS (SELECT pr.name_contract_type, avg(CAST(c.target AS DOUBLE)) AS v FROM pr LEFT JOIN c ON pr.sk_id_curr = c.c_custkey "
-    "WHERE pr.name_contract_type IS NOT NULL GROUP BY pr.name_contract_type), "
-    "p AS (SELECT pr.*, te.v AS name_contract_type_target_encode, amt_application / nullif(amt_credit, 0) AS app_credit_perc, "
-    "CASE WHEN amt_credit > amt_application THEN 1 ELSE 0 END AS credit_gt_application, "
-    "amt_credit - amt_goods_price AS credit_goods_diff FROM pr LEFT JOIN te ON pr.name_contract_type = te.name_contract_type)"
-)
-
-
 def q_k_prev() -> str:
+    cats = [c for c in PREV_CATEGORIES if c != "hour_appr_process_start"]
     num = {
         "amt_annuity": ["min", "max", "mean"], "amt_application": ["min", "max", "mean"], "amt_credit": ["min", "max", "mean"],
-        "app_credit_perc": ["mean"], "amt_goods_price": ["min", "max", "mean"], "days_decision": ["min", "max", "mean"],
-        "credit_gt_application": ["mean"], "credit_goods_diff": ["mean", "var"],
-        "name_contract_type_target_encode": ["min", "max", "mean", "median"],
+        "app_credit_perc": ["mean"], "amt_down_payment": ["min", "max", "mean"], "amt_goods_price": ["min", "max", "mean"],
+        "hour_appr_process_start": ["min", "max", "mean"], "rate_down_payment": ["min", "max", "mean"],
+        "days_decision": ["min", "max", "mean", "std"], "cnt_payment": ["mean", "sum", "max", "std"],
+        "spread": ["mean"], "annuity_length": ["mean"], "consumer_goods_ratio": ["mean"],
+        **{f"{c}_target_encode": ["min", "max", "mean", "median"] for c in cats},
     }
-    types = {k: "double" for k in num}
-    types.update({"days_decision": "int", "credit_gt_application": "int"})
+    types = {k: "double" for k in num} | {"hour_appr_process_start": "int", "days_decision": "int"}
     sel = ["sk_id_curr AS c_custkey"]
     for c, fns in num.items():
-        for fn in fns:
-            sel.append(f"{fagg(fn, c, None, None, types[c])} AS {kname('prev_', c, '', fn)}")
-    for v in ["Approved", "Canceled", "Refused"]:
-        sel.append(f"{f32(f'avg(CASE WHEN name_contract_status IS NOT DISTINCT FROM {chr(39)}{v}{chr(39)} THEN 1 ELSE 0 END)')} AS prev_name_contract_status_share_{v.lower()}")
+        sel += [f"{fagg(fn, c, None, None, types[c])} AS {kname('prev_', c, '', fn)}" for fn in fns]
+    for c in cats:
+        for v in [*PREV_VALUES[c], None]:
+            hit = f"{c} IS NULL" if v is None else f"{c} IS NOT DISTINCT FROM '{v}'"
+            sel.append(f"{f32(f'avg(CASE WHEN {hit} THEN 1 ELSE 0 END)')} AS prev_{c}_share_{'nan' if v is None else san(v)}")
     windows = [("", None), ("05y", "days_decision >= -282"), ("1y", "days_decision >= -365"), ("2y", "days_decision >= -730"), ("3y", "days_decision >= -1095")]
     for pre, st in [("apr_", "Approved"), ("ref_", "Refused")]:
         for tag, w in windows:
             cond = f"name_contract_status = '{st}'" + (f" AND {w}" if w else "")
             for c, fns in num.items():
-                for fn in fns:
-                    sel.append(f"{fagg(fn, c, cond, None, types[c])} AS {kname(pre, c, tag, fn)}")
-    return f"WITH {PREV_ROWS} SELECT {', '.join(sel)} FROM p GROUP BY sk_id_curr"
-
+                sel += [f"{fagg(fn, c, cond, None, types[c])} AS {kname(pre, c, tag, fn)}" for fn in fns]
+    tables = ", ".join(f"t{i} AS (SELECT {c}, avg(CAST(target AS DOUBLE)) AS v FROM pl WHERE {c} IS NOT NULL GROUP BY 1)" for i, c in enumerate(cats))
+    return (
+        f"WITH {PREV_TABLE}, pl AS (SELECT pr.*, CAST(c_acctbal < 0 AS INTEGER) AS target FROM pr LEFT JOIN customer ON sk_id_curr = c_custkey), {tables}, "
+        "p AS (SELECT pl.* REPLACE (CAST(pl.hour_appr_process_start AS INTEGER) AS hour_appr_process_start), "
+        + ", ".join(f"t{i}.v AS {c}_target_encode" for i, c in enumerate(cats))
+        + ", amt_application / nullif(amt_credit, 0) AS app_credit_perc, amt_application - amt_credit AS spread, amt_credit / nullif(amt_annuity, 0) AS annuity_length, "
+        "amt_credit / nullif(amt_goods_price, 0) AS consumer_goods_ratio FROM pl "
+        + " ".join(f"LEFT JOIN t{i} ON pl.{c} = t{i}.{c}" for i, c in enumerate(cats))
+        + f") SELECT {', '.join(sel)} FROM p GROUP BY sk_id_curr"
+    )
 
 
 BUREAU_K = (
@@ -1124,7 +1207,7 @@ def q_balance_block() -> str:
         + ", ".join(f"{f32(f'count_if(status = {chr(39)}{v.upper()}{chr(39)}) / count(*)')} AS balance_status_{v}_rate" for v in flags)
         + " FROM r WHERE status IS NOT NULL GROUP BY 1), "
         f"ov AS (SELECT sk_id_curr, {', '.join(sel[2:])} FROM l1 GROUP BY sk_id_curr), "
-        "sp AS (SELECT DISTINCT sk_id_curr FROM r) "
+        "sp AS (SELECT c_custkey AS sk_id_curr FROM customer) "
         "SELECT sp.sk_id_curr AS c_custkey, CAST(coalesce(m.bureau_miss_time, 0) AS BIGINT) AS bureau_miss_time, "
         + ", ".join(f"coalesce(ov.bureau_{c}_{fn}, 0) AS bureau_{c}_{fn}" for c in ["overdue_mean", "overdue_sum"] for fn in ["mean", "max", "std", "sum", "median"])
         + ", " + ", ".join(stat)
@@ -1218,15 +1301,15 @@ def q_pos_block() -> str:
         "lrows AS (SELECT p.* FROM p JOIN nw ON p.user_id = nw.user_id AND p.event_type = nw.event_type), "
         f"lo AS (SELECT {', '.join(lsel)} FROM lrows GROUP BY user_id)"
     )
-    # every column of the final block, filled with 0
-    cols_bs = [b.split(" AS ")[-1] for b in basic[1:]]
+    # every entity of the application table, 0 where it has no row
+    names = [x.split(" AS ")[-1] for x in basic[1:]]
     return (
-        f"WITH {pos_rows}, {POS_RANK}, bs AS ({parts['bs']}), lk AS ({parts['lk']}), tr AS ({parts['tr']}), {last}, {loan} "
-        "SELECT bs.user_id, "
-        + ", ".join(f"coalesce(bs.{c}, 0) AS {c}" for c in cols_bs)
+        f"WITH {pos_rows}, {POS_RANK}, bs AS ({parts['bs']}), lk AS ({parts['lk']}), tr AS ({parts['tr']}), {last}, {loan}, "
+        "j AS (SELECT c_custkey AS user_id, " + ", ".join(f"bs.{c}" for c in names)
         + ", la.* EXCLUDE (user_id), lk.* EXCLUDE (user_id), tr.* EXCLUDE (user_id), lo.* EXCLUDE (user_id) "
-        "FROM bs LEFT JOIN la ON bs.user_id = la.user_id LEFT JOIN lk ON bs.user_id = lk.user_id "
-        "LEFT JOIN tr ON bs.user_id = tr.user_id LEFT JOIN lo ON bs.user_id = lo.user_id"
+        "FROM customer LEFT JOIN bs ON c_custkey = bs.user_id LEFT JOIN la ON c_custkey = la.user_id LEFT JOIN lk ON c_custkey = lk.user_id "
+        "LEFT JOIN tr ON c_custkey = tr.user_id LEFT JOIN lo ON c_custkey = lo.user_id) "
+        "SELECT user_id, coalesce(COLUMNS(* EXCLUDE (user_id)), 0) FROM j"
     )
 
 
@@ -1307,142 +1390,109 @@ def q_instalment_block() -> str:
 
 
 def q_card_block() -> str:
+    """Written from the reference's steps: a level-1 and a level-2 aggregate per row set."""
     global RAW
-    rows = (
-        POS_ROWS + ", c AS (SELECT user_id AS sk_id_curr, event_type AS sk_id_prev, ts, event_id, e_days AS months_balance, "
-        "value AS amt_balance, value * 2 AS amt_credit_limit_actual, CASE WHEN value < 5 THEN NULL ELSE value - 5 END AS amt_drawings_current, "
-        "CASE WHEN event_type = 'purchase' THEN value ELSE 0.0 END AS amt_payment_total_current, sk_dpd AS cnt_drawings_current, "
-        "sk_dpd, sk_dpd_def FROM p), "
-        "dv AS (SELECT *, amt_credit_limit_actual - amt_balance AS amt_balance_diff, "
-        "amt_drawings_current / nullif(1 + amt_credit_limit_actual, 0) AS amt_credit_ratio, "
-        "amt_balance / nullif(1 + amt_credit_limit_actual, 0) AS amt_balance_ratio FROM c)"
+    ratio = lambda a, b: f"CAST({a} AS DOUBLE) / nullif(1 + {b}, 0)"
+    rows = POS_ROWS + (
+        f", c AS ({CARD_TABLE}), dv AS (SELECT *, amt_recivable - amt_receivable_principal AS amt_receivable_diff, "
+        "amt_credit_limit_actual - amt_balance AS amt_balance_diff, amt_credit_limit_actual - amt_drawings_current AS amt_drawings_diff, "
+        f"{ratio('amt_drawings_current', 'amt_credit_limit_actual')} AS amt_credit_ratio, {ratio('amt_balance', 'amt_credit_limit_actual')} AS amt_balance_ratio, "
+        f"{ratio('amt_recivable', 'amt_balance')} AS amt_receivable_ratio FROM c)"
     )
-    feats = {"amt_balance": "double", "amt_credit_limit_actual": "double", "amt_drawings_current": "double",
-             "amt_payment_total_current": "double", "cnt_drawings_current": "int", "amt_balance_diff": "double",
-             "amt_credit_ratio": "double", "amt_balance_ratio": "double"}
     six = ["mean", "min", "max", "median", "sum", "std"]
-    slices = [("all", None), ("using", "amt_payment_total_current <> 0"), ("1_year", "months_balance >= -12"), ("2_year", "months_balance >= -24")]
+    amt = ["amt_balance", "amt_credit_limit_actual", "amt_drawings_current", "amt_payment_current", "amt_payment_total_current", "amt_receivable_principal", "amt_recivable"]
+    derived = ["amt_receivable_diff", "amt_balance_diff", "amt_drawings_diff", "amt_credit_ratio", "amt_balance_ratio", "amt_receivable_ratio"]
+    year = ["amt_balance", "amt_credit_limit_actual", "amt_drawings_current", "amt_payment_current", "amt_receivable_principal", "cnt_drawings_current", "sk_dpd", "sk_dpd_def", "amt_balance_ratio"]
+    whole = {"cnt_drawings_current", "sk_dpd", "sk_dpd_def"}
+    every = [*amt, "cnt_drawings_current", *derived]
+    active = "name_contract_status = 'Active'"
+    sets = [
+        ("all", "true", every), ("using", "amt_payment_total_current <> 0 OR amt_payment_total_current IS NULL", every),
+        ("2_year", f"months_balance >= -24 AND {active}", year), ("1_year", f"months_balance >= -12 AND {active}", year),
+    ]
+    sql_type = {"REAL": "double", "INTEGER": "int", "BIGINT": "bigint"}
+    ctes, final = [], []
+    for tag, where, feats in sets:
+        RAW = True
+        try:
+            l1 = [f"{typed(fn, agg_sql(fn, c), 'int' if c in whole else 'double')} AS {c}_{fn}" for c in feats for fn in six]
+        finally:
+            RAW = False
+        l2 = []
+        for c in feats:
+            for f1 in six:
+                t = sql_type[out_type(f1, "int" if c in whole else "double")]
+                for f2 in six:
+                    name = f"card_{tag}_{c}_{f1}_{f2}"
+                    l2.append(f"{typed(f2, agg_sql(f2, f'{c}_{f1}'), t)} AS {name}")
+                    final.append((name, out_type(f2, t), f"s_{tag}.{name}"))
+        ctes.append(f"l_{tag} AS (SELECT sk_id_curr, sk_id_prev, {', '.join(l1)} FROM dv WHERE {where} GROUP BY 1, 2)")
+        ctes.append(f"s_{tag} AS (SELECT sk_id_curr, {', '.join(l2)} FROM l_{tag} GROUP BY 1)")
+    pay = "amt_payment_total_current"
     RAW = True
     try:
-        l1, l1types = [], {}
-        for tag, w in slices:
-            for c, t in feats.items():
-                for fn in six:
-                    n = f"{tag}__{c}_{fn}"
-                    l1.append(f'{fagg(fn, c, w, None, t)} AS "{n}"')
-                    ot = out_type(fn, t)
-                    l1types[n] = {"REAL": "double", "INTEGER": "int", "BIGINT": "bigint"}[ot]
+        f1 = [f"{typed(fn, agg_sql(fn, pay), 'double')} AS {pay}_{fn}" for fn in ["max", "min", "median", "mean", "sum", "std"]]
     finally:
         RAW = False
-    final_cols = []  # (name, type, source expr in the joined frame)
-    l2 = {}
-    for tag, _ in slices:
-        sel = []
-        for n, t in l1types.items():
-            if not n.startswith(f"{tag}__"):
-                continue
-            for fn in six:
-                name = f"card_{n.replace('__', '_', 1)}_{fn}"
-                sel.append(f"{typed(fn, agg_sql(fn, chr(34) + n + chr(34)), t)} AS {name}")
-                final_cols.append((name, out_type(fn, t), f"s_{tag}.{name}"))
-        l2[tag] = f"s_{tag} AS (SELECT sk_id_curr, {', '.join(sel)} FROM l1 GROUP BY sk_id_curr)"
-    sk_sel, sk_names = [], []
-    for c in ["sk_dpd_flag", "sk_dpd_def_flag"]:
+    first = [(f"card_first_time_{pay}_{a}_{b}", a, b) for a in ["max", "min", "median", "mean", "sum", "std"] for b in ["mean", "min", "max", "sum", "std", "median"]]
+    ctes.append(f"pd AS (SELECT DISTINCT sk_id_curr, sk_id_prev, {pay} FROM c WHERE {pay} <> 0 OR {pay} IS NULL)")
+    ctes.append(f"pl AS (SELECT sk_id_curr, sk_id_prev, {', '.join(f1)} FROM pd GROUP BY 1, 2)")
+    ctes.append("ft AS (SELECT sk_id_curr, " + ", ".join(f"{typed(b, agg_sql(b, f'{pay}_{a}'), 'double')} AS {n}" for n, a, b in first) + " FROM pl GROUP BY 1)")
+    final += [(n, "REAL", f"ft.{n}") for n, _, _ in first]
+    flags = {"out_overdue_flag": "sk_dpd - sk_dpd_def > 0", "using_flag": "amt_balance > 0"}
+    own = []
+    for f, cond in flags.items():
+        e = f"CASE WHEN {cond} THEN 1 ELSE 0 END"
         for fn in ["mean", "sum", "count"]:
-            sk_sel.append(f"{typed(fn, agg_sql(fn, c), 'int')} AS card_{c}_{fn}")
-            sk_names.append((f"card_{c}_{fn}", out_type(fn, "int"), f"sk.card_{c}_{fn}"))
-    for c in ["sk_out", "sk_dpd_def", "sk_dpd"]:
+            own.append((f"card_{f}_{fn}", out_type(fn, "int"), typed(fn, agg_sql(fn, e), "int")))
+    for x, e in {"sk_out": "CAST(sk_dpd - sk_dpd_def AS DOUBLE)", "sk_dpd_def": "CAST(sk_dpd_def AS DOUBLE)", "sk_dpd": "CAST(sk_dpd AS DOUBLE)"}.items():
         for fn in ["median", "mean", "sum", "max", "std"]:
-            sk_sel.append(f"{typed(fn, agg_sql(fn, c), 'double')} AS card_{c}_{fn}")
-            sk_names.append((f"card_{c}_{fn}", "REAL", f"sk.card_{c}_{fn}"))
-    use_names = [
-        ("card_first_time_months_balance_min_mean", "REAL", "us.a"), ("card_first_time_months_balance_min_max", "INTEGER", "us.b"),
-        ("card_first_time_delay_mean_mean", "REAL", "us.c"), ("card_first_time_delay_mean_max", "REAL", "us.d"),
-        ("card_use_flag_mean", "REAL", "uf.m"), ("card_use_flag_sum", "BIGINT", "uf.s"), ("card_use_flag_count", "BIGINT", "uf.n"),
-        ("creditcard_amt_drawings_current_miss_times", "BIGINT", "ms.x"),
-    ]
-    allcols = sk_names + use_names + final_cols
+            own.append((f"{x}_{fn}", "REAL", typed(fn, agg_sql(fn, e), "double")))
+    for m in ["amt_drawings_current", pay]:
+        own.append((f"creditcard_{m}_miss_times", "BIGINT", f"nullif(count_if({m} IS NULL), 0)"))
+    ctes.append("ow AS (SELECT sk_id_curr, " + ", ".join(f"{e} AS {n}" for n, _, e in own) + " FROM c GROUP BY 1)")
+    final += [(n, t, f"ow.{n}") for n, t, _ in own]
     return (
-        f"WITH {rows}, l1 AS (SELECT sk_id_curr, sk_id_prev, {', '.join(l1)} FROM dv GROUP BY sk_id_curr, sk_id_prev), "
-        + ", ".join(l2.values()) + ", "
-        "ms AS (SELECT sk_id_curr, CASE WHEN count_if(amt_drawings_current IS NULL) > 0 THEN count_if(amt_drawings_current IS NULL) END AS x FROM c GROUP BY 1), "
-        "skr AS (SELECT sk_id_curr, CAST(sk_dpd AS DOUBLE) AS sk_dpd, CAST(sk_dpd_def AS DOUBLE) AS sk_dpd_def, "
-        "CAST(sk_dpd - sk_dpd_def AS DOUBLE) AS sk_out, CASE WHEN sk_dpd > 0 THEN 1 ELSE 0 END AS sk_dpd_flag, "
-        "CASE WHEN sk_dpd_def > 0 THEN 1 ELSE 0 END AS sk_dpd_def_flag FROM c), "
-        f"sk AS (SELECT sk_id_curr, {', '.join(sk_sel)} FROM skr GROUP BY 1), "
-        "lg AS (SELECT *, LAG(amt_balance) OVER (PARTITION BY sk_id_curr, sk_id_prev ORDER BY ts, event_id) AS pv FROM c), "
-        "us0 AS (SELECT sk_id_curr, sk_id_prev, months_balance, coalesce(amt_drawings_current, amt_balance) AS delay, "
-        "CASE WHEN amt_balance - pv > 0 THEN 1 ELSE 0 END AS use_flag FROM lg), "
-        "fu AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY sk_id_curr, sk_id_prev ORDER BY months_balance DESC, delay DESC) AS rn "
-        "FROM us0 WHERE use_flag <> 0) WHERE rn = 1), "
-        "us AS (SELECT sk_id_curr, avg(months_balance) AS a, max(months_balance) AS b, avg(delay) AS c, max(delay) AS d FROM fu GROUP BY 1), "
-        "uf AS (SELECT sk_id_curr, avg(use_flag) AS m, sum(use_flag) AS s, count(use_flag) AS n FROM us0 GROUP BY 1), "
-        "sp AS (SELECT DISTINCT sk_id_curr FROM c) "
-        "SELECT sp.sk_id_curr, " + ", ".join(fill0(n, t, e) for n, t, e in allcols)
-        + " FROM sp LEFT JOIN ms ON sp.sk_id_curr = ms.sk_id_curr LEFT JOIN sk ON sp.sk_id_curr = sk.sk_id_curr "
-        "LEFT JOIN us ON sp.sk_id_curr = us.sk_id_curr LEFT JOIN uf ON sp.sk_id_curr = uf.sk_id_curr "
-        + " ".join(f"LEFT JOIN s_{tag} ON sp.sk_id_curr = s_{tag}.sk_id_curr" for tag, _ in slices)
+        f"WITH {rows}, {', '.join(ctes)} SELECT c_custkey AS sk_id_curr, " + ", ".join(fill0(n, t, e) for n, t, e in final)
+        + " FROM customer " + " ".join(f"LEFT JOIN {t} ON c_custkey = {t}.sk_id_curr" for t in ["ow", "ft", *[f"s_{tag}" for tag, _, _ in sets]])
     )
 
 
-
 def q_previous_block() -> str:
-    """Oracle for ``b35_previous_block_unpruned``, kept for manual runs but not registered:
-    ``prev_approved_amt_min_year_std`` is the std of a near-constant ratio (relative spread
-    ~4e-6), where Spark and DuckDB accumulate differently and disagree in the last float32
-    bit; every other column agrees. The query itself is registered (rows-only)."""
-    rows = (
-        "pr AS (SELECT o_custkey AS sk_id_curr, o_orderkey AS sk_id_prev, "
-        "CASE o_orderstatus WHEN 'F' THEN 'Approved' WHEN 'O' THEN 'Refused' ELSE 'Canceled' END AS name_contract_status, "
-        "o_orderpriority AS name_contract_type, o_totalprice AS amt_credit, o_totalprice * 0.9 AS amt_application, "
-        "o_totalprice / 12 AS amt_annuity, nullif(o_totalprice - fmod(o_totalprice, 1000), 0) AS amt_goods_price, "
-        f"CAST(CAST(o_orderdate AS DATE) - {ORDERS_REF} AS INTEGER) AS days_decision, "
-        f"CAST(CAST(o_orderdate AS DATE) - {ORDERS_REF} AS INTEGER) + 30 AS days_first_due, "
-        f"nullif(CASE WHEN o_orderstatus = 'P' THEN 365243 ELSE CAST(CAST(o_orderdate AS DATE) - {ORDERS_REF} AS INTEGER) + 365 END, 365243) AS days_last_due "
-        "FROM orders), "
-        "d0 AS (SELECT sk_id_curr, name_contract_status, CAST(amt_credit AS DOUBLE) AS amt_credit, CAST(amt_application AS DOUBLE) AS amt_application, "
-        "CAST(amt_annuity AS DOUBLE) AS amt_annuity, CAST(amt_goods_price AS DOUBLE) AS amt_goods_price, "
-        "CAST(days_decision AS DOUBLE) AS days_decision, CAST(days_first_due AS DOUBLE) AS days_first_due, "
-        "CAST(days_last_due AS DOUBLE) AS days_last_due FROM pr), "
-        "d1 AS (SELECT *, amt_credit / nullif(1 + amt_annuity, 0) AS amt_min_year, amt_credit - amt_application AS amt_credit_trust, "
-        "amt_credit / nullif(1 + amt_application, 0) AS amt_credit_ratio, amt_credit / nullif(1 + amt_goods_price, 0) AS amt_goods_ratio, "
-        "amt_credit - amt_goods_price AS amt_goods_remain, days_last_due - days_first_due AS days_due_diff, "
-        "days_first_due - days_decision AS days_waiting_diff FROM d0)"
-    )
-    amt_all = ["amt_credit", "amt_application", "amt_annuity", "amt_goods_price", "amt_min_year", "amt_credit_trust",
-               "amt_credit_ratio", "amt_goods_ratio", "amt_goods_remain"]
-    day_all = ["days_decision", "days_first_due", "days_last_due", "days_due_diff", "days_waiting_diff"]
+    guarded = lambda a, b: f"{a} / nullif(1 + {b}, 0)"
+    base_amt = ["amt_annuity", "amt_application", "amt_credit", "amt_down_payment", "amt_goods_price", "rate_down_payment", "cnt_payment"]
+    base_day = ["days_first_due", "days_last_due_1st_version", "days_last_due", "days_termination", "days_decision"]
+    amounts = {
+        **{c: c for c in base_amt}, "amt_min_year": guarded("amt_credit", "amt_annuity"), "amt_credit_trust": "amt_credit - amt_application",
+        "amt_credit_ratio": guarded("amt_credit", "amt_application"), "amt_goods_ratio": guarded("amt_credit", "amt_goods_price"),
+        "amt_goods_remain": "amt_credit - amt_goods_price",
+    }
+    days = {
+        **{c: c for c in base_day}, "days_due_diff": "days_last_due - days_first_due", "days_last_due_diff": "days_last_due_1st_version - days_last_due",
+        "days_waiting_diff": "days_first_due - days_decision", "days_origin_due_diff": "days_last_due_1st_version - days_first_due",
+        "days_origin_que_diff": "days_termination - days_last_due",
+    }
+    d1 = "d1 AS (SELECT sk_id_curr, name_contract_status, " + ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in [*amounts.items(), *days.items()]) + " FROM pr)"
     five = ["min", "median", "max", "mean", "std"]
-    ap, rf = "name_contract_status = 'Approved'", "name_contract_status = 'Refused'"
     st = []
-    for c in amt_all + day_all:
-        st += [(f"prev_{c}_{fn}", fagg(fn, c, None, None, "double")) for fn in five]
-    for tag, w in [("approved", ap), ("refused", rf)]:
-        st += [(f"prev_{tag}_{c}_{fn}", fagg(fn, c, w, None, "double")) for c in amt_all for fn in five]
-    st += [(f"prev_approved_{c}_{fn}", fagg(fn, c, ap, None, "double")) for c in day_all for fn in five + ["sum"]]
-    st += [(f"prev_refused_{c}_{fn}", fagg(fn, c, rf, None, "double")) for c in day_all for fn in five]
-    statuses = ["Approved", "Canceled", "Refused"]
-    cat = [(f"prev_name_contract_status_{v.lower()}", f"CASE WHEN count_if(name_contract_status = '{v}') > 0 THEN count_if(name_contract_status = '{v}') END") for v in statuses]
-    cat += [(f"prev_name_contract_type_{san(v)}", f"CASE WHEN count_if(name_contract_type = '{v}') > 0 THEN count_if(name_contract_type = '{v}') END") for v in PRIORITIES]
-    lk = []
-    for k in [1, 3, 5]:
-        for c in ["amt_credit", "days_decision", "days_first_due"]:
-            lk.append((f"previous_application_{c}_last_{k}_credits_mean", f"{f32(f'avg({c}) FILTER (WHERE rn <= {k})')}"))
-    names = [("prev_days_last_due_miss_times", "BIGINT", "ms.x")]
-    names += [(n, "REAL", f"ss.{n}") for n, _ in st]
-    names += [(n, "BIGINT", f"ct.{n}") for n, _ in cat]
-    names += [(n, "REAL", f"lk.{n}") for n, _ in lk]
+    for tag, w, day_fns in [("", None, five), ("approved_", "name_contract_status = 'Approved'", [*five, "sum"]), ("refused_", "name_contract_status = 'Refused'", five)]:
+        st += [(f"prev_{tag}{c}_{fn}", fagg(fn, c, w)) for c in amounts for fn in five]
+        st += [(f"prev_{tag}{c}_{fn}", fagg(fn, c, w)) for c in days for fn in day_fns]
+    miss = [c for c in base_amt + base_day if c not in ("amt_annuity", "amt_application", "amt_credit", "days_first_due", "days_decision", "amt_goods_price")]
+    cat = [(f"prev_{c}_{san(v)}", f"nullif(count_if({c} = '{v}'), 0)") for c, vs in PREV_VALUES.items() for v in vs]
+    term = {"cnt_payment": "term_of", "days_decision": "days_decision_about", "days_first_drawing": "days_first_drawing"}
+    lk = [(f"previous_application_{t}_last_{k}_credits_mean", f32(f"avg({c}) FILTER (WHERE rn <= {k})")) for k in [1, 3, 5] for c, t in term.items()]
+    names = [(f"prev_{c}_miss_times", "BIGINT", f"ms.prev_{c}_miss_times") for c in miss]
+    names += [(n, "REAL", f"ss.{n}") for n, _ in st] + [(n, "BIGINT", f"ct.{n}") for n, _ in cat] + [(n, "REAL", f"lk.{n}") for n, _ in lk]
     return (
-        f"WITH {rows}, "
-        "ms AS (SELECT sk_id_curr, CASE WHEN count_if(days_last_due IS NULL) > 0 THEN count_if(days_last_due IS NULL) END AS x FROM pr GROUP BY 1), "
+        f"WITH {PREV_TABLE}, {d1}, "
+        f"ms AS (SELECT sk_id_curr, {', '.join(f'nullif(count_if({c} IS NULL), 0) AS prev_{c}_miss_times' for c in miss)} FROM pr GROUP BY 1), "
         f"ss AS (SELECT sk_id_curr, {', '.join(f'{e} AS {n}' for n, e in st)} FROM d1 GROUP BY 1), "
         f"ct AS (SELECT sk_id_curr, {', '.join(f'{e} AS {n}' for n, e in cat)} FROM pr GROUP BY 1), "
         "rk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY sk_id_curr ORDER BY days_decision DESC, sk_id_prev DESC) AS rn FROM pr), "
-        f"lk AS (SELECT sk_id_curr, {', '.join(f'{e} AS {n}' for n, e in lk)} FROM rk GROUP BY 1), "
-        "sp AS (SELECT DISTINCT sk_id_curr FROM pr) "
-        "SELECT sp.sk_id_curr AS c_custkey, " + ", ".join(fill0(n, t, e) for n, t, e in names)
-        + " FROM sp LEFT JOIN ms ON sp.sk_id_curr = ms.sk_id_curr LEFT JOIN ss ON sp.sk_id_curr = ss.sk_id_curr "
-        "LEFT JOIN ct ON sp.sk_id_curr = ct.sk_id_curr LEFT JOIN lk ON sp.sk_id_curr = lk.sk_id_curr"
+        f"lk AS (SELECT sk_id_curr, {', '.join(f'{e} AS {n}' for n, e in lk)} FROM rk GROUP BY 1) "
+        "SELECT c_custkey, " + ", ".join(fill0(n, t, e) for n, t, e in names)
+        + " FROM customer " + " ".join(f"LEFT JOIN {t} ON c_custkey = {t}.sk_id_curr" for t in ["ms", "ss", "ct", "lk"])
     )
 
 
@@ -1514,6 +1564,7 @@ ORACLES = {
     "b29_pos_block_unpruned": q_pos_block,
     "b22_instalment_block_unpruned": q_instalment_block,
     "b14_card_block_unpruned": q_card_block,
+    "b35_previous_block_unpruned": q_previous_block,
     "w1_lag_usage_rank": q_lag,
     "m1_split_tag_union": q_split,
     "b01_load_split": q_load_split,

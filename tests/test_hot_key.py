@@ -57,12 +57,12 @@ def test_prefix_rank_hot_group_spans_tasks(skewed):
     assert hot.r.tolist() == list(range(1, len(hot) + 1))
 
 
-def test_rank_quantiles_equal_map_quantiles(skewed):
+def test_quantiles_equal_percentile_buffers(skewed):
     pdf, df = skewed
     spec = {"x": ["median", "iqr", "mean", "nunique"]}
     slices = [agg.ALL, agg.Slice("a", F.col("c") == "a")]
-    a = agg.aggregate(df, "k", spec, slices, quantile_mode="map")
-    b = agg.aggregate(df, "k", spec, slices, quantile_mode="rank")
+    a = df.groupBy("k").agg(*agg.agg_exprs(spec, slices))
+    b = agg.aggregate(df, "k", spec, slices)
     assert a.columns == b.columns
     ra = {r["k"]: r.asDict() for r in a.collect()}
     rb = {r["k"]: r.asDict() for r in b.collect()}
@@ -76,6 +76,19 @@ def test_rank_quantiles_equal_map_quantiles(skewed):
     assert rb[0]["x_iqr"] == pytest.approx(hot.x.quantile(0.75) - hot.x.quantile(0.25))
 
 
+def test_value_buckets_never_fall():
+    import numpy as np
+    from pyspark.sql import SparkSession
+
+    from loomfeat.operators.quantiles import value_bucket
+
+    spark = SparkSession.getActiveSession()
+    rng = np.random.default_rng(2)
+    v = np.concatenate([rng.normal(size=500) * 10.0 ** rng.integers(-300, 300, 500), [0.0, -0.0, 5e-324, -5e-324, 1.7e308, float("inf"), -float("inf"), 1.0, np.nextafter(1.0, 2)]])
+    b = [r.b for r in spark.createDataFrame([(float(x),) for x in np.sort(v)], "v double").coalesce(1).select(value_bucket(F.col("v")).alias("b")).collect()]
+    assert b == sorted(b)
+
+
 def test_lag_lead_rank_method_equals_window(skewed):
     pdf, df = skewed
     from loomfeat.operators import windows as win
@@ -86,15 +99,3 @@ def test_lag_lead_rank_method_equals_window(skewed):
         ra = {(r["k"], r["t"]): r["prev"] for r in a.collect()}
         rb = {(r["k"], r["t"]): r["prev"] for r in b.collect()}
         assert ra == rb
-
-
-def test_auto_quantile_mode_switches_on_large_groups(skewed):
-    pdf, df = skewed
-    spec = {"x": ["median", "iqr"]}
-    small = agg.aggregate(df, "k", spec, rank_threshold=10)  # the hot key exceeds 10 rows -> rank path
-    big = agg.aggregate(df, "k", spec, rank_threshold=10**9)  # -> percentile buffers
-    ra = {r["k"]: (r["x_median"], r["x_iqr"]) for r in small.collect()}
-    rb = {r["k"]: (r["x_median"], r["x_iqr"]) for r in big.collect()}
-    assert ra.keys() == rb.keys()
-    for k in ra:
-        assert ra[k] == pytest.approx(rb[k])
