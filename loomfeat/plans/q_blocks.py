@@ -123,26 +123,22 @@ def q_k_cards(spark, d):
 
 @query("b51_kernel_main")
 def q_k_main(spark, d):
-    """All kernel blocks joined on the customer key, pruned by a data-derived ranked list (F2)."""
-    from loomfeat.operators import select
-
-    # the wide table is materialised once: the ranking pass and the pruned output both read it
-    wide = kernel.kernel_main(spark, d).checkpoint()
-    feats = [c for c in wide.columns if c not in ("c_custkey", "target")]
-    # ranked list: features by their number of non-missing values (data-derived, best first)
-    row = wide.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in feats]).first()
-    ranked = sorted(feats, key=lambda c: (-row[c], c))
-    pruned, _ = select.ranked_prune(wide, ranked, 0.8)
-    return pruned
+    """All kernel blocks joined on the customer key, pruned by six ranked lists (F2), narrowed."""
+    return kernel.kernel_main(spark, d)
 
 
 @query("b49_kernel_scoring")
 def q_k_scoring(spark, d):
-    """5-fold out-of-fold scoring of the kernel's wide table, AUC summary per fold."""
-    from loomfeat.operators import scoring
+    """5-fold scores of every customer, stopped early on AUC, as read back from the written files,
+    with the AUC over the folds beside them."""
+    from loomfeat.operators import joins
+    from loomfeat.session import scratch_dir
+    from loomfeat.sources import io
 
-    oof, test, imp = kernel.kernel_main(spark, d, score=True)
-    return scoring.fold_auc_summary(oof, "target", "score")
+    folder = scratch_dir(spark, "kernel-scores")
+    _out, summary = kernel.kernel_scoring(kernel.submission_labels(kernel.kernel_main(spark, d)), folder, rounds=10, patience=5)
+    rows = [io.read_table(spark, f"{folder}/{part}", "c_custkey long, score double", fmt="csv").withColumn("part", F.lit(part)) for part in ("train", "test")]
+    return joins.attach_one_row(rows[0].unionByName(rows[1]), summary)
 
 
 @query("b52_modular_main")
@@ -165,9 +161,10 @@ def q_load_split(spark, d):
 
 @query("b50_gini_scoring")
 def q_gini_scoring(spark, d):
-    """Scoring on a prebuilt wide table (written, then read back), labels joined by key (Q19),
-    normalised Gini of the out-of-fold scores."""
+    """Scores on a prebuilt wide table (written, then read back), labels joined by key (Q19), stopped
+    early on Gini, with the normalised Gini of the out-of-fold scores beside them."""
     from loomfeat.operators import columns as cols
+    from loomfeat.operators import joins
     from loomfeat.session import scratch_dir
 
     wide = kernel.application(spark, d)
@@ -176,5 +173,6 @@ def q_gini_scoring(spark, d):
     prebuilt = spark.read.parquet(path)
     labels = wide.select("c_custkey", "target")
     feats = [c for c in cols.numeric_columns(prebuilt) if c != "c_custkey"]
-    gini, _oof, _test, _imp = kernel.gini_scoring(prebuilt, labels, "c_custkey", "target", feats)
-    return gini
+    out, gini = kernel.gini_scoring(prebuilt, kernel.submission_labels(labels), "c_custkey", "target", feats, rounds=10, patience=5)
+    rows = out.oof.select("c_custkey", "score", F.lit("train").alias("part")).unionByName(out.test.select("c_custkey", "score", F.lit("test").alias("part")))
+    return joins.attach_one_row(rows, gini)

@@ -187,8 +187,8 @@ def q_oof(spark, d):
     """M4 + M5 + F3: 5-fold out-of-fold GBT scores, fold-averaged scores of unlabelled rows."""
     docs = fx.labelled_docs(spark, d)
     docs = encode.factorize(docs.withColumn("lang_code", F.col("lang")).withColumn("source_code", F.col("source")), ["lang_code", "source_code"])
-    oof, test, _imp = scoring.oof_scores(docs, "doc_id", "quality", ["n_chars", "lang_code", "source_code"], k=5, max_iter=10, max_depth=3)
-    return oof.select("doc_id", "score", F.lit("oof").alias("part")).unionByName(test.select("doc_id", "score", F.lit("test").alias("part")))
+    out = scoring.oof_scores(docs, "doc_id", "quality", ["n_chars", "lang_code", "source_code"], k=5, rounds=10, patience=5, max_depth=3)
+    return out.oof.select("doc_id", "score", F.lit("oof").alias("part")).unionByName(out.test.select("doc_id", "score", F.lit("test").alias("part")))
 
 
 # ------------------------------------------------------------------ O3, U1

@@ -893,6 +893,8 @@ def q_k_pos() -> str:
             if name == "pos_event_type_05y_share_signup":
                 continue
             sel.append(f"{f32(f'avg(CASE WHEN event_type IS NOT DISTINCT FROM {chr(39)}{v}{chr(39)} THEN 1 ELSE 0 END){filt(w)}')} AS {name}")
+        for v in ["click", "error", "purchase", "signup", "view"]:
+            sel.append(f"{fagg('size', '1', w)} AS {kname('pos_', 'event_type', tag, f'size_{v}')}")
     return f"WITH {POS_ROWS} SELECT {', '.join(sel)} FROM p GROUP BY user_id"
 
 
@@ -1168,6 +1170,8 @@ def q_k_bureau() -> str:
         sel.append(f"{share('credit_active', v)} AS buro_credit_active_share_{v.lower()}")
     for v in PRIORITIES:
         sel.append(f"{share('credit_type', v)} AS buro_credit_type_share_{san(v)}")
+    for c in ["credit_active", "credit_type"]:
+        sel.append(f"{f32(f'avg(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)')} AS buro_{c}_share_nan")
     for v in "anr":
         sel.append(f"{f32(f'avg(status_{v}_mean)')} AS buro_status_{v}_mean_mean")
     windows = [("", None), ("025y", "days_credit >= -141"), ("05y", "days_credit >= -282"), ("1y", "days_credit >= -365"), ("2y", "days_credit >= -730")]
