@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +26,38 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+#: Where ``materialise`` notes its tables, while a caller wants to know them.
+_NOTED: ContextVar[list[str] | None] = ContextVar("noted", default=None)
+
+
+@contextmanager
+def noting_tables(paths: list[str]) -> Iterator[None]:
+    """Within it, the folders of written tables are added to ``paths``."""
+    token = _NOTED.set(paths)
+    try:
+        yield
+    finally:
+        _NOTED.reset(token)
+
+
+def drop_tables(spark: SparkSession, paths: list[str], needed: DataFrame) -> list[str]:
+    """Delete written tables that ``needed`` does not read, and Spark's files of what is unreachable.
+
+    If it reads one of them (its rows may then come from any), all stay and are returned.
+    """
+    read = {f.rsplit("/", 1)[0].split(":", 1)[-1].lstrip("/") for f in needed.inputFiles()}
+    kept = [p for p in paths if p.split(":", 1)[-1].strip("/") in read]
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    if not kept:
+        for p in paths:
+            folder = jvm.org.apache.hadoop.fs.Path(p)
+            folder.getFileSystem(conf).delete(folder, True)
+        gc.collect()
+        jvm.System.gc()  # shuffle files go when nothing refers to their stages any more
+        return []
+    return paths
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
 
@@ -31,6 +66,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
+    if _NOTED.get() is not None:
+        _NOTED.get().append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -69,7 +106,7 @@ def map_docs(
     sent = {n: col(c) if isinstance(c, str) else c for n, c in inputs.items() if n not in own}
     place = {n: i + 1 for i, n in enumerate(sent)}
     names = list(inputs)
-    src = df.select(F.struct(*[col(k) for k in keep], F.lit(0).alias("_")).alias("doc"), *[c.alias(n) for n, c in sent.items()])
+    src = df.select(packed(keep).alias("doc"), *[c.alias(n) for n, c in sent.items()])
     schema = T.StructType([T.StructField("doc", src.schema["doc"].dataType), *fields])
     small_batches(df.sparkSession)
 
@@ -87,6 +124,11 @@ def map_docs(
     return src.mapInArrow(run, schema)
 
 
+def packed(columns: list[str]) -> Column:
+    """A struct of the columns; of a filler only if there are none."""
+    return F.struct(*[col(c) for c in columns]) if columns else F.struct(F.lit(0).alias("_"))
+
+
 def unpack(df: DataFrame, columns: list[str]) -> list[Column]:
     """The kept columns of ``map_docs`` under their own names."""
     return [F.col("doc").getField(c).alias(c) for c in columns]

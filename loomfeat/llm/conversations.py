@@ -23,18 +23,19 @@ QUOTED = r"^\s*>"
 ANY_QUOTE = r"(?m)^[ \t]*>"
 _WROTE = r"(?i:wrote|writes|schrieb|a écrit|escribió|escreveu|ha scritto|schreef|написала?|пишет|写道)"
 _NOBODY = r"(?<!\b(?i:I|you|he|she|we|they|it|who)\s)"
-#: A line that tells who wrote what is quoted below it: with a date or an address, or a name only.
-ATTRIBUTION = rf"^(?:.*[0-9@].*{_WROTE}(?:\s.*)?|\s*(?:\S+|\p{{Lu}}\S*(?:\s\p{{Lu}}\S*){{1,4}})\s{_NOBODY}{_WROTE})\s*[:：]\s*$"
+#: A line that tells who wrote what is quoted below it ends in a colon; it has a date or an address, or a name only.
+COLON = r"[:：]\s*$"
+ATTRIBUTION = rf"^(?:[^0-9@]*+[0-9@].*{_WROTE}(?=\s|[:：]\s*$)|\s*(?:\S+|\p{{Lu}}\S*(?:\s\p{{Lu}}\S*){{1,4}})\s{_NOBODY}{_WROTE}\s*[:：]\s*$)"
 #: Turns of a conversation that one window looks at together.
 TURNS = 1024
 
 
 def _level(line: Column) -> Column:
-    return F.length(F.regexp_replace(F.regexp_extract(line, r"^((?:\s*>)+)", 1), r"[^>]", ""))
+    return F.length(F.regexp_replace(F.regexp_extract(line, r"^([\s>]*>)", 1), r"[^>]", ""))
 
 
 def _body(line: Column) -> Column:
-    return F.regexp_replace(line, r"^(?:\s*>)+\s?", "")
+    return F.regexp_replace(line, r"^[\s>]*>\s?", "")
 
 
 def normalised(text: Column) -> Column:
@@ -46,9 +47,9 @@ def _own(text: Column) -> Column:
     lines = F.split(text, r"\r?\n")
     # each line beside the next one, so that a lambda looks at one row of the array only
     pairs = F.arrays_zip(lines.alias("a"), F.slice(lines, 2, F.greatest(F.size(lines), F.lit(1))).alias("b"))
-    keep = lambda p: ~p["a"].rlike(QUOTED) & ~(p["a"].rlike(ATTRIBUTION) & F.coalesce(p["b"].rlike(QUOTED), F.lit(False)))
+    keep = lambda p: ~p["a"].rlike(QUOTED) & ~(F.coalesce(p["b"].rlike(QUOTED), F.lit(False)) & p["a"].rlike(COLON) & p["a"].rlike(ATTRIBUTION))
     kept = F.array_join(F.transform(F.filter(pairs, keep), lambda p: p["a"]), "\n")
-    return F.when(text.rlike(ANY_QUOTE), F.regexp_replace(F.regexp_replace(kept, r"\n{3,}", "\n\n"), r"^\s+|\s+$", "")).otherwise(text)
+    return F.when(text.rlike(ANY_QUOTE), F.regexp_replace(F.regexp_replace(kept, r"\n{3,}", "\n\n"), r"^\s+|(?<!\s)\s+$", "")).otherwise(text)
 
 
 def _previous_turn(messages: DataFrame) -> DataFrame:

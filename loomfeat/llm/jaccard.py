@@ -182,7 +182,7 @@ def _tokens(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, k: int)
     return out.select(*unpack(out, ids.columns), "tokens")
 
 
-def with_ids(df: DataFrame, ids: DataFrame, how: str, key: str = "id") -> DataFrame:
+def with_ids(df: DataFrame, ids: DataFrame, how: str, key: str | list[str] = "id") -> DataFrame:
     """Semi or anti join with a written id table, broadcast only if counted within the bound."""
     return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, how)
 
@@ -264,15 +264,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component_id is the smallest id that links reach, the row's own included. A null,
     empty or wordless text has no shingles and links with nothing. A row with a null id
     links with nothing and has a null component. Equal texts link (if they have words);
-    rows that repeat an id count as one document, each with its own n_shingles.
+    rows that repeat an id count as one document, each with its own n_shingles, that
+    links by any of its texts.
     """
     sets = materialise(_sets(docs, id_col, text_col, k, percent), "sets")
     keyed = sets.where("n > 0 and id is not null")
     classes = materialise(keyed.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"), F.count("*").alias("members")), "classes")
     copied = classes.where("members > 1").select("n", "s1", "s2", "rep")
     # rows of copied classes that do not represent them
-    copies = materialise(sets.select("id", "n", "s1", "s2").join(copied, ["n", "s1", "s2"]).where("id <> rep").select("id", "rep").distinct(), "copies")
-    reps = with_ids(keyed.select("id", "n", "prefix"), copies.select("id").distinct(), "left_anti")
+    copies = materialise(sets.select("id", "n", "s1", "s2").join(copied, ["n", "s1", "s2"]).where("id <> rep").distinct(), "copies")
+    reps = with_ids(keyed, copies.drop("rep"), "left_anti", ["id", "n", "s1", "s2"]).select("id", "n", "prefix")
+    # an id with several texts may be a copy by one and represent another: it ties their classes
+    ties = materialise(copies.select("id", "rep").join(reps.select("id").distinct(), "id", "left_semi").select(F.col("rep").alias("a"), F.col("id").alias("b")), "ties")
 
     base = reps.select(F.explode("prefix").alias("token"), "id", "n")
     hot = _costly(base, list_rows, hot_tokens)
@@ -298,7 +301,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # the member that a document shares most with is the likeliest link
     first = materialise(stars.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a")).select("a", "b"), "stars")
     check = (id_col, text_col, k, percent)
-    links = materialise(_verified_stars(first, docs, *check), "links")
+    links = materialise(_verified_stars(first, docs, *check).union(ties), "links")
     joined = materialise(components(links), "components")
     rest = _pairs_across(shared, joined, percent)
     if saturated is not None:
@@ -381,7 +384,7 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     """
     found = near_duplicates(docs, **options)
     gone = materialise(found.where("id <> component_id").select(F.col("id").alias("_gone")).distinct(), "gone")
-    return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, docs[options.get("id_col", "doc_id")] == gone["_gone"], "left_anti")
 
 
 def classes(docs: DataFrame) -> DataFrame:

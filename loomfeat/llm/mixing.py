@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomfeat.llm.common import col, materialise
+from loomfeat.llm.common import col, materialise, packed
 
 Knots = Sequence[tuple[float, float]]
 
@@ -109,7 +109,7 @@ def mix(
     if ``ordered``.
     """
     rows = docs.select(
-        F.struct(*[col(k) for k in keep], F.lit(0).alias("_")).alias("doc"),
+        packed(keep).alias("doc"),
         col(source_col).alias("source"),
         # never null, so that the window and the join below share one exchange of the rows
         F.coalesce(F.concat(F.lit("="), col(source_col).cast("string")), F.lit("")).alias("place"),

@@ -37,10 +37,35 @@ SALTS = 16
 #: Log odds are summed as whole multiples of 1 / ODDS, so that a sum does not depend on its order.
 ODDS = 10**12
 _HIDDEN = re.compile(r"<(script|style)\b.*?</\1\s*>|<[^>]*>", re.S | re.I)
+_OPENS = re.compile(r"<(script|style)\b|<", re.I)
+_ENDS = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style")}
 _WORD = re.compile(r"[a-z]+")
 _PART = re.compile(r"[a-z]+|[0-9]+|[^\x00-\x7f]+")
 
 
+def visible(html: str) -> str:
+    """The text with a blank for each match of ``_HIDDEN``: scripts, styles and tags; what is not closed stays.
+
+    One pass, which the pattern is not: where an end is looked for in vain once, it is not looked for again.
+    """
+    out, at, closed = [], 0, {"script": True, "style": True, "tag": True}
+    for m in _OPENS.finditer(html):
+        if m.start() < at:
+            continue
+        name, end = (m[1] or "").lower(), -1
+        if name and closed[name]:
+            found = _ENDS[name].search(html, m.end())
+            end = found.end() if found else -1
+            closed[name] = found is not None
+        if end < 0 and closed["tag"]:
+            end = html.find(">", m.start()) + 1 or -1
+            closed["tag"] = end > 0
+        if end > 0:
+            out += [html[at : m.start()], " "]
+            at = end
+    return "".join([*out, html[at:]])
+
+
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Both empty for a null url or one without ``://``."""
     host = lower_ascii(F.regexp_extract(url, r"://([^/?#]*)", 1))
@@ -65,7 +90,7 @@ class Segmenter:
 
     def __init__(self, counts: dict[str, int], total: int = 0):
         self.total = total or sum(counts.values()) or 1
-        self.longest = max([WORD_CHARS, *map(len, counts)])
+        self.lengths = sorted({*range(1, WORD_CHARS + 1), *map(len, counts)}, reverse=True)
         self.cost = {w: -math.log(c / self.total) for w, c in counts.items()}
         self.seen: dict[str, list[str]] = {}
 
@@ -81,7 +106,7 @@ class Segmenter:
         strange = math.log(self.total) - math.log(10)
         for j in range(1, len(name) + 1):
             options = []
-            for i in range(max(0, j - self.longest), j):
+            for i in (j - n for n in self.lengths if n <= j):
                 w = name[i:j]
                 if j - i <= WORD_CHARS or w in self.cost:
                     options.append((best[i] + self.cost.get(w, strange + (j - i) * math.log(10)), i))
@@ -108,7 +133,7 @@ def count_words(pages: DataFrame, html_col: str) -> DataFrame:
             counts: Counter = Counter()
             for html in b.column(0).to_pylist():
                 if html:
-                    counts.update(_WORD.findall(_HIDDEN.sub(" ", html).lower()))
+                    counts.update(_WORD.findall(visible(html).lower()))
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "number"])
 
     return pages.select(col(html_col)).mapInArrow(run, "word string, number long").groupBy("word").agg(F.sum("number").alias("number"))
@@ -123,12 +148,14 @@ def _salted(many: DataFrame, few: DataFrame, key: str, by: list[str], how: str =
 
 def split_names(names: DataFrame, words: DataFrame) -> DataFrame:
     """(name, tokens): the split of each name by the words among its substrings."""
-    total, longest = words.agg(F.sum("number"), F.max(F.length("word"))).first()
+    total = words.agg(F.sum("number")).first()[0]
+    # only substrings as long as some word can be one
+    lengths = sorted(r.n for r in words.select(F.length("word").alias("n")).distinct().collect())
 
     def substrings(batches):
         for b in batches:
             for name in b.column(0).to_pylist():
-                found = (name[i:j] for i in range(len(name)) for j in range(i + 1, min(len(name), i + (longest or 0)) + 1))
+                found = (name[i : i + n] for n in lengths for i in range(len(name) - n + 1))
                 for some in batched(found if _WORD.fullmatch(name) else (), 4096):
                     some = list(set(some))
                     yield pa.RecordBatch.from_arrays([pa.array([name] * len(some), pa.string()), pa.array(some, pa.string())], names=["name", "word"])
@@ -140,7 +167,9 @@ def split_names(names: DataFrame, words: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(tokens, pa.list_(pa.string()))], names=["name", "tokens"])
 
     asked = names.mapInArrow(substrings, "name string, word string")
-    known = _salted(asked, words, "word", ["name"]).groupBy("name").agg(F.collect_list(F.struct("word", "number")).alias("words"))
+    # the many words meet the distinct substrings once; the few that are one go back to the names
+    hits = materialise(words.join(asked.select("word").distinct(), "word", "left_semi"), "name-words")
+    known = _salted(asked, hits, "word", ["name"]).groupBy("name").agg(F.collect_list(F.struct("word", "number")).alias("words"))
     return names.join(known, "name", "left").select("name", "words").mapInArrow(split, "name string, tokens array<string>")
 
 

@@ -508,3 +508,60 @@ def test_pipeline(spark):
         before = after
     out = corpus_pipeline.run(spark, SMALL).collect()
     assert {r.doc_id for r in out} <= ids and all(0 <= r.position <= 1 for r in out)
+
+
+# ---------------------------------------------------------------- long, hostile and repeated input
+
+
+def test_quote_marks_without_end(spark):
+    import time
+
+    marks, digits = ">" * 50_000, "7" * 200_000
+    rows = [
+        (1, 0, "a", "An own line."),
+        (1, 1, "b", marks + " An own line.\nfine"),
+        (1, 2, "c", digits + "\n> An own line.\n" + digits + " wrote " * 2000 + ":\n> An own line.\n" + " " * 100_000 + "x" + " " * 100_000),
+        (1, 3, "d", "On 1 May, Bob wrote :\n> An own line.\nyes"),
+        (1, 4, "e", "At 5 he wrote it: no\n> An own line.\nyes"),
+    ]
+    start = time.time()
+    by = {r.turn: r for r in conversations.reply_ordered(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert time.time() - start < 120
+    assert by[1].depth == 50_000 and by[1].text == "fine"
+    assert by[2].text == digits + "\n" + " " * 100_000 + "x"
+    assert by[3].text == "yes" and by[4].text == "At 5 he wrote it: no\nyes"
+
+
+def test_an_id_with_two_texts_links_by_each(spark):
+    a = " ".join(f"a{i}" for i in range(60))
+    b = " ".join(f"b{i}" for i in range(60))
+    docs = spark.createDataFrame([(3, a), (5, a), (5, b), (7, b + " more"), (9, "alone here")], "key long, text string")
+    got = {(r.id, r.component_id) for r in jaccard.near_duplicates(docs, id_col="key").collect()}
+    assert got == {(3, 3), (5, 3), (7, 3), (9, 9)}
+    assert sorted(r.key for r in jaccard.keep_one(docs, id_col="key").collect()) == [3, 9]
+
+
+def test_a_column_named_like_the_filler(spark):
+    docs = docs_of(spark, ["one two three " * 5, "four five"]).withColumn("_", F.lit("kept"))
+    benchmark = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
+    assert {r["_"] for r in decontaminate.remove_contamination(docs, benchmark).collect()} == {"kept"}
+    out = mixing.mix(docs, ["doc_id", "_"], ordered=False)
+    assert {r.doc["_"] for r in out.collect()} == {"kept"}
+
+
+def test_visible_text_equals_the_pattern():
+    import random
+
+    rng = random.Random(3)
+    parts = ["<script>", "</script>", "<style ", "</STYLE >", "<", "a", "b>", ">", " ", "<p>", "<scripty>", "<Script x>", "</style", "\n"]
+    for _ in range(20_000):
+        html = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        assert urls.visible(html) == urls._HIDDEN.sub(" ", html)
+    assert urls.visible("<" * 2_000_000) == "<" * 2_000_000
+
+
+def test_very_long_names_and_words(spark):
+    long = "a" * 3000
+    rows = [(1, f"http://{long}.example.com/en/", f"<p>{long} word</p>"), (2, f"http://www.example.com/en/{long}", "<p>word</p>"), (3, f"http://x{long}.org/word", "<p>x</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.rule for r in urls.judged(pages).collect()} == {1: "example.com/en/", 2: "www.example.com/en/", 3: None}
