@@ -6,11 +6,13 @@ returns the columns of documents; the last returns the training order.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomfeat.llm import decontaminate, jaccard, mixing, suffix_dedup, toxicity
-from loomfeat.llm.common import col, materialise, table, unpack
+from loomfeat.llm.common import col, drop_tables, materialise, noting_tables, table, unpack
 
 #: Words of the shortest passage whose repeats are cut out.
 REPEATED_WORDS = 51
@@ -50,12 +52,28 @@ def _measured(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length(col("text")).cast("long")) if "n_chars" in docs.columns else docs
 
 
+#: Tables that stages have written beside their output and that may still be read.
+_BESIDE: list[str] = []
+
+
+def _after_its_like(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The stage, which first deletes the tables of those before it once their output is written."""
+
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _BESIDE[:] = drop_tables(spark, list(_BESIDE), docs)
+        with noting_tables(_BESIDE):
+            return stage(spark, docs, sf_dir)
+
+    run.__name__, run.__doc__ = stage.__name__, stage.__doc__
+    return run
+
+
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("ngram_jaccard_join", drop_near_duplicates),
-    ("suffix_array_dedup", cut_repeats),
-    ("benchmark_decontamination", cut_benchmark),
-    ("mixing_sources", mix_sources),
+    ("toxicity", _after_its_like(drop_toxic)),
+    ("ngram_jaccard_join", _after_its_like(drop_near_duplicates)),
+    ("suffix_array_dedup", _after_its_like(cut_repeats)),
+    ("benchmark_decontamination", _after_its_like(cut_benchmark)),
+    ("mixing_sources", _after_its_like(mix_sources)),
 ]
 
 #: No SQL: the first stage is a trained classifier.
