@@ -169,10 +169,10 @@ def aggregate(
 def aggregate_parts(df: DataFrame, keys: str | Sequence[str], parts: Sequence[Part], extra: Sequence[Column] = ()) -> DataFrame:
     """Several specifications of one table in one aggregate: one scan, one exchange on the keys.
 
-    What would hold a group's values in one task goes beside it, on the same scan:
-    ``nunique`` from distinct (key, value) pairs (no Expand of every row), ``median`` and
-    ``iqr`` from ``quantiles.exact_quantiles`` (all of them together, one item per column and
-    slice). Rows with a NULL key are one group. Columns come in the order of the parts, then
+    What would hold a group's values in one task is computed beside it, from a scan of its
+    own: ``nunique`` from distinct (key, value) pairs (no Expand of every row), and every
+    ``median`` and ``iqr`` together in one ``quantiles.exact_quantiles`` (one item per column
+    and slice). Rows with a NULL key are one group. Columns come in the order of the parts, then
     ``extra``.
     """
     from loomfeat.operators.quantiles import exact_quantiles

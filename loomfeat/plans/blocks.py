@@ -7,8 +7,8 @@ table, with 0 where an entity has no child row, as the reference's drivers do.
 
 Physical shape of a block: everything that is a statistic of the child rows by
 the entity key (missing counts, flags, totals, status slices) is one
-``aggregate_parts``, one scan and one exchange; windows and second levels are
-parts of their own. The parts are written once as Parquet, pruned in the
+``aggregate_parts``: one scan and one exchange, and one more of each for all
+of its medians; windows and second levels are parts of their own. The parts are written once as Parquet, pruned in the
 reference's scopes, joined to the spine and checked to be one row per entity
 while the join runs.
 """
