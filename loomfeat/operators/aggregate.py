@@ -278,16 +278,14 @@ def two_level(
     return aggregate(lvl1, outer, spec2, prefix=prefix, namer=outer_namer)
 
 
-def category_domain(df: DataFrame, cat_col: str, max_values: int | None = None) -> list:
+def category_domain(df: DataFrame, cat_col: str, max_values: int = 10_000) -> list:
     """Sorted non-NULL domain of a categorical column (dynamic columns, E1/A25/A27).
 
     Only the distinct values are collected, never rows: every value becomes a column of
-    the plan, so the caller chooses a column of few values. With ``max_values`` a larger
-    domain raises.
+    the plan, so the caller chooses a column of few values; more than ``max_values`` raise.
     """
-    vals = df.select(cat_col).where(F.col(cat_col).isNotNull()).distinct()
-    vals = (vals if max_values is None else vals.limit(max_values + 1)).collect()
-    if max_values is not None and len(vals) > max_values:
+    vals = df.select(cat_col).where(F.col(cat_col).isNotNull()).distinct().limit(max_values + 1).collect()
+    if len(vals) > max_values:
         raise ValueError(f"{cat_col} has more than {max_values} distinct values; refusing to pivot")
     return sorted(r[0] for r in vals)
 

@@ -31,8 +31,8 @@ PER_OCTAVE = 32
 
 def value_bucket(v: Column) -> Column:
     """A whole number that never falls when ``v`` rises: sign and place of log2 |v|."""
-    place = F.floor(F.log2(F.abs(v)) * PER_OCTAVE) + F.lit(100_000)
-    return F.when(v == 0, F.lit(0)).otherwise(F.signum(v).cast("int") * F.least(place, F.lit(200_000))).cast("int")
+    place = F.floor(F.least(F.log2(F.abs(v)) * PER_OCTAVE, F.lit(100_000.0))) + F.lit(100_000)
+    return F.when(v == 0, F.lit(0)).otherwise(F.signum(v).cast("int") * place).cast("int")
 
 
 def exact_quantiles(

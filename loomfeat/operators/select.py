@@ -92,7 +92,7 @@ def correlation_table(df: DataFrame, columns: Sequence[str], block: int = BLOCK)
         i, first = t["i"][0].as_py(), t["first"][0].as_py()
         n, mx, my, sxx, syy, sxy = np.frombuffer(merge(t)["moments"][0].as_py(), np.float64).reshape(6, -1)
         live = (sxx > ROUNDING * n * mx * mx) & (syy > ROUNDING * n * my * my) & (sxx > 0) & (syy > 0)
-        r = np.abs(np.divide(sxy, np.sqrt(sxx) * np.sqrt(syy), out=np.zeros_like(sxy), where=live))
+        r = np.abs(np.divide(sxy, np.sqrt(np.maximum(sxx, 0)) * np.sqrt(np.maximum(syy, 0)), out=np.zeros_like(sxy), where=live))
         j = first + np.arange(len(r))
         later = j > i
         return pa.table({"i": pa.array(np.full(later.sum(), i)), "j": pa.array(j[later]), "r": pa.array(r[later], mask=~live[later] | np.isnan(r[later]))})
