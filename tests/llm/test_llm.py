@@ -565,3 +565,24 @@ def test_very_long_names_and_words(spark):
     rows = [(1, f"http://{long}.example.com/en/", f"<p>{long} word</p>"), (2, f"http://www.example.com/en/{long}", "<p>word</p>"), (3, f"http://x{long}.org/word", "<p>x</p>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert {r.page_id: r.rule for r in urls.judged(pages).collect()} == {1: "example.com/en/", 2: "www.example.com/en/", 3: None}
+
+
+def test_stages_drop_the_tables_before_them(spark, tmp_path):
+    import os
+
+    import corpus_pipeline
+
+    def there(paths):
+        return [p for p in paths if os.path.isdir(p.split(":", 1)[-1])]
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    (_, first), (_, second) = corpus_pipeline.STAGES[1:3]
+    corpus_pipeline._BESIDE.clear()
+    kept = first(spark, docs, SMALL)
+    tables = list(corpus_pipeline._BESIDE)
+    assert tables and there(tables) == tables
+    second(spark, kept, SMALL)  # its input is not written yet and reads them
+    assert there(tables) == tables
+    kept.write.parquet(str(tmp_path / "kept"))
+    out = second(spark, spark.read.parquet(str(tmp_path / "kept")), SMALL)
+    assert there(tables) == [] and out.count() > 50
