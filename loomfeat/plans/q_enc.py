@@ -101,7 +101,7 @@ def q_corr(spark, d):
 @query("f1_corr_prune_gram")
 def q_corr_blocks(spark, d):
     """F1 over several blocks of columns (same result)."""
-    return _corr_report(spark, d, 4)
+    return _corr_report(spark, d, 5)
 
 
 F2_KEEP = 0.6
