@@ -9,12 +9,16 @@ sorting: suffixes smaller than their successors are sorted directly, the rest is
 by bucket scans, and adjacent common prefixes of 400 bytes are repeats.
 
 An anchor with more than ``group_rows`` different stretches (a passage that very many
-documents share, each in its own surroundings) is not gathered: its windows are counted
-by a 128-bit digest instead, combined before the shuffle.
+documents share, each in its own surroundings) is split before: its windows differ in how
+much they hold to the left of the anchor, so that a range of these lengths has more text in
+common than the anchor. Stretches are cut to each of a few ranges and dealt by anchor, range
+and common text; equal cuts become one with their number, cuts alone in their group own no
+repeat, and groups that are still too large are split again, down to single windows.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -43,7 +47,7 @@ def _least_in_windows(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def anchors(texts: list[bytes], window: int) -> tuple[np.ndarray, ...]:
-    """(document, anchor hash, first and last owned start, digest of the owned bytes).
+    """(document, anchor hash, first and last owned start, digest of the owned bytes, the anchor's place behind the first).
 
     Starts are relative to their document; a text shorter than a window has none.
     """
@@ -52,7 +56,7 @@ def anchors(texts: list[bytes], window: int) -> tuple[np.ndarray, ...]:
     length = np.array([len(t) for t in texts], np.int64)
     gram = window // 2
     if len(stream) < window:
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
     data = np.frombuffer(stream, np.uint8)
     up, down = _Powers.get(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
@@ -69,7 +73,7 @@ def anchors(texts: list[bytes], window: int) -> tuple[np.ndarray, ...]:
     last = np.append(starts[np.flatnonzero(new)[1:] - 1], starts[-1:])
     digest = np.array([xxhash.xxh3_64_intdigest(stream[a : b + window]) for a, b in zip(first.tolist(), last.tolist())], np.uint64).view(np.int64)
     doc = np.searchsorted(begin, first, side="right") - 1
-    return doc, h[own[new]].view(np.int64), first - begin[doc], last - begin[doc], digest
+    return doc, h[own[new]].view(np.int64), first - begin[doc], last - begin[doc], digest, own[new] - first
 
 
 def _inside(n: int, begin: np.ndarray, length: np.ndarray, window: int) -> np.ndarray:
@@ -177,6 +181,7 @@ _OWNED = T.StructType(
         T.StructField("first", T.IntegerType()),
         T.StructField("last", T.IntegerType()),
         T.StructField("span", T.LongType()),
+        T.StructField("place", T.IntegerType()),
     ]
 )
 _MARK = T.StructType([T.StructField("id", T.LongType()), T.StructField("k", T.LongType()), T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType())])
@@ -206,23 +211,20 @@ def _owned(texts: DataFrame, window: int) -> DataFrame:
                     size += len(data[until]) + 1
                     until += 1
                 doc, *rest = anchors(data[at:until], window)
-                yield _batch(_OWNED, [ids[at:until][doc], keys[at:until][doc], rest[0], rest[1].astype(np.int32), rest[2].astype(np.int32), rest[3]])
+                yield _batch(_OWNED, [ids[at:until][doc], keys[at:until][doc], rest[0], rest[1].astype(np.int32), rest[2].astype(np.int32), rest[3], rest[4].astype(np.int32)])
                 at = until
 
     return texts.where(F.octet_length("t") >= window).select("id", "k", "t").mapInArrow(run, _OWNED)
 
 
-_STRETCH = T.StructType([*_OWNED.fields, T.StructField("number", T.LongType()), T.StructField("bytes", T.BinaryType())])
-
-
 def _stretches(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
     """The bytes of one stretch of each kind, cut from the document that represents it."""
     ids = materialise(wanted.select("id").distinct(), "stretch-ids")
-    pieces = wanted.groupBy("id", "k").agg(F.collect_list(F.struct("anchor", "first", "last", "span", "number")).alias("parts"))
+    pieces = wanted.groupBy("id", "k").agg(F.collect_list(F.struct("anchor", "first", "last", "place", "number", "hot")).alias("parts"))
     joined = with_ids(texts, ids, "left_semi").dropDuplicates(_KEY).join(pieces, _KEY)
     rows = joined.select("id", "k", "t", F.explode("parts").alias("p"))
     cut = F.expr(f"substring(t, p.first + 1, p.last - p.first + {window})")
-    return rows.select("id", "k", "p.anchor", "p.first", "p.last", "p.span", "p.number", cut.alias("bytes"))
+    return rows.select("id", "k", "p.anchor", "p.first", "p.place", "p.number", "p.hot", cut.alias("bytes"))
 
 
 def _sorted_marks(stretches: DataFrame, window: int, batch_bytes: int) -> DataFrame:
@@ -255,27 +257,46 @@ def _sorted_marks(stretches: DataFrame, window: int, batch_bytes: int) -> DataFr
     return dealt.select("id", "k", "anchor", "first", "number", "bytes").mapInArrow(run, _MARK)
 
 
-_WINDOW = T.StructType([*_MARK.fields[:2], T.StructField("first", T.IntegerType()), T.StructField("number", T.LongType()), T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType())])
-
-
-def _counted_marks(stretches: DataFrame, window: int) -> DataFrame:
-    """The same for anchors with too many stretches to gather: windows counted by digest."""
+def _cuts(pieces: DataFrame, window: int, width: int, step: int) -> DataFrame:
+    """The pieces of ranges ``width`` long, cut to each of their ranges of ``step`` lengths.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (part for batch in batches for part in parts(batch)):
-            cols = [b.column(b.schema.get_field_index(c)).to_pylist() for c in ("id", "k", "first", "number", "bytes")]
-            for i in range(0, b.num_rows, 256):
-                out: list[list] = [[] for _ in range(6)]
-                for id_, k, first, number, data in zip(*[c[i : i + 256] for c in cols]):
-                    for o in range(len(data) - window + 1):
-                        d = xxhash.xxh3_128_digest(data[o : o + window])
-                        for c, v in zip(out, (id_, k, first + o, number, int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True))):
-                            c.append(v)
-                yield _batch(_WINDOW, out)
-
-    windows = stretches.select("id", "k", "first", "number", "bytes").mapInArrow(run, _WINDOW)
-    again = windows.groupBy("d1", "d2").agg(F.sum("number").alias("all")).where(F.col("all") > 1)
-    return windows.where("number = 1").join(again, ["d1", "d2"], "left_semi").select("id", "k", "first", F.col("first").alias("last"))
+    A piece owns the windows with ``low`` to ``low + width - 1`` bytes before the anchor, as far
+    as its document has them; its anchor begins ``place`` bytes behind its first byte.
+    """
+    lows = F.explode(F.sequence("low", F.col("low") + (width - 1), F.lit(step))).alias("lo")
+    ranges = pieces.select("id", "k", "anchor", "number", "first", "place", "bytes", lows, (F.col("low") + (width - 1)).alias("end"))
+    ranges = ranges.withColumn("hi", F.least(F.col("lo") + (step - 1), "end"))
+    least = F.greatest("lo", F.col("place") - (F.octet_length("bytes") - window))
+    held = ranges.select("*", least.alias("least"), F.least("hi", "place").alias("most")).where("least <= most")
+    text = F.expr(f"substring(bytes, place - most + 1, most - least + {window})")
+    cut = held.select("id", "k", "anchor", "number", "lo", "hi", F.expr("first + place - most").alias("first"), F.col("most").alias("place"), text.alias("bytes"))
+    common = F.expr(f"substring(bytes, place - lo + 1, {window} + lo - hi)")
+    return cut.select("id", "k", "anchor", F.col("lo").alias("low"), "first", "place", "number", "bytes", F.xxhash64("anchor", "lo", common).alias("group"))
+
+
+def _split_marks(pieces: DataFrame, window: int, group_rows: int, batch_bytes: int, ranges: int = 4) -> DataFrame:
+    """Marks of single stretches whose anchors have too many to gather: by common text in ranges of windows."""
+    out: list[DataFrame] = []
+    width = window - window // 2 + 1  # lengths of text that a window may hold before its anchor
+    pieces = pieces.withColumn("low", F.lit(0))
+    while width > 1:
+        step = -(-width // ranges)
+        cuts = materialise(_cuts(pieces, window, width, step), "cuts")
+        kinds = cuts.groupBy("group", "anchor", "low", "place", "bytes").agg(F.sum("number").alias("all"), F.min(F.struct("id", "k", "first")).alias("one"))
+        kinds = materialise(kinds.select("group", "anchor", "low", "place", "bytes", F.col("all").alias("number"), "one.*"), "cut-kinds")
+        alike = kinds.where("number > 1").select("group", "place", "bytes")
+        whole = cuts.where("number = 1").join(alike, ["group", "place", "bytes"], "left_semi")
+        out.append(whole.select("id", "k", "first", F.expr(f"first + octet_length(bytes) - {window}").cast("int").alias("last")))
+        if step == 1:  # a group is one window
+            break
+        groups = kinds.groupBy("group").agg(F.count("*").alias("kinds"), F.min("number").alias("least")).where("kinds > 1 and least = 1")
+        mixed_groups = materialise(kinds.join(groups.select("group", "kinds"), "group"), "mixed-groups")
+        gathered = mixed_groups.where(F.col("kinds") <= group_rows)
+        out.append(_sorted_marks(gathered.drop("anchor").withColumnRenamed("group", "anchor"), window, batch_bytes))
+        pieces, width = mixed_groups.where(F.col("kinds") > group_rows), step
+        if pieces.isEmpty():
+            break
+    return functools.reduce(DataFrame.union, out)
 
 
 def repeats(texts: DataFrame, window: int = 400, group_rows: int = 400, batch_bytes: int = 128 << 10) -> DataFrame:
@@ -286,13 +307,16 @@ def repeats(texts: DataFrame, window: int = 400, group_rows: int = 400, batch_by
     again = materialise(owned.groupBy("anchor").count().where("count > 1").select("anchor"), "again")
     owned = materialise(owned.join(again, "anchor"), "repeated-anchors").select(*_OWNED.names)
     kinds = materialise(
-        owned.groupBy("anchor", "span").agg(F.count("*").alias("number"), F.min(F.struct("id", "k", "first", "last")).alias("one")).select("anchor", "span", "number", "one.*"), "stretches"
+        owned.groupBy("anchor", "span").agg(F.count("*").alias("number"), F.min(F.struct("id", "k", "first", "last", "place")).alias("one")).select("anchor", "span", "number", "one.*"), "stretches"
     )
     groups = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("number").alias("least")).where("kinds > 1 and least = 1")
-    wanted = materialise(kinds.join(groups.select("anchor", "kinds"), "anchor"), "wanted")
-    cut = materialise(_stretches(texts, wanted, window).join(groups.where(F.col("kinds") > group_rows).select(F.col("anchor").alias("hot")), F.col("anchor") == F.col("hot"), "left"), "cut")
+    wanted = materialise(kinds.join(groups.select("anchor", (F.col("kinds") > group_rows).alias("hot")), "anchor"), "wanted")
+    cut = materialise(_stretches(texts, wanted, window), "cut")
     whole = owned.join(kinds.where("number > 1").select("anchor", "span"), ["anchor", "span"], "left_semi").select(*_MARK.names)
-    marks = whole.union(_sorted_marks(cut.where("hot is null"), window, batch_bytes)).union(_counted_marks(cut.where("hot is not null"), window))
+    marks = whole.union(_sorted_marks(cut.where("not hot"), window, batch_bytes))
+    hot = cut.where("hot")
+    if not hot.isEmpty():
+        marks = marks.union(_split_marks(hot, window, group_rows, batch_bytes))
     return marks.groupBy(*_KEY).agg(F.collect_list(F.struct("first", "last")).alias("starts"))
 
 
