@@ -331,6 +331,17 @@ def merged(starts: list[dict], window: int) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
+def gapless(starts: list[dict]) -> list[list[int]]:
+    """First and last start of the runs without a gap."""
+    runs: list[list[int]] = []
+    for a, b in sorted((s["first"], s["last"]) for s in starts):
+        if runs and a <= runs[-1][1] + 1:
+            runs[-1][1] = max(b, runs[-1][1])
+        else:
+            runs.append([a, b])
+    return runs
+
+
 def passages(text: bytes, starts: list[dict], window: int, min_words: int, min_bytes: int) -> list[tuple[int, int]]:
     """Maximal byte runs as by ``merged``, of the passages that are long enough.
 
@@ -338,13 +349,7 @@ def passages(text: bytes, starts: list[dict], window: int, min_words: int, min_b
     every start is marked. So two short repeats side by side are two passages. One goes if it
     holds ``min_words`` whole words, or ``min_bytes`` bytes (scripts without blanks).
     """
-    runs: list[list[int]] = []
-    for a, b in sorted((s["first"], s["last"]) for s in starts):
-        if runs and a <= runs[-1][1] + 1:
-            runs[-1][1] = max(b, runs[-1][1])
-        else:
-            runs.append([a, b])
-    long = [{"first": a, "last": b} for a, b in runs if b + window - a >= min_bytes or whole_words(text, a, b + window) >= min_words]
+    long = [{"first": a, "last": b} for a, b in gapless(starts) if b + window - a >= min_bytes or whole_words(text, a, b + window) >= min_words]
     return merged(long, window)
 
 
@@ -363,46 +368,92 @@ def kept_bytes(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[at:]])
 
 
-def _marked(docs: DataFrame, keep: list[str], id_col: str, text_col: str, window: int) -> tuple[DataFrame, DataFrame]:
+_REGION = T.StructType([T.StructField("id", T.LongType()), T.StructField("k", T.LongType()), T.StructField("at", T.IntegerType()), T.StructField("t", T.BinaryType())])
+
+
+def _repeats_within(texts: DataFrame, marks: DataFrame, short: int, window: int) -> DataFrame:
+    """``repeats`` for ``window`` bytes, searched where strings of ``short`` bytes repeat.
+
+    All short strings of a longer one that repeats do so too: it lies in a gapless run of
+    their starts, and so do its other occurrences. Each run is a text of its own here.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (part for batch in batches for part in parts(batch)):
+            out: list[list] = [[], [], [], []]
+            for id_, k, text, starts in zip(*[c.to_pylist() for c in b.columns]):
+                for a, z in gapless(starts):
+                    if z + short - a >= window:
+                        for c, v in zip(out, (id_, k, a, text[a : z + short])):
+                            c.append(v)
+            yield _batch(_REGION, out)
+
+    ids = materialise(marks.select("id").distinct(), "region-ids")
+    rows = with_ids(texts, ids, "left_semi").join(marks, _KEY).select("id", "k", "t", "starts")
+    regions = materialise(rows.mapInArrow(run, _REGION).withColumn("rk", F.xxhash64("k", "at")), "regions")
+    found = materialise(repeats(regions.select("id", F.col("rk").alias("k"), "t"), window), "region-repeats").withColumnRenamed("k", "rk")
+    back = regions.select("id", "rk", "k", "at").distinct().join(found, ["id", "rk"])
+    moved = F.transform("starts", lambda s: F.struct((s["first"] + F.col("at")).alias("first"), (s["last"] + F.col("at")).alias("last")))
+    return back.groupBy(*_KEY).agg(F.flatten(F.collect_list(moved)).alias("longer"))
+
+
+def _marked(docs: DataFrame, keep: list[str], id_col: str, text_col: str, window: int, longer: int = 0) -> tuple[DataFrame, DataFrame]:
     """The rows without repeats, and the others with the starts of their repeats.
 
-    Both carry ``keep`` in ``doc`` and the text as ``t``.
+    Both carry ``keep`` in ``doc`` and the text as ``t``. With ``longer``, the others also
+    have the starts of repeats of that many bytes.
     """
-    marks = materialise(repeats(_keyed(docs, id_col, text_col), window), "repeats")
+    texts = _keyed(docs, id_col, text_col)
+    marks = materialise(repeats(texts, window), "repeats")
+    if longer:
+        marks = materialise(marks.join(_repeats_within(texts, marks, window, longer), _KEY, "left"), "longer-repeats")
     # the columns travel in a struct: their names cannot clash with the key's
     packed = docs.select(F.struct(*[col(c) for c in keep]).alias("doc"), F.coalesce(col(id_col).cast("long"), F.lit(0)).alias("id"), F.xxhash64(col(text_col)).alias("k"), col(text_col).alias("t"))
     ids = materialise(marks.select("id").distinct(), "repeat-ids")
     few = with_ids(packed, ids, "left_semi").join(marks, _KEY, "left")
-    return with_ids(packed, ids, "left_anti").select("doc", "t"), few.select("doc", "t", "starts")
+    return with_ids(packed, ids, "left_anti").select("doc", "t"), few.select("doc", "t", *[c for c in marks.columns if c not in _KEY])
 
 
-def removed_spans(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str = "text", window: int = 400) -> DataFrame:
-    """The kept columns in ``doc``, n_bytes, n_removed, n_spans, kept_sha256, spans (byte ranges).
+def removed_spans(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str = "text", window: int = 400, min_words: int = 0) -> DataFrame:
+    """The kept columns in ``doc``; n_bytes, n_removed, n_spans, kept_sha256, spans (byte ranges).
 
     A byte goes if it lies in a ``window``-byte string that also starts anywhere else in
     the input, the same document included; strings are judged on the input. A null text is
-    an empty one; repeated rows are documents that repeat each other.
+    an empty one; repeated rows are documents that repeat each other; an empty table gives
+    no rows.
+
+    With ``min_words``, also n_passages, n_passage_bytes and passages (byte ranges): the
+    maximal runs of repeats of that many words or ``window`` bytes (see ``passages``). They
+    need a search for shorter strings, within whose repeats the windows are then searched.
     """
-    clean, marked = _marked(docs, keep, id_col, text_col, window)
+    short = min(window, 2 * min_words - 1) if min_words else window
+    clean, marked = _marked(docs, keep, id_col, text_col, short, window if min_words else 0)
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-    empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    fields = [*[T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")], T.StructField("kept_sha256", T.StringType()), T.StructField("spans", span)]
+    if min_words:
+        fields += [T.StructField("n_passages", T.LongType()), T.StructField("n_passage_bytes", T.LongType()), T.StructField("passages", span)]
     data = F.coalesce(F.col("t").cast("binary"), F.lit("").cast("binary"))
-    plain = clean.select("doc", F.octet_length(data).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2(data, 256).alias("kept_sha256"), empty.alias("spans"))
+    own = {"n_bytes": F.octet_length(data).cast("long"), "kept_sha256": F.sha2(data, 256)}
+    none = {T.LongType(): F.lit(0).cast("long"), span: F.array().cast(span)}
+    plain = clean.select("doc", *[(own[f.name] if f.name in own else none[f.dataType]).alias(f.name) for f in fields])
+
+    def ranges(found: list[list[tuple[int, int]]]) -> list[pa.Array]:
+        numbers = [pa.array(x, pa.int64()) for x in ([sum(b - a for a, b in s) for s in found], [len(s) for s in found])]
+        return [*numbers, pa.array([[{"start": a, "end": b} for a, b in s] for s in found], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))]
 
     def run(batches):
-        for texts, starts in batches:
+        for texts, *starts in batches:
             texts = [t or b"" for t in as_bytes(texts)]
-            spans = [merged(s or [], window) for s in starts.to_pylist()]
-            yield [
-                pa.array([len(t) for t in texts], pa.int64()),
-                pa.array([sum(b - a for a, b in s) for s in spans], pa.int64()),
-                pa.array([len(s) for s in spans], pa.int64()),
-                pa.array([hashlib.sha256(kept_bytes(t, s)).hexdigest() for t, s in zip(texts, spans)], pa.string()),
-                pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-            ]
-
-    fields = [T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")] + [T.StructField("kept_sha256", T.StringType()), T.StructField("spans", span)]
-    cut = map_docs(marked, ["doc"], {"t": F.col("t"), "s": F.col("starts")}, run, fields)
+            spans = [merged(s or [], window) for s in starts[-1].to_pylist()]
+            removed, count, where = ranges(spans)
+            hashes = pa.array([hashlib.sha256(kept_bytes(t, s)).hexdigest() for t, s in zip(texts, spans)], pa.string())
+            out = [pa.array([len(t) for t in texts], pa.int64()), removed, count, hashes, where]
+            if min_words:
+                gone, number, places = ranges([passages(t, s or [], short, min_words, window) for t, s in zip(texts, starts[0].to_pylist())])
+                out += [number, gone, places]
+            yield out
+
+    cut = map_docs(marked, ["doc"], {"t": F.col("t"), **{c: F.col(c) for c in marked.columns if c not in ("doc", "t")}}, run, fields)
     return plain.union(cut.select(F.col("doc.doc").alias("doc"), *[f.name for f in fields]))
 
 

@@ -331,6 +331,12 @@ def test_repeats_equal_brute_force(spark, group_rows, monkeypatch):
     docs = docs_of(spark, texts)
     got = sorted(suffix_dedup.digests(docs).collect(), key=lambda r: r.doc_id)
     assert [tuple(r)[1:] for r in got] == brute_repeats([(t or "").encode() for t in texts], 400)
+    # the same by way of the repeats of 51 words, whose passages hold them
+    both = suffix_dedup.removed_spans(docs, ["doc_id"], min_words=51)
+    for r, b, t in zip(got, sorted(both.collect(), key=lambda r: r.doc.doc_id), texts):
+        assert tuple(r)[1:] == (b.n_bytes, b.n_removed, b.n_spans, b.kept_sha256)
+        assert b.n_passage_bytes >= b.n_removed and (b.n_passages > 0) == (b.n_passage_bytes > 0)
+        assert b.n_passages == 0 or b.n_bytes >= 400 or len((t or "").split()) > 50
 
 
 def test_removed_texts(spark):
@@ -356,6 +362,14 @@ def test_repeated_passages_of_51_words(spark):
     assert all(passage not in left[i] for i, passage in inside.items() if i in (0, 1, 2, 3, 9)) and 10 not in left
     assert all(left[i].startswith(bodies[i]) and left[i].rstrip().endswith(bodies[i][::-1]) for i in bodies)
     assert all(left[i] == texts[i] for i in (4, 5, 6, 7, 8))
+    out = suffix_dedup.removed_spans(docs_of(spark, texts), ["doc_id"], min_words=51)
+    found = {r.doc.doc_id: r for r in out.collect()}
+    for i, passage in inside.items():
+        cut = [texts[i].encode()[s.start : s.end].decode(errors="ignore") for s in found[i].passages]
+        assert [passage in c for c in cut] == ([True] if i in (0, 1, 2, 3, 9) else []) and found[i].n_passages == len(cut)
+        assert found[i].n_passage_bytes == sum(s.end - s.start for s in found[i].passages)
+    # of these only the 420 bytes without blanks reach 400 bytes
+    assert {i for i, r in found.items() if r.n_removed} == {9, 10}
 
 
 # ---------------------------------------------------------------- 7
