@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from loomfeat.functions import aggfns
 from loomfeat.functions.exprs import col
+from loomfeat.operators import sorted_groups
 from loomfeat.operators.joins import null_safe_join
 
 Spec = Mapping[str, Sequence]  # {column: [fn name | (name, builder)]}
@@ -166,14 +167,65 @@ def aggregate(
     return aggregate_parts(df, keys, [Part(spec, slices, prefix, namer)], extra)
 
 
-def aggregate_parts(df: DataFrame, keys: str | Sequence[str], parts: Sequence[Part], extra: Sequence[Column] = ()) -> DataFrame:
-    """Several specifications of one table in one aggregate: one scan, one exchange on the keys.
+#: From this number of statistics on, sorted groups are cheaper than buffers.
+WIDE = 60
+_HELD_TYPES = {"byte", "short", "integer", "float", "double"}  # whose values and sums of a group are exact as doubles
+
+
+def aggregate_parts(df: DataFrame, keys: str | Sequence[str], parts: Sequence[Part], extra: Sequence[Column] = (), group_rows: int = sorted_groups.GROUP_ROWS) -> DataFrame:
+    """Several specifications of one table together: columns come in the order of the parts, then ``extra``.
+
+    ``WIDE`` or more statistics of numeric columns are taken from rows sorted by their group
+    (``sorted_groups``) where a group has up to ``group_rows`` rows; fewer of them, larger
+    groups and all other functions are one grouped aggregate (``_aggregate_fused``).
+    Rows with a NULL key are one group.
+    """
+    keys, extra = [keys] if isinstance(keys, str) else list(keys), list(extra)
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+
+    def held(c: str, f) -> bool:
+        return isinstance(f, str) and f in sorted_groups.FUNCTIONS and kinds.get(c) in _HELD_TYPES
+
+    wheres: dict[str, Column | None] = {}
+    order = [(p.namer(p.prefix, c, s.tag, aggfns.resolve(f)[0]), c, wheres.setdefault(_slice_id(s), s.where), f) for p in parts for s in p.slices for c, fns in p.spec.items() for f in fns]
+    if sum(held(c, f) for _, c, _, f in order) < WIDE or not keys:
+        return _aggregate_fused(df, keys, parts, extra)
+    large = sorted_groups.large_groups(df, keys, group_rows)
+    if large is not None:
+        small = _aggregate_sorted(null_safe_join(df, large, keys, "left_anti"), keys, parts, extra, order, held, kinds)
+        return small.unionByName(_aggregate_fused(null_safe_join(df, large, keys, "left_semi"), keys, parts, extra))
+    return _aggregate_sorted(df, keys, parts, extra, order, held, kinds)
+
+
+def _aggregate_sorted(df: DataFrame, keys: list[str], parts: Sequence[Part], extra: list[Column], order: list[tuple], held: Callable, kinds: Mapping[str, str]) -> DataFrame:
+    items = [(f"__s{i}", F.col(c), where, f) for i, (_, c, where, f) in enumerate(order) if held(c, f)]
+    out = sorted_groups.statistics(df, keys, items)
+    rest = [Part({c: [f for f in fns if not held(c, f)] for c, fns in p.spec.items()}, p.slices, p.prefix, p.namer) for p in parts]
+    extra_names: list[str] = []
+    if extra or len(items) < len(order):
+        main = _aggregate_fused(df, keys, [Part({c: fns for c, fns in p.spec.items() if fns}, p.slices, p.prefix, p.namer) for p in rest], extra)
+        own = {name for name, c, _, f in order if not held(c, f)}
+        extra_names = [c for c in main.columns if c not in keys and c not in own]
+        out = null_safe_join(out, main, keys, "inner")
+
+    def value(i: int, name: str, c: str, f) -> Column:
+        if not held(c, f):
+            return F.col(f"`{name}`")
+        whole = kinds[c] in ("byte", "short", "integer")
+        if f in ("min", "max"):
+            return F.col(f"__s{i}").cast(df.schema[c].dataType)
+        return F.col(f"__s{i}").cast("long") if f == "sum" and whole else F.col(f"__s{i}")
+
+    return out.select(*[F.col(f"`{k}`") for k in keys], *[value(i, name, c, f).alias(name) for i, (name, c, _, f) in enumerate(order)], *[F.col(f"`{c}`") for c in extra_names])
+
+
+def _aggregate_fused(df: DataFrame, keys: str | Sequence[str], parts: Sequence[Part], extra: Sequence[Column] = ()) -> DataFrame:
+    """One grouped aggregate: one scan, one exchange on the keys, partial sums before it.
 
     What would hold a group's values in one task is computed beside it, from a scan of its
     own: ``nunique`` from distinct (key, value) pairs (no Expand of every row), and every
     ``median`` and ``iqr`` together in one ``quantiles.exact_quantiles`` (one item per column
-    and slice). Rows with a NULL key are one group. Columns come in the order of the parts, then
-    ``extra``.
+    and slice).
     """
     from loomfeat.operators.quantiles import exact_quantiles
 
