@@ -1,4 +1,4 @@
-"""Bounded training samples of labelled documents."""
+"""Training rows of labelled documents: all of them, or bounded samples."""
 
 from __future__ import annotations
 
@@ -7,8 +7,9 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from loomfeat.llm.common import as_bytes, col, materialise, parts, small_batches
+from loomfeat.llm.common import as_bytes, col, map_docs, materialise, parts, small_batches, unpack
 
 
 #: Bytes of features that the driver fetches at a time.
@@ -62,3 +63,21 @@ def drawn_features(docs: DataFrame, labels: DataFrame, label: str, training, per
 
     # written, so that the driver reads a few at a time and computes none of them twice
     return Sample(materialise(few.mapInArrow(run, "i int, y int, x binary"), f"{label}-features"))
+
+
+def labelled_features(docs: DataFrame, labels: DataFrame, label: str, training, features: Callable[[bytes], bytes]) -> DataFrame:
+    """(id, k, y, x): the features x of every whole text of label y (0, 1) whose id fulfils ``training``.
+
+    Rows with a null label, id or text teach nothing; an id that repeats is there once for
+    each of its different texts (k is the text's hash) and labels. Features are made where the texts
+    are, so that no text meets the labels.
+    """
+    marked = labels.select(col("doc_id").alias("id"), col(label).cast("int").alias("y")).where(F.col("id").isNotNull() & F.col("y").isin(0, 1) & training(F.col("id")))
+    texts = docs.select(col("doc_id").alias("id"), col("text").cast("binary").alias("t")).where(F.col("id").isNotNull() & F.col("t").isNotNull() & training(F.col("id"))).withColumn("k", F.xxhash64("t"))
+
+    def run(batches):
+        for (found,) in batches:
+            yield [pa.array([features(t) for t in as_bytes(found)], pa.binary())]
+
+    known = map_docs(texts, ["id", "k"], {"t": F.col("t")}, run, [T.StructField("x", T.BinaryType())])
+    return known.select(*unpack(known, ["id", "k"]), "x").join(marked.distinct(), "id").dropDuplicates(["id", "k", "y"])

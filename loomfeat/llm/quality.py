@@ -2,8 +2,10 @@
 
 A document's merit is linear in features of its text. Pairs of one good and one bad
 labelled document are preferences: the merit's weights minimise the logistic loss of the
-pairs' feature differences. The cut between good and bad is a quantile of the merits of
-the labelled sample, and the score maps the cut to the contract's threshold.
+pairs' feature differences. Every labelled row teaches: rows are dealt by hash into buckets of both
+labels, pairs are made within a bucket, and each step of Newton's method is one pass over
+the buckets that sums gradients and curvatures. The cut between good and bad is a quantile of the merits of
+all labelled rows, and the score maps the cut to the contract's threshold.
 """
 
 from __future__ import annotations
@@ -14,8 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomfeat.llm.common import as_bytes, col, held_out, map_docs, unpack
-from loomfeat.llm.labels import labelled_sample
+from loomfeat.llm.common import as_bytes, held_out, map_docs, materialise, unpack
+from loomfeat.llm.labels import labelled_features
+from loomfeat.operators.quantiles import exact_quantiles
 
 THRESHOLD = 0.3
 
@@ -82,47 +85,115 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z + np.log(THRESHOLD / (1 - THRESHOLD)), -40, 40)))
 
 
-def train(sample: list[tuple[bytes, int]], share_bad: float, partners: int = 8, steps: int = 300, seed: int = 5) -> Model:
-    """Fit the pairwise loss; the cut is the quantile of merits that ``share_bad`` of the rows lie under.
+#: Rows of the rarer label in a bucket, on average.
+BUCKET = 64
+#: Weight of the squared weights in the loss.
+RIDGE = 1e-4
 
-    The quantile is taken of the sample reweighted to that share. Every sampled document
-    meets ``partners`` random ones of the other label; it is given by its packed features. Without both labels there are no
-    pairs: all weights are 0 and every text scores above the threshold unless all are bad.
+
+def _buckets(rows: DataFrame, count: int) -> DataFrame:
+    """(bucket, good, bad): the features of a bucket's rows of each label, one after the other."""
+
+    def pack(t: pa.Table) -> pa.Table:
+        t = t.sort_by([("y", "ascending"), ("id", "ascending"), ("k", "ascending")])
+        y, x = t["y"].to_numpy(), t["x"].to_pylist()
+        sides = [b"".join(v for v, c in zip(x, y) if c == label) for label in (1, 0)]
+        return pa.table({"bucket": t["bucket"][:1], "good": pa.array(sides[:1], pa.binary()), "bad": pa.array(sides[1:], pa.binary())})
+
+    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("id", "k"), F.lit(count)))
+    return dealt.groupBy("bucket").applyInArrow(pack, "bucket long, good binary, bad binary")
+
+
+def _each(width: int):
+    """A reader of batches of buckets: (bucket, features of its good rows, of its bad ones)."""
+
+    def read(batches):
+        for batch in batches:
+            for bucket, *sides in zip(*(c.to_pylist() for c in batch.columns)):
+                yield bucket, *[np.frombuffer(s, np.float64).reshape(-1, width) for s in sides]
+
+    return read
+
+
+def _summed(buckets: DataFrame, width: int, part) -> np.ndarray:
+    """The sum of ``part(bucket, good, bad)``, a vector, over all buckets; a task sends one."""
+    read = _each(width)
+
+    def run(batches):
+        total = None
+        for each in read(batches):
+            v = part(*each)
+            total = v if total is None else total + v
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["s"])
+
+    return np.sum([np.frombuffer(r.s, np.float64) for r in buckets.mapInArrow(run, "s binary").collect()], axis=0)
+
+
+def train(rows: DataFrame, partners: int = 8, steps: int = 30, seed: int = 5) -> Model:
+    """Fit the pairwise loss on all ``rows`` (id, k, y, x: packed features); the cut leaves as many merits below it as rows are bad.
+
+    Every row meets ``partners`` random ones of the other label in its bucket. Without both labels
+    there are no pairs: all weights are 0 and every text scores above the threshold unless all are bad.
     """
     width = len(features(b""))
-    y = np.array([label for _, label in sample], np.int64)
-    if len(set(y.tolist())) < 2:
-        return Model(np.zeros(width), np.ones(width), np.zeros(width), 1.0 if len(y) and y[0] == 0 else -1.0, 1.0)
-    x = np.array([np.frombuffer(t, np.float64) for t, _ in sample])
-    mean, scale = x.mean(0), x.std(0) + 1e-6
-    z = (x - mean) / scale
-    rng = np.random.default_rng(seed)
-    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    a = np.concatenate([np.repeat(good, partners), rng.choice(good, len(bad) * partners)])
-    b = np.concatenate([rng.choice(bad, len(good) * partners), np.repeat(bad, partners)])
-    diff = z[a] - z[b]
-    w, m, v = np.zeros(width), 0.0, 0.0
-    for step in range(1, steps + 1):
-        g = -diff.T @ (1 / (1 + np.exp(np.clip(diff @ w, -40, 40)))) / len(diff) + 1e-4 * w
-        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        w -= 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    merit = z @ w
-    weight = np.where(y == 0, share_bad / len(bad), (1 - share_bad) / len(good))
-    order = np.argsort(merit, kind="stable")
-    below = np.cumsum(weight[order])
-    i = int(np.clip(np.searchsorted(below, share_bad, side="right"), 1, len(order) - 1))
-    spread = merit[good].mean() - merit[bad].mean()
-    return Model(mean, scale, w, float((merit[order[i - 1]] + merit[order[i]]) / 2), 8.0 / max(spread, 1e-6))
-
-
-def fit_quality(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = (2_000, 2_000)) -> Model:
-    """Train on at most ``sum(per_class)`` labelled rows that are not held out.
-
-    The share of label 0, which fixes the quantile, is counted over all of them.
-    """
+    number = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
+    if len(number) < 2:
+        return Model(np.zeros(width), np.ones(width), np.zeros(width), 1.0 if 0 in number else -1.0, 1.0)
+    buckets = materialise(_buckets(rows, max(1, min(number.values()) // BUCKET)), "quality-buckets")
+    n = sum(number.values())
+    both = _summed(buckets, width, lambda _, good, bad: np.concatenate([good.sum(0) + bad.sum(0), (good * good).sum(0) + (bad * bad).sum(0)]))
+    mean = both[:width] / n
+    scale = np.sqrt(np.maximum(both[width:] / n - mean * mean, 0)) + 1e-6
+
+    def slopes(w: np.ndarray):
+        def part(bucket: int, good: np.ndarray, bad: np.ndarray) -> np.ndarray:
+            if not len(good) or not len(bad):
+                return np.zeros(2 + width + width * width)
+            rng = np.random.default_rng([seed, bucket])
+            a = np.concatenate([np.repeat(np.arange(len(good)), partners), rng.choice(len(good), len(bad) * partners)])
+            b = np.concatenate([rng.choice(len(bad), len(good) * partners), np.repeat(np.arange(len(bad)), partners)])
+            diff = (good[a] - bad[b]) / scale
+            lead = diff @ w
+            p = 1 / (1 + np.exp(np.clip(lead, -40, 40)))
+            return np.concatenate([[len(diff), np.logaddexp(0, -lead).sum()], -p @ diff, ((diff * (p * (1 - p))[:, None]).T @ diff).ravel()])
+
+        total = _summed(buckets, width, part)
+        pairs = max(total[0], 1.0)
+        return total[1] / pairs + RIDGE / 2 * w @ w, total[2 : 2 + width] / pairs + RIDGE * w, total[2 + width :].reshape(width, width) / pairs + RIDGE * np.eye(width)
+
+    w = np.zeros(width)
+    loss, slope, curve = slopes(w)
+    step = -np.linalg.solve(curve, slope)
+    for _ in range(steps):
+        tried = slopes(w + step)
+        if tried[0] > loss:
+            step = step / 2
+            continue
+        w, gain = w + step, loss - tried[0]
+        loss, slope, curve = tried
+        if gain < 1e-7:
+            break
+        step = -np.linalg.solve(curve, slope)
+
+    read = _each(width)
+
+    def merits(batches):
+        for _, good, bad in read(batches):
+            m = np.concatenate([(x - mean) / scale @ w for x in (good, bad)])
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat([1, 0], [len(good), len(bad)]), pa.int32()), pa.array(m)], names=["y", "m"])
+
+    found = materialise(buckets.mapInArrow(merits, "y int, m double"), "quality-merits")
+    below = min(max(number[0], 1), n - 1)  # between this many merits and the others
+    cut = exact_quantiles(found, [], [("m", F.col("m"), None)], [(below - 0.5) / (n - 1)]).first()[0]
+    average = {r.y: r.m for r in found.groupBy("y").agg(F.avg("m").alias("m")).collect()}
+    return Model(mean, scale, w, float(cut), 8.0 / max(average[1] - average[0], 1e-6))
+
+
+def fit_quality(docs: DataFrame, labels: DataFrame) -> Model:
+    """Train on all labelled rows that are not held out."""
     training = lambda i: ~held_out(i, 5, 0)
-    share = labels.where(training(col("doc_id")) & F.col("quality").isin(0, 1)).agg(F.avg(1 - F.col("quality"))).first()[0]
-    return train(labelled_sample(docs, labels, "quality", training, per_class, lambda t: np.array(features(t), np.float64).tobytes()), float(share or 0.0))
+    return train(materialise(labelled_features(docs, labels, "quality", training, lambda t: np.array(features(t), np.float64).tobytes()), "quality-features"))
 
 
 def score_quality(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:

@@ -600,3 +600,16 @@ def test_stages_drop_the_tables_before_them(spark, tmp_path):
     kept.write.parquet(str(tmp_path / "kept"))
     out = second(spark, spark.read.parquet(str(tmp_path / "kept")), SMALL)
     assert there(tables) == [] and out.count() > 50
+
+
+def test_quality_learns_from_every_labelled_row(spark):
+    from loomfeat.llm.common import held_out
+    from loomfeat.llm.labels import labelled_features
+
+    training = lambda i: ~held_out(i, 5, 0)
+    marks = spark.range(6_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    docs = docs_of(spark, [f"word{i % 7} and some more" for i in range(6_000)])
+    rows = labelled_features(docs, marks, "quality", training, lambda t: np.array(quality.features(t), np.float64).tobytes()).cache()
+    assert rows.count() == marks.where(training(F.col("doc_id"))).count() > 4_500
+    seen = quality._summed(quality._buckets(rows, 9), len(quality.features(b"")), lambda b, good, bad: np.array([float(len(good) + len(bad))]))
+    assert seen[0] == rows.count()
