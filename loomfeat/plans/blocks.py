@@ -19,6 +19,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomfeat.functions import exprs as X
 from loomfeat.operators import aggregate as agg
@@ -69,13 +70,33 @@ def entities(spark: SparkSession, d: str, key: str = KEY) -> DataFrame:
     return fx.application(spark, d).select(F.col("c_custkey").alias(key))
 
 
-def _on_spine(spark: SparkSession, d: str, parts: Sequence[DataFrame], key: str = KEY, validate: bool = True) -> DataFrame:
-    """Spine left-joined with the parts (J4), 0 where an entity has none (P3), one row each."""
+def _on_spine(spark: SparkSession, d: str, parts: Sequence[DataFrame], key: str = KEY, validate: bool = True, known: DataFrame | None = None) -> DataFrame:
+    """Spine left-joined with the parts (J4), 0 where an entity has none (P3), one row each.
+
+    ``known`` has every key that any of the parts has; entities that are not in it are not
+    taken through the joins.
+    """
     spine = entities(spark, d, key)
-    block = cols.fill_zero(joins.join_chain(spine, parts, key))
+    block = spine_join(spine, parts, key, known)
     return joins.unique_rows(block, key, "block") if validate else block
 
 
+def spine_join(spine: DataFrame, parts: Sequence[DataFrame], key: str, known: DataFrame | None = None) -> DataFrame:
+    """J4 and P3. With ``known`` a row of the spine without a part becomes its zeros as literals:
+    sorting, joining and filling hundreds of columns is only paid for rows that have them."""
+    if known is None:
+        return cols.fill_zero(joins.join_chain(spine, parts, key))
+    known = known.select(key)
+    block = cols.fill_zero(joins.join_chain(spine.join(known, key, "left_semi"), parts, key))
+    lone = cols.fill_zero(spine.join(known, key, "left_anti"))
+
+    def zero(f: T.StructField) -> str:
+        value = "0" if isinstance(f.dataType, T.NumericType) else "NULL"
+        return f"CAST({value} AS {f.dataType.simpleString()}) AS `{f.name}`"
+
+    return block.union(lone.selectExpr(*[f"`{f.name}`" if f.name in spine.columns else zero(f) for f in block.schema.fields]))
+
+
 # ------------------------------------------------------------------ B1-B3: application
 
 
@@ -565,7 +586,8 @@ def card_block(spark: SparkSession, d: str, corr_threshold: float | None = 0.9)
     lvl2 = _written_if(agg.aggregate_parts(lvl1, key, outer), corr_threshold, "card-entities")
     for tag, (_, _, with_key) in sets.items():
         lvl2 = _prune(lvl2, key if with_key else None, corr_threshold, [x for x in lvl2.columns if x.startswith(f"card_{tag}_")])
-    block = _on_spine(spark, d, [part, first, lvl2], validate=False)
+    # the payments and loans of an entity are among its rows, which ``part`` counts
+    block = _on_spine(spark, d, [part, first, lvl2], validate=False, known=part)
     return _prune(_written_if(block, corr_threshold, "card"), key, corr_threshold)
 
 
