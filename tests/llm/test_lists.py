@@ -23,3 +23,46 @@ def test_lists_of_lengthened_prefixes_are_short(spark, monkeypatch):
     got = {r.id: r.component_id for r in jaccard.near_duplicates(docs, list_rows=8).collect()}
     assert got == {i: i for i in range(24)} | {24: 0, 25: 5}
     assert longest[0] <= 8  # 26 before: the passage's tokens behind the plain prefixes
+
+
+def test_large_groups_make_no_rows_for_unlinked_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    base = [f"w{i}" for i in range(100)]
+
+    def changed(d, places):
+        return " ".join(f"c{d}_{i}" if i in places else w for i, w in enumerate(base))
+
+    # near copies of one text, then heavier variants of it, most of which link with nothing
+    places = [rng.choice(np.arange(6, 94, 6), 1 if d < 30 else 3, replace=False) for d in range(70)]
+    texts = [changed(d, set(p.tolist())) for d, p in enumerate(places)]
+    texts += [changed(69, {*places[69].tolist(), 2}), changed(68, {*places[68].tolist(), 97})]
+    sets = [set(s.tolist()) for s in jaccard.shingles([t.encode() for t in texts])]
+    want = list(range(len(texts)))
+    for _ in want:
+        for a in range(len(sets)):
+            for b in range(a):
+                if len(sets[a] & sets[b]) * 100 >= len(sets[a] | sets[b]) * 80:
+                    want[a] = want[b] = min(want[a], want[b])
+    rows = []
+    real = jaccard._across_families
+
+    def across(*args):
+        out = real(*args)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "_across_families", across)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: r.component_id for r in jaccard.near_duplicates(docs, list_rows=2).collect()}
+    assert got == dict(enumerate(want)) and {68, 69} <= set(want)
+    assert rows[0] < len(texts)  # hundreds before: the pairs that share enough of their prefixes
+
+
+def test_blocks_count_shared_tokens(monkeypatch):
+    monkeypatch.setattr(jaccard, "WIDTH", 7)
+    rng = np.random.default_rng(5)
+    left, right = ([np.unique(rng.integers(0, 60, n)) for n in rng.integers(0, 40, size)] for size in (9, 13))
+    got = jaccard._shared(jaccard._ragged(left), jaccard._ragged(right))
+    assert got.tolist() == [[len(set(a) & set(b)) for b in right] for a in left]
+    kept = jaccard._forest(np.array([1, 1, 2, 5, 5, 1]), np.array([2, 2, 3, 6, 6, 3]))
+    assert len(kept) == 3
