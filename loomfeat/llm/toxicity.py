@@ -9,6 +9,7 @@ is scored with one number per n-gram, its vector's part of the logit.
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -128,12 +129,11 @@ def train(sample: Sample, share: float, dim: int = 8, epochs: int = 25, batches:
     order = np.concatenate([order[fit[order]], order[~fit[order]]])
     y, n_fit = y[order], int(fit.sum())
     edge = np.append(0, np.cumsum(np.array(sample.sizes, np.int64)[order] // 8))
-    idx, val = np.empty(edge[-1], np.int32), np.empty(edge[-1], np.float32)
+    idx, val = filed(edge[-1], np.int32), filed(edge[-1], np.float32)
     place = np.argsort(order)
-    for k, packed in sample.read():  # the driver holds the sample once
+    for k, packed in sample.read():  # the driver holds a mini-batch, the sample is in a file of its own
         at, n = slice(edge[place[k]], edge[place[k] + 1]), len(packed) // 8
-        idx[at], val[at] = np.frombuffer(packed, np.int32, n), np.frombuffer(packed, np.float32, n, 4 * n)
-    val *= np.float32(gain)
+        idx[at], val[at] = np.frombuffer(packed, np.int32, n), np.frombuffer(packed, np.float32, n, 4 * n) * np.float32(gain)
     owner = lambda i, j: np.repeat(np.arange(j - i, dtype=np.int32), np.diff(edge[i : j + 1]))
     prior = np.where(y == 1, share, 1 - share) / np.bincount(y, minlength=2)[y]
     weight = np.sqrt(prior / np.bincount(y, minlength=2)[y])  # between the labels' shares and equal parts
@@ -162,11 +162,18 @@ def train(sample: Sample, share: float, dim: int = 8, epochs: int = 25, batches:
                 s[1] = 0.99 * s[1] + 0.01 * g * g
                 p -= lr * (s[0] / (1 - 0.9**step)) / (np.sqrt(s[1] / (1 - 0.99**step)) + 1e-8)
     part = vectors @ (softmax[:, 1] - softmax[:, 0])
-    at = slice(edge[n_fit], None)
-    logit = np.bincount(owner(n_fit, len(y)), val[at] * part[idx[at]], len(y) - n_fit) + bias[1] - bias[0]
+    cuts = np.linspace(n_fit, len(y), batches + 1).astype(int)
+    sums = [np.bincount(owner(i, j), val[edge[i] : edge[j]] * part[idx[edge[i] : edge[j]]], j - i) for i, j in zip(cuts[:-1], cuts[1:])]
+    logit = np.concatenate(sums) + bias[1] - bias[0]
     return Model(part * gain, float(bias[1] - bias[0]) - threshold(logit, y[n_fit:], prior[n_fit:]), 0.0)
 
 
+def filed(n: int, kind: type) -> np.ndarray:
+    """An array of n zeros in a nameless temporary file, which goes with it."""
+    with tempfile.TemporaryFile() as f:
+        return np.memmap(f, kind, "w+", shape=(n,)).view(np.ndarray) if n else np.zeros(0, kind)
+
+
 def threshold(logit: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
     """The cut between two neighbouring logits with the least weight of errors (0 if one label)."""
     if len(set(y.tolist())) < 2:

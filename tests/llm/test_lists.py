@@ -1,9 +1,11 @@
-"""Token lists of the near-duplicate join stay short where many texts share a passage."""
+"""Token lists of the near-duplicate join stay short where many texts share a passage; what the driver holds."""
+
+import tracemalloc
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from loomfeat.llm import jaccard
+from loomfeat.llm import jaccard, toxicity
 
 
 def test_lists_of_lengthened_prefixes_are_short(spark, monkeypatch):
@@ -66,3 +68,23 @@ def test_blocks_count_shared_tokens(monkeypatch):
     assert got.tolist() == [[len(set(a) & set(b)) for b in right] for a in left]
     kept = jaccard._forest(np.array([1, 1, 2, 5, 5, 1]), np.array([2, 2, 3, 6, 6, 3]))
     assert len(kept) == 3
+
+
+def test_training_holds_a_part_of_the_sample(spark):
+    class Sample:
+        labels = [k % 2 for k in range(240)]
+        sizes = [8 * 100_000] * 240
+
+        def read(self):
+            for k, y in enumerate(self.labels):
+                buckets = np.arange(y, 100_000 + y, dtype=np.int32)
+                yield k, buckets.tobytes() + np.full(100_000, 1e-5, np.float32).tobytes()
+
+    tracemalloc.start()
+    try:
+        model = toxicity.train(Sample(), 0.5, epochs=1, batches=48)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(model.table) == 1 << toxicity.BITS
+    assert peak < sum(Sample.sizes)  # beyond it before: the sample, and a fifth of it in doubles
