@@ -54,7 +54,9 @@ def drawn_features(docs: DataFrame, labels: DataFrame, label: str, training, per
     keys = materialise(texts.select("id", "k").join(marked.distinct(), "id").distinct(), f"{label}-keys")
     order = [F.xxhash64("id"), F.col("id"), F.col("k")]
     drawn = [r for y in (0, 1) for r in keys.where(F.col("y") == y).orderBy(*order).limit(per_class[y]).collect()]
-    place = docs.sparkSession.createDataFrame([(r.id, r.k, r.y, i) for i, r in enumerate(drawn)], "id " + keys.schema["id"].dataType.simpleString() + ", k long, y int, i int")
+    # from an Arrow table: a list would be unpickled by Python workers under a daemon of their own, which stays in every executor
+    rows = pa.table({"id": [r.id for r in drawn], "k": [r.k for r in drawn], "y": [r.y for r in drawn], "i": range(len(drawn))})
+    place = docs.sparkSession.createDataFrame(rows, "id " + keys.schema["id"].dataType.simpleString() + ", k long, y int, i int")
     few = texts.join(F.broadcast(place), ["id", "k"]).select("i", "y", "t").dropDuplicates(["i"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

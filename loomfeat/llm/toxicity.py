@@ -23,7 +23,7 @@ from loomfeat.llm.labels import Sample, drawn_features
 
 GRAMS = (3, 4, 5, 6)
 BITS = 17
-CHUNK = 1 << 18
+CHUNK = 1 << 16
 
 
 def gram_buckets(stream: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:

@@ -88,3 +88,38 @@ def test_training_holds_a_part_of_the_sample(spark):
         tracemalloc.stop()
     assert len(model.table) == 1 << toxicity.BITS
     assert peak < sum(Sample.sizes)  # beyond it before: the sample, and a fifth of it in doubles
+
+
+def test_sample_needs_no_list_workers(spark, monkeypatch):
+    from pyspark import SparkContext
+
+    from loomfeat.llm import labels
+
+    rows = [(k, f"text of row {k}") for k in ("a", "b", "c", "d")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string").persist()
+    marks = spark.createDataFrame([(k, i % 2) for i, (k, _) in enumerate(rows)], "doc_id string, toxic int").persist()
+    docs.count(), marks.count()
+
+    def parallelize(*args, **kwargs):
+        raise AssertionError("a list is unpickled by Python workers under a daemon of their own")  # as before
+
+    monkeypatch.setattr(SparkContext, "parallelize", parallelize)
+    drawn = lambda some: sorted(labels.labelled_sample(docs, marks, "toxic", lambda i: some, (1, 9), lambda t: t))
+    got = drawn(F.lit(True))
+    assert [t for t, y in got if y == 1] == [b"text of row b", b"text of row d"]
+    assert [t in (b"text of row a", b"text of row c") for t, y in got if y == 0] == [True]
+    assert drawn(F.lit(False)) == []
+
+
+def test_scoring_holds_small_pieces():
+    model = toxicity.Model(np.random.default_rng(2).normal(0, 1, 1 << toxicity.BITS), 0.1, 0.0)
+    texts = [" ".join(f"word{i * k % 997}" for i in range(400)).encode() for k in range(1, 400)]
+    model.score(texts[:1])
+    tracemalloc.start()
+    try:
+        scores = model.score(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert np.allclose(scores[:5], [model.score([t])[0] for t in texts[:5]], rtol=1e-12)
+    assert peak < 8 << 20
