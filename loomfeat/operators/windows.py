@@ -18,7 +18,7 @@ Design for hot keys:
 
 from __future__ import annotations
 
-from typing import Iterable, Mapping, Sequence
+from typing import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -179,12 +179,14 @@ def last_k(
     tiebreak: Sequence[str] = (),
     trend: Mapping[int, Sequence[str]] | None = None,
     namer=None,
+    derive: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Statistics of each key's newest ``k`` rows, for several ``k`` at once.
 
     ``None`` in ``ks`` is the whole history (W4). ``trend`` maps ``k`` to the
     columns whose least-squares slope over the newest ``k`` rows is wanted
-    (x = 0 for the newest row, W7). One window, one ordered array per key.
+    (x = 0 for the newest row, W7). One window, one ordered array per key. ``derive`` adds
+    columns of the spec to the rows that are left, so the shuffle does not carry them.
     """
     ks = list(ks)
     namer = namer or last_k_name
@@ -197,8 +199,9 @@ def last_k(
         w = Window.partitionBy(key).orderBy(*[c.desc() for c in _orders(order_desc)], *[F.col(t).asc() for t in tiebreak])
         # row_number alone, then the filter: Spark inserts a WindowGroupLimit before the shuffle
         r = df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) <= F.lit(kmax))
+        r = derive(r) if derive else r
         used = list(dict.fromkeys([*spec, *[c for cs in trend.values() for c in cs]]))
-        kinds = {f.name: f.dataType for f in df.schema.fields}
+        kinds = {f.name: f.dataType for f in r.schema.fields}
         cells = F.struct(F.col(rn), *[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(used)])
         rows = r.groupBy(key).agg(F.sort_array(F.collect_list(cells)).alias("__rows"))
         arrays = rows.select(key, *[F.col(f"__rows.v{i}").alias(f"__a{i}") for i in range(len(used))])
@@ -219,7 +222,7 @@ def last_k(
         order = [*[namer(k, c, aggfns.resolve(f)[0]) for k in finite for c, fns in spec.items() for f in fns], *[trend_name(k, c) for k, cs in trend.items() for c in cs]]
         out = arrays.select(key, *stats).select(key, *[named[n].alias(n) for n in order])
     if None in ks:
-        whole = aggregate(df, key, spec, namer=lambda p, c, t, f: namer(None, c, f))
+        whole = aggregate(derive(df) if derive else df, key, spec, namer=lambda p, c, t, f: namer(None, c, f))
         out = whole if out is None else whole.join(out, key, "left")
     return out
 

@@ -26,7 +26,7 @@ from loomfeat.operators import aggregate as agg
 from loomfeat.operators import columns as cols
 from loomfeat.operators import encode, joins, select
 from loomfeat.operators import windows as win
-from loomfeat.session import written
+from loomfeat.session import free_shuffles, held, written
 from loomfeat.sources import fixtures as fx
 
 SIX = ["min", "median", "max", "mean", "sum", "std"]
@@ -311,37 +311,44 @@ def _written_if(df: DataFrame, corr_threshold: float | None, name: str) -> DataF
 
 
 def instalment_block(spark: SparkSession, d: str, corr_threshold: float | None = 0.9) -> DataFrame:
-    """B22 (B23-B28): basic, advanced, prolongation, last-k with fractions, trends."""
+    """B22 (B23-B28): basic, advanced, prolongation, last-k with fractions, trends.
+
+    Line items meet their orders once, in a table that all passes read; the shuffle files of
+    a pass go before the next one begins.
+    """
     from loomfeat.plans import q_win as W
 
     key = "o_custkey"
-    rows = W.instalment_rows(spark, d)
     basic_cols = ["i_due", "i_paid", "i_days_paid", "i_days_due", "l_linenumber", "i_version"]
     nine = ["sum", "mean", "median", "min", "max", "std", "iqr", "skew", "kurt"]
     flags = {"paid_late": ["sum", "mean", "count"], "paid_over": ["sum", "mean", "count"]}
-    # B23 + B24 share one aggregate (same rows, same key)
-    basic = agg.aggregate_parts(
-        rows,
-        key,
-        [
-            agg.Part({c: ["mean", "min", "max", "median", "sum", "std"] for c in basic_cols}, prefix="ins_"),
-            agg.Part({"late_days": nine, "over_amount": nine}),
-            agg.Part(flags),
-        ],
-    )
-    basic = written(basic, "instalment-basic")
+    with held(fx.installments(spark, d), "instalment-rows") as i:
+        rows = W.instalment_features(i)
+        # B23 + B24 share one aggregate (same rows, same key)
+        basic = agg.aggregate_parts(
+            rows,
+            key,
+            [
+                agg.Part({c: ["mean", "min", "max", "median", "sum", "std"] for c in basic_cols}, prefix="ins_"),
+                agg.Part({"late_days": nine, "over_amount": nine}),
+                agg.Part(flags),
+            ],
+        )
+        basic = written(basic, "instalment-basic", "zstd")
+        free_shuffles(spark)
+        # prolongation
+        first = win.dedup_first(rows.select(key, "l_orderkey", "i_version", "l_linenumber", "i_paid"), [key, "l_orderkey", "i_version"], ["l_linenumber"])
+        nxt = win.lead_within(first, [key, "l_orderkey"], ["l_linenumber", "i_version", "i_paid"], "l_linenumber", "__next")
+        pay = nxt.select(key, X.fill_value(F.col("__next") - F.col("l_linenumber"), 1).cast("double").alias("pay_long"), "i_paid")
+        pay = pay.select(key, "pay_long", (F.col("i_paid") * F.col("pay_long")).alias("pay_long_amount"))
+        with held(pay, "instalment-pay") as pay:
+            prelong = written(agg.aggregate(pay, key, {"pay_long": SIX, "pay_long_amount": SIX}, prefix="ins_"), "instalment-prolongation")
+        # B26 + B27 + B28: one window, one array per key
+        trend = {k: ["late_days", "over_amount"] for k in W.INS_TREND_PERIODS}
+        lk = win.last_k(i, key, ["i_days_due"], W.INS_LAST_K_SPEC, W.INS_PERIODS, tiebreak=W.INS_ORDER_TIEBREAK, trend=trend, derive=W.instalment_features)
+        lk = written(win.fraction_features(lk, W.INS_FRACTIONS, W.INS_LAST_K_SPEC), "instalment-last-k", "zstd")
     basic = _prune(basic, None, corr_threshold, [f"{c}_{f}" for c, fns in flags.items() for f in fns])
-    # prolongation
-    first = win.dedup_first(rows.select(key, "l_orderkey", "i_version", "l_linenumber", "i_paid"), [key, "l_orderkey", "i_version"], ["l_linenumber"])
-    nxt = win.lead_within(first, [key, "l_orderkey"], ["l_linenumber", "i_version", "i_paid"], "l_linenumber", "__next")
-    pay = nxt.select(key, X.fill_value(F.col("__next") - F.col("l_linenumber"), 1).cast("double").alias("pay_long"), "i_paid")
-    pay = pay.select(key, "pay_long", (F.col("i_paid") * F.col("pay_long")).alias("pay_long_amount"))
-    prelong = written(agg.aggregate(pay, key, {"pay_long": SIX, "pay_long_amount": SIX}, prefix="ins_"), "instalment-prolongation")
     prelong = _prune(prelong, key, corr_threshold)
-    # B26 + B27 + B28: one window, one array per key
-    trend = {k: ["late_days", "over_amount"] for k in W.INS_TREND_PERIODS}
-    lk = win.last_k(rows, key, ["i_days_due"], W.INS_LAST_K_SPEC, W.INS_PERIODS, tiebreak=W.INS_ORDER_TIEBREAK, trend=trend)
-    lk = written(win.fraction_features(lk, W.INS_FRACTIONS, W.INS_LAST_K_SPEC), "instalment-last-k")
     lk = _prune_last_k(lk, key, corr_threshold)
     return _on_spine(spark, d, [basic, prelong, lk], key).withColumnRenamed(key, "c_custkey")
 

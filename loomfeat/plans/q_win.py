@@ -42,8 +42,12 @@ POS_LAST_LOAN_SPEC = {
 
 
 def instalment_rows(spark, d):
+    """Block B22's rows with its derived columns."""
+    return instalment_features(fx.installments(spark, d))
+
+
+def instalment_features(i):
     """Block B22's derived columns: late days/flag (P11/P17), over-payment amount/flag."""
-    i = fx.installments(spark, d)
     late = diff("i_days_paid", "i_days_due")
     over = diff("i_paid", "i_due")
     return i.select(
