@@ -65,3 +65,16 @@ def test_moments_of_columns_with_and_without_missing_values(missing):
                 mu, mv = (u.mean(), v.mean()) if n else (0.0, 0.0)
                 want = [n, mu, mv, ((u - mu) ** 2).sum(), ((v - mv) ** 2).sum(), ((u - mu) * (v - mv)).sum()]
                 assert got[:, i, j] == pytest.approx(want, abs=1e-9)
+
+
+def test_no_fit_joins_the_folds_again(spark, monkeypatch):
+    from pyspark.ml.classification import GBTClassifier
+
+    from loomfeat.operators import scoring
+
+    plans, fit = [], GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, df, *a: plans.append(plan(df)) or fit(self, df, *a))
+    df = spark.range(120).selectExpr("id", "id % 17 AS a", "id % 3 AS b", "if(id % 4 = 0, null, double(id % 17 > 8)) AS y")
+    out = scoring.oof_scores(df, "id", "y", ["a", "b"], k=2, rounds=2, patience=1, max_depth=2)
+    assert len(plans) == 2 and not any("Join" in p for p in plans)
+    assert out.oof.count() == 90 and out.test.count() == 30
